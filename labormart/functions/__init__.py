@@ -40,7 +40,7 @@ def ascii_lower(c: str | Column) -> Column:
 def contains_ascii_ci(text: str | Column, keyword: str | Column) -> Column:
     """Literal substring test after ASCII lower-casing both sides."""
     kw = F.lit(keyword) if isinstance(keyword, str) else keyword
-    return F.instr(ascii_lower(text), ascii_lower(kw)) > 0
+    return ascii_lower(text).contains(ascii_lower(kw))
 
 
 def regex_ci(text: str | Column, pattern: str) -> Column:

@@ -18,8 +18,9 @@ from labormart.schema import LITERAL_SKILLS, REGEX_SKILLS
 
 def literal_match(text: Column, keyword: str) -> Column:
     """Literal, ASCII case-insensitive substring test: "Go" matches "MongoDB"."""
-    return F.instr(text, F.lit(keyword.translate(str.maketrans(
-        "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))) > 0
+    # ``contains`` is a byte-level search; ``instr`` would also count characters up to the hit.
+    return text.contains(keyword.translate(str.maketrans(
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
 
 
 def _stack(df: DataFrame, keep: Sequence[str], names: Sequence[str], cols: Sequence[str]
@@ -38,16 +39,23 @@ def skill_counts(df: DataFrame, text: str = "snippet_requirement",
     ``mode="literal"``: ASCII-lower-cased substring test. ``mode="regex"``: the keyword is an
     unescaped case-insensitive regular expression (so "C++" means "contains c").
     """
+    # The text is lower-cased once per row in a projection, then tested per keyword (inside
+    # the aggregate the shared sub-expression would be evaluated once per keyword).
     if mode == "literal":
-        low = ascii_lower(text)
-        tests = [literal_match(low, k) for k in keywords]
+        src = df.select(*by, ascii_lower(text).alias("_txt"))
+        tests = [literal_match(F.col("_txt"), k) for k in keywords]
+    elif mode == "array":  # ``text`` is an array of already matched keywords (row_skills)
+        src = df.select(*by, F.col(text).alias("_txt"))
+        tests = [F.array_contains("_txt", k) for k in keywords]
     elif mode == "regex":
-        tests = [regex_ci(text, k) for k in keywords]
+        src = df.select(*by, F.col(text).alias("_txt"))
+        tests = [regex_ci("_txt", k) for k in keywords]
     else:
         raise ValueError(f"unknown mode {mode!r}")
     cols = [f"_k{i}" for i in range(len(keywords))]
-    aggs = [F.count_if(t).alias(c) for t, c in zip(tests, cols)]
-    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    flags = src.select(*by, *[F.when(t, 1).otherwise(0).alias(c) for t, c in zip(tests, cols)])
+    aggs = [F.sum(c).cast("bigint").alias(c) for c in cols]
+    wide = flags.groupBy(*by).agg(*aggs) if by else flags.agg(*aggs)
     long = _stack(wide, list(by), keywords, cols)
     return long if keep_zero else long.filter(F.col("count") > 0)
 

@@ -62,10 +62,17 @@ def tumbling_total(df: DataFrame, ts: str = "ts", s_from: str = "salary_from",
 
 def tumbling_top_skills(df: DataFrame, ts: str = "ts", text: str = "snippet_requirement",
                         keywords: Sequence[str] = LITERAL_SKILLS, n: int = 10,
-                        size: str = TUMBLING_WINDOW) -> DataFrame:
-    """Per window the ``n`` keywords matched by most rows (ties by keyword), with rank."""
+                        size: str = TUMBLING_WINDOW, skills: str | None = None) -> DataFrame:
+    """Per window the ``n`` keywords matched by most rows (ties by keyword), with rank.
+
+    ``skills`` names an array column of keywords already matched per row (see
+    ``row_skills``); when given, texts are not searched again.
+    """
     win = df.withColumn("_w", F.window(ts, size))
-    counts = skill_counts(win, text, keywords, by=["_w"])
+    if skills:
+        counts = skill_counts(win, skills, keywords, mode="array", by=["_w"])
+    else:
+        counts = skill_counts(win, text, keywords, by=["_w"])
     top = top_n_per_group(counts, ["_w"], n)
     return top.select(*_bounds("_w"), "rank", "skill", "count")
 
@@ -73,11 +80,12 @@ def tumbling_top_skills(df: DataFrame, ts: str = "ts", text: str = "snippet_requ
 def window_report(df: DataFrame, ts: str = "ts", area: str = "area_name",
                   s_from: str = "salary_from", s_to: str = "salary_to",
                   text: str = "snippet_requirement", keywords: Sequence[str] = LITERAL_SKILLS,
-                  size: str = TUMBLING_WINDOW) -> DataFrame:
+                  size: str = TUMBLING_WINDOW, skills: str | None = None) -> DataFrame:
     """W4 (+J2): one row per (window, area) with the window total and the window's top skill
     repeated; '' and 0 when no keyword matched in the window."""
     per_area = tumbling_by_area(df, ts, area, s_from, s_to, size)
-    return report_from_parts(per_area, tumbling_top_skills(df, ts, text, keywords, 1, size))
+    return report_from_parts(per_area,
+                             tumbling_top_skills(df, ts, text, keywords, 1, size, skills))
 
 
 def report_from_parts(per_area: DataFrame, top_skills: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ Recipes (``%`` below derives values, it never filters rows):
   host part, requirement = html).
 * ``event_vacancies``: events as a vacancy stream; ts is the event time, area = event_type,
   salary_from = floor(value * 1000), salary_to = floor(value * 1500), requirement = the text of
-  document ``user_id``.
+  document ``user_id`` and ``skills`` = the literal keywords found in it (matched per document).
 """
 
 from __future__ import annotations
@@ -130,9 +130,13 @@ def text_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as vacancies with an event-time column ``ts`` (TIMESTAMP_NTZ as stored)."""
+    from labormart.operators.skills import row_skills
+
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("user_id"), F.col("text").alias("snippet_requirement"))
+    # Keywords are matched once per document here, not once per event that refers to it.
+    docs = row_skills(table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("user_id"), F.col("text").alias("snippet_requirement")),
+        "snippet_requirement")
     return ev.join(docs, "user_id", "left").select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts"),
@@ -140,4 +144,5 @@ def event_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("value") * 1000).cast("bigint").alias("salary_from"),
         F.floor(F.col("value") * 1500).cast("bigint").alias("salary_to"),
         F.col("snippet_requirement"),
+        F.col("skills"),
     )

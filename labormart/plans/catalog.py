@@ -179,8 +179,9 @@ QUERIES: dict[str, Query] = {
     "tumbling_by_area": lambda s, sf: W.tumbling_by_area(q_event_vac(s, sf), size=EV_TUMBLING),
     "tumbling_total": lambda s, sf: W.tumbling_total(q_event_vac(s, sf), size=EV_TUMBLING),
     "tumbling_top_skills": lambda s, sf: W.tumbling_top_skills(q_event_vac(s, sf),
-                                                               size=EV_TUMBLING),
-    "window_report": lambda s, sf: W.window_report(q_event_vac(s, sf), size=EV_TUMBLING),
+                                                               size=EV_TUMBLING, skills="skills"),
+    "window_report": lambda s, sf: W.window_report(q_event_vac(s, sf), size=EV_TUMBLING,
+                                                   skills="skills"),
     "sliding_stats": lambda s, sf: W.sliding_stats(q_event_vac(s, sf), size=EV_SLIDING,
                                                    slide=EV_SLIDE),
     "sliding_top5": lambda s, sf: W.sliding_top_areas(q_event_vac(s, sf), n=5, size=EV_SLIDING,
@@ -190,3 +191,149 @@ QUERIES: dict[str, Query] = {
         "window_start", "window_end", "top_area", "top_area_count"),
     "trailing_count": lambda s, sf: W.trailing_count(q_event_vac(s, sf), size="300 seconds"),
 }
+
+
+# --------------------------------------------------------------------------------------------
+# Sources, sinks and streams. Written data goes to fresh folders under the session's
+# ``spark.checkpoint.dir`` (a shared folder on a cluster).
+# --------------------------------------------------------------------------------------------
+
+def q_jsonl_roundtrip(spark, sf):
+    """Raw records written as JSON lines (50 per file), read back with the explicit
+    schema and bad-file handling, then cleaned."""
+    from labormart.session import scratch_path
+    from labormart.sources.files import load_jsonl, save_jsonl
+
+    path = scratch_path(spark, "jsonl")
+    save_jsonl(AD.raw_vacancies(spark, sf), path, max_records_per_file=None)
+    return C.clean(load_jsonl(spark, path, glob="*.json"))
+
+
+def q_parquet_roundtrip(spark, sf):
+    """The clean table written as Parquet and queried back through a SQL view."""
+    from labormart.session import scratch_path
+    from labormart.sources.files import parquet_view, save_parquet
+
+    path = scratch_path(spark, "parquet")
+    save_parquet(_clean(spark, sf), path)
+    view = f"vacancies_{abs(hash(path)) % 10**8}"
+    parquet_view(spark, path, view)
+    return spark.sql(f"""
+        SELECT area_name, COUNT(*) AS count, AVG(salary_from) AS avg_from, AVG(salary_to) AS avg_to
+        FROM {view} WHERE area_name IS NOT NULL GROUP BY area_name""")
+
+
+def q_message_decode(spark, sf):
+    """Every raw record encoded as a JSON message and decoded again."""
+    from labormart.sources.messages import decode_messages, message_fields, vacancy_messages
+
+    return message_fields(decode_messages(vacancy_messages(AD.raw_vacancies(spark, sf))))
+
+
+def q_page_unwrap(spark, sf):
+    """Records packed into page envelopes (the lines of one order form one page, at most
+    100 items as in a search page), serialised, then unwrapped to one row per item."""
+    from labormart.sources.messages import unwrap_pages
+
+    raw = AD.raw_vacancies(spark, sf).withColumn("_line", F.col("collected_at"))
+    pages = (raw.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(
+                 "_line", *[F.col(c) for c in raw.columns if c not in ("_line",)]))).alias("items"))
+             .select(F.to_json(F.struct(
+                 F.transform("items", lambda x: x.dropFields("_line")).alias("items"),
+                 F.size("items").alias("found"), F.lit(1).alias("pages"),
+                 F.lit(0).alias("page"))).alias("value")))
+    items = unwrap_pages(pages, collected_at=F.lit("2025-05-01T10:01:00Z"))
+    return items.select("id", "name", F.col("area.name").alias("area_name"), "collected_at")
+
+
+def _event_stream(spark, sf):
+    """The events table as a file stream, shaped as vacancies (stream-static join with the
+    per-document skills)."""
+    from labormart.operators.skills import row_skills
+
+    schema = AD.table(spark, sf, "events").schema
+    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+          .option("maxFilesPerTrigger", 1).parquet(sf))
+    docs = row_skills(AD.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("user_id"), F.col("text").alias("snippet_requirement")),
+        "snippet_requirement")
+    return ev.join(docs, "user_id", "left").select(
+        F.col("event_id").cast("string").alias("id"), "ts",
+        F.col("event_type").alias("area_name"),
+        F.floor(F.col("value") * 1000).cast("bigint").alias("salary_from"),
+        F.floor(F.col("value") * 1500).cast("bigint").alias("salary_to"),
+        "snippet_requirement", "skills")
+
+
+def q_stream_tumbling(spark, sf):
+    """W1-W6 streaming: the window report built by the stream equals the batch report."""
+    from labormart.session import scratch_path
+    from labormart.streaming.windows import event_time, read_report, start_tumbling_report
+
+    out = scratch_path(spark, "stream-tumbling")
+    q = start_tumbling_report(event_time(_event_stream(spark, sf), watermark="1 hour"), out,
+                              output_mode="complete", trigger={"availableNow": True},
+                              size=EV_TUMBLING, skills="skills")
+    q.awaitTermination()
+    return read_report(spark, out, complete_mode=True)
+
+
+def q_stream_sliding(spark, sf):
+    """W7/W9/W12 streaming: sliding statistics from the stream equal the batch ones."""
+    from labormart.session import scratch_path
+    from labormart.streaming.windows import event_time, read_report, start_sliding_report
+
+    out = scratch_path(spark, "stream-sliding")
+    q = start_sliding_report(event_time(_event_stream(spark, sf), watermark="6 hours"), out,
+                             output_mode="complete", trigger={"availableNow": True},
+                             size=EV_SLIDING, slide=EV_SLIDE)
+    q.awaitTermination()
+    return read_report(spark, f"{out}/stats", complete_mode=True)
+
+
+def q_fan_out(spark, sf):
+    """Validated stream records fanned out to JSONL files and messages; the files are
+    read back (S11-style) and counted per area."""
+    from labormart.session import scratch_path
+    from labormart.streaming.windows import start_fan_out
+
+    stream = _event_stream(spark, sf).select(
+        "id", F.col("area_name").alias("name"), "area_name", F.col("id").alias("area_id"),
+        "salary_from", "salary_to")
+    valid, _ = V.split_valid(V.validate(stream, "name", "salary_from", "salary_to", "area_id"))
+    files, msgs = scratch_path(spark, "fan-files"), scratch_path(spark, "fan-msgs")
+    q = start_fan_out(valid, files, msgs, trigger={"availableNow": True})
+    q.awaitTermination()
+    back = spark.read.schema("id STRING, area_name STRING, salary_from BIGINT").json(files)
+    n_msgs = spark.read.text(msgs).agg(F.count(F.lit(1))).scalar()
+    return (back.groupBy("area_name")
+                .agg(F.count(F.lit(1)).alias("count"), F.sum("salary_from").alias("salary_sum"))
+                .withColumn("messages", n_msgs))
+
+
+def q_report_readback(spark, sf):
+    """Window reports appended batch by batch are read back as one table."""
+    from labormart.session import scratch_path
+    from labormart.sources.files import union_all_by_name
+
+    out = scratch_path(spark, "report")
+    rep = W.window_report(q_event_vac(spark, sf), size=EV_TUMBLING, skills="skills")
+    # two appended "batches": windows before and after the middle of the month
+    first = rep.filter(F.col("window_start") < "2024-01-16")
+    second = rep.filter(F.col("window_start") >= "2024-01-16")
+    first.write.mode("overwrite").parquet(f"{out}/batch_id=0")
+    second.write.mode("overwrite").parquet(f"{out}/batch_id=1")
+    parts = [spark.read.parquet(f"{out}/batch_id={i}") for i in (0, 1)]
+    return union_all_by_name(parts)
+
+
+QUERIES.update({
+    "jsonl_roundtrip": q_jsonl_roundtrip,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "message_decode": q_message_decode,
+    "page_unwrap": q_page_unwrap,
+    "stream_tumbling": q_stream_tumbling,
+    "stream_sliding": q_stream_sliding,
+    "fan_out": q_fan_out,
+    "report_readback": q_report_readback,
+})

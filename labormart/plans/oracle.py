@@ -454,3 +454,24 @@ SELECT id, ts, count(*) OVER (ORDER BY ts RANGE BETWEEN INTERVAL 300 SECONDS PRE
        AS trailing_count
 FROM ev""",
 }
+
+
+ORACLE.update({
+    "jsonl_roundtrip": ORACLE["clean"],
+    "parquet_roundtrip": _with(RV, DEDUP, CLEAN) + """
+SELECT area_name, count(*) AS count, avg(salary_from) AS avg_from, avg(salary_to) AS avg_to
+FROM cl WHERE area_name IS NOT NULL GROUP BY area_name""",
+    "message_decode": _with(RV) + """
+SELECT id, COALESCE(area_name, 'Unknown') AS area, COALESCE(CASE WHEN has_salary THEN sf END, 0) AS salary
+FROM rv""",
+    "page_unwrap": _with(RV) + """
+SELECT id, name, area_name, '2025-05-01T10:01:00Z' AS collected_at FROM rv""",
+    "stream_tumbling": ORACLE["window_report"],
+    "stream_sliding": ORACLE["sliding_stats"],
+    "fan_out": """
+SELECT event_type AS area_name, count(*) AS count,
+       CAST(sum(CAST(floor(value * 1000) AS BIGINT)) AS BIGINT) AS salary_sum,
+       (SELECT count(*) FROM events) AS messages
+FROM events GROUP BY event_type""",
+    "report_readback": ORACLE["window_report"],
+})

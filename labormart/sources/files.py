@@ -13,6 +13,20 @@ from pyspark.sql import types as T
 from labormart.schema import CORRUPT_COLUMN, RAW_SCHEMA
 
 
+def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType, glob: str) -> DataFrame:
+    """Lines of the matching files parsed with ``schema`` plus the corrupt-record text and the
+    file path. The files are read as text and parsed with ``from_json`` (the JSON file source
+    refuses scans that only need the corrupt-record column, which the bad-file check does)."""
+    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
+             .text(path))
+    lines = lines.filter(F.trim("value") != "")  # blank lines are not records
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE",
+                                         "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    return lines.select(parsed.alias("r"), F.col("_metadata.file_path").alias("_file")
+                        ).select("r.*", "_file")
+
+
 def load_jsonl(spark: SparkSession, path: str, schema: T.StructType | str = RAW_SCHEMA,
                bad_input: str = "drop_file", glob: str = "*.jsonl") -> DataFrame:
     """S1 + S3: every ``*.jsonl`` file directly in ``path`` as one table with ``schema``.
@@ -24,44 +38,33 @@ def load_jsonl(spark: SparkSession, path: str, schema: T.StructType | str = RAW_
       with an anti join on the file path; the list of bad files is at most the file listing
       the driver already holds, so it is broadcast.
     * ``"drop_row"``: only unparsable lines are left out.
-    * ``"keep"``: Spark's default, a bad line gives a row of nulls plus the raw text.
+    * ``"keep"``: a bad line gives a row of nulls plus the raw text in ``_corrupt_record``.
     """
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)  # type: ignore[attr-defined]
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    reader = (spark.read.schema(full)
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-              .option("pathGlobFilter", glob)
-              .option("recursiveFileLookup", "false"))
+    names = [f.name for f in schema.fields]
     try:
-        df = reader.json(path)
+        df = _parsed_lines(spark, path, schema, glob)
     except Exception as e:  # no matching file: Spark raises on an empty path
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return spark.createDataFrame([], schema)
         raise
-    names = [f.name for f in schema.fields]
     if bad_input == "keep":
-        return df
+        return df.drop("_file")
     if bad_input == "drop_row":
         return df.filter(F.col(CORRUPT_COLUMN).isNull()).select(*names)
     if bad_input != "drop_file":
         raise ValueError(f"unknown bad_input {bad_input!r}")
-    with_file = df.withColumn("_file", F.col("_metadata.file_path"))
-    bad_files = (with_file.filter(F.col(CORRUPT_COLUMN).isNotNull())
-                          .select("_file").distinct())
-    return with_file.join(F.broadcast(bad_files), "_file", "left_anti").select(*names)
+    bad = df.filter(F.col(CORRUPT_COLUMN).isNotNull()).select("_file").distinct()
+    return df.join(F.broadcast(bad), "_file", "left_anti").select(*names)
 
 
 def bad_files(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
               glob: str = "*.jsonl") -> DataFrame:
     """The files ``load_jsonl`` leaves out, with their number of bad lines (for the log)."""
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    df = (spark.read.schema(full).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-          .option("pathGlobFilter", glob).json(path))
-    return (df.withColumn("file", F.col("_metadata.file_path"))
-              .filter(F.col(CORRUPT_COLUMN).isNotNull())
-              .groupBy("file").agg(F.count(F.lit(1)).alias("bad_lines")))
+    return (_parsed_lines(spark, path, schema, glob)
+            .filter(F.col(CORRUPT_COLUMN).isNotNull())
+            .groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("bad_lines")))
 
 
 def load_jsonl_inferred(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
