@@ -89,6 +89,9 @@ def top_n_per_group(counts: DataFrame, group: Sequence[str], n: int,
 def row_skills(df: DataFrame, text: str = "snippet_requirement",
                keywords: Sequence[str] = LITERAL_SKILLS, out: str = "skills") -> DataFrame:
     """J3 per row: the array of keywords the text contains (built-in array ops, no UDF)."""
-    low = ascii_lower(text)
-    arr = F.array_compact(F.array(*[F.when(literal_match(low, k), F.lit(k)) for k in keywords]))
-    return df.withColumn(out, arr)
+    # Lower-case once per row in its own projection; the keyword tests then read that column.
+    tmp = "_low_" + out
+    low = df.withColumn(tmp, ascii_lower(text))
+    arr = F.array_compact(F.array(*[F.when(literal_match(F.col(tmp), k), F.lit(k))
+                                    for k in keywords]))
+    return low.withColumn(out, arr).drop(tmp)
