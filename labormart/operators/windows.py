@@ -167,24 +167,31 @@ def trailing_count(df: DataFrame, ts: str = "ts", key: str = "id", size: str = S
                    bucket: str | None = None) -> DataFrame:
     """For every event, the events in [ts - size, ts] (equal timestamps included).
 
-    Exact, and partitioned: time is cut into buckets (default 12 × size); an event within
-    ``size`` of the next bucket's start is also copied there, so every bucket holds all the
-    events its own events look back on. The RANGE frame then runs per bucket and only the
-    original rows are kept.
+    Exact and partitioned, in three steps:
+
+    1. events are counted per distinct timestamp (a partial aggregate: a timestamp shared by
+       a large share of all events is reduced map-side);
+    2. time is cut into buckets (default 12 × size); a timestamp within ``size`` of the next
+       bucket's start is also copied there, so every bucket holds all the timestamps its own
+       ones look back on, and a RANGE frame sums the counts per bucket;
+    3. the per-timestamp result is joined back to the events on the timestamp (AQE splits a
+       skewed timestamp on the event side).
     """
     size_us = _seconds(size) * 1_000_000
     b_us = _seconds(bucket) * 1_000_000 if bucket else 12 * size_us
     if b_us < size_us:
         raise ValueError("bucket must not be shorter than the window")
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = df.select(F.col(key), F.col(ts), t.alias("_t"))
+    per_ts = df.groupBy(F.col(ts).alias("_ts")).agg(F.count(F.lit(1)).alias("_n"))
+    per_ts = per_ts.withColumn("_t", F.unix_micros(F.col("_ts").cast("timestamp")))
     b = F.floor(F.col("_t") / b_us)
     copies = F.when(F.col("_t") >= (b + 1) * b_us - size_us,
                     F.array(F.struct(b.alias("b"), F.lit(True).alias("own")),
                             F.struct((b + 1).alias("b"), F.lit(False).alias("own")))
                     ).otherwise(F.array(F.struct(b.alias("b"), F.lit(True).alias("own"))))
-    spread = base.select("*", F.explode(copies).alias("_x")).select(
-        key, ts, "_t", F.col("_x.b").alias("_b"), F.col("_x.own").alias("_own"))
+    spread = per_ts.select("_ts", "_t", "_n", F.explode(copies).alias("_x")).select(
+        "_ts", "_t", "_n", F.col("_x.b").alias("_b"), F.col("_x.own").alias("_own"))
     w = Window.partitionBy("_b").orderBy("_t").rangeBetween(-size_us, 0)
-    return (spread.withColumn("trailing_count", F.count(F.lit(1)).over(w))
-                  .filter("_own").select(key, ts, "trailing_count"))
+    counts = (spread.withColumn("trailing_count", F.sum("_n").over(w))
+                    .filter("_own").select("_ts", "trailing_count"))
+    return (df.select(key, ts).join(counts, F.col(ts) == F.col("_ts"), "inner")
+              .select(key, ts, F.col("trailing_count").cast("bigint").alias("trailing_count")))

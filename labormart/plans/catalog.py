@@ -337,3 +337,27 @@ QUERIES.update({
     "fan_out": q_fan_out,
     "report_readback": q_report_readback,
 })
+
+
+def q_profile_head(spark, sf):
+    """The first five rows of the clean table (ordered by id so the choice is fixed)."""
+    return PR.head(_clean(spark, sf).orderBy("id"), 5)
+
+
+def q_profile_shape(spark, sf):
+    """Row and column counts of the clean table."""
+    return PR.shape(_clean(spark, sf))
+
+
+def q_quarantine_rows(spark, sf):
+    """V4: invalid records go to a quarantine table with their error text."""
+    _, quarantine = V.split_valid(_validated(spark, sf))
+    return quarantine.select("id", "collected_at", F.col("area.id").alias("area_id"),
+                             V.error_text("errors").alias("error_text"))
+
+
+QUERIES.update({
+    "profile_head": q_profile_head,
+    "profile_shape": q_profile_shape,
+    "quarantine_rows": q_quarantine_rows,
+})

@@ -475,3 +475,12 @@ SELECT event_type AS area_name, count(*) AS count,
 FROM events GROUP BY event_type""",
     "report_readback": ORACLE["window_report"],
 })
+
+
+ORACLE.update({
+    "profile_head": _with(RV, DEDUP, CLEAN) + "SELECT * FROM cl ORDER BY id LIMIT 5",
+    "profile_shape": _with(RV, DEDUP, CLEAN) + "SELECT count(*) AS rows, 9 AS columns FROM cl",
+    "quarantine_rows": _validated("base") + """
+SELECT id, collected_at, area_id, array_to_string(errs, '; ') || '; ' AS error_text
+FROM va WHERE len(errs) > 0""",
+})

@@ -96,6 +96,16 @@ def test_trailing_count_brute_force(spark):
     assert got == want
 
 
+def test_trailing_count_hot_timestamp(spark):
+    base = dt.datetime(2025, 5, 1, 0, 0, 0)
+    offs = [0] * 50 + [10, 10, 200, 301, 301]
+    df = _rows(spark, [(str(i), base + dt.timedelta(seconds=o), "A", 0, 0, None)
+                       for i, o in enumerate(offs)])
+    got = {r.id: r.trailing_count for r in W.trailing_count(df).collect()}
+    want = {str(i): sum(1 for p in offs if o - 300 <= p <= o) for i, o in enumerate(offs)}
+    assert got == want and got["0"] == 50 and got["54"] == 5
+
+
 def test_stream_equals_batch(spark, tmpdir_path):
     base = dt.datetime(2025, 5, 1, 10, 0, 0)
     rows = [(str(i), base + dt.timedelta(seconds=13 * i), ["A", "B", "C"][i % 3], 1000 + i,
