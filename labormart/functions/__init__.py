@@ -48,6 +48,29 @@ def regex_ci(text: str | Column, pattern: str) -> Column:
     return _c(text).rlike("(?iu)" + pattern)
 
 
+# Java's case-insensitive Unicode matching compares toLowerCase(toUpperCase(ch)) per code point.
+# Folded that way, the characters equal to an ASCII letter are the letter in both cases and
+# these four: long s → s, Kelvin sign → k, dotless i → i, dotted capital I → i (checked against
+# ``rlike`` for every code point of the Basic Multilingual Plane in the tests).
+_FOLD_FROM = _UPPER + "\u017f\u212a\u0131\u0130"
+_FOLD_TO = _LOWER + "skii"
+
+
+def unicode_fold(c: str | Column) -> Column:
+    """Text folded so that a literal ASCII substring test equals a ``(?iu)`` regex search."""
+    return F.translate(_c(c), _FOLD_FROM, _FOLD_TO)
+
+
+def literal_regex_prefix(pattern: str) -> str | None:
+    """The literal a pattern reduces to when it is plain letters/digits/spaces, optionally
+    ending in a ``+`` or possessive ``++`` repeat of its last character (``C++``: one or more
+    c, i.e. "contains c"); None when the pattern needs the regex engine."""
+    import re
+
+    m = re.fullmatch(r"([A-Za-z0-9 ]+?)(\+{1,2})?", pattern)
+    return m.group(1) if m else None
+
+
 def band(c: str | Column, bands: Sequence[tuple[int | None, str]]) -> Column:
     """CASE WHEN over ascending upper bounds; the last band takes the rest."""
     x = _c(c)

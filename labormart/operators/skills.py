@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labormart.functions import ascii_lower, regex_ci
+from labormart.functions import ascii_lower, literal_regex_prefix, regex_ci, unicode_fold
 from labormart.schema import LITERAL_SKILLS, REGEX_SKILLS
 
 
@@ -48,8 +48,13 @@ def skill_counts(df: DataFrame, text: str = "snippet_requirement",
         src = df.select(*by, F.col(text).alias("_txt"))
         tests = [F.array_contains("_txt", k) for k in keywords]
     elif mode == "regex":
-        src = df.select(*by, F.col(text).alias("_txt"))
-        tests = [regex_ci("_txt", k) for k in keywords]
+        # Keywords that are plain literals (the usual case) are tested as substrings of the
+        # case-folded text, which is exactly the (?iu) regex result and much cheaper; the
+        # rest go through the regex engine on the original text.
+        lits = [literal_regex_prefix(k) for k in keywords]
+        src = df.select(*by, F.col(text).alias("_raw"), unicode_fold(text).alias("_txt"))
+        tests = [F.col("_txt").contains(lit.lower()) if lit is not None else regex_ci("_raw", k)
+                 for k, lit in zip(keywords, lits)]
     else:
         raise ValueError(f"unknown mode {mode!r}")
     cols = [f"_k{i}" for i in range(len(keywords))]

@@ -44,3 +44,32 @@ def test_row_skills_and_array_mode(spark):
     assert df.collect()[0].skills == ["Docker", "Kubernetes"]
     got = {r.skill: r["count"] for r in skill_counts(df, "skills", mode="array").collect()}
     assert got == {"Docker": 1, "Kubernetes": 1}
+
+
+def test_folded_literal_equals_java_regex_for_every_bmp_char(spark):
+    from pyspark.sql import functions as F
+
+    from labormart.functions import unicode_fold
+
+    cps = [c for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(chr(c),) for c in cps], "t STRING").repartition(4).cache()
+    folded = unicode_fold("t")
+    conds = [F.col("t").rlike("(?iu)" + ch) != folded.contains(ch)
+             for ch in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    any_diff = conds[0]
+    for c in conds[1:]:
+        any_diff = any_diff | c
+    assert df.filter(any_diff).count() == 0
+    df.unpersist()
+
+
+def test_regex_fast_path_matches_regex_engine(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["ſql and PoſtgreSQL", "KUBERNETES on Kafka", "gıt and GİT", "plain c", "ß", "",
+             "Go/Rust/REST"]
+    df = _df(spark, texts)
+    fast = {r.skill: r["count"] for r in regex_skill_counts(df).collect()}
+    slow = df.agg(*[F.count_if(F.col("snippet_requirement").rlike("(?iu)" + k)).alias(k)
+                    for k in REGEX_SKILLS]).first().asDict()
+    assert fast == {k: v for k, v in slow.items() if v > 0}
