@@ -356,7 +356,29 @@ def q_quarantine_rows(spark, sf):
                              V.error_text("errors").alias("error_text"))
 
 
+def q_stream_messages(spark, sf):
+    """S7 → P8/P9 → W7/W9 as one stream: raw records published as JSON messages (a folder
+    stands in for the topic), consumed, and summarised in 7-day windows sliding by a day on
+    the records' collection time."""
+    from labormart.session import scratch_path
+    from labormart.sources.messages import vacancy_messages
+    from labormart.streaming.windows import (
+        consume_messages, event_time, read_report, start_sliding_report,
+    )
+
+    topic = scratch_path(spark, "topic")
+    vacancy_messages(AD.raw_vacancies(spark, sf)).write.mode("overwrite").text(topic)
+    stream = consume_messages(spark.readStream.schema("value STRING").text(topic))
+    out = scratch_path(spark, "stream-messages")
+    q = start_sliding_report(event_time(stream, watermark="7 days"), out,
+                             output_mode="complete", trigger={"availableNow": True},
+                             size="7 days", slide="1 day", area="area", s_from="salary")
+    q.awaitTermination()
+    return read_report(spark, f"{out}/stats", complete_mode=True)
+
+
 QUERIES.update({
+    "stream_messages": q_stream_messages,
     "profile_head": q_profile_head,
     "profile_shape": q_profile_shape,
     "quarantine_rows": q_quarantine_rows,

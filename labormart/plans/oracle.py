@@ -46,7 +46,8 @@ RV = f"""rv AS (
          c.c_name AS employer_name,
          c.c_mktsegment AS snippet_requirement,
          strftime(o.o_orderdate, {ISO}) AS published_at,
-         strftime(l.l_shipdate + to_minutes(l.l_linenumber), {ISO}) AS collected_at
+         strftime(l.l_shipdate + to_minutes(l.l_linenumber), {ISO}) AS collected_at,
+         l.l_shipdate + to_minutes(l.l_linenumber) AS cts
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                   JOIN customer c ON o.o_custkey = c.c_custkey
                   JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
@@ -484,3 +485,18 @@ ORACLE.update({
 SELECT id, collected_at, area_id, array_to_string(errs, '; ') || '; ' AS error_text
 FROM va WHERE len(errs) > 0""",
 })
+
+
+ORACLE.update({
+    "stream_messages": _with(RV) + f""", x AS (
+  SELECT time_bucket(INTERVAL '1 day', cts) - i * INTERVAL '1 day' AS ws, area_name AS area,
+         CASE WHEN has_salary AND sf > 0 THEN sf END AS pos
+  FROM rv, range(7) AS r(i)),
+  ba AS (SELECT ws, area, count(*) AS cnt, sum(pos) AS salary_sum, count(pos) AS salary_n
+         FROM x GROUP BY ws, area)
+SELECT strftime(ws, {ISO}) AS window_start, strftime(ws + INTERVAL '7 days', {ISO}) AS window_end,
+       604800 AS window_sec, CAST(sum(cnt) AS BIGINT) AS total,
+       COALESCE(CAST(sum(salary_sum) AS DOUBLE) / sum(salary_n), 0.0) AS avg_salary_from,
+       arg_min(area, (-cnt, area)) AS top_area, CAST(max(cnt) AS BIGINT) AS top_area_count
+FROM ba GROUP BY ws""",
+})
