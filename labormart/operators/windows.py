@@ -143,7 +143,7 @@ def sliding_stats(df: DataFrame, ts: str = "ts", area: str = "area_name",
 def stats_from_by_area(by_area: DataFrame, window_sec: int) -> DataFrame:
     g = by_area.groupBy("window_start", "window_end").agg(
         F.sum("cnt").alias("total"),
-        (F.sum("salary_sum") / F.sum("salary_n")).alias("_avg"),
+        F.try_divide(F.sum("salary_sum"), F.sum("salary_n")).alias("_avg"),
         F.min_by("area", F.struct((-F.col("cnt")).alias("c"), F.col("area").alias("a"))
                  ).alias("top_area"),
         F.max("cnt").alias("top_area_count"))

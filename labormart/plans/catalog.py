@@ -95,7 +95,18 @@ def q_stage_counts(spark, sf):
 
 
 def q_volume_report(spark, sf):
-    vols = [PR.file_volume(AD.table(spark, sf, t), t) for t in ("orders", "lineitem", "documents")]
+    """The raw records as JSON lines and the clean table as Parquet: bytes on disk per
+    format, ratio, and the 100-bytes-per-row transport estimate for the raw rows."""
+    from labormart.session import scratch_path
+    from labormart.sources.files import load_jsonl, save_jsonl, save_parquet
+
+    jdir, pdir = scratch_path(spark, "vol-jsonl"), scratch_path(spark, "vol-parquet")
+    save_jsonl(AD.raw_vacancies(spark, sf), jdir, max_records_per_file=20000)
+    raw = load_jsonl(spark, jdir, glob="*.json")
+    save_parquet(C.clean(raw), pdir)
+    vols = [PR.file_volume(spark.read.text(jdir).filter(F.col("_metadata.file_name")
+                                                        .endswith(".json")), "jsonl", rows=raw),
+            PR.file_volume(spark.read.parquet(pdir), "parquet")]
     return PR.volume_report(vols)
 
 

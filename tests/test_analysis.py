@@ -209,3 +209,18 @@ def test_timeline_and_area_counts(spark, five_dir):
     assert A.area_counts(df, n=1).first().area_name == "Москва"
     assert A.employers_table(df).columns == ["employer", "vacancies", "avg_salary_from"]
     assert F is not None
+
+
+def test_volume_report(spark, five_dir, tmpdir_path):
+    from labormart.operators.profile import file_volume, volume_report
+
+    raw = load_jsonl(spark, five_dir)
+    pq = os.path.join(tmpdir_path, "p")
+    save_parquet(clean(raw), pq)
+    rep = {r.format: r for r in volume_report([
+        file_volume(spark.read.text(five_dir), "jsonl", rows=raw),
+        file_volume(spark.read.parquet(pq), "parquet")]).collect()}
+    assert rep["jsonl"].files == 1 and rep["jsonl"].rows == 5
+    assert rep["jsonl"].bytes == os.path.getsize(os.path.join(five_dir, "test.jsonl"))
+    assert abs(rep["jsonl"].transport_mb_estimate - 5 * 100 / 1048576) < 1e-12
+    assert min(r.ratio_to_smallest for r in rep.values()) == 1.0
