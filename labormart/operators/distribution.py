@@ -1,17 +1,18 @@
 """Salary distributions: bands, medians, histogram, box summary, top-area rows
 (A4, A5, A13, A14, A16-A18, J1).
 
-Exact medians and quartiles use Spark's ``percentile`` aggregate. Its partial buffer is a map
-value → count, so what a group costs is its number of *distinct* salaries, not its rows, and
-the map-side partial aggregate merges copies before the shuffle. ``approx=True`` swaps in
-``percentile_approx`` (fixed-size sketch) for unbounded value domains.
+Exact medians and quartiles are computed by :func:`rank_values`: counts per (group, value),
+approximate per-group bucket bounds, exact ranking inside the one bucket that holds each
+target rank. A group holding a third of all rows is therefore spread over the cluster by
+value instead of being merged in one task, which is what Spark's ``percentile`` aggregate
+would do (kept as ``method="builtin"``; ``"approx"`` is ``percentile_approx``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labormart.functions import band
@@ -33,42 +34,132 @@ def salary_distribution4(df: DataFrame, s_from: str = "salary_from") -> DataFram
             .withColumnsRenamed({"salary_range": "range", "count": "cnt"}))
 
 
-def _median(x: str, approx: bool):
-    return F.percentile_approx(x, 0.5, 100000) if approx else F.percentile(x, 0.5)
-
-
 def median_by_area(df: DataFrame, area: str = "area_name", s_from: str = "salary_from",
-                   min_count: int = 5, approx: bool = False, with_count: bool = True,
+                   min_count: int = 5, method: str = "ranks", with_count: bool = True,
                    median_name: str = "median_salary") -> DataFrame:
     """Interpolated median of salary > 0 per non-null area, groups with at least
-    ``min_count`` rows, median descending."""
-    g = (df.filter((F.col(s_from) > 0) & F.col(area).isNotNull())
-           .groupBy(area)
-           .agg(_median(s_from, approx).cast("double").alias(median_name),
-                F.count(F.lit(1)).alias("count"))
-           .filter(F.col("count") >= min_count))
+    ``min_count`` rows, median descending.
+
+    ``method``: ``"ranks"`` (exact, distributed: :func:`exact_quantiles`), ``"builtin"``
+    (Spark's exact ``percentile``: one task merges a group's value counts) or ``"approx"``
+    (``percentile_approx``)."""
+    base = df.filter((F.col(s_from) > 0) & F.col(area).isNotNull())
+    if method == "ranks":
+        g = (exact_quantiles(base, [area], s_from, [0.5])
+             .select(area, F.col("q0").alias(median_name), F.col("n").alias("count"))
+             .filter(F.col("count") >= min_count))
+    elif method in ("builtin", "approx"):
+        m = (F.percentile_approx(s_from, 0.5, 100000) if method == "approx"
+             else F.percentile(s_from, 0.5))
+        g = (base.groupBy(area).agg(m.cast("double").alias(median_name),
+                                    F.count(F.lit(1)).alias("count"))
+                 .filter(F.col("count") >= min_count))
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    g = g.select(area, median_name, "count")
     if not with_count:
         g = g.drop("count")
     return g.orderBy(F.col(median_name).desc_nulls_last(), F.col(area).asc_nulls_last())
 
 
+def _join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+             ) -> DataFrame:
+    """Equi-join on ``keys`` where null equals null (a null group is still a group)."""
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"__r_{k}"])
+        cond = c if cond is None else cond & c
+    out = left.join(r, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in keys])
+
+
+def rank_values(df: DataFrame, group: Sequence[str], value: str,
+                targets: Callable[[Column], list[tuple[str, Column]]],
+                buckets: int = 64) -> DataFrame:
+    """Exact values at given ranks inside each group, without sending a group to one task.
+
+    ``targets(n)`` maps the group size to named 1-based ranks. Output: group columns, ``name``,
+    ``k``, ``value`` (the k-th smallest, ties repeated) and ``n`` (the group size).
+
+    1. rows are counted per (group, value): a partial aggregate whose shuffle spreads even a
+       huge group over all reducers by value;
+    2. each group's distinct values are cut into ``buckets`` ranges at approximate quantiles
+       (a fixed-size sketch per group) and the rows per (group, bucket) are summed;
+    3. per group, the at most ``buckets`` bucket sums are gathered into one sorted array
+       (a proven bound); running sums over it locate the bucket of every target rank;
+    4. only the values of those buckets are ranked exactly (a running count per bucket).
+    """
+    g = list(group)
+    pairs = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = pairs.groupBy(*g).agg(F.percentile_approx(value, probs, 10 * buckets).alias("_bounds"))
+    # bucket = number of bounds strictly below the value (0 .. buckets-1)
+    pb = _join_ns(pairs, bounds, g).select(
+        *g, value, "_c", F.size(F.filter("_bounds", lambda b: b < F.col(value))).alias("_bk"))
+    per_bucket = pb.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
+    per_group = per_bucket.groupBy(*g).agg(
+        F.sort_array(F.collect_list(F.struct("_bk", "_bc"))).alias("_b"))
+    # running sums over the (≤ buckets) entries, then the bucket of each target rank
+    idx = F.sequence(F.lit(0), F.size("_b") - 1)
+    cum = F.transform(idx, lambda i: F.aggregate(F.slice("_b", 1, i + 1), F.lit(0).cast("bigint"),
+                                                 lambda acc, x: acc + x["_bc"]))
+    per_group = per_group.select(*g, "_b", cum.alias("_cum")).withColumn(
+        "n", F.element_at("_cum", -1))
+    tg = per_group.select(*g, "_b", "_cum", "n", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), k.cast("bigint").alias("k"))
+        for name, k in targets(F.col("n"))])).alias("_t")).select(*g, "_b", "_cum", "n", "_t.*")
+    pos = F.filter(F.sequence(F.lit(1), F.size("_b")),
+                   lambda j: F.element_at("_cum", j) >= F.col("k"))[0]
+    where = tg.select(*g, "name", "k", "n",
+                      F.element_at("_b", pos)["_bk"].alias("_bk"),
+                      (F.col("k") - (F.element_at("_cum", pos)
+                                     - F.element_at("_b", pos)["_bc"])).alias("_kin"))
+    cand = _join_ns(pb, where.select(*g, "_bk"), g + ["_bk"], "left_semi")
+    wv = Window.partitionBy(*g, "_bk").orderBy(value)
+    cand = cand.withColumn("_cum", F.sum("_c").over(wv.rowsBetween(Window.unboundedPreceding, 0)))
+    hit = _join_ns(cand, where, g + ["_bk"]).filter(
+        (F.col("_cum") >= F.col("_kin")) & (F.col("_cum") - F.col("_c") < F.col("_kin")))
+    return hit.select(*g, "name", "k", F.col(value).alias("value"), "n")
+
+
+def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
+                    buckets: int = 64) -> DataFrame:
+    """Linear-interpolated quantiles (as ``percentile`` / ``percentile_cont``) per group,
+    computed from exact ranks: position p·(n-1), interpolated between its floor and ceiling.
+    Output: group columns, ``n`` and one DOUBLE column ``q<i>`` per probability."""
+    def targets(n):
+        out = []
+        for i, p in enumerate(probs):
+            pos = (n - 1) * p
+            out += [(f"lo{i}", F.floor(pos) + 1), (f"hi{i}", F.ceil(pos) + 1)]
+        return out
+
+    vals = rank_values(df, group, value, targets, buckets)
+    aggs = [F.max(F.when(F.col("name") == nm, F.col("value"))).alias(nm)
+            for i in range(len(probs)) for nm in (f"lo{i}", f"hi{i}")]
+    wide = vals.groupBy(*group).agg(F.max("n").alias("n"), *aggs)
+    cols = []
+    for i, p in enumerate(probs):
+        pos = (F.col("n") - 1) * p
+        frac = pos - F.floor(pos)
+        lo, hi = F.col(f"lo{i}").cast("double"), F.col(f"hi{i}").cast("double")
+        cols.append((lo + frac * (hi - lo)).alias(f"q{i}"))
+    return wide.select(*group, "n", *cols)
+
+
 def median_nearest(df: DataFrame, area: str = "area_name", s_from: str = "salary_from"
                    ) -> DataFrame:
     """Nearest-rank median of salary > 0 per area (null area kept), no minimum count.
 
     The picked rank is ``floor((n - 1) * 0.5 + 0.5) + 1``: the middle value, the upper middle
-    one for even ``n``. Rows are first counted per (area, salary) — a partial aggregate — and
-    the running count is taken over those distinct pairs only.
+    one for even ``n``. Exact, via :func:`rank_values` (no group is ranked in one task).
     """
-    pairs = (df.filter(F.col(s_from) > 0)
-               .groupBy(area, s_from).agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(area).orderBy(s_from)
-    ranked = (pairs
-              .withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_n", F.sum("_c").over(Window.partitionBy(area))))
-    k = F.floor((F.col("_n") - 1) * 0.5 + 0.5) + 1
-    picked = ranked.filter((F.col("_cum") >= k) & (F.col("_cum") - F.col("_c") < k))
-    return (picked.select(area, F.col(s_from).cast("double").alias("median"))
+    pos = df.filter(F.col(s_from) > 0)
+    picked = rank_values(pos, [area], s_from,
+                         lambda n: [("median", F.floor((n - 1) * 0.5 + 0.5) + 1)])
+    return (picked.select(area, F.col("value").cast("double").alias("median"))
                   .orderBy(F.col("median").desc(), F.col(area).asc_nulls_last()))
 
 
@@ -109,21 +200,29 @@ def top_area_rows(df: DataFrame, area: str = "area_name", s_from: str = "salary_
 
 
 def salary_box(df: DataFrame, area: str = "area_name", s_from: str = "salary_from",
-               n: int = 10, approx: bool = False) -> DataFrame:
+               n: int = 10, method: str = "ranks") -> DataFrame:
     """Box summary per top-``n`` area: min, quartiles (linear), max, 1.5·IQR fences and
-    the number of points outside them."""
+    the number of points outside them. ``method`` as in :func:`median_by_area`."""
     rows = top_area_rows(df, area, s_from, n)
-    q = (F.percentile_approx(s_from, [0.25, 0.5, 0.75], 100000) if approx
-         else F.percentile(s_from, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    stats = (rows.groupBy(area)
-                 .agg(F.count(F.lit(1)).alias("count"), F.min(s_from).alias("min"), q.alias("_q"),
-                      F.max(s_from).alias("max"))
-                 .select(area, "count", "min",
-                         F.col("_q")[0].cast("double").alias("q1"),
-                         F.col("_q")[1].cast("double").alias("median"),
-                         F.col("_q")[2].cast("double").alias("q3"), "max")
-                 .withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
-                 .withColumn("upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
+    if method == "ranks":
+        # min and max are ranks 1 and n of the same exact rank selection as the quartiles
+        q = exact_quantiles(rows, [area], s_from, [0.0, 0.25, 0.5, 0.75, 1.0])
+        stats = q.select(area, F.col("n").alias("count"), F.col("q0").cast("bigint").alias("min"),
+                         F.col("q4").cast("bigint").alias("max"), F.col("q1").alias("q1"),
+                         F.col("q2").alias("median"), F.col("q3").alias("q3"))
+    elif method in ("builtin", "approx"):
+        basic = rows.groupBy(area).agg(F.count(F.lit(1)).alias("count"),
+                                       F.min(s_from).alias("min"), F.max(s_from).alias("max"))
+        qa = (F.percentile_approx(s_from, [0.25, 0.5, 0.75], 100000) if method == "approx"
+              else F.percentile(s_from, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+        stats = basic.join(rows.groupBy(area).agg(qa.alias("_q")), area).select(
+            area, "count", "min", "max", F.col("_q")[0].cast("double").alias("q1"),
+            F.col("_q")[1].cast("double").alias("median"), F.col("_q")[2].cast("double").alias("q3"))
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    stats = (stats.select(area, "count", "min", "q1", "median", "q3", "max")
+                  .withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
+                  .withColumn("upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
     # stats has one row per top area (at most n): a bounded broadcast.
     out_cnt = (rows.join(F.broadcast(stats.select(area, "lower_fence", "upper_fence")), area)
                    .groupBy(area)
