@@ -80,8 +80,9 @@ def rank_values(df: DataFrame, group: Sequence[str], value: str,
                 buckets: int = 64) -> DataFrame:
     """Exact values at given ranks inside each group, without sending a group to one task.
 
-    ``targets(n)`` maps the group size to named 1-based ranks. Output: group columns, ``name``,
-    ``k``, ``value`` (the k-th smallest, ties repeated) and ``n`` (the group size).
+    ``targets(n)`` maps the group size to named 1-based ranks. Output: group columns, ``_name``,
+    ``_k``, ``_value`` (the k-th smallest, ties repeated) and ``_n`` (the group size); the
+    leading underscores keep them apart from any group column.
 
     1. rows are counted per (group, value): a partial aggregate whose shuffle spreads even a
        huge group over all reducers by value;
@@ -106,22 +107,22 @@ def rank_values(df: DataFrame, group: Sequence[str], value: str,
     cum = F.transform(idx, lambda i: F.aggregate(F.slice("_b", 1, i + 1), F.lit(0).cast("bigint"),
                                                  lambda acc, x: acc + x["_bc"]))
     per_group = per_group.select(*g, "_b", cum.alias("_cum")).withColumn(
-        "n", F.element_at("_cum", -1))
-    tg = per_group.select(*g, "_b", "_cum", "n", F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), k.cast("bigint").alias("k"))
-        for name, k in targets(F.col("n"))])).alias("_t")).select(*g, "_b", "_cum", "n", "_t.*")
+        "_n", F.element_at("_cum", -1))
+    tg = per_group.select(*g, "_b", "_cum", "_n", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("_name"), k.cast("bigint").alias("_k"))
+        for name, k in targets(F.col("_n"))])).alias("_t")).select(*g, "_b", "_cum", "_n", "_t.*")
     pos = F.filter(F.sequence(F.lit(1), F.size("_b")),
-                   lambda j: F.element_at("_cum", j) >= F.col("k"))[0]
-    where = tg.select(*g, "name", "k", "n",
+                   lambda j: F.element_at("_cum", j) >= F.col("_k"))[0]
+    where = tg.select(*g, "_name", "_k", "_n",
                       F.element_at("_b", pos)["_bk"].alias("_bk"),
-                      (F.col("k") - (F.element_at("_cum", pos)
-                                     - F.element_at("_b", pos)["_bc"])).alias("_kin"))
+                      (F.col("_k") - (F.element_at("_cum", pos)
+                                      - F.element_at("_b", pos)["_bc"])).alias("_kin"))
     cand = _join_ns(pb, where.select(*g, "_bk"), g + ["_bk"], "left_semi")
     wv = Window.partitionBy(*g, "_bk").orderBy(value)
     cand = cand.withColumn("_cum", F.sum("_c").over(wv.rowsBetween(Window.unboundedPreceding, 0)))
     hit = _join_ns(cand, where, g + ["_bk"]).filter(
         (F.col("_cum") >= F.col("_kin")) & (F.col("_cum") - F.col("_c") < F.col("_kin")))
-    return hit.select(*g, "name", "k", F.col(value).alias("value"), "n")
+    return hit.select(*g, "_name", "_k", F.col(value).alias("_value"), "_n")
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
@@ -137,16 +138,16 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequ
         return out
 
     vals = rank_values(df, group, value, targets, buckets)
-    aggs = [F.max(F.when(F.col("name") == nm, F.col("value"))).alias(nm)
+    aggs = [F.max(F.when(F.col("_name") == nm, F.col("_value"))).alias(f"_{nm}")
             for i in range(len(probs)) for nm in (f"lo{i}", f"hi{i}")]
-    wide = vals.groupBy(*group).agg(F.max("n").alias("n"), *aggs)
+    wide = vals.groupBy(*group).agg(F.max("_n").alias("_n"), *aggs)
     cols = []
     for i, p in enumerate(probs):
-        pos = (F.col("n") - 1) * p
+        pos = (F.col("_n") - 1) * p
         frac = pos - F.floor(pos)
-        lo, hi = F.col(f"lo{i}").cast("double"), F.col(f"hi{i}").cast("double")
+        lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
         cols.append((lo + frac * (hi - lo)).alias(f"q{i}"))
-    return wide.select(*group, "n", *cols)
+    return wide.select(*group, F.col("_n").alias("n"), *cols)
 
 
 def median_nearest(df: DataFrame, area: str = "area_name", s_from: str = "salary_from"
@@ -159,7 +160,7 @@ def median_nearest(df: DataFrame, area: str = "area_name", s_from: str = "salary
     pos = df.filter(F.col(s_from) > 0)
     picked = rank_values(pos, [area], s_from,
                          lambda n: [("median", F.floor((n - 1) * 0.5 + 0.5) + 1)])
-    return (picked.select(area, F.col("value").cast("double").alias("median"))
+    return (picked.select(area, F.col("_value").cast("double").alias("median"))
                   .orderBy(F.col("median").desc(), F.col(area).asc_nulls_last()))
 
 
