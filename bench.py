@@ -21,6 +21,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from labormart.operators import aggregates as A  # noqa: E402
 from labormart.operators.clean import clean  # noqa: E402
@@ -108,6 +109,34 @@ def main() -> None:
         q[name] = timed(lambda t=text: run_noop(spark.sql(t)))
     stages_total = round(sum(q.values()), 3)
 
+    # The reference's DataFrame-vs-SQL comparison, both forms here on the Parquet table.
+    from labormart.operators import distribution as D
+
+    pq = spark.table("bench_vacancies")
+    compare = {
+        "df_group_count": A.group_count(pq, keep_null=True),
+        "sql_group_count": spark.sql("""SELECT area_name, COUNT(*) AS count FROM bench_vacancies
+            WHERE area_name IS NOT NULL GROUP BY area_name ORDER BY count DESC"""),
+        "df_salary_stats": A.salary_stats_by_area(pq, keep_null=True),
+        "sql_salary_stats": spark.sql("""SELECT area_name, AVG(salary_from) AS avg,
+            MIN(salary_from) AS min, MAX(salary_from) AS max FROM bench_vacancies
+            WHERE salary_from > 0 AND area_name IS NOT NULL GROUP BY area_name ORDER BY avg DESC"""),
+        "df_median_nearest": D.median_nearest(pq),
+        "df_median_cont_min3": D.median_by_area(pq, min_count=3),
+    }
+    for name, df in compare.items():
+        q[name] = timed(lambda d=df: run_noop(d))
+
+    # Volume figures: JSONL folder, Parquet folder, ratio, 100 bytes per raw row.
+    from labormart.operators.profile import file_volume
+
+    vj = file_volume(spark.read.text(jsonl_dir).filter(
+        F.col("_metadata.file_name").endswith(".json")), "jsonl", rows=raw).first()
+    vp = file_volume(spark.read.parquet(parquet_dir), "parquet").first()
+    volume = {"jsonl_mb": round(vj.mb, 3), "parquet_mb": round(vp.mb, 3),
+              "jsonl_to_parquet": round(vj.bytes / vp.bytes, 1),
+              "transport_estimate_mb": round(vj.transport_mb_estimate, 3)}
+
     for name in CATALOG:
         df = QUERIES[name](spark, sf_dir)
         q[f"q_{name}"] = timed(lambda d=df: run_noop(d))
@@ -119,7 +148,9 @@ def main() -> None:
         "queries": q,
         "sf": sf,
         "rows": rows,
+        "volume": volume,
         "cpus": cpus,
+        "driver_memory": spark.sparkContext.getConf().get("spark.driver.memory", "default"),
         "runs": RUNS,
         "spark": spark.version,
     }))

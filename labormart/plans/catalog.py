@@ -111,8 +111,8 @@ def q_volume_report(spark, sf):
 
 
 def q_validation_summary(spark, sf):
-    """V5: per collection shard (area id, query): records and valid records. The driver rows
-    are spread over the shard list by area id."""
+    """V5: per collection shard (query): records and valid records. The driver rows are
+    spread over the six shards by id (id mod 6 + 1)."""
     shards = spark.createDataFrame([(s[0], s[1], s[3]) for s in SHARDS],
                                    "shard_id INT, shard_area_id STRING, query STRING")
     v = _validated(spark, sf)
