@@ -242,8 +242,9 @@ def q_message_decode(spark, sf):
 
 
 def q_page_unwrap(spark, sf):
-    """Records packed into page envelopes (the lines of one order form one page, at most
-    100 items as in a search page), serialised, then unwrapped to one row per item."""
+    """Records packed into page envelopes, serialised, then unwrapped to one row per item.
+    A page holds the lines of one order: at most 7 items, a bound the generator of lineitem
+    guarantees (a search page holds at most 100)."""
     from labormart.sources.messages import unwrap_pages
 
     raw = AD.raw_vacancies(spark, sf).withColumn("_line", F.col("collected_at"))
