@@ -24,7 +24,12 @@ def _top(df: DataFrame, measure: str, name: str, n: int | None, ascending: bool
 
 def aggregate_by_area(df: DataFrame, area: str = "area_name", s_from: str = "salary_from",
                       s_to: str = "salary_to") -> DataFrame:
-    """A1: per area (null area kept) count and salary figures over values > 0 only."""
+    """A1: per area (null area kept) count and salary figures over values > 0 only. Without
+    an area column the result is an empty table."""
+    if area not in df.columns:
+        return df.sparkSession.createDataFrame(
+            [], f"`{area}` STRING, count BIGINT, avg_salary_from DOUBLE, avg_salary_to DOUBLE, "
+                "min_salary BIGINT, max_salary BIGINT")
     g = df.groupBy(area).agg(
         F.count(F.lit(1)).alias("count"),
         F.avg(positive_or_null(s_from)).alias("avg_salary_from"),
@@ -37,7 +42,11 @@ def aggregate_by_area(df: DataFrame, area: str = "area_name", s_from: str = "sal
 
 def aggregate_by_employer(df: DataFrame, employer: str = "employer_name",
                           s_from: str = "salary_from", n: int = 20) -> DataFrame:
-    """A2: top ``n`` employers by vacancy count with the average salary > 0."""
+    """A2: top ``n`` employers by vacancy count with the average salary > 0 (an empty table
+    without an employer column)."""
+    if employer not in df.columns:
+        return df.sparkSession.createDataFrame(
+            [], f"`{employer}` STRING, vacancy_count BIGINT, avg_salary DOUBLE")
     g = df.groupBy(employer).agg(
         F.count(F.lit(1)).alias("vacancy_count"),
         F.avg(positive_or_null(s_from)).alias("avg_salary"),

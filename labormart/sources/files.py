@@ -17,12 +17,12 @@ def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType, glob: st
     """The matching files read by the JSON source with ``schema`` plus the corrupt-record text
     (PERMISSIVE mode) and the file path of each line."""
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    # "dir/*.jsonl" is expanded by the file system glob: files directly in the folder only,
+    # never files of sub-folders (which a directory read would list too).
     return (spark.read.schema(full)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-            .option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "false")
-            .json(path)
+            .json(f"{path.rstrip('/')}/{glob}")
             .withColumn("_file", F.col("_metadata.file_path")))
 
 

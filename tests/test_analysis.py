@@ -73,6 +73,20 @@ def test_bad_file_is_dropped_whole(spark, tmpdir_path):
     assert len(bf) == 1 and bf[0].file.endswith("bad.jsonl") and bf[0].bad_lines == 1
 
 
+def test_only_top_level_jsonl_files(spark, tmpdir_path):
+    write_jsonl(tmpdir_path, "top.jsonl", FIVE[:2])
+    sub = os.path.join(tmpdir_path, "sub")
+    os.makedirs(sub)
+    write_jsonl(sub, "deeper.jsonl", FIVE[2:])
+    assert load_jsonl(spark, tmpdir_path).count() == 2
+
+
+def test_aggregates_without_columns(spark):
+    df = spark.createDataFrame([("1",)], "id STRING")
+    assert A.aggregate_by_area(df).count() == 0
+    assert A.aggregate_by_employer(df).count() == 0
+
+
 def test_lenient_salary_cast(spark, tmpdir_path):
     recs = [make_vacancy(str(i), "Developer", "A", "1", None, None, "E") for i in range(5)]
     recs[0]["salary"] = {"from": 1.5e5, "to": "200000"}     # float and text
@@ -224,3 +238,12 @@ def test_volume_report(spark, five_dir, tmpdir_path):
     assert rep["jsonl"].bytes == os.path.getsize(os.path.join(five_dir, "test.jsonl"))
     assert abs(rep["jsonl"].transport_mb_estimate - 5 * 100 / 1048576) < 1e-12
     assert min(r.ratio_to_smallest for r in rep.values()) == 1.0
+
+
+def test_observed_stage_rows(spark, five_dir):
+    from labormart.operators.profile import observe_rows
+
+    raw, obs_in = observe_rows(load_jsonl(spark, five_dir), "loaded")
+    out, obs_out = observe_rows(clean(raw), "cleaned")
+    out.write.format("noop").mode("overwrite").save()   # one action runs both counters
+    assert obs_in.get["rows"] == 5 and obs_out.get["rows"] == 4
