@@ -154,6 +154,27 @@ def test_stream_append_mode_then_flush_tail(spark, tmpdir_path):
     assert got == want
 
 
+def test_stream_sliding_panes_append(spark, tmpdir_path):
+    base = dt.datetime(2025, 5, 1, 10, 0, 0)
+    rows = [(str(i), base + dt.timedelta(seconds=7 * i), ["A", "B"][i % 2], 100 * (i % 4), 0, None)
+            for i in range(200)]
+    src = os.path.join(tmpdir_path, "src")
+    _rows(spark, rows).write.parquet(src)
+    stream = spark.readStream.schema(SCHEMA).parquet(src)
+    out = os.path.join(tmpdir_path, "sl")
+    q = SW.start_sliding_report(SW.event_time(stream, watermark="0 seconds"), out,
+                                checkpoint=os.path.join(tmpdir_path, "ck"),
+                                trigger={"availableNow": True})   # append → panes
+    q.awaitTermination()
+    got = {r.window_start: tuple(r) for r in SW.read_report(spark, out + "/stats").collect()}
+    want = {r.window_start: tuple(r) for r in W.sliding_stats(_rows(spark, rows)).collect()}
+    last = max(r[1] for r in rows)
+    finished = {k for k, v in want.items() if v[1] <= last.strftime("%Y-%m-%dT%H:%M:%SZ")}
+    assert got and set(got) <= set(want)
+    assert {k: want[k] for k in got} == got
+    assert set(got) == finished  # every window that ended by the last event, no other
+
+
 def test_jsonl_stream_sink(spark, tmpdir_path):
     base = dt.datetime(2025, 5, 1, 10, 0, 0)
     rows = [(str(i), base, "A", 1, 1, None) for i in range(120)]
