@@ -247,3 +247,18 @@ def test_observed_stage_rows(spark, five_dir):
     out, obs_out = observe_rows(clean(raw), "cleaned")
     out.write.format("noop").mode("overwrite").save()   # one action runs both counters
     assert obs_in.get["rows"] == 5 and obs_out.get["rows"] == 4
+
+
+def test_parquet_partition_pruning_and_pushdown(spark, five_dir, tmpdir_path):
+    df = clean(load_jsonl(spark, five_dir)).withColumn("published_date",
+                                                       F.substring("published_at", 1, 10))
+    path = os.path.join(tmpdir_path, "by_day")
+    save_parquet(df, path, partition_by=["published_date"])
+    q = (spark.read.parquet(path)
+         .filter((F.col("published_date") == "2025-05-01") & (F.col("salary_from") > 0))
+         .select("area_name", "salary_from"))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(published_date" in plan
+    assert "PushedFilters: [IsNotNull(salary_from), GreaterThan(salary_from,0)]" in plan
+    assert "ReadSchema: struct<salary_from:bigint,area_name:string>" in plan
+    assert q.count() == 3
