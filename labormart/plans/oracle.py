@@ -52,14 +52,24 @@ RV = f"""rv AS (
                   JOIN customer c ON o.o_custkey = c.c_custkey
                   JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
+# "First" copy of an id: collected_at, then the other columns in schema order, nulls first
+# (the library's rule). For the raw records, the name breaks the ties that matter here.
 DEDUP = """dd AS (
-  SELECT * FROM rv QUALIFY row_number() OVER (PARTITION BY id ORDER BY collected_at) = 1)"""
+  SELECT * FROM rv QUALIFY row_number() OVER (
+    PARTITION BY id ORDER BY collected_at NULLS FIRST, name NULLS FIRST) = 1)"""
 
+# Cleaning flattens and casts before de-duplicating, so the tie order uses the cast values.
 CLEAN = """cl AS (
-  SELECT id, name, published_at, collected_at,
-         COALESCE(sf, 0) AS salary_from, COALESCE(st, 0) AS salary_to,
-         area_name, employer_name, snippet_requirement
-  FROM dd WHERE name IS NOT NULL AND length(name) >= 3)"""
+  SELECT * FROM (
+    SELECT id, name, published_at, collected_at,
+           COALESCE(sf, 0) AS salary_from, COALESCE(st, 0) AS salary_to,
+           area_name, employer_name, snippet_requirement
+    FROM rv)
+  QUALIFY row_number() OVER (
+    PARTITION BY id ORDER BY collected_at NULLS FIRST, name NULLS FIRST,
+      published_at NULLS FIRST, salary_from NULLS FIRST, salary_to NULLS FIRST,
+      area_name NULLS FIRST, employer_name NULLS FIRST, snippet_requirement NULLS FIRST) = 1
+     AND name IS NOT NULL AND length(name) >= 3)"""
 
 TV = """tv AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, lang AS area_name, source AS employer_name,
