@@ -88,8 +88,8 @@ def rank_values(df: DataFrame, group: Sequence[str], value: str,
        huge group over all reducers by value;
     2. each group's distinct values are cut into ``buckets`` ranges at approximate quantiles
        (a fixed-size sketch per group) and the rows per (group, bucket) are summed;
-    3. per group, the at most ``buckets`` bucket sums are gathered into one sorted array
-       (a proven bound); running sums over it locate the bucket of every target rank;
+    3. per group, the ``buckets`` bucket sums form one array (a fixed size), and running sums
+       over it locate the bucket of every target rank;
     4. only the values of those buckets are ranked exactly (a running count per bucket).
     """
     g = list(group)
@@ -99,9 +99,11 @@ def rank_values(df: DataFrame, group: Sequence[str], value: str,
     # bucket = number of bounds strictly below the value (0 .. buckets-1)
     pb = _join_ns(pairs, bounds, g).select(
         *g, value, "_c", F.size(F.filter("_bounds", lambda b: b < F.col(value))).alias("_bk"))
-    per_bucket = pb.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
-    per_group = per_bucket.groupBy(*g).agg(
-        F.sort_array(F.collect_list(F.struct("_bk", "_bc"))).alias("_b"))
+    # rows per bucket, as one array of ``buckets`` sums per group (one partial aggregate)
+    sums = [F.coalesce(F.sum(F.when(F.col("_bk") == i, F.col("_c"))), F.lit(0)).cast("bigint")
+            for i in range(buckets)]
+    per_group = pb.groupBy(*g).agg(F.array(*[
+        F.struct(F.lit(i).alias("_bk"), c.alias("_bc")) for i, c in enumerate(sums)]).alias("_b"))
     # running sums over the (≤ buckets) entries, then the bucket of each target rank
     idx = F.sequence(F.lit(0), F.size("_b") - 1)
     cum = F.transform(idx, lambda i: F.aggregate(F.slice("_b", 1, i + 1), F.lit(0).cast("bigint"),
