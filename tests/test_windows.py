@@ -175,6 +175,14 @@ def test_stream_sliding_panes_append(spark, tmpdir_path):
     assert set(got) == finished  # every window that ended by the last event, no other
 
 
+def test_flush_tail_without_emitted_windows(spark, tmpdir_path):
+    rows = [("1", T0, "A", 1, 1, None), ("2", T0, "B", 1, 1, None)]
+    out = os.path.join(tmpdir_path, "nothing-yet")
+    tail = SW.flush_tail(_rows(spark, rows), out)
+    assert tail.count() == 2
+    assert SW.read_report(spark, out).count() == 2
+
+
 def test_jsonl_stream_sink(spark, tmpdir_path):
     base = dt.datetime(2025, 5, 1, 10, 0, 0)
     rows = [(str(i), base, "A", 1, 1, None) for i in range(120)]
