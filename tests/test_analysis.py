@@ -262,3 +262,25 @@ def test_parquet_partition_pruning_and_pushdown(spark, five_dir, tmpdir_path):
     assert "PushedFilters: [IsNotNull(salary_from), GreaterThan(salary_from,0)]" in plan
     assert "ReadSchema: struct<salary_from:bigint,area_name:string>" in plan
     assert q.count() == 3
+
+
+def test_dataframe_and_sql_forms_agree_without_null_areas(spark):
+    rows = [(f"A{i % 4}", (i * 37) % 500 * 100) for i in range(203)]
+    df = spark.createDataFrame(rows, "area_name STRING, salary_from BIGINT")
+    df.createOrReplaceTempView("parity_vac")
+    gc_df = {tuple(r) for r in A.group_count(df, keep_null=True).collect()}
+    gc_sql = {tuple(r) for r in spark.sql("""SELECT area_name, COUNT(*) AS count FROM parity_vac
+        WHERE area_name IS NOT NULL GROUP BY area_name""").collect()}
+    assert gc_df == gc_sql
+    st_df = {tuple(r) for r in A.salary_stats_by_area(df, keep_null=True).collect()}
+    st_sql = {tuple(r) for r in spark.sql("""SELECT area_name, AVG(salary_from) AS avg,
+        MIN(salary_from) AS min, MAX(salary_from) AS max FROM parity_vac
+        WHERE salary_from > 0 AND area_name IS NOT NULL GROUP BY area_name""").collect()}
+    assert st_df == st_sql
+    med_df = {r.area_name: r.median for r in D.median_by_area(df, min_count=3, with_count=False,
+                                                             median_name="median").collect()}
+    med_sql = {r.area_name: r.median for r in spark.sql("""SELECT area_name,
+        PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY salary_from) AS median FROM parity_vac
+        WHERE salary_from > 0 AND area_name IS NOT NULL GROUP BY area_name
+        HAVING COUNT(*) >= 3""").collect()}
+    assert med_df == med_sql
