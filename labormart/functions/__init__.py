@@ -19,6 +19,13 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def drop_nulls(arr: Column, element_type: str = "string") -> Column:
+    """The array without its nulls, order kept. ``array_except`` with a one-null array has
+    generated code (``array_compact`` runs as an interpreted lambda filter); it also removes
+    duplicates, so use it on arrays whose non-null elements are distinct."""
+    return F.array_except(arr, F.array(F.lit(None).cast(element_type)))
+
+
 def lenient_bigint(c: str | Column, default: int | None = 0) -> Column:
     """Non-strict cast to a 64-bit integer; anything that does not parse becomes ``default``.
 

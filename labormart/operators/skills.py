@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labormart.functions import ascii_lower, literal_regex_prefix, regex_ci, unicode_fold
+from labormart.functions import (
+    ascii_lower, drop_nulls, literal_regex_prefix, regex_ci, unicode_fold,
+)
 from labormart.schema import LITERAL_SKILLS, REGEX_SKILLS
 
 
@@ -97,6 +99,6 @@ def row_skills(df: DataFrame, text: str = "snippet_requirement",
     # Lower-case once per row in its own projection; the keyword tests then read that column.
     tmp = "_low_" + out
     low = df.withColumn(tmp, ascii_lower(text))
-    arr = F.array_compact(F.array(*[F.when(literal_match(F.col(tmp), k), F.lit(k))
-                                    for k in keywords]))
+    arr = drop_nulls(F.array(*[F.when(literal_match(F.col(tmp), k), F.lit(k))
+                               for k in keywords]))
     return low.withColumn(out, arr).drop(tmp)
