@@ -148,6 +148,7 @@ def main() -> None:
         "queries": q,
         "sf": sf,
         "rows": rows,
+        "records_per_sec": round(rows["load_jsonl"] / stages_total) if stages_total else None,
         "volume": volume,
         "cpus": cpus,
         "driver_memory": spark.sparkContext.getConf().get("spark.driver.memory", "default"),
