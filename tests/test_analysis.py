@@ -247,6 +247,11 @@ def test_observed_stage_rows(spark, five_dir):
     out, obs_out = observe_rows(clean(raw), "cleaned")
     out.write.format("noop").mode("overwrite").save()   # one action runs both counters
     assert obs_in.get["rows"] == 5 and obs_out.get["rows"] == 4
+    from labormart.operators.profile import observed_stages
+
+    table = observed_stages(spark, [("load", obs_in), ("clean", obs_out)]).collect()
+    assert [(r.stage, r.rows_in, r.rows_out, r.removed) for r in table] == [
+        ("load", None, 5, None), ("clean", 5, 4, 1)]
 
 
 def test_parquet_partition_pruning_and_pushdown(spark, five_dir, tmpdir_path):
