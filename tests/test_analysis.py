@@ -289,3 +289,12 @@ def test_dataframe_and_sql_forms_agree_without_null_areas(spark):
         WHERE salary_from > 0 AND area_name IS NOT NULL GROUP BY area_name
         HAVING COUNT(*) >= 3""").collect()}
     assert med_df == med_sql
+
+
+def test_all_salaries_null_keeps_columns(spark, tmpdir_path):
+    write_jsonl(tmpdir_path, "n.jsonl", [make_vacancy(str(i), "Developer", "A", "1", None, None, "E")
+                                         for i in range(3)])
+    df = clean(load_jsonl(spark, tmpdir_path))
+    assert {"salary_from", "salary_to"} <= set(df.columns)
+    r = A.aggregate_by_area(df).first()
+    assert (r["count"], r.avg_salary_from, r.max_salary) == (3, None, None)

@@ -196,3 +196,19 @@ def test_jsonl_stream_sink(spark, tmpdir_path):
     files = [f for f in os.listdir(out) if f.endswith(".json")]
     assert len(files) == 3  # 120 rows, at most 50 per file
     assert spark.read.json(out).count() == 120
+
+
+def test_window_report_fixture_cases(spark):
+    # one window: 42 rows, Москва 30 and Санкт-Петербург 12, no skills → 2 rows
+    rows = [(str(i), T0, "Москва" if i < 30 else "Санкт-Петербург", 0, 0, None) for i in range(42)]
+    rep = W.window_report(_rows(spark, rows)).collect()
+    assert len(rep) == 2
+    assert {(r.area, r.area_count, r.total_count, r.top_skill, r.skill_count) for r in rep} == {
+        ("Москва", 30, 42, "", 0), ("Санкт-Петербург", 12, 42, "", 0)}
+    # three windows with 10, 20, 30 rows of one area each → 3 rows
+    rows = [(f"{w}-{i}", T0 + dt.timedelta(minutes=w), f"A{w}", 0, 0, None)
+            for w, n in enumerate((10, 20, 30)) for i in range(n)]
+    rep = W.window_report(_rows(spark, rows)).collect()
+    assert sorted((r.area, r.total_count) for r in rep) == [("A0", 10), ("A1", 20), ("A2", 30)]
+    # no rows → no window
+    assert W.window_report(_rows(spark, [])).count() == 0
