@@ -2,11 +2,14 @@
 
     python -m labormart.jobs analyze --data-dir DIR --out OUT
     python -m labormart.jobs consume --topic-dir DIR --out OUT [--window 300 --every 10]
+    python -m labormart.jobs collect --pages-dir DIR --files-out F --topic-dir T --report-out R
 
 ``analyze`` loads the JSONL folder, cleans it, writes the clean table as Parquet and every report
 table (profile, aggregates, SQL reports, distributions, skills, timeline) as Parquet folders
 under ``OUT``; report tables are small, the clean table is written partitioned by day.
 ``consume`` runs the sliding-window report over a message folder (or Kafka) until stopped.
+``collect`` turns stored result pages into validated records fanned out to JSONL files, the
+topic and the tumbling window report, until stopped.
 """
 
 from __future__ import annotations
@@ -82,6 +85,36 @@ def consume(spark: SparkSession, topic_dir: str | None, out: str, window_sec: in
                                 area="area", s_from="salary")
 
 
+def collect(spark: SparkSession, pages_dir: str, files_out: str, topic_dir: str | None,
+            report_out: str, window: str = "60 seconds", watermark: str = "1 minute",
+            trigger: dict | None = None, kafka: dict[str, str] | None = None,
+            checkpoint_root: str | None = None) -> list:
+    """The collector as two streaming queries over a folder of stored result pages (one JSON
+    page envelope per line): pages → items stamped with the collection time → validation
+    (invalid items dropped) → (1) JSONL files + topic messages, (2) the tumbling window
+    report. Returns the started queries."""
+    from labormart.operators.clean import cast_salaries, flatten
+    from labormart.operators.validate import split_valid, validate_raw
+    from labormart.session import scratch_path
+    from labormart.sources.messages import unwrap_pages
+    from labormart.streaming.windows import event_time, start_fan_out, start_tumbling_report
+
+    def valid_items():
+        pages = spark.readStream.schema("value STRING").text(pages_dir)
+        valid, _ = split_valid(validate_raw(unwrap_pages(pages)))
+        return valid
+
+    ck = (checkpoint_root.rstrip("/") + "/") if checkpoint_root else None
+    q_files = start_fan_out(valid_items(), files_out, topic_dir, trigger=trigger, kafka=kafka,
+                            checkpoint=(ck + "fanout") if ck else None)
+    flat = cast_salaries(flatten(valid_items())).withColumn("ts", F.to_timestamp("collected_at"))
+    q_report = start_tumbling_report(event_time(flat, watermark=watermark), report_out,
+                                     trigger=trigger, size=window,
+                                     checkpoint=(ck + "report") if ck else
+                                     scratch_path(spark, "collect-report-ckpt"))
+    return [q_files, q_report]
+
+
 def main(argv: list[str] | None = None) -> int:
     from labormart.session import get_session
 
@@ -97,8 +130,19 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--out", required=True)
     c.add_argument("--window", type=int, default=300)
     c.add_argument("--every", type=int, default=10)
+    k = sub.add_parser("collect")
+    k.add_argument("--pages-dir", required=True)
+    k.add_argument("--files-out", required=True)
+    k.add_argument("--topic-dir")
+    k.add_argument("--report-out", required=True)
+    k.add_argument("--window", type=int, default=60)
     args = p.parse_args(argv)
     spark = get_session()
+    if args.cmd == "collect":
+        qs = collect(spark, args.pages_dir, args.files_out, args.topic_dir, args.report_out,
+                     window=f"{args.window} seconds")
+        spark.streams.awaitAnyTermination()
+        return 0 if all(q.exception() is None for q in qs) else 1
     if args.cmd == "analyze":
         for name, path in analyze(spark, args.data_dir, args.out).items():
             print(f"{name}\t{path}")

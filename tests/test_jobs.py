@@ -33,3 +33,33 @@ def test_consume_starts_and_processes(spark, tmpdir_path):
         assert sum(p["numInputRows"] for p in q.recentProgress) == 30
     finally:
         q.stop()
+
+
+def test_collect_pages_to_files_topic_and_report(spark, tmpdir_path):
+    import json
+
+    from conftest import make_vacancy
+    from labormart.jobs import collect
+    from labormart.streaming.windows import read_report
+
+    items = [make_vacancy("1", "Go Developer", "Москва", "1", 150000, 250000, "E"),
+             make_vacancy("2", "Python Engineer", "Москва", "1", 120000, 200000, "E"),
+             make_vacancy("3", "Go", "СПб", "2", 100000, 180000, "E"),          # invalid name
+             make_vacancy("4", "Backend Dev", "СПб", "", 100000, 180000, "E")]   # no area id
+    pages = os.path.join(tmpdir_path, "pages")
+    os.makedirs(pages)
+    with open(os.path.join(pages, "p.txt"), "w", encoding="utf-8") as f:
+        f.write(json.dumps({"items": items, "found": 4, "pages": 1, "page": 0},
+                           ensure_ascii=False) + "\n")
+    out = {k: os.path.join(tmpdir_path, k) for k in ("files", "topic", "report", "ck")}
+    qs = collect(spark, pages, out["files"], out["topic"], out["report"],
+                 trigger={"availableNow": True}, watermark="0 seconds",
+                 checkpoint_root=out["ck"])
+    for q in qs:
+        q.awaitTermination()
+    assert spark.read.json(out["files"]).count() == 2
+    assert spark.read.text(out["topic"]).count() == 2
+    # the window of the collection time is still open when the input ends (append mode);
+    # flush_tail would emit it. Nothing wrong was emitted meanwhile:
+    if os.path.exists(out["report"]):
+        assert all(r.total_count <= 2 for r in read_report(spark, out["report"]).collect())
