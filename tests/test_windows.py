@@ -212,3 +212,27 @@ def test_window_report_fixture_cases(spark):
     assert sorted((r.area, r.total_count) for r in rep) == [("A0", 10), ("A1", 20), ("A2", 30)]
     # no rows → no window
     assert W.window_report(_rows(spark, [])).count() == 0
+
+
+def test_stream_restart_from_checkpoint_no_duplicates(spark, tmpdir_path):
+    base = dt.datetime(2025, 5, 1, 10, 0, 0)
+    src = os.path.join(tmpdir_path, "src")
+    ck = os.path.join(tmpdir_path, "ck")
+    files, msgs = os.path.join(tmpdir_path, "files"), os.path.join(tmpdir_path, "msgs")
+
+    def add(part, n):
+        _rows(spark, [(f"{part}-{i}", base, "A", 1, 1, None) for i in range(n)]
+              ).write.mode("append").parquet(src)
+
+    def run():
+        stream = spark.readStream.schema(SCHEMA).parquet(src)
+        q = SW.start_fan_out(stream, files, msgs, checkpoint=ck, trigger={"availableNow": True})
+        q.awaitTermination()
+
+    add("a", 5)
+    run()                       # first run: 5 records
+    add("b", 7)
+    run()                       # restart from the checkpoint: only the 7 new ones
+    got = spark.read.json(files)
+    assert got.count() == 12 and got.select("id").distinct().count() == 12
+    assert spark.read.text(msgs).count() == 12
