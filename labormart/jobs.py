@@ -3,6 +3,7 @@
     python -m labormart.jobs analyze --data-dir DIR --out OUT
     python -m labormart.jobs consume --topic-dir DIR --out OUT [--window 300 --every 10]
     python -m labormart.jobs collect --pages-dir DIR --files-out F --topic-dir T --report-out R
+    python -m labormart.jobs dashboard --data-dir DIR --out OUT [--every 30]
 
 ``analyze`` loads the JSONL folder, cleans it, writes the clean table as Parquet and every report
 table (profile, aggregates, SQL reports, distributions, skills, timeline) as Parquet folders
@@ -70,6 +71,43 @@ def analyze(spark: SparkSession, data_dir: str, out: str) -> dict[str, str]:
     return written
 
 
+def dashboard_tables(vac: DataFrame) -> dict[str, DataFrame]:
+    """The tables behind the dashboard, from the clean table (a snapshot)."""
+    from labormart.operators.clean import available_columns
+
+    return {
+        "headline": A.headline(vac),
+        "area_counts": A.area_counts(vac, n=15),
+        "employers": A.employers_table(vac, n=10),
+        "salary_histogram": D.salary_histogram(vac, bins=25),
+        "salary_box": D.salary_box(vac, n=8),
+        "skills": K.regex_skill_counts(vac),
+        "raw_data": available_columns(vac),
+    }
+
+
+def dashboard(spark: SparkSession, data_dir: str, out: str, every_sec: int | None = None,
+              rounds: int | None = None) -> dict[str, str]:
+    """Write the dashboard tables from a cached snapshot of the folder; with ``every_sec``,
+    drop the snapshot and rewrite them every ``every_sec`` seconds (``rounds`` times, or
+    until stopped)."""
+    import time
+
+    from labormart.sources.files import Snapshot
+
+    snap, written, n = Snapshot(spark, data_dir), {}, 0
+    while True:
+        vac = snap.refresh() if n else snap.get()
+        for name, df in dashboard_tables(vac).items():
+            path = f"{out.rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            written[name] = path
+        n += 1
+        if not every_sec or (rounds is not None and n >= rounds):
+            return written
+        time.sleep(every_sec)
+
+
 def consume(spark: SparkSession, topic_dir: str | None, out: str, window_sec: int = 300,
             every_sec: int = 10, kafka: dict[str, str] | None = None, watermark: str = "1 minute"):
     """Start the sliding-window consumer (decode → fallbacks → windows); returns the query."""
@@ -136,8 +174,16 @@ def main(argv: list[str] | None = None) -> int:
     k.add_argument("--topic-dir")
     k.add_argument("--report-out", required=True)
     k.add_argument("--window", type=int, default=60)
+    d = sub.add_parser("dashboard")
+    d.add_argument("--data-dir", required=True)
+    d.add_argument("--out", required=True)
+    d.add_argument("--every", type=int, default=None)
     args = p.parse_args(argv)
     spark = get_session()
+    if args.cmd == "dashboard":
+        for name, path in dashboard(spark, args.data_dir, args.out, args.every).items():
+            print(f"{name}\t{path}")
+        return 0
     if args.cmd == "collect":
         qs = collect(spark, args.pages_dir, args.files_out, args.topic_dir, args.report_out,
                      window=f"{args.window} seconds")

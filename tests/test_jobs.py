@@ -63,3 +63,15 @@ def test_collect_pages_to_files_topic_and_report(spark, tmpdir_path):
     # flush_tail would emit it. Nothing wrong was emitted meanwhile:
     if os.path.exists(out["report"]):
         assert all(r.total_count <= 2 for r in read_report(spark, out["report"]).collect())
+
+
+def test_dashboard_tables(spark, five_dir, tmpdir_path):
+    from labormart.jobs import dashboard
+
+    written = dashboard(spark, five_dir, os.path.join(tmpdir_path, "dash"), every_sec=1, rounds=2)
+    head = spark.read.parquet(written["headline"]).first()
+    assert (head.vacancies, head.areas, head.employers) == (4, 3, 3)
+    skills = {r.skill: r["count"] for r in spark.read.parquet(written["skills"]).collect()}
+    assert skills["Python"] == 4
+    assert skills["C++"] == 4  # unescaped C++ means "contains c": "Docker" has one
+    assert spark.read.parquet(written["raw_data"]).columns[:2] == ["id", "name"]
