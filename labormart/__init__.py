@@ -6,7 +6,8 @@ Sub-packages:
 * ``sources``    JSONL / Parquet / message / page readers and the sinks
 * ``operators``  cleaning, validation, aggregates, distributions, skills, profiles, windows
 * ``plans``      adapters from the driver tables and the registered query catalog
-* ``streaming``  Structured Streaming forms of the window operators
+* ``streaming``  Structured Streaming forms of the window operators, sinks and fan-out
+* ``jobs``       analyze / consume / collect / dashboard entry points (``python -m labormart.jobs``)
 """
 
 from labormart.session import checkpoint_dir, get_session
