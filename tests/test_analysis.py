@@ -298,3 +298,12 @@ def test_all_salaries_null_keeps_columns(spark, tmpdir_path):
     assert {"salary_from", "salary_to"} <= set(df.columns)
     r = A.aggregate_by_area(df).first()
     assert (r["count"], r.avg_salary_from, r.max_salary) == (3, None, None)
+
+
+def test_keep_mode_returns_bad_lines_with_text(spark, tmpdir_path):
+    write_jsonl(tmpdir_path, "k.jsonl", FIVE[:2], raw_lines=["{broken"])
+    df = load_jsonl(spark, tmpdir_path, bad_input="keep")
+    rows = df.collect()
+    assert len(rows) == 3
+    bad = [r for r in rows if r["_corrupt_record"] is not None]
+    assert len(bad) == 1 and bad[0]["_corrupt_record"] == "{broken" and bad[0].id is None
