@@ -32,6 +32,10 @@ _LETTERS = "".join(c for c in _PLAIN_CHARS if unicodedata.category(c)[0] == "L")
 _NUMBERS = "".join(c for c in _PLAIN_CHARS if unicodedata.category(c)[0] == "N")
 #: Fixed value: the vocabulary's pre-token pattern, with its classes spelled out over PLAIN.
 PRE_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
+#: The same over words that stand one to a line.
+PIECES = re.compile("\n|" + PRE_TOKEN.pattern)
+#: Stands after a word's ids; no run of ids contains it, as their upper halves are zero.
+WORD_END = b"\xff\xff\xff\xff"
 #: Words whose tokens a Python worker keeps at most; then it starts anew.
 KEPT_WORDS = 400_000
 #: Characters of text whose new words are merged together.
@@ -123,6 +127,13 @@ class Merges:
         rank[miss] = np.where(self.keys[again] == key[miss], again, self.NONE)
         return rank
 
+    def _rank_at(self, rank: np.ndarray, sym: np.ndarray, owner: np.ndarray, at: np.ndarray) -> None:
+        """Work out anew the ranks of the pairs that begin at ``at``."""
+        rank[at] = self.NONE
+        at = at[at + 1 < len(sym)]
+        at = at[owner[at] == owner[at + 1]]
+        rank[at] = self._ranks(sym[at] << 20 | sym[at + 1])
+
     def __call__(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece (not empty), little-endian unsigned 32 bit."""
         if not pieces:
@@ -133,11 +144,10 @@ class Merges:
         ends = np.cumsum(lens)
         sym[ends - 1] = self.last[flat[ends - 1]]
         owner = np.repeat(np.arange(len(pieces)), lens)
+        rank = np.full(len(sym), self.NONE)
+        self._rank_at(rank, sym, owner, np.arange(len(sym)))
         ready: list[tuple[np.ndarray, np.ndarray]] = []
         while len(sym):
-            rank = np.full(len(sym), self.NONE)
-            inside = np.flatnonzero(owner[1:] == owner[:-1])
-            rank[inside] = self._ranks(sym[inside] << 20 | sym[inside + 1])
             start = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
             best = np.repeat(np.minimum.reduceat(rank, start), np.diff(np.append(start, len(sym))))
             over = best == self.NONE
@@ -152,7 +162,9 @@ class Merges:
             sym[at] = self.made[rank[at]]
             keep = np.ones(len(sym), bool)
             keep[at + 1] = False
-            owner, sym = owner[keep], sym[keep]
+            owner, sym, rank = owner[keep], sym[keep], rank[keep]
+            at -= np.arange(len(at))  # where the merged symbols stand now
+            self._rank_at(rank, sym, owner, np.concatenate((at, at[at > 0] - 1)))
         owner, sym = (np.concatenate(x) for x in zip(*ready, strict=True))
         order = np.argsort(owner, kind="stable")
         cut = np.searchsorted(owner[order], np.arange(len(pieces) + 1)) * 4
@@ -164,17 +176,15 @@ class WordTokens:
     """Ids (little-endian unsigned 32 bit) of texts, by kept words."""
 
     def __init__(self, path: str, whole: dict[str, int]) -> None:
-        self.whole = {w: i.to_bytes(4, "little") for w, i in whole.items()}
+        self.whole = {w: i.to_bytes(4, "little") for w, i in whole.items()} | {"\n": WORD_END}
         self.tok, self.merge, self.words = _tokenizer(path), Merges(path), {}
         self.special = [a.content for a in self.tok.get_added_tokens_decoder().values()]
 
     def _learn(self, words: list[str]) -> None:
-        split = [PRE_TOKEN.findall(w.lower()) for w in words]
-        rest = list({p for ps in split for p in ps if p not in self.whole})
-        ids = dict(zip(rest, self.merge([p.encode() for p in rest]), strict=True))
-        whole = self.whole
-        for w, ps in zip(words, split, strict=True):
-            self.words[w] = b"".join([ids[p] if p in ids else whole[p] for p in ps])
+        flat = PIECES.findall("\n".join(words).lower() + "\n")
+        rest = list(set(flat).difference(self.whole))
+        ids = self.whole | dict(zip(rest, self.merge([p.encode() for p in rest]), strict=True))
+        self.words.update(zip(words, b"".join(map(ids.__getitem__, flat)).split(WORD_END), strict=False))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; texts go in groups, so that new words are merged many at a time."""
