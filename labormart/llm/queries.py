@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from labormart.llm.decontaminate import decontaminate_query
+from labormart.llm.minhash import minhash_query
 from labormart.llm.packing import packing_query
 from labormart.llm.quality import quality_query
 from labormart.llm.rules import rules_query
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality_query,
     "op2_packing": packing_query,
     "op3_secret_scan": secrets_query,
+    "op4_minhash_dedup": minhash_query,
     "op5_quality_rules": rules_query,
     "op6_token_counts": token_counts_query,
     "op7_toxicity": toxicity_query,
