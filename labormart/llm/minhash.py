@@ -169,9 +169,8 @@ def matched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return materialize(map_batches(both.select("a", "b", "sa", "sb"), run, "a long, b long, m int"), "minhash-matched")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs that are linked: shared and all shingles counted on the full sets."""
-    ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+def set_table(ends: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """Full sets (cls, s) of some classes, made from their texts once more."""
     wanted = materialize(classes.select("cls", "key_id", "h1", "h2").join(ends, "cls", "left_semi"), "minhash-wanted")
     few = wanted.count() <= BROADCAST_CLASSES
     texts = docs.select(_key_id(), "text", *_text_keys()).join(F.broadcast(wanted) if few else wanted, ["key_id", "h1", "h2"]).select("cls", "text")
@@ -180,16 +179,28 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
         return {"cls": batch.column("cls"), "s": [s.tobytes() for s in shingle_sets(text_bytes(batch.column("text")), words)]}
 
     # Repeated rows of one id and text have one set: any will do.
-    table = materialize(map_batches(texts, sets, "cls long, s binary").dropDuplicates(["cls"]), "minhash-sets")
+    return materialize(map_batches(texts, sets, "cls long, s binary").dropDuplicates(["cls"]), "minhash-sets")
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach ``percent`` hundredths of Jaccard similarity."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that are linked, by their full sets."""
+    ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    table = set_table(ends, classes, docs, words)
     both = (pairs.select("a", "b").join(table.select(F.col("cls").alias("a"), F.col("s").alias("sa")), "a")
             .join(table.select(F.col("cls").alias("b"), F.col("s").alias("sb")), "b"))
 
     def check(batch) -> dict:
         keep = []
         for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            keep.append(similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
         kept = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
         return {"a": kept.column(0), "b": kept.column(1)}
 
@@ -203,35 +214,76 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def late_pairs(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs with enough matches, between components, of the long lists that hold several."""
+def late_links(rows: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components within the long lists that hold several.
+
+    Blocks of a list are compared by signature; the pairs with enough matches stay in arrays, one row
+    per two of ``n`` fixed groups of classes. The sets of both groups then meet once, and pairs are
+    confirmed there as long as their sides are not connected by the links found so far.
+    """
     long_ = rows.where(F.col("c") > SMALL).select("key", "cls", "c").join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     mixed = long_.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
     active = materialize(long_.join(mixed, "key", "left_semi"), "minhash-mixed")
     # Bit i: the class is in the mixed long list of its coordinate i.
-    bits = active.groupBy("cls").agg(F.expr("bit_or(shiftleft(1L, cast(shiftright(key, 32) as int)))").alias("bits"))
+    bits = active.groupBy("cls", "root").agg(F.expr("bit_or(shiftleft(1L, cast(shiftright(key, 32) as int)))").alias("bits"))
+    members = materialize(bits.join(classes.select("cls", "sig"), "cls"), "minhash-members")
+    groups = max(1, -(-members.count() // BLOCK))
     n = F.ceil(F.col("c") / BLOCK).cast("int")
-    spread = (active.join(bits, "cls").join(classes.select("cls", "sig"), "cls")
+    spread = (active.select("key", "cls", "c").join(members, "cls")
               .withColumn("own", F.pmod(F.xxhash64("cls"), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
-              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root", "bits", "sig"))
+              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root", "bits", "sig",
+                      F.pmod(F.xxhash64("cls", F.lit(7)), F.lit(groups)).cast("int").alias("g")))
 
     def compare(table: pa.Table) -> pa.Table:
         c = int(table["key"][0].as_py() >> 32)
         sig, bits = signature_rows(table["sig"]), table["bits"].to_numpy().view(np.uint64)
-        cls, root, own = (table[x].to_numpy() for x in ("cls", "root", "own"))
+        cls, root, own, g = (table[x].to_numpy() for x in ("cls", "root", "own", "g"))
         left, right = np.flatnonzero(own == table["i"][0].as_py()), np.flatnonzero(own == table["j"][0].as_py())
         weight = np.left_shift(np.uint64(1), np.arange(K, dtype=np.uint64))
-        a, b = [], []
+        found: dict[tuple[int, int], list[np.ndarray]] = {}
         for x in left.tolist():
             same = sig[right] == sig[x]
             agree = (same * weight).sum(1, dtype=np.uint64) & bits[right] & bits[x]
+            # A pair counts in the first of the mixed long lists that it shares, and once within one block.
             first = (agree & (~agree + np.uint64(1))) == np.uint64(1 << c)
-            y = right[(same.sum(1) >= MATCH) & (root[right] != root[x]) & first & (cls[right] != cls[x])]
-            a += [int(cls[x])] * len(y)
-            b += cls[y].tolist()
-        return pa.table({"a": pa.array(np.minimum(a, b).astype(np.int64)), "b": pa.array(np.maximum(a, b).astype(np.int64))})
-
-    return spread.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+            once = (own[right] != own[x]) | (cls[right] > cls[x])
+            y = right[(same.sum(1) >= MATCH) & (root[right] != root[x]) & first & once]
+            for other in np.unique(g[y]).tolist():
+                z = cls[y[g[y] == other]]
+                pair = np.stack((np.full(len(z), cls[x]), z))
+                lo, hi = sorted((int(g[x]), other))
+                found.setdefault((lo, hi), []).append(pair)
+        both = {k: np.concatenate(v, 1) for k, v in found.items()}
+        return pa.table({"lo": pa.array([k[0] for k in both], pa.int32()), "hi": pa.array([k[1] for k in both], pa.int32()),
+                         "a": pa.array([v[0] for v in both.values()], pa.list_(pa.int64())), "b": pa.array([v[1] for v in both.values()], pa.list_(pa.int64()))})
+
+    pairs = materialize(spread.groupBy("key", "i", "j").applyInArrow(compare, "lo int, hi int, a array<long>, b array<long>"), "minhash-late")
+    sets = set_table(members.select("cls"), classes, docs, words).join(members.select("cls", "root"), "cls")
+    sets = sets.withColumn("g", F.pmod(F.xxhash64("cls", F.lit(7)), F.lit(groups)).cast("int"))
+    met = pairs.select("lo", "hi").distinct()
+    here = met.select("lo", "hi", F.col("lo").alias("g")).unionByName(met.where("lo < hi").select("lo", "hi", F.col("hi").alias("g")))
+    sets = sets.join(here, "g").select(F.col("lo").alias("first"), F.col("hi").alias("second"), "cls", "root", "s")
+
+    def confirm(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        own = dict(zip(sets["cls"].to_pylist(), (np.frombuffer(s, np.uint64) for s in sets["s"].to_pylist()), strict=True))
+        root = dict(zip(sets["cls"].to_pylist(), sets["root"].to_pylist(), strict=True))
+        up: dict[int, int] = {}
+
+        def top(v: int) -> int:
+            while v in up:
+                v = up[v]
+            return v
+
+        links = []
+        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist(), strict=True):
+            for x, y in zip(a, b, strict=True):
+                rx, ry = top(root[x]), top(root[y])
+                if rx != ry and similar(own[x], own[y], percent):
+                    up[max(rx, ry)] = min(rx, ry)
+                    links.append((x, y))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return materialize(pairs.groupBy("lo", "hi").cogroup(sets.groupBy("first", "second")).applyInArrow(confirm, "a long, b long"), "minhash-links")
 
 
 def _key_id():
@@ -251,10 +303,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     roots = components(links)
     links = links.unionByName(confirmed(materialize(apart(early, roots), "minhash-apart"), classes, docs, words, percent))
     roots = components(links)
-    late = materialize(late_pairs(listed, classes, roots), "minhash-late")
+    late = late_links(listed, classes, roots, docs, words, percent)
     if not late.isEmpty():
-        links = links.unionByName(confirmed(late, classes, docs, words, percent))
-        roots = components(links)
+        roots = components(links.unionByName(late))
     named = sets.join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     ids = named.groupBy("root").agg(F.min("least").alias("component"))
     named = materialize(named.join(ids, "root").select("fp", "component"), "minhash-named")
