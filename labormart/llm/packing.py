@@ -32,6 +32,8 @@ UNIT = 8
 LEAST_FILL = 0.99
 #: Rows of a bucket within which ranks are counted in one task.
 BUCKET_ROWS = 50_000
+#: Up to so many cut texts, their fingerprints are broadcast to find them among the documents.
+BROADCAST_TEXTS = 500_000
 #: The linear program stops when its value is proven to be within this share of the optimum.
 GAP = 5e-4
 
@@ -276,8 +278,10 @@ def cut_crcs(docs: DataFrame, cut: DataFrame, path: str) -> DataFrame:
     """crc of each cut piece (fp, start, length): the texts concerned are encoded once more."""
     get = worker_tokens(docs.sparkSession, path)
     tail = END_ID.to_bytes(4, "little")
-    wanted = cut.groupBy("fp").agg(F.collect_set(F.struct("start", "length")).alias("pieces"))
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("fp"), "text").join(wanted.select("fp"), "fp", "left_semi")
+    wanted = materialize(cut.groupBy("fp").agg(F.collect_set(F.struct("start", "length")).alias("pieces")), "pack-cut")
+    keys = wanted.select("fp")
+    few = wanted.count() <= BROADCAST_TEXTS
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("fp"), "text").join(F.broadcast(keys) if few else keys, "fp", "left_semi")
     # Rows of one fingerprint have one text: a null text is an empty one.
     one = texts.groupBy("fp").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
 
