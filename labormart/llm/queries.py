@@ -12,6 +12,8 @@ from labormart.llm.packing import packing_query
 from labormart.llm.quality import quality_query
 from labormart.llm.rules import rules_query
 from labormart.llm.secret_scan import secrets_query
+from labormart.llm.substring_dedup import substring_query
+from labormart.llm.suffix_dedup import suffix_query
 from labormart.llm.tokens import token_counts_query
 from labormart.llm.toxicity import toxicity_query
 
@@ -23,6 +25,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": rules_query,
     "op6_token_counts": token_counts_query,
     "op7_toxicity": toxicity_query,
+    "op8_substring_dedup": substring_query,
+    "op9_suffix_array_dedup": suffix_query,
     "op10_decontamination": decontaminate_query,
 }
 #: DuckDB forms. The operators here are tested against brute force instead (tests/llm).
