@@ -7,11 +7,12 @@ the symbols that its windows cover. Texts are written once, in blocks of bounded
 bucketed by block; after that only hashes and fragments move:
 
 1. Every block sends its distinct anchors to shards by hash; a shard answers which are repeated.
-2. For runs with such anchors a block sends its distinct fragments (hash, anchor, first place). The
-   answer: it has come earlier elsewhere (all its windows are repeats), it is the only fragment of its
-   anchor (none is), or it must be compared with other fragments of the anchor.
-3. Only fragments of the last sort, one copy of each, go to the operator's own method, which answers
-   per window.
+2. For runs with such anchors a block sends its distinct fragments (hash, anchor, first place, and
+   the hash of each part's core: windows fall into ``PARTS`` parts by the anchor's place in them, and
+   the core are the symbols that all windows of a part share). The answer: the fragment has come earlier
+   elsewhere (all its windows are repeats), or which parts have a core that another fragment has too.
+3. Only the windows of such parts, of one copy of each fragment, are open and go to the operator's own
+   method, which answers per window.
 
 Equal fragments meet once per block, so a passage that a third of all documents hold is sent no
 oftener than there are blocks. Hashes have 64 bits.
@@ -36,9 +37,14 @@ from labormart.llm.common import _BYTE, _POWERS
 from labormart.session import scratch_path
 
 #: Bytes of text in a block, or one document.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Bytes of text per bucket and per shard, about.
 SHARD_BYTES = 24 << 20
+#: Parts into which a fragment's windows fall.
+PARTS = 4
+CORES = [f"core{k}" for k in range(PARTS)]
+#: Code of a fragment all of whose windows are repeats; other codes are bits of open parts.
+SETTLED = 255
 _CHUNK = 1 << 18
 _PLACE = np.uint64((1 << 20) - 1)
 MAIL = "block long, shard int, kind string, data binary"
@@ -55,12 +61,17 @@ class Symbols:
     words: bool
     within: bool
 
+    @property
+    def part(self) -> int:
+        """Places of the anchor that one part takes."""
+        return -(-(self.window - self.gram + 1) // PARTS)
+
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols (64-bit) of all texts and where each text's begin."""
+        """Symbols of all texts (words by their hashes, bytes as they are) and where each text's begin."""
         if self.words:
             return hash_words(texts)
         at = np.cumsum([0, *map(len, texts)])
-        return _BYTE[np.frombuffer(b"".join(texts), np.uint8)], at
+        return np.frombuffer(b"".join(texts), np.uint8), at
 
 
 def pack(**arrays) -> bytes:
@@ -85,7 +96,8 @@ def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def runs(values: np.ndarray, at: np.ndarray, kind: Symbols) -> dict[str, np.ndarray]:
-    """Runs of windows of one anchor: document (number in the block), start, windows, anchor, fragment hash."""
+    """Runs of windows of one anchor: document (number in the block), start, windows, anchor, fragment
+    hash, where the anchor begins in the fragment, and the hashes of the parts' cores."""
     size, gram = kind.window, kind.gram
     _POWERS.upto(_CHUNK + size + 2)
     found: list[tuple] = []
@@ -107,7 +119,7 @@ def runs(values: np.ndarray, at: np.ndarray, kind: Symbols) -> dict[str, np.ndar
         if n < size:
             continue
         v = values[a:b]
-        p = prefix_hash(v)
+        p = prefix_hash(v if v.dtype == np.uint64 else _BYTE[v])
         down = _POWERS.down
         m = n - gram + 1
         g = mix((p[gram:] - p[:-gram]) * down[:m])
@@ -124,9 +136,16 @@ def runs(values: np.ndarray, at: np.ndarray, kind: Symbols) -> dict[str, np.ndar
         s, count = ok[head], np.diff(np.append(head, len(ok)))
         frag = mix((p[s + count + size - 1] - p[s]) * down[s])
         doc = np.searchsorted(at, s + a, side="right") - 1
-        found.append((doc, s + a - at[doc], count, g[place[head]], frag))
-    names = ("doc", "start", "n", "anchor", "frag")
-    kinds = (np.int64, np.int64, np.int64, np.uint64, np.uint64)
+        where = place[head]
+        lead, cores = where - s, []
+        for k in range(PARTS):
+            least, most = k * kind.part, min((k + 1) * kind.part, size - gram + 1) - 1
+            has = (lead >= least) & (lead - count + 1 <= most)
+            left, right = np.where(has, where - least, 0), np.where(has, where + size - most, 0)
+            cores.append((mix((p[right] - p[left]) * down[left]) >> np.uint64(32)).astype(np.uint32))
+        found.append((doc, s + a - at[doc], count, g[where], frag, lead, *cores))
+    names = ("doc", "start", "n", "anchor", "frag", "lead", *CORES)
+    kinds = (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.int64, *[np.uint32] * PARTS)
     return {k: np.concatenate([f[c] for f in found]) if found else np.zeros(0, t) for c, (k, t) in enumerate(zip(names, kinds, strict=True))}
 
 
@@ -233,8 +252,8 @@ class Exchange:
 
     def fragments(self, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Step 2: (state of each block, answers). State: the runs with repeated anchors, each with
-        the number of its fragment and whether it is settled, and each fragment's shard; answers: a code per fragment
-        (0 none of its windows is a repeat, 1 open, 2 all are)."""
+        the number of its fragment and whether it is settled, and each fragment's shard and the place of
+        its anchor; answers: a code per fragment (bits of its open parts, or SETTLED)."""
         kind, shards = self.kind, self.shards
 
         def send(block: Block, got: dict) -> pa.Table:
@@ -252,9 +271,10 @@ class Exchange:
             later = ids > ids[first][number]
             if kind.within:
                 later |= (ids == ids[first][number]) & (r["start"] > r["start"][first][number])
-            state = pack(doc=r["doc"].astype(np.int32), start=r["start"], n=r["n"].astype(np.int32), frag=number.astype(np.int32), settled=later, shard=shard_of(r["anchor"][first], shards).astype(np.int32))
+            state = pack(doc=r["doc"].astype(np.int32), start=r["start"], n=r["n"].astype(np.int32), frag=number.astype(np.int32), settled=later, lead=r["lead"][first].astype(np.int32), shard=shard_of(r["anchor"][first], shards).astype(np.int32))
             rows = [(block.number, -1, "state", state)]
-            u = {"anchor": r["anchor"][first], "frag": r["frag"][first], "id": ids[first], "start": r["start"][first]}
+            u = {"anchor": r["anchor"][first], "frag": r["frag"][first], "id": ids[first], "start": r["start"][first], "lead": r["lead"][first].astype(np.int16), "n": r["n"][first].astype(np.int16)}
+            u |= {k: r[k][first] for k in CORES}
             rows += [(block.number, s, "fragments", pack(**{k: v[a:b] for k, v in u.items()})) for s, a, b in by_shard(u["anchor"], shards)]
             return mail(rows)
 
@@ -270,10 +290,17 @@ class Exchange:
             later = ids[order] > ids[order][first]
             if kind.within:
                 later |= (ids[order] == ids[order][first]) & (start[order] > start[order][first])
-            group = np.cumsum(new_a) - 1
-            several = np.bincount(group, new)[group] > 1
             code = np.zeros(len(order), np.uint8)
-            code[order] = np.where(later, 2, np.where(several, 1, 0))
+            group = np.cumsum(new_a) - 1
+            lead, n = (np.concatenate([p[k] for p in parts]).astype(np.int64)[order] for k in ("lead", "n"))
+            for k in range(PARTS):
+                least, most = k * kind.part, (k + 1) * kind.part - 1
+                has = (lead >= least) & (lead - n + 1 <= most)
+                one = np.flatnonzero(new & has)  # each distinct fragment once
+                key = np.stack((group[one].astype(np.uint64), np.concatenate([p[CORES[k]] for p in parts])[order][one].astype(np.uint64)))
+                _, inverse, count = np.unique(key[0] << np.uint64(32) | key[1], return_inverse=True, return_counts=True)
+                code[order[one]] |= ((count[inverse] > 1).astype(np.uint8) << k).astype(np.uint8)
+            code[order[later]] = SETTLED
             return [(b, code[at[i] : at[i + 1]].tobytes()) for i, (b, _) in enumerate(rows)]
 
         sent = materialize(self.with_mail(repeated, send, MAIL), "repeats-sent")
@@ -293,18 +320,16 @@ class Exchange:
             s, code = read_state(got)
             covers: list[list] = [[] for _ in block.texts]
             if s is not None:
-                whole = s["settled"] | (code[s["frag"]] == 2)
+                whole = s["settled"] | (code[s["frag"]] == SETTLED)
                 for d, a, n in zip(s["doc"][whole].tolist(), s["start"][whole].tolist(), s["n"][whole].tolist(), strict=True):
                     covers[d].append((a, a + n - 1 + kind.window))
                 if "places" in got:
                     bits = open_bits(got)
-                    for r, own_bits in open_runs(s, code, bits):
-                        at = np.flatnonzero(own_bits)
-                        if len(at):
-                            cut = np.flatnonzero(np.diff(at) > 1) + 1
-                            for part in np.split(at, cut):
-                                base = int(s["start"][r])
-                                covers[int(s["doc"][r])].append((base + int(part[0]), base + int(part[-1]) + kind.window))
+                    for r, k in repeated_windows(s, code, kind, bits):
+                        cut = np.flatnonzero(np.diff(k) > 1) + 1
+                        base = int(s["start"][r])
+                        for part in np.split(k, cut):
+                            covers[int(s["doc"][r])].append((base + int(part[0]), base + int(part[-1]) + kind.window))
             return finish(block, covers)
 
         return self.with_mail(known.unionByName(verdicts), run, schema)
@@ -318,22 +343,35 @@ def read_state(got: dict) -> tuple[dict | None, np.ndarray]:
     return unpack(got["state"][0]), code
 
 
-def open_fragments(s: dict, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the open fragments and, for each, its first run."""
+@dataclass
+class Open:
+    """A block's open windows, fragment by fragment: the fragment's number, its first run, and the
+    window's place in the fragment."""
+
+    frag: np.ndarray
+    run: np.ndarray
+    k: np.ndarray
+
+
+def open_windows(s: dict, code: np.ndarray, kind: Symbols) -> Open:
     first = np.unique(s["frag"], return_index=True)[1]
-    number = np.flatnonzero(code == 1)
-    return number, first[number]
-
-
-def open_runs(s: dict, code: np.ndarray, bits: np.ndarray):
-    """(run, bits of its windows) of the open runs; bits stand fragment by fragment."""
-    number, first = open_fragments(s, code)
-    at = np.concatenate(([0], np.cumsum(s["n"][first])))
-    place = np.full(len(code), -1)
-    place[number] = np.arange(len(number))
-    for r in np.flatnonzero(~s["settled"] & (code[s["frag"]] == 1)).tolist():
-        k = place[s["frag"][r]]
-        yield r, bits[at[k] : at[k + 1]]
+    number = np.flatnonzero((code != 0) & (code != SETTLED))
+    n = s["n"][first[number]].astype(np.int64)
+    frag = np.repeat(number, n)
+    k = np.arange(len(frag)) - np.repeat(np.cumsum(n) - n, n)
+    part = (s["lead"][frag] - k) // kind.part
+    kept = (code[frag] >> part.astype(np.uint8) & 1).astype(bool)
+    return Open(frag[kept], first[frag[kept]], k[kept])
+
+
+def repeated_windows(s: dict, code: np.ndarray, kind: Symbols, bits: np.ndarray):
+    """(run, places of its windows that are repeats) of the runs with open windows."""
+    own = open_windows(s, code, kind)
+    frag, k = own.frag[bits], own.k[bits]
+    runs_of = np.flatnonzero(~s["settled"])
+    left, right = np.searchsorted(frag, s["frag"][runs_of]), np.searchsorted(frag, s["frag"][runs_of], side="right")
+    for r, a, b in zip(runs_of[right > left].tolist(), left[right > left].tolist(), right[right > left].tolist(), strict=True):
+        yield r, k[a:b]
 
 
 def open_bits(got: dict) -> np.ndarray:

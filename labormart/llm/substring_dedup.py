@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labormart.llm.common import hash_words, load, materialize
-from labormart.llm.repeats import Block, Exchange, Symbols, mail, open_fragments, pack, read_state, unpack
+from labormart.llm.repeats import Block, Exchange, Symbols, mail, open_windows, pack, read_state, unpack
 
 LENGTH = 20
 WORDS = Symbols(window=LENGTH, gram=6, words=True, within=True)
@@ -137,22 +137,22 @@ def indexed_verdicts(exchange: Exchange, known: DataFrame) -> DataFrame:
         s, code = read_state(got)
         if s is None:
             return mail([])
-        number, first = open_fragments(s, code)
-        if not len(number):
+        own = open_windows(s, code, WORDS)
+        if not len(own.k):
             return mail([])
-        docs, at_doc = np.unique(s["doc"][first], return_inverse=True)
+        # Open windows that follow each other in a fragment go together.
+        head = np.flatnonzero(np.concatenate(([True], (np.diff(own.frag) != 0) | (np.diff(own.k) != 1))))
+        run, lens = own.run[head], np.diff(np.append(head, len(own.k))) + LENGTH - 1
+        docs, at_doc = np.unique(s["doc"][run], return_inverse=True)
         words, at = hash_words([block.texts[d] for d in docs.tolist()])
-        lens = s["n"][first].astype(np.int64) + LENGTH - 1
-        begin = at[at_doc] + s["start"][first]
-        shard = s["shard"][number]
+        start = s["start"][run] + own.k[head]
+        begin, shard, ids = at[at_doc] + start, s["shard"][own.frag[head]], block.ids[s["doc"][run]]
         rows = []
         cut = np.concatenate(([0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]))
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            own = np.concatenate([words[x : x + n] for x, n in zip(begin[a:b].tolist(), lens[a:b].tolist(), strict=True)])
-            data = pack(words=own, lens=lens[a:b], id=block.ids[s["doc"][first[a:b]]], start=s["start"][first[a:b]])
-            rows.append((block.number, int(shard[a]), "part", data))
-        total = int((lens - LENGTH + 1).sum())
-        rows.append((block.number, -1, "places", pack(at=np.arange(total), known=np.zeros(total, bool))))
+            part = np.concatenate([words[x : x + n] for x, n in zip(begin[a:b].tolist(), lens[a:b].tolist(), strict=True)])
+            rows.append((block.number, int(shard[a]), "part", pack(words=part, lens=lens[a:b], id=ids[a:b], start=start[a:b])))
+        rows.append((block.number, -1, "places", pack(at=np.arange(len(own.k)), known=np.zeros(len(own.k), bool))))
         return mail(rows)
 
     sent = materialize(exchange.with_mail(known, send, "block long, shard int, kind string, data binary"), "substring-parts")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labormart.llm.common import load, materialize
-from labormart.llm.repeats import Block, Exchange, Symbols, mail, open_fragments, pack, read_state, unpack
+from labormart.llm.repeats import Block, Exchange, Symbols, mail, open_windows, pack, read_state, unpack
 
 LENGTH = 50
 #: Strings sampled per run, and runs sampled at most, for the splitters.
@@ -140,23 +140,23 @@ def merged_verdicts(exchange: Exchange, known: DataFrame) -> DataFrame:
         s, code = read_state(got)
         if s is None:
             return mail([])
-        number, first = open_fragments(s, code)
-        if not len(number):
+        own = open_windows(s, code, BYTES)
+        if not len(own.k):
             return mail([])
-        keys, ids = [], []
-        for d, a, n in zip(s["doc"][first].tolist(), s["start"][first].tolist(), s["n"][first].tolist(), strict=True):
-            raw = np.frombuffer(block.texts[d], np.uint8)[a : a + n - 1 + LENGTH]
-            keys.append(np.lib.stride_tricks.sliding_window_view(raw, LENGTH))
-            ids.append(np.full(n, block.ids[d]))
-        key, own = np.concatenate(keys), np.concatenate(ids)
-        text = np.ascontiguousarray(key).view(f"V{LENGTH}").ravel()
-        order = np.lexsort((own, *key.view(np.uint8).T[::-1])) if len(key) < 64 else _sorted(key, own)
+        at_doc = np.cumsum([0, *map(len, block.texts)])
+        raw = np.frombuffer(b"".join(block.texts), np.uint8)
+        doc = s["doc"][own.run]
+        key = np.lib.stride_tricks.sliding_window_view(raw, LENGTH)[at_doc[doc] + s["start"][own.run] + own.k]
+        ids = block.ids[doc]
+        text = _comparable(key)
+        by_id = np.argsort(ids, kind="stable")
+        order = by_id[np.argsort(text[by_id], kind="stable")]
         head = np.concatenate(([True], text[order][1:] != text[order][:-1]))
         at = np.empty(len(order), np.int64)
         at[order] = np.cumsum(head) - 1
-        least = own[order][head]
+        least = ids[order][head]
         lcp, rest = front_code(key[order][head])
-        return mail([(block.number, 0, "run", pack(lcp=lcp, rest=rest, id=least)), (block.number, 0, "places", pack(at=at, known=own > least[at]))])
+        return mail([(block.number, 0, "run", pack(lcp=lcp, rest=rest, id=least)), (block.number, 0, "places", pack(at=at.astype(np.int32), known=ids > least[at]))])
 
     sent = materialize(exchange.with_mail(known, sort_block, "block long, shard int, kind string, data binary"), "suffix-runs")
     splitters = sampled_splitters(sent.where(F.col("kind") == "run"), exchange.shards)
@@ -188,11 +188,6 @@ def _comparable(keys: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(keys).view(f"S{LENGTH}").ravel()
 
 
-def _sorted(key: np.ndarray, own: np.ndarray) -> np.ndarray:
-    by_id = np.argsort(own, kind="stable")
-    return by_id[np.argsort(_comparable(key[by_id]), kind="stable")]
-
-
 def sampled_splitters(sent: DataFrame, ranges: int) -> np.ndarray:
     """Strings that cut the keys into about equal ranges, from a bounded sample of runs."""
 
