@@ -95,7 +95,7 @@ def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (n - w)], x[n - w :]) if w < n else x
 
 
-def runs(values: np.ndarray, at: np.ndarray, kind: Symbols) -> dict[str, np.ndarray]:
+def runs(values: np.ndarray, at: np.ndarray, kind: Symbols, cores: bool = True) -> dict[str, np.ndarray]:
     """Runs of windows of one anchor: document (number in the block), start, windows, anchor, fragment
     hash, where the anchor begins in the fragment, and the hashes of the parts' cores."""
     size, gram = kind.window, kind.gram
@@ -137,16 +137,16 @@ def runs(values: np.ndarray, at: np.ndarray, kind: Symbols) -> dict[str, np.ndar
         frag = mix((p[s + count + size - 1] - p[s]) * down[s])
         doc = np.searchsorted(at, s + a, side="right") - 1
         where = place[head]
-        lead, cores = where - s, []
-        for k in range(PARTS):
+        lead, core = where - s, []
+        for k in range(PARTS if cores else 0):
             least, most = k * kind.part, min((k + 1) * kind.part, size - gram + 1) - 1
             has = (lead >= least) & (lead - count + 1 <= most)
             left, right = np.where(has, where - least, 0), np.where(has, where + size - most, 0)
-            cores.append((mix((p[right] - p[left]) * down[left]) >> np.uint64(32)).astype(np.uint32))
-        found.append((doc, s + a - at[doc], count, g[where], frag, lead, *cores))
-    names = ("doc", "start", "n", "anchor", "frag", "lead", *CORES)
-    kinds = (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.int64, *[np.uint32] * PARTS)
-    return {k: np.concatenate([f[c] for f in found]) if found else np.zeros(0, t) for c, (k, t) in enumerate(zip(names, kinds, strict=True))}
+            core.append((mix((p[right] - p[left]) * down[left]) >> np.uint64(32)).astype(np.uint32))
+        found.append((doc, s + a - at[doc], count, g[where], frag, lead, *core))
+    names = ("doc", "start", "n", "anchor", "frag", "lead", *(CORES if cores else ()))
+    kinds = (np.int32, np.int64, np.int32, np.uint64, np.uint64, np.int32, *[np.uint32] * (PARTS if cores else 0))
+    return {k: np.concatenate([f[c].astype(t) for f in found]) if found else np.zeros(0, t) for c, (k, t) in enumerate(zip(names, kinds, strict=True))}
 
 
 def shard_of(anchor: np.ndarray, shards: int) -> np.ndarray:
@@ -166,6 +166,8 @@ class Block:
     """The documents of one block, by id."""
 
     def __init__(self, table: pa.Table) -> None:
+        # Workers live on from block to block: what the last one has freed goes back first.
+        pa.default_memory_pool().release_unused()
         ids = [LOWEST if x is None else x for x in table["doc_id"].to_pylist()]
         texts = text_bytes(table["text"])
         order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
@@ -222,7 +224,7 @@ class Exchange:
         kind, shards = self.kind, self.shards
 
         def send(block: Block) -> pa.Table:
-            r = runs(*kind.of(block.texts), kind)
+            r = runs(*kind.of(block.texts), kind, cores=False)
             order = np.argsort(r["anchor"], kind="stable")
             anchor, first, count = np.unique(r["anchor"][order], return_index=True, return_counts=True)
             if kind.within:
@@ -261,7 +263,8 @@ class Exchange:
             anchor = np.unique(r["anchor"])
             bits = [np.unpackbits(np.frombuffer(d, np.uint8), count=b - a) for d, (_, a, b) in zip(got.get("answer", []), by_shard(anchor, shards), strict=True)]
             again = anchor[np.concatenate(bits).astype(bool)] if bits else anchor[:0]
-            r = {k: v[np.isin(r["anchor"], again)] for k, v in r.items()}
+            flagged = np.isin(r["anchor"], again)
+            r = {k: v[flagged] for k, v in r.items()}
             ids = block.ids[r["doc"]]
             order = np.lexsort((r["start"], ids, r["frag"], r["anchor"]))
             r, ids = {k: v[order] for k, v in r.items()}, ids[order]
