@@ -37,7 +37,7 @@ K, MATCH, SHARED = 64, 40, 6
 PREFIX = K - MATCH + SHARED
 SMALL = 32
 #: Classes compared with each other in one task are two blocks of about this many.
-BLOCK = 256
+BLOCK = 2048
 #: A coordinate-value pair is very frequent above this share of all classes (and LEAST_FREQUENT):
 #: there are at most K / share such pairs, which bounds what is broadcast.
 FREQUENT_SHARE, LEAST_FREQUENT = 1 / 20_000, 16
