@@ -22,6 +22,7 @@ Blocks and answers are joined by the block's number; nothing is kept by task or
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import zlib
 from dataclasses import dataclass
@@ -37,7 +38,7 @@ from labormart.llm.common import _BYTE, _POWERS
 from labormart.session import scratch_path
 
 #: Bytes of text in a block, or one document.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of text per bucket and per shard, about.
 SHARD_BYTES = 24 << 20
 #: Parts into which a fragment's windows fall.
@@ -45,7 +46,7 @@ PARTS = 4
 CORES = [f"core{k}" for k in range(PARTS)]
 #: Code of a fragment all of whose windows are repeats; other codes are bits of open parts.
 SETTLED = 255
-_CHUNK = 1 << 18
+_CHUNK = 1 << 17
 _PLACE = np.uint64((1 << 20) - 1)
 MAIL = "block long, shard int, kind string, data binary"
 MAIL_ARROW = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("kind", pa.string()), ("data", pa.binary())])
@@ -74,6 +75,14 @@ class Symbols:
         return np.frombuffer(b"".join(texts), np.uint8), at
 
 
+def give_back() -> None:
+    """Python workers live on from block to block: what the last one has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def pack(**arrays) -> bytes:
     return zlib.compress(pickle.dumps(arrays, protocol=5), 1)
 
@@ -166,8 +175,7 @@ class Block:
     """The documents of one block, by id."""
 
     def __init__(self, table: pa.Table) -> None:
-        # Workers live on from block to block: what the last one has freed goes back first.
-        pa.default_memory_pool().release_unused()
+        give_back()
         ids = [LOWEST if x is None else x for x in table["doc_id"].to_pylist()]
         texts = text_bytes(table["text"])
         order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
@@ -214,6 +222,7 @@ class Exchange:
 
         def run(table: pa.Table) -> pa.Table:
             shard = table["shard"][0].as_py()
+            give_back()
             rows = sorted(zip(table["block"].to_pylist(), table["data"].to_pylist(), strict=True))
             return mail([(b, shard, "answer", x) for b, x in fn(rows)])
 
