@@ -40,7 +40,7 @@ from labormart.session import scratch_path
 #: Bytes of text in a block, or one document.
 BLOCK_BYTES = 4 << 20
 #: Bytes of text per bucket and per shard, about.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 6 << 20
 #: Parts into which a fragment's windows fall.
 PARTS = 4
 CORES = [f"core{k}" for k in range(PARTS)]
