@@ -24,10 +24,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: shingles of five words, similarity of 0.8 or more.
-    Of rows that repeat the least id of a group, each stays."""
+    Of rows that repeat the least id of a group, each stays, and so do rows without an id."""
     found = minhash.near_duplicates(docs, words=5, percent=80)
-    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("dropped_id")), "left_anti")
+    dropped = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

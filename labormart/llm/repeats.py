@@ -312,7 +312,8 @@ class Exchange:
                 key = np.stack((group[one].astype(np.uint64), np.concatenate([p[CORES[k]] for p in parts])[order][one].astype(np.uint64)))
                 _, inverse, count = np.unique(key[0] << np.uint64(32) | key[1], return_inverse=True, return_counts=True)
                 code[order[one]] |= ((count[inverse] > 1).astype(np.uint8) << k).astype(np.uint8)
-            code[order[later]] = SETTLED
+            # Rows that repeat a fragment's first place in another block share its code.
+            code[order] = np.where(later, SETTLED, code[order][first])
             return [(b, code[at[i] : at[i + 1]].tobytes()) for i, (b, _) in enumerate(rows)]
 
         sent = materialize(self.with_mail(repeated, send, MAIL), "repeats-sent")

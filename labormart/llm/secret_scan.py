@@ -51,7 +51,7 @@ def window_entropy_spans(s: str, window: int, least: float) -> list[tuple[int, i
     """
     if len(s) < window:
         return []
-    clog = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    clog = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
     counts: dict[str, int] = {}
     total, spans, limit = 0.0, [], (math.log2(window) - least) * window + 1e-9
     for i, ch in enumerate(s):

@@ -108,8 +108,10 @@ def earlier_windows(words: np.ndarray, lens: np.ndarray, ids: np.ndarray, starts
     index = FMIndex(text)
     within = np.arange(total) - at[owner]
     where = starts[owner] + within
-    order = np.empty(total, np.int64)
-    order[np.lexsort((where, ids[owner]))] = np.arange(total)
+    sorted_ = np.lexsort((where, ids[owner]))
+    a, b = where[sorted_], ids[owner][sorted_]
+    order = np.zeros(total, np.int64)  # equal places (repeated rows) have equal ranks
+    order[sorted_[1:]] = np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1]))
     by_place = np.full(len(text), total, np.int64)
     by_place[place] = order
     window = np.flatnonzero(within + length <= lens[owner])
