@@ -108,9 +108,16 @@ def dashboard(spark: SparkSession, data_dir: str, out: str, every_sec: int | Non
         time.sleep(every_sec)
 
 
+def beside(out: str) -> str:
+    """The checkpoint folder of an output that is given none."""
+    return f"{out.rstrip('/')}_checkpoint"
+
+
 def consume(spark: SparkSession, topic_dir: str | None, out: str, window_sec: int = 300,
-            every_sec: int = 10, kafka: dict[str, str] | None = None, watermark: str = "1 minute"):
-    """Start the sliding-window consumer (decode → fallbacks → windows); returns the query."""
+            every_sec: int = 10, kafka: dict[str, str] | None = None, watermark: str = "1 minute",
+            checkpoint: str | None = None):
+    """Start the sliding-window consumer (decode → fallbacks → windows); returns the query. The
+    checkpoint stands beside the output unless given, so a restart goes on where it stopped."""
     from labormart.streaming.windows import (
         consume_messages, event_time, message_stream, start_sliding_report,
     )
@@ -120,6 +127,7 @@ def consume(spark: SparkSession, topic_dir: str | None, out: str, window_sec: in
     return start_sliding_report(event_time(stream, watermark=watermark), out,
                                 size=f"{window_sec} seconds", slide=f"{every_sec} seconds",
                                 trigger={"processingTime": f"{every_sec} seconds"},
+                                checkpoint=checkpoint or beside(out),
                                 area="area", s_from="salary")
 
 
@@ -133,7 +141,6 @@ def collect(spark: SparkSession, pages_dir: str, files_out: str, topic_dir: str
     report. Returns the started queries."""
     from labormart.operators.clean import cast_salaries, flatten
     from labormart.operators.validate import split_valid, validate_raw
-    from labormart.session import scratch_path
     from labormart.sources.messages import unwrap_pages
     from labormart.streaming.windows import event_time, start_fan_out, start_tumbling_report
 
@@ -142,14 +149,13 @@ def collect(spark: SparkSession, pages_dir: str, files_out: str, topic_dir: str
         valid, _ = split_valid(validate_raw(unwrap_pages(pages)))
         return valid
 
-    ck = (checkpoint_root.rstrip("/") + "/") if checkpoint_root else None
+    ck = (checkpoint_root.rstrip("/") + "/") if checkpoint_root else None  # else beside each output
     q_files = start_fan_out(valid_items(), files_out, topic_dir, trigger=trigger, kafka=kafka,
-                            checkpoint=(ck + "fanout") if ck else None)
+                            checkpoint=(ck + "fanout") if ck else beside(files_out))
     flat = cast_salaries(flatten(valid_items())).withColumn("ts", F.to_timestamp("collected_at"))
     q_report = start_tumbling_report(event_time(flat, watermark=watermark), report_out,
                                      trigger=trigger, size=window,
-                                     checkpoint=(ck + "report") if ck else
-                                     scratch_path(spark, "collect-report-ckpt"))
+                                     checkpoint=(ck + "report") if ck else beside(report_out))
     return [q_files, q_report]
 
 

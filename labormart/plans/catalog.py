@@ -107,7 +107,8 @@ def q_volume_report(spark, sf):
     vols = [PR.file_volume(spark.read.text(jdir).filter(F.col("_metadata.file_name")
                                                         .endswith(".json")), "jsonl", rows=raw),
             PR.file_volume(spark.read.parquet(pdir), "parquet")]
-    return PR.volume_report(vols)
+    # The bytes depend on the writer; they are tested on a fixture.
+    return PR.volume_report(vols).select("format", "rows", "transport_mb_estimate")
 
 
 def q_validation_summary(spark, sf):

@@ -420,6 +420,9 @@ SELECT area_name, count(*) AS count,
 FROM b GROUP BY area_name""",
     "null_profile": _null_profile(),
     "stage_counts": _stage_counts(),
+    "volume_report": _with(RV, DEDUP, CLEAN) + """
+SELECT 'jsonl' AS format, count(*) AS rows, count(*) * 100 / 1048576.0 AS transport_mb_estimate FROM rv
+UNION ALL SELECT 'parquet', count(*), count(*) * 100 / 1048576.0 FROM cl""",
     "dedup_first": _with(RV, DEDUP) + "SELECT id, name, collected_at, area_name FROM dd",
     "union_by_name": _with(OV, TV) + """
 , u AS (SELECT id, name, area_name, salary_from, NULL AS employer_name FROM ov

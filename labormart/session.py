@@ -23,10 +23,10 @@ def get_session(master: str | None = None, app_name: str = "labormart",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cpus = os.cpu_count() or 8
+    if shuffle_partitions:  # else the cluster's own width holds
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -36,18 +36,18 @@ def get_session(master: str | None = None, app_name: str = "labormart",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master and master.startswith("local"):
-        builder = builder.config("spark.driver.memory", os.environ.get("LABORMART_DRIVER_MEMORY", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("LABORMART_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is used as is. Only when the setting is unset
-    (local tests) a fresh folder under the system temp dir is created and registered.
+    A cluster names a shared folder there; it is used as is. Only when the setting is unset and
+    the master is local a fresh folder under the system temp dir is created and registered;
+    elsewhere each executor would write to its own disk, so that is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -55,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="labormart-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FIVE, make_vacancy, write_jsonl
+from conftest import FIVE, raw_record, write_jsonl
 from labormart.operators import aggregates as A
 from labormart.operators import distribution as D
 from labormart.operators.clean import available_columns, clean, dedup_first
@@ -88,7 +88,7 @@ def test_aggregates_without_columns(spark):
 
 
 def test_lenient_salary_cast(spark, tmpdir_path):
-    recs = [make_vacancy(str(i), "Developer", "A", "1", None, None, "E") for i in range(5)]
+    recs = [raw_record(str(i), "Developer", "A", "1", None, None, "E") for i in range(5)]
     recs[0]["salary"] = {"from": 1.5e5, "to": "200000"}     # float and text
     recs[1]["salary"] = {"from": "abc", "to": 100}           # bad text → 0
     recs[2]["salary"] = {"from": "12.9", "to": None}         # decimal text truncates
@@ -102,8 +102,8 @@ def test_lenient_salary_cast(spark, tmpdir_path):
 
 
 def test_dedup_before_name_filter(spark, tmpdir_path):
-    first = make_vacancy("9", "Go", "A", "1", 1, 2, "E")               # kept copy, bad name
-    later = make_vacancy("9", "Good Name", "A", "1", 1, 2, "E")
+    first = raw_record("9", "Go", "A", "1", 1, 2, "E")               # kept copy, bad name
+    later = raw_record("9", "Good Name", "A", "1", 1, 2, "E")
     later["collected_at"] = "2025-05-02T00:00:00Z"
     write_jsonl(tmpdir_path, "d.jsonl", [later, first])
     assert clean(load_jsonl(spark, tmpdir_path)).count() == 0
@@ -112,9 +112,9 @@ def test_dedup_before_name_filter(spark, tmpdir_path):
 
 
 def test_name_filter_counts_characters(spark, tmpdir_path):
-    write_jsonl(tmpdir_path, "n.jsonl", [make_vacancy("1", "Го", "A", "1", 1, 2, "E"),
-                                          make_vacancy("2", "Гоу", "A", "1", 1, 2, "E"),
-                                          make_vacancy("3", None, "A", "1", 1, 2, "E")])
+    write_jsonl(tmpdir_path, "n.jsonl", [raw_record("1", "Го", "A", "1", 1, 2, "E"),
+                                          raw_record("2", "Гоу", "A", "1", 1, 2, "E"),
+                                          raw_record("3", None, "A", "1", 1, 2, "E")])
     assert [r.id for r in clean(load_jsonl(spark, tmpdir_path)).collect()] == ["2"]
 
 
@@ -292,7 +292,7 @@ def test_dataframe_and_sql_forms_agree_without_null_areas(spark):
 
 
 def test_all_salaries_null_keeps_columns(spark, tmpdir_path):
-    write_jsonl(tmpdir_path, "n.jsonl", [make_vacancy(str(i), "Developer", "A", "1", None, None, "E")
+    write_jsonl(tmpdir_path, "n.jsonl", [raw_record(str(i), "Developer", "A", "1", None, None, "E")
                                          for i in range(3)])
     df = clean(load_jsonl(spark, tmpdir_path))
     assert {"salary_from", "salary_to"} <= set(df.columns)

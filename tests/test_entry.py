@@ -20,8 +20,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"volume_report"}  # file sizes: rows-only check
+    from labormart.plans.catalog import QUERIES
+
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -38,14 +38,14 @@ def test_consume_starts_and_processes(spark, tmpdir_path):
 def test_collect_pages_to_files_topic_and_report(spark, tmpdir_path):
     import json
 
-    from conftest import make_vacancy
+    from conftest import raw_record
     from labormart.jobs import collect
     from labormart.streaming.windows import read_report
 
-    items = [make_vacancy("1", "Go Developer", "Москва", "1", 150000, 250000, "E"),
-             make_vacancy("2", "Python Engineer", "Москва", "1", 120000, 200000, "E"),
-             make_vacancy("3", "Go", "СПб", "2", 100000, 180000, "E"),          # invalid name
-             make_vacancy("4", "Backend Dev", "СПб", "", 100000, 180000, "E")]   # no area id
+    items = [raw_record("1", "Go Developer", "Москва", "1", 150000, 250000, "E"),
+             raw_record("2", "Python Engineer", "Москва", "1", 120000, 200000, "E"),
+             raw_record("3", "Go", "СПб", "2", 100000, 180000, "E"),          # invalid name
+             raw_record("4", "Backend Dev", "СПб", "", 100000, 180000, "E")]   # no area id
     pages = os.path.join(tmpdir_path, "pages")
     os.makedirs(pages)
     with open(os.path.join(pages, "p.txt"), "w", encoding="utf-8") as f:
