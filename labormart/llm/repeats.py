@@ -198,7 +198,7 @@ class Exchange:
         self.shards = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
         path = scratch_path(self.spark, "blocks")
         name = "labormart_" + path.rsplit("/", 1)[1].replace("-", "_")
-        in_blocks(rows).write.bucketBy(self.shards, "block").option("path", path).saveAsTable(name)
+        in_blocks(rows).write.bucketBy(self.shards, "block").option("compression", "zstd").option("path", path).saveAsTable(name)
         self.blocks = self.spark.table(name)
 
     def per_block(self, fn) -> DataFrame:
