@@ -49,6 +49,8 @@ def decode(lcp: np.ndarray, rest: bytes, width: int) -> np.ndarray:
 
 def shared_prefix(a: bytes, b: bytes, at: int) -> int:
     """Length of the common prefix of two strings of one length that share ``at`` bytes already."""
+    if a == b:
+        return len(a)
     low, high = at, len(a)
     while low < high:
         mid = (low + high + 1) // 2
@@ -156,10 +158,11 @@ def merged_verdicts(exchange: Exchange, known: DataFrame) -> DataFrame:
         at[order] = np.cumsum(head) - 1
         least = ids[order][head]
         lcp, rest = front_code(key[order][head])
-        return mail([(block.number, 0, "run", pack(lcp=lcp, rest=rest, id=least)), (block.number, 0, "places", pack(at=at.astype(np.int32), known=ids > least[at]))])
+        some = key[order][head][np.linspace(0, len(lcp) - 1, min(SAMPLE_KEYS, len(lcp))).astype(int)]
+        return mail([(block.number, 0, "sample", some.tobytes()), (block.number, 0, "run", pack(lcp=lcp, rest=rest, id=least)), (block.number, 0, "places", pack(at=at.astype(np.int32), known=ids > least[at]))])
 
     sent = materialize(exchange.with_mail(known, sort_block, "block long, shard int, kind string, data binary"), "suffix-runs")
-    splitters = sampled_splitters(sent.where(F.col("kind") == "run"), exchange.shards)
+    splitters = sampled_splitters(sent.where(F.col("kind") == "sample"), exchange.shards)
 
     def cut(batches):
         for batch in batches:
@@ -191,17 +194,8 @@ def _comparable(keys: np.ndarray) -> np.ndarray:
 def sampled_splitters(sent: DataFrame, ranges: int) -> np.ndarray:
     """Strings that cut the keys into about equal ranges, from a bounded sample of runs."""
 
-    def run(batches):
-        for batch in batches:
-            out = []
-            for data in batch.column("data").to_pylist():
-                r = unpack(data)
-                keys = decode(r["lcp"], r["rest"], LENGTH)
-                out += [k.tobytes() for k in keys[np.linspace(0, len(keys) - 1, min(SAMPLE_KEYS, len(keys))).astype(int)]]
-            yield pa.RecordBatch.from_pydict({"key": pa.array(out, pa.binary())})
-
-    some = sent.orderBy(F.xxhash64("block")).limit(SAMPLE_RUNS).select("data")
-    keys = sorted(r["key"] for r in some.mapInArrow(run, "key binary").toArrow().to_pylist())
+    some = sent.orderBy(F.xxhash64("block")).limit(SAMPLE_RUNS).select("data").collect()
+    keys = sorted(bytes(r["data"][i : i + LENGTH]) for r in some for i in range(0, len(r["data"]), LENGTH))
     if not keys:
         return np.zeros((0, LENGTH), np.uint8)
     picked = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)})
