@@ -24,11 +24,11 @@ from __future__ import annotations
 
 import ctypes
 import pickle
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +51,7 @@ _PLACE = np.uint64((1 << 20) - 1)
 MAIL = "block long, shard int, kind string, data binary"
 MAIL_ARROW = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("kind", pa.string()), ("data", pa.binary())])
 LOWEST = -(1 << 63)
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
 
 
 @dataclass(frozen=True)
@@ -84,11 +85,11 @@ def give_back() -> None:
 
 
 def pack(**arrays) -> bytes:
-    return zlib.compress(pickle.dumps(arrays, protocol=5), 1)
+    return _ZIP.compress(pickle.dumps(arrays, protocol=5))
 
 
 def unpack(data: bytes) -> dict[str, np.ndarray]:
-    return pickle.loads(zlib.decompress(data))
+    return pickle.loads(_UNZIP.decompress(data))
 
 
 def mail(rows: list[tuple[int, int, str, bytes]]) -> pa.Table:

@@ -49,30 +49,22 @@ def decode(lcp: np.ndarray, rest: bytes, width: int) -> np.ndarray:
 
 def shared_prefix(a: bytes, b: bytes, at: int) -> int:
     """Length of the common prefix of two strings of one length that share ``at`` bytes already."""
-    if a == b:
-        return len(a)
-    low, high = at, len(a)
-    while low < high:
-        mid = (low + high + 1) // 2
-        if a[low:mid] == b[low:mid]:
-            low = mid
-        else:
-            high = mid - 1
-    return low
+    differ = int.from_bytes(a[at:], "big") ^ int.from_bytes(b[at:], "big")
+    return len(a) - (differ.bit_length() + 7) // 8
 
 
 class LoserTree:
     """Merges sorted runs of (key, prefix shared with the run's previous key).
 
-    Every run's head carries the length of its common prefix with the last winner. Of two heads the
-    one with the longer prefix is smaller; only heads with equal prefixes are compared, from there on.
+    Every run's head carries the length of its common prefix with the last winner; -1 marks a run
+    that has ended. Of two heads the one with the longer prefix is smaller; only heads with equal
+    prefixes are compared, from there on.
     """
 
     def __init__(self, runs: list[tuple[list[bytes], list[int]]]) -> None:
-        self.runs, self.k = runs, max(1, len(runs))
-        self.at = [0] * self.k
-        self.key: list[bytes | None] = [r[0][0] if r[0] else None for r in runs] or [None]
-        self.lcp = [0] * self.k
+        self.runs, self.k = runs or [([], [])], max(1, len(runs))
+        self.key = [keys[0] if keys else b"" for keys, _ in self.runs]
+        self.lcp = [0 if keys else -1 for keys, _ in self.runs]
         self.loser = [-1] * self.k
         self.winner = self._build(1)
 
@@ -83,33 +75,41 @@ class LoserTree:
 
     def _play(self, node: int, a: int, b: int) -> int:
         """Keeps the loser in the node, gives the winner; the loser's prefix is then with that winner."""
-        if self.key[a] is None or self.key[b] is None:
-            win, lose = (b, a) if self.key[a] is None else (a, b)
-        elif self.lcp[a] != self.lcp[b]:
-            win, lose = (a, b) if self.lcp[a] > self.lcp[b] else (b, a)
-        else:
+        p, q = self.lcp[a], self.lcp[b]
+        if p < q:
+            a, b = b, a
+        elif p == q and p >= 0:
             x, y = self.key[a], self.key[b]
-            n = shared_prefix(x, y, self.lcp[a])
-            win, lose = (a, b) if n == len(x) or x[n] < y[n] else (b, a)
-            self.lcp[lose] = n
-        self.loser[node] = lose
-        return win
+            n = shared_prefix(x, y, p)
+            if n < len(x) and x[n] > y[n]:
+                a, b = b, a
+            self.lcp[b] = n
+        self.loser[node] = b
+        return a
 
     def __iter__(self):
         """(run, place in it, prefix shared with the string before in the merged order)."""
-        while self.key[self.winner] is not None:
-            r = self.winner
-            yield r, self.at[r], self.lcp[r]
-            self.at[r] += 1
+        key, lcp, loser, play = self.key, self.lcp, self.loser, self._play
+        at = [0] * self.k
+        r = self.winner
+        while lcp[r] >= 0:
+            yield r, at[r], lcp[r]
+            at[r] = i = at[r] + 1
             keys, lcps = self.runs[r]
-            i = self.at[r]
-            self.key[r] = keys[i] if i < len(keys) else None
-            self.lcp[r] = lcps[i] if i < len(keys) else 0
-            node = (r + self.k) // 2
+            if i < len(keys):
+                key[r], lcp[r] = keys[i], lcps[i]
+            else:
+                lcp[r] = -1
+            node = (r + self.k) >> 1
             while node:
-                r = self._play(node, r, self.loser[node])
-                node //= 2
-            self.winner = r
+                other = loser[node]
+                p, q = lcp[r], lcp[other]
+                if p == q:
+                    r = play(node, r, other)
+                elif p < q:
+                    loser[node], r = r, other
+                node >>= 1
+        self.winner = r
 
 
 def merge_runs(parts: list[dict[str, np.ndarray]]) -> list[np.ndarray]:
@@ -118,20 +118,22 @@ def merge_runs(parts: list[dict[str, np.ndarray]]) -> list[np.ndarray]:
     tree = LoserTree([([k.tobytes() for k in ks], p["lcp"].tolist()) for ks, p in zip(keys, parts, strict=True)])
     ids = [p["id"].tolist() for p in parts]
     out = [np.zeros(len(x), bool) for x in ids]
-    group: list[tuple[int, int]] = []
-
-    def close() -> None:
-        if len(group) > 1:
-            least = min(ids[r][i] for r, i in group)
-            for r, i in group:
-                out[r][i] = ids[r][i] > least
-
-    for r, i, lcp in tree:
-        if lcp < LENGTH:
-            close()
-            group = []
-        group.append((r, i))
-    close()
+
+    def close(equal: list[tuple[int, int, int]]) -> None:
+        least = min(ids[r][i] for r, i, _ in equal)
+        for r, i, _ in equal:
+            out[r][i] = ids[r][i] > least
+
+    equal: list[tuple[int, int, int]] = []
+    for head in tree:
+        if head[2] == LENGTH:
+            equal.append(head)
+            continue
+        if len(equal) > 1:
+            close(equal)
+        equal = [head]
+    if len(equal) > 1:
+        close(equal)
     return out
 
 
