@@ -139,7 +139,7 @@ def collect(spark: SparkSession, pages_dir: str, files_out: str, topic_dir: str
     page envelope per line): pages → items stamped with the collection time → validation
     (invalid items dropped) → (1) JSONL files + topic messages, (2) the tumbling window
     report. Returns the started queries."""
-    from labormart.operators.clean import cast_salaries, flatten
+    from labormart.operators.clean import given_salaries
     from labormart.operators.validate import split_valid, validate_raw
     from labormart.sources.messages import unwrap_pages
     from labormart.streaming.windows import event_time, start_fan_out, start_tumbling_report
@@ -152,9 +152,9 @@ def collect(spark: SparkSession, pages_dir: str, files_out: str, topic_dir: str
     ck = (checkpoint_root.rstrip("/") + "/") if checkpoint_root else None  # else beside each output
     q_files = start_fan_out(valid_items(), files_out, topic_dir, trigger=trigger, kafka=kafka,
                             checkpoint=(ck + "fanout") if ck else beside(files_out))
-    flat = cast_salaries(flatten(valid_items())).withColumn("ts", F.to_timestamp("collected_at"))
+    flat = given_salaries(valid_items()).withColumn("ts", F.to_timestamp("collected_at"))
     q_report = start_tumbling_report(event_time(flat, watermark=watermark), report_out,
-                                     trigger=trigger, size=window,
+                                     trigger=trigger, size=window, has_salary="has_salary",
                                      checkpoint=(ck + "report") if ck else beside(report_out))
     return [q_files, q_report]
 

@@ -26,9 +26,16 @@ def _seconds(duration: str) -> int:
     return int(num) * mult
 
 
-def salary_inputs(s_from: str, s_to: str) -> tuple[Column, Column, Column]:
-    """(from, to, has_salary) with 0 read as "not given" and a salary present when either
-    bound is given."""
+def salary_inputs(s_from: str, s_to: str, has_salary: str | None = None
+                  ) -> tuple[Column, Column, Column]:
+    """(from, to, has_salary) for the salary figures.
+
+    With ``has_salary`` (a boolean column, see ``clean.given_salaries``) the bounds are taken as
+    they are: null is missing, a given 0 counts, and a salary record may lack both. Without it
+    the table is a clean one: 0 stands for "not given" and a salary is present when either
+    bound is."""
+    if has_salary:
+        return F.col(s_from), F.col(s_to), F.col(has_salary)
     f = F.nullif(F.col(s_from), F.lit(0))
     t = F.nullif(F.col(s_to), F.lit(0))
     return f, t, f.isNotNull() | t.isNotNull()
@@ -41,9 +48,9 @@ def _bounds(w: str = "w") -> list[Column]:
 
 def tumbling_by_area(df: DataFrame, ts: str = "ts", area: str = "area_name",
                      s_from: str = "salary_from", s_to: str = "salary_to",
-                     size: str = TUMBLING_WINDOW) -> DataFrame:
+                     size: str = TUMBLING_WINDOW, has_salary: str | None = None) -> DataFrame:
     """Per window and area: count and the five salary figures. Empty windows give no row."""
-    f, t, h = salary_inputs(s_from, s_to)
+    f, t, h = salary_inputs(s_from, s_to, has_salary)
     g = df.groupBy(F.window(ts, size).alias("w"), F.col(area).alias("area")).agg(
         F.count(F.lit(1)).alias("area_count"), *salary_accumulator_exprs(f, t, h))
     return g.select(*_bounds(), "area", "area_count", "avg_from", "avg_to", "min_from",
@@ -51,9 +58,10 @@ def tumbling_by_area(df: DataFrame, ts: str = "ts", area: str = "area_name",
 
 
 def tumbling_total(df: DataFrame, ts: str = "ts", s_from: str = "salary_from",
-                   s_to: str = "salary_to", size: str = TUMBLING_WINDOW) -> DataFrame:
+                   s_to: str = "salary_to", size: str = TUMBLING_WINDOW,
+                   has_salary: str | None = None) -> DataFrame:
     """Per window over all areas: total count and the five salary figures."""
-    f, t, h = salary_inputs(s_from, s_to)
+    f, t, h = salary_inputs(s_from, s_to, has_salary)
     g = df.groupBy(F.window(ts, size).alias("w")).agg(
         F.count(F.lit(1)).alias("total_count"), *salary_accumulator_exprs(f, t, h))
     return g.select(*_bounds(), "total_count", "avg_from", "avg_to", "min_from", "max_to",
@@ -80,10 +88,11 @@ def tumbling_top_skills(df: DataFrame, ts: str = "ts", text: str = "snippet_requ
 def window_report(df: DataFrame, ts: str = "ts", area: str = "area_name",
                   s_from: str = "salary_from", s_to: str = "salary_to",
                   text: str = "snippet_requirement", keywords: Sequence[str] = LITERAL_SKILLS,
-                  size: str = TUMBLING_WINDOW, skills: str | None = None) -> DataFrame:
+                  size: str = TUMBLING_WINDOW, skills: str | None = None,
+                  has_salary: str | None = None) -> DataFrame:
     """W4 (+J2): one row per (window, area) with the window total and the window's top skill
     repeated; '' and 0 when no keyword matched in the window."""
-    per_area = tumbling_by_area(df, ts, area, s_from, s_to, size)
+    per_area = tumbling_by_area(df, ts, area, s_from, s_to, size, has_salary)
     return report_from_parts(per_area,
                              tumbling_top_skills(df, ts, text, keywords, 1, size, skills))
 
@@ -165,15 +174,17 @@ def sliding_top_areas(df: DataFrame, ts: str = "ts", area: str = "area_name",
 
 def trailing_count(df: DataFrame, ts: str = "ts", key: str = "id", size: str = SLIDING_WINDOW,
                    bucket: str | None = None) -> DataFrame:
-    """For every event, the events in [ts - size, ts] (equal timestamps included).
+    """For every event, the events in [ts - size, ts] (equal timestamps included); null for
+    an event without a timestamp.
 
-    Exact and partitioned, in three steps:
+    Exact, partitioned and linear in the number of timestamps, in three steps:
 
     1. events are counted per distinct timestamp (a partial aggregate: a timestamp shared by
        a large share of all events is reduced map-side);
-    2. time is cut into buckets (default 12 × size); a timestamp within ``size`` of the next
-       bucket's start is also copied there, so every bucket holds all the timestamps its own
-       ones look back on, and a RANGE frame sums the counts per bucket;
+    2. a timestamp's n events come in at it (+n) and leave just after it plus ``size`` (-n); the
+       count at a timestamp is the running sum. Time is cut into buckets (default 12 × size), and
+       what leaves only in a later bucket is also carried in at the start of each bucket up to
+       that one, so each bucket sums by itself;
     3. the per-timestamp result is joined back to the events on the timestamp (AQE splits a
        skewed timestamp on the event side).
     """
@@ -181,17 +192,27 @@ def trailing_count(df: DataFrame, ts: str = "ts", key: str = "id", size: str = S
     b_us = _seconds(bucket) * 1_000_000 if bucket else 12 * size_us
     if b_us < size_us:
         raise ValueError("bucket must not be shorter than the window")
-    per_ts = df.groupBy(F.col(ts).alias("_ts")).agg(F.count(F.lit(1)).alias("_n"))
+    per_ts = (df.filter(F.col(ts).isNotNull()).groupBy(F.col(ts).alias("_ts"))
+                .agg(F.count(F.lit(1)).alias("_n")))
     per_ts = per_ts.withColumn("_t", F.unix_micros(F.col("_ts").cast("timestamp")))
-    b = F.floor(F.col("_t") / b_us)
-    copies = F.when(F.col("_t") >= (b + 1) * b_us - size_us,
-                    F.array(F.struct(b.alias("b"), F.lit(True).alias("own")),
-                            F.struct((b + 1).alias("b"), F.lit(False).alias("own")))
-                    ).otherwise(F.array(F.struct(b.alias("b"), F.lit(True).alias("own"))))
-    spread = per_ts.select("_ts", "_t", "_n", F.explode(copies).alias("_x")).select(
-        "_ts", "_t", "_n", F.col("_x.b").alias("_b"), F.col("_x.own").alias("_own"))
-    w = Window.partitionBy("_b").orderBy("_t").rangeBetween(-size_us, 0)
-    counts = (spread.withColumn("trailing_count", F.sum("_n").over(w))
+
+    def bucket_of(t: Column) -> Column:
+        return F.floor(t / b_us).cast("bigint")
+
+    def step(t: Column, b: Column, n: Column, own: bool) -> Column:
+        return F.struct(b.alias("_b"), t.cast("bigint").alias("_t"), n.alias("_d"),
+                        F.lit(own).alias("_own"))
+
+    t, n = F.col("_t"), F.col("_n")
+    gone = t + size_us + 1
+    here, there = bucket_of(t), bucket_of(gone)
+    steps = [step(t, here, n, True), step(gone, there, -n, False)]
+    carried = F.transform(F.sequence(here + 1, there), lambda b: step(b * b_us, b, n, False))
+    moves = F.when(there > here, F.concat(F.array(*steps), carried)).otherwise(F.array(*steps))
+    spread = per_ts.select("_ts", F.explode(moves).alias("_x")).select("_ts", "_x.*")
+    w = (Window.partitionBy("_b").orderBy("_t")
+         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    counts = (spread.withColumn("trailing_count", F.sum("_d").over(w))
                     .filter("_own").select("_ts", "trailing_count"))
-    return (df.select(key, ts).join(counts, F.col(ts) == F.col("_ts"), "inner")
+    return (df.select(key, ts).join(counts, F.col(ts) == F.col("_ts"), "left")
               .select(key, ts, F.col("trailing_count").cast("bigint").alias("trailing_count")))

@@ -135,7 +135,18 @@ def q_event_vac(spark, sf):
     return AD.event_vacancies(spark, sf)
 
 
+def q_tumbling_raw(spark, sf):
+    """W1 over raw records, where a given 0 counts and a salary record may lack a bound: the
+    negative lower bounds of the driver rows are taken as given zeros."""
+    s_from = F.col("salary.from")
+    zeros = F.when(s_from.startswith("-"), F.lit("0")).otherwise(s_from)
+    raw = AD.raw_vacancies(spark, sf).withColumn("salary", F.col("salary").withField("from", zeros))
+    rec = C.given_salaries(raw).withColumn("ts", F.to_timestamp("collected_at"))
+    return W.tumbling_by_area(rec, size="1 day", has_salary="has_salary")
+
+
 QUERIES: dict[str, Query] = {
+    "tumbling_raw_by_area": q_tumbling_raw,
     # aggregates over the clean vacancy table
     "aggregate_by_area": lambda s, sf: A.aggregate_by_area(_ov(s, sf)),
     "aggregate_by_employer": lambda s, sf: A.aggregate_by_employer(_ov(s, sf)),

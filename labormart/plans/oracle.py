@@ -219,6 +219,22 @@ SELECT strftime(ws, {ISO}) AS window_start, strftime(ws + INTERVAL '{size}', {IS
 FROM t GROUP BY ws, area_name"""
 
 
+def _tumbling_raw_by_area(size: str) -> str:
+    """Averages over the bounds that are given, zeros too; the least bound is a non-zero one."""
+    return _with(RV) + f""", t AS (
+  SELECT time_bucket(INTERVAL '{size}', cts) AS ws, area_name, has_salary,
+         CASE WHEN sf < 0 THEN 0 ELSE sf END AS f, st AS tt
+  FROM rv)
+SELECT strftime(ws, {ISO}) AS window_start, strftime(ws + INTERVAL '{size}', {ISO}) AS window_end,
+       area_name AS area, count(*) AS area_count,
+       COALESCE(avg(f) FILTER (WHERE has_salary), 0.0) AS avg_from,
+       COALESCE(avg(tt) FILTER (WHERE has_salary), 0.0) AS avg_to,
+       COALESCE(min(f) FILTER (WHERE has_salary AND f <> 0), 0) AS min_from,
+       COALESCE(max(tt) FILTER (WHERE has_salary AND tt > 0), 0) AS max_to,
+       count(*) FILTER (WHERE has_salary) AS with_salary
+FROM t GROUP BY ws, area_name"""
+
+
 def _tumbling_total(size: str) -> str:
     return _tumbling_base(size) + f"""
 SELECT strftime(ws, {ISO}) AS window_start, strftime(ws + INTERVAL '{size}', {ISO}) AS window_end,
@@ -458,6 +474,7 @@ SELECT skill, count FROM s WHERE count > 0 ORDER BY count DESC, skill""",
 SELECT area_name, skill, count FROM s WHERE count > 0""",
     "tumbling_by_area": _tumbling_by_area("1 hour"),
     "tumbling_total": _tumbling_total("1 hour"),
+    "tumbling_raw_by_area": _tumbling_raw_by_area("1 day"),
     "tumbling_top_skills": _tumbling_top_skills("1 hour"),
     "window_report": _window_report("1 hour"),
     "sliding_stats": _sliding_stats("6 hours", "1 hour", 6, 21600),

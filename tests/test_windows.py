@@ -52,6 +52,30 @@ def test_salary_accumulator_zero_rules(spark):
     assert r.avg_from == 300.0 and r.avg_to == 500.0
 
 
+def test_given_zeros_and_empty_salary_records_count(spark):
+    """Averages take a given 0; a salary record without bounds still counts as one."""
+    from labormart.operators.clean import given_salaries
+
+    s = "struct<from:string,to:string,currency:string,gross:boolean>"
+    df = spark.createDataFrame(
+        [("1", ("0", "100", None, None)), ("2", ("100", "100", None, None)),
+         ("3", (None, None, None, None)), ("4", None)], f"id string, salary {s}")
+    df = given_salaries(df).withColumns({"ts": F.lit(T0), "area_name": F.lit("A")})
+    r = W.tumbling_by_area(df, has_salary="has_salary").first()
+    assert (r.area_count, r.with_salary, r.avg_from, r.avg_to) == (4, 3, 50.0, 100.0)
+    assert (r.min_from, r.max_to) == (100, 100)
+
+
+def test_trailing_count_keeps_events_without_time(spark):
+    base = dt.datetime(2025, 5, 1, 0, 59, 59, 999999)
+    offs = [0, 0, 300, None, 300.000001, 3600, None]
+    df = _rows(spark, [(str(i), o if o is None else base + dt.timedelta(seconds=o), "A", 0, 0, None)
+                       for i, o in enumerate(offs)])
+    out = W.trailing_count(df, bucket="300 seconds")
+    assert {r.id: r.trailing_count for r in out.collect()} == {
+        "0": 2, "1": 2, "2": 3, "3": None, "4": 2, "5": 1, "6": None}
+
+
 def test_report_without_skills(spark):
     df = _rows(spark, [("1", T0, "Москва", 1, 2, "none"), ("2", T0, "Санкт-Петербург", 1, 2, None)])
     rep = W.window_report(df).collect()
