@@ -2,7 +2,7 @@
 (A4, A5, A13, A14, A16-A18, J1).
 
 Exact medians and quartiles are computed by :func:`rank_values`: counts per (group, value),
-approximate per-group bucket bounds, exact ranking inside the one bucket that holds each
+sums per (group, bucket of values), exact ranking inside the one bucket that holds each
 target rank. A group holding a third of all rows is therefore spread over the cluster by
 value instead of being merged in one task, which is what Spark's ``percentile`` aggregate
 would do (kept as ``method="builtin"``; ``"approx"`` is ``percentile_approx``).
@@ -75,63 +75,90 @@ def _join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in keys])
 
 
+def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Rows per (group, value) as ``_c``: a partial aggregate whose shuffle spreads even a huge
+    group over all reducers by value."""
+    return df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _bucket(value: Column, per_octave: float) -> Column:
+    """A bucket number that never falls as the value grows: a logarithmic scale on either side
+    of zero, from the value alone. 64-bit integers give at most 126 * ``per_octave`` buckets."""
+    v = value.cast("double")
+    return F.floor(F.signum(v) * F.log2(F.abs(v) + 1.0) * per_octave).cast("bigint")
+
+
 def rank_values(df: DataFrame, group: Sequence[str], value: str,
                 targets: Callable[[Column], list[tuple[str, Column]]],
-                buckets: int = 64) -> DataFrame:
+                per_octave: int = 256, levels: int = 1) -> DataFrame:
     """Exact values at given ranks inside each group, without sending a group to one task.
 
     ``targets(n)`` maps the group size to named 1-based ranks. Output: group columns, ``_name``,
     ``_k``, ``_value`` (the k-th smallest, ties repeated) and ``_n`` (the group size); the
-    leading underscores keep them apart from any group column.
-
-    1. rows are counted per (group, value): a partial aggregate whose shuffle spreads even a
-       huge group over all reducers by value;
-    2. each group's distinct values are cut into ``buckets`` ranges at approximate quantiles
-       (a fixed-size sketch per group) and the rows per (group, bucket) are summed;
-    3. per group, the ``buckets`` bucket sums form one array (a fixed size), and running sums
-       over it locate the bucket of every target rank;
-    4. only the values of those buckets are ranked exactly (a running count per bucket).
+    leading underscores keep them apart from any group column. Null values are no values.
+
+    1. rows are counted per (group, value);
+    2. counts are summed per (group, bucket), the bucket being computed from the value;
+    3. running sums over the (bounded number of) buckets of a group find the bucket of each rank;
+    4. only the values of those buckets are read, by a join on group and bucket, and ranked.
+
+    ``levels`` repeats steps 2 and 3 inside the buckets found, on a scale 4096 times as fine, for
+    columns with millions of distinct values within a 256th of an octave.
     """
+    return rank_counted(value_counts(df, group, value), group, value, targets, per_octave, levels)
+
+
+def rank_counted(pairs: DataFrame, group: Sequence[str], value: str,
+                 targets: Callable[[Column], list[tuple[str, Column]]],
+                 per_octave: int = 256, levels: int = 1) -> DataFrame:
+    """:func:`rank_values` from the counts of :func:`value_counts`."""
     g = list(group)
-    pairs = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = pairs.groupBy(*g).agg(F.percentile_approx(value, probs, 10 * buckets).alias("_bounds"))
-    # bucket = number of bounds strictly below the value (0 .. buckets-1)
-    pb = _join_ns(pairs, bounds, g).select(
-        *g, value, "_c", F.size(F.filter("_bounds", lambda b: b < F.col(value))).alias("_bk"))
-    # rows per bucket, as one array of ``buckets`` sums per group (one partial aggregate)
-    sums = [F.coalesce(F.sum(F.when(F.col("_bk") == i, F.col("_c"))), F.lit(0)).cast("bigint")
-            for i in range(buckets)]
-    per_group = pb.groupBy(*g).agg(F.array(*[
-        F.struct(F.lit(i).alias("_bk"), c.alias("_bc")) for i, c in enumerate(sums)]).alias("_b"))
-    # running sums over the (≤ buckets) entries, then the bucket of each target rank
-    idx = F.sequence(F.lit(0), F.size("_b") - 1)
-    cum = F.transform(idx, lambda i: F.aggregate(F.slice("_b", 1, i + 1), F.lit(0).cast("bigint"),
-                                                 lambda acc, x: acc + x["_bc"]))
-    per_group = per_group.select(*g, "_b", cum.alias("_cum")).withColumn(
-        "_n", F.element_at("_cum", -1))
-    tg = per_group.select(*g, "_b", "_cum", "_n", F.explode(F.array(*[
-        F.struct(F.lit(name).alias("_name"), k.cast("bigint").alias("_k"))
-        for name, k in targets(F.col("_n"))])).alias("_t")).select(*g, "_b", "_cum", "_n", "_t.*")
-    pos = F.filter(F.sequence(F.lit(1), F.size("_b")),
-                   lambda j: F.element_at("_cum", j) >= F.col("_k"))[0]
-    where = tg.select(*g, "_name", "_k", "_n",
-                      F.element_at("_b", pos)["_bk"].alias("_bk"),
-                      (F.col("_k") - (F.element_at("_cum", pos)
-                                      - F.element_at("_b", pos)["_bc"])).alias("_kin"))
-    cand = _join_ns(pb, where.select(*g, "_bk"), g + ["_bk"], "left_semi")
-    wv = Window.partitionBy(*g, "_bk").orderBy(value)
-    cand = cand.withColumn("_cum", F.sum("_c").over(wv.rowsBetween(Window.unboundedPreceding, 0)))
-    hit = _join_ns(cand, where, g + ["_bk"]).filter(
-        (F.col("_cum") >= F.col("_kin")) & (F.col("_cum") - F.col("_c") < F.col("_kin")))
+    pairs = pairs.filter(F.col(value).isNotNull())
+    within, where = list(g), None
+    for level in range(levels):
+        bk = f"_b{level}"
+        pairs = pairs.withColumn(bk, _bucket(F.col(value), float(per_octave) * 4096 ** level))
+        part = pairs if where is None else _join_ns(pairs, where.select(*within).distinct(), within,
+                                                    "left_semi")
+        sums = part.groupBy(*within, bk).agg(F.sum("_c").alias("_bc"))
+        w = Window.partitionBy(*within)
+        sums = sums.select(*within, bk, "_bc", F.sum("_bc").over(w).alias("_n"), F.sum("_bc").over(
+            w.orderBy(bk).rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"))
+        if where is None:
+            sums = sums.select("*", F.explode(F.array(*[
+                F.struct(F.lit(name).alias("_name"), k.cast("bigint").alias("_k"))
+                for name, k in targets(F.col("_n"))])).alias("_t"))
+            sums = sums.select(*within, bk, "_bc", "_cum", "_n", "_t.*",
+                               F.col("_t._k").alias("_in"))
+        else:
+            sums = _join_ns(sums.drop("_n"), where, within)
+        before = F.col("_cum") - F.col("_bc")
+        within = [*within, bk]
+        where = sums.filter((F.col("_cum") >= F.col("_in")) & (before < F.col("_in"))).select(
+            *within, "_name", "_k", "_n", (F.col("_in") - before).alias("_in"))
+    # The values of the buckets found: few per group, so all of a group's may go to one task, and
+    # the ranking below and an aggregate per group after it need no further shuffle.
+    cand = _join_ns(pairs, where.groupBy(*within).agg(
+        F.collect_list(F.struct("_name", "_k", "_n", "_in")).alias("_want")), within)
+    if g:
+        cand = cand.repartition(*g)
+    wv = Window.partitionBy(*within).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    hit = cand.withColumn("_cum", F.sum("_c").over(wv)).select("*", F.inline("_want")).filter(
+        (F.col("_cum") >= F.col("_in")) & (F.col("_cum") - F.col("_c") < F.col("_in")))
     return hit.select(*g, "_name", "_k", F.col(value).alias("_value"), "_n")
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
-                    buckets: int = 64) -> DataFrame:
+                    levels: int = 1) -> DataFrame:
     """Linear-interpolated quantiles (as ``percentile`` / ``percentile_cont``) per group,
     computed from exact ranks: position p·(n-1), interpolated between its floor and ceiling.
     Output: group columns, ``n`` and one DOUBLE column ``q<i>`` per probability."""
+    return quantiles_counted(value_counts(df, group, value), group, value, probs, levels)
+
+
+def quantiles_counted(pairs: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
+                      levels: int = 1) -> DataFrame:
+    """:func:`exact_quantiles` from the counts of :func:`value_counts`."""
     def targets(n):
         out = []
         for i, p in enumerate(probs):
@@ -139,7 +166,7 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequ
             out += [(f"lo{i}", F.floor(pos) + 1), (f"hi{i}", F.ceil(pos) + 1)]
         return out
 
-    vals = rank_values(df, group, value, targets, buckets)
+    vals = rank_counted(pairs, group, value, targets, levels=levels)
     aggs = [F.max(F.when(F.col("_name") == nm, F.col("_value"))).alias(f"_{nm}")
             for i in range(len(probs)) for nm in (f"lo{i}", f"hi{i}")]
     wide = vals.groupBy(*group).agg(F.max("_n").alias("_n"), *aggs)
@@ -206,14 +233,19 @@ def salary_box(df: DataFrame, area: str = "area_name", s_from: str = "salary_fro
                n: int = 10, method: str = "ranks") -> DataFrame:
     """Box summary per top-``n`` area: min, quartiles (linear), max, 1.5·IQR fences and
     the number of points outside them. ``method`` as in :func:`median_by_area`."""
-    rows = top_area_rows(df, area, s_from, n)
+    # top areas, quartiles and outliers all come from the rows per (area, value)
+    pairs = value_counts(df.filter(F.col(s_from) > 0), [area], s_from)
+    top = (pairs.groupBy(area).agg(F.sum("_c").alias("_n"))
+           .orderBy(F.col("_n").desc(), F.col(area).asc_nulls_last()).limit(n).select(area))
+    pairs = pairs.join(F.broadcast(top), area, "left_semi")  # at most n rows
     if method == "ranks":
         # min and max are ranks 1 and n of the same exact rank selection as the quartiles
-        q = exact_quantiles(rows, [area], s_from, [0.0, 0.25, 0.5, 0.75, 1.0])
+        q = quantiles_counted(pairs, [area], s_from, [0.0, 0.25, 0.5, 0.75, 1.0])
         stats = q.select(area, F.col("n").alias("count"), F.col("q0").cast("bigint").alias("min"),
                          F.col("q4").cast("bigint").alias("max"), F.col("q1").alias("q1"),
                          F.col("q2").alias("median"), F.col("q3").alias("q3"))
     elif method in ("builtin", "approx"):
+        rows = top_area_rows(df, area, s_from, n)
         basic = rows.groupBy(area).agg(F.count(F.lit(1)).alias("count"),
                                        F.min(s_from).alias("min"), F.max(s_from).alias("max"))
         qa = (F.percentile_approx(s_from, [0.25, 0.5, 0.75], 100000) if method == "approx"
@@ -227,9 +259,9 @@ def salary_box(df: DataFrame, area: str = "area_name", s_from: str = "salary_fro
                   .withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
                   .withColumn("upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
     # stats has one row per top area (at most n): a bounded broadcast.
-    out_cnt = (rows.join(F.broadcast(stats.select(area, "lower_fence", "upper_fence")), area)
-                   .groupBy(area)
-                   .agg(F.count_if((F.col(s_from) < F.col("lower_fence"))
-                                   | (F.col(s_from) > F.col("upper_fence"))).alias("outliers")))
+    outside = (F.col(s_from) < F.col("lower_fence")) | (F.col(s_from) > F.col("upper_fence"))
+    out_cnt = (pairs.join(F.broadcast(stats.select(area, "lower_fence", "upper_fence")), area)
+                    .groupBy(area)
+                    .agg(F.sum(F.when(outside, F.col("_c")).otherwise(0)).alias("outliers")))
     return (stats.join(F.broadcast(out_cnt), area, "left")
                  .orderBy(F.col("count").desc(), F.col(area).asc_nulls_last()))

@@ -55,7 +55,7 @@ def test_quantiles_with_few_buckets_and_ties(spark):
     rows = [("g", v) for v in [5] * 500 + list(range(1, 300)) + [7] * 200] + [(None, 3), (None, 9)]
     df = spark.createDataFrame(rows, "k STRING, v BIGINT")
     q = {r.k: (r.n, r.q0, r.q1, r.q2) for r in
-         D.exact_quantiles(df, ["k"], "v", [0.1, 0.5, 0.99], buckets=4).collect()}
+         D.exact_quantiles(df, ["k"], "v", [0.1, 0.5, 0.99], levels=2).collect()}
     vals = [v for k, v in rows if k == "g"]
     assert q["g"] == (len(vals), _linear(vals, 0.1), _linear(vals, 0.5), _linear(vals, 0.99))
     assert q[None] == (2, 3.6, 6.0, 8.94)
