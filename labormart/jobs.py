@@ -25,6 +25,7 @@ from labormart.operators import aggregates as A
 from labormart.operators import distribution as D
 from labormart.operators import profile as PR
 from labormart.operators import skills as K
+from labormart.functions import iso_text
 from labormart.operators.clean import clean
 from labormart.sources.files import load_jsonl, parquet_view, save_parquet
 
@@ -131,6 +132,33 @@ def consume(spark: SparkSession, topic_dir: str | None, out: str, window_sec: in
                                 area="area", s_from="salary")
 
 
+def valid_items(pages: DataFrame) -> DataFrame:
+    """Items of stored pages that pass the rules. An item's collection time is the time its page
+    was stored: the same in the files, the topic and the windows, and again after a replay."""
+    from labormart.operators.validate import split_valid, validate_raw
+    from labormart.sources.messages import unwrap_pages
+
+    stored = pages.select("value", F.col("_metadata.file_modification_time").alias("_stored"))
+    items = unwrap_pages(stored, collected_at=iso_text("_stored"))
+    return split_valid(validate_raw(items))[0]
+
+
+def timed(items: DataFrame) -> DataFrame:
+    """Flat items with their salaries as given and their collection time as event time."""
+    from labormart.operators.clean import given_salaries
+
+    return given_salaries(items).withColumn("ts", F.to_timestamp("collected_at"))
+
+
+def finish_collect(spark: SparkSession, pages_dir: str, report_out: str,
+                   window: str = "60 seconds") -> DataFrame:
+    """The windows that the stopped collector still held open, from the stored pages."""
+    from labormart.streaming.windows import flush_tail
+
+    pages = spark.read.text(pages_dir)
+    return flush_tail(timed(valid_items(pages)), report_out, size=window, has_salary="has_salary")
+
+
 def collect(spark: SparkSession, pages_dir: str, files_out: str, topic_dir: str | None,
             report_out: str, window: str = "60 seconds", watermark: str = "1 minute",
             trigger: dict | None = None, kafka: dict[str, str] | None = None,
@@ -138,22 +166,15 @@ def collect(spark: SparkSession, pages_dir: str, files_out: str, topic_dir: str
     """The collector as two streaming queries over a folder of stored result pages (one JSON
     page envelope per line): pages → items stamped with the collection time → validation
     (invalid items dropped) → (1) JSONL files + topic messages, (2) the tumbling window
-    report. Returns the started queries."""
-    from labormart.operators.clean import given_salaries
-    from labormart.operators.validate import split_valid, validate_raw
-    from labormart.sources.messages import unwrap_pages
+    report. Returns the started queries; :func:`finish_collect` after they stopped."""
     from labormart.streaming.windows import event_time, start_fan_out, start_tumbling_report
 
-    def valid_items():
-        pages = spark.readStream.schema("value STRING").text(pages_dir)
-        valid, _ = split_valid(validate_raw(unwrap_pages(pages)))
-        return valid
-
+    pages = spark.readStream.schema("value STRING").text(pages_dir)
+    valid = valid_items(pages)
     ck = (checkpoint_root.rstrip("/") + "/") if checkpoint_root else None  # else beside each output
-    q_files = start_fan_out(valid_items(), files_out, topic_dir, trigger=trigger, kafka=kafka,
+    q_files = start_fan_out(valid, files_out, topic_dir, trigger=trigger, kafka=kafka,
                             checkpoint=(ck + "fanout") if ck else beside(files_out))
-    flat = given_salaries(valid_items()).withColumn("ts", F.to_timestamp("collected_at"))
-    q_report = start_tumbling_report(event_time(flat, watermark=watermark), report_out,
+    q_report = start_tumbling_report(event_time(timed(valid), watermark=watermark), report_out,
                                      trigger=trigger, size=window, has_salary="has_salary",
                                      checkpoint=(ck + "report") if ck else beside(report_out))
     return [q_files, q_report]
@@ -174,12 +195,14 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--out", required=True)
     c.add_argument("--window", type=int, default=300)
     c.add_argument("--every", type=int, default=10)
+    c.add_argument("--checkpoint")
     k = sub.add_parser("collect")
     k.add_argument("--pages-dir", required=True)
     k.add_argument("--files-out", required=True)
     k.add_argument("--topic-dir")
     k.add_argument("--report-out", required=True)
     k.add_argument("--window", type=int, default=60)
+    k.add_argument("--checkpoint")
     d = sub.add_parser("dashboard")
     d.add_argument("--data-dir", required=True)
     d.add_argument("--out", required=True)
@@ -192,8 +215,14 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "collect":
         qs = collect(spark, args.pages_dir, args.files_out, args.topic_dir, args.report_out,
-                     window=f"{args.window} seconds")
-        spark.streams.awaitAnyTermination()
+                     window=f"{args.window} seconds", checkpoint_root=args.checkpoint)
+        try:
+            spark.streams.awaitAnyTermination()
+        except KeyboardInterrupt:  # the way to stop it
+            pass
+        for q in qs:
+            q.stop()
+        finish_collect(spark, args.pages_dir, args.report_out, f"{args.window} seconds")
         return 0 if all(q.exception() is None for q in qs) else 1
     if args.cmd == "analyze":
         for name, path in analyze(spark, args.data_dir, args.out).items():
@@ -201,7 +230,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     kafka = ({"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.kafka_topic}
              if args.kafka_servers else None)
-    q = consume(spark, args.topic_dir, args.out, args.window, args.every, kafka)
+    q = consume(spark, args.topic_dir, args.out, args.window, args.every, kafka,
+                checkpoint=args.checkpoint)
     q.awaitTermination()
     return 0
 

@@ -22,8 +22,9 @@ def null_profile(df: DataFrame) -> DataFrame:
         return df.sparkSession.createDataFrame([], "position INT, column STRING, type STRING, nulls BIGINT")
     wide = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
     types = dict(df.dtypes)
-    pairs = ", ".join(f"{i}, '{c}', '{types[c]}', `_n{i}`" for i, c in enumerate(cols))
-    return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (position, column, type, nulls)")
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
+                 F.col(f"_n{i}").alias("nulls")) for i, c in enumerate(cols)])))
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -31,15 +32,26 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def stage_counts(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+def stage_counts(stages: Sequence[tuple]) -> DataFrame:
     """Rows out of each named stage, and rows in (the previous stage's out), as a table.
 
-    Each count is a separate aggregate job; for counting while a pipeline runs, use
-    :func:`observe_rows` instead, which adds no pass.
+    A stage is (name, table) or (name, table, condition): the rows of the table that meet the
+    condition. Stages on the same table are counted in one aggregate, so only what changes the
+    rows by more than a filter costs a pass of its own. :func:`observe_rows` adds no pass to a
+    pipeline that runs anyway, but counts the rows of a recomputed task again.
     """
-    counted = [df.agg(F.count(F.lit(1)).alias("rows_out")).select(
-        F.lit(i).alias("step"), F.lit(name).alias("stage"), "rows_out")
-        for i, (name, df) in enumerate(stages)]
+    tables: list[DataFrame] = []
+    for _, df, *_ in stages:
+        if not any(df is t for t in tables):
+            tables.append(df)
+    counted = []
+    for table in tables:
+        mine = [(i, name, cond[0] if cond else F.lit(True))
+                for i, (name, df, *cond) in enumerate(stages) if df is table]
+        wide = table.agg(*[F.count_if(cond).alias(f"_n{i}") for i, _, cond in mine])
+        counted.append(wide.select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"),
+                     F.col(f"_n{i}").alias("rows_out")) for i, name, _ in mine]))))
     allc = reduce(DataFrame.unionByName, counted)
     from pyspark.sql import Window
 

@@ -87,11 +87,11 @@ def q_area_salary_fallback(spark, sf):
 
 def q_stage_counts(spark, sf):
     raw = AD.raw_vacancies(spark, sf)
+    judged = V.validate_raw(raw)
     dedup = C.dedup_first(raw)
-    cleaned = C.filter_names(C.cast_salaries(C.flatten(dedup)))
-    valid, _ = V.split_valid(V.validate_raw(raw))
-    return PR.stage_counts([("load", raw), ("dedup", dedup), ("clean", cleaned),
-                            ("valid", valid)])
+    named = F.col("name").isNotNull() & (F.length("name") >= 3)
+    return PR.stage_counts([("load", judged), ("dedup", dedup), ("clean", dedup, named),
+                            ("valid", judged, F.col("is_valid"))])
 
 
 def q_volume_report(spark, sf):
@@ -222,7 +222,7 @@ QUERIES: dict[str, Query] = {
 # --------------------------------------------------------------------------------------------
 
 def q_jsonl_roundtrip(spark, sf):
-    """Raw records written as JSON lines (50 per file), read back with the explicit
+    """Raw records written as JSON lines, read back with the explicit
     schema and bad-file handling, then cleaned."""
     from labormart.session import scratch_path
     from labormart.sources.files import load_jsonl, save_jsonl
@@ -407,3 +407,126 @@ QUERIES.update({
     "profile_shape": q_profile_shape,
     "quarantine_rows": q_quarantine_rows,
 })
+
+
+def q_jsonl_bad_input(spark, sf):
+    """S3: raw records as JSON lines, a file per ten days, some lines cut and some with a
+    mistyped field; rows per region that remain when bad files, or only bad lines, are left out."""
+    from labormart.session import scratch_path
+    from labormart.sources.files import load_jsonl
+
+    raw = AD.raw_vacancies(spark, sf)
+    line, key = F.to_json(F.struct(*raw.columns)), F.col("id").cast("bigint")
+    line = (F.when(key % 1009 == 0, F.substring(line, F.lit(1), F.length(line) - 1))
+            .when(key % 1013 == 0, F.replace(line, F.lit('"gross":false'), F.lit('"gross":"maybe"')))
+            .otherwise(line))
+    path = scratch_path(spark, "bad-jsonl")
+    (raw.select(line.alias("value"), F.substring("published_at", 1, 9).alias("part"))
+        .repartition("part").write.partitionBy("part").text(path))
+    kept = [load_jsonl(spark, path, bad_input=mode, glob="part=*/*.txt")
+            .groupBy(F.col("area.name").alias("area_name")).agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(mode).alias("mode"), "area_name", "rows")
+            for mode in ("drop_file", "drop_row")]
+    return kept[0].unionByName(kept[1])
+
+
+def q_schema_inferred(spark, sf):
+    """Files with different columns in one folder, read with the schema of all of them."""
+    from labormart.session import scratch_path
+    from labormart.sources.files import load_jsonl_inferred, save_jsonl
+
+    path = scratch_path(spark, "mixed-jsonl")
+    save_jsonl(_ov(spark, sf).select("id", "name", "area_name", "salary_from"), path)
+    save_jsonl(AD.text_vacancies(spark, sf).select("id", "area_name", "employer_name"), path,
+               mode="append")
+    return load_jsonl_inferred(spark, path, glob="*.json").groupBy("area_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("name").alias("with_name"),
+        F.count("employer_name").alias("with_employer"),
+        F.sum("salary_from").alias("salary_sum"))
+
+
+def q_jsonl_stream_sink(spark, sf):
+    """The events appended as JSON lines by a stream, at most 5000 per file; read back."""
+    from labormart.session import scratch_path
+    from labormart.streaming.windows import start_jsonl_sink
+
+    path, most = scratch_path(spark, "sink-jsonl"), 5000
+    stream = _event_stream(spark, sf).select("id", "area_name", "salary_from")
+    start_jsonl_sink(stream, path, rows_per_file=most,
+                     trigger={"availableNow": True}).awaitTermination()
+    back = spark.read.schema("id STRING, area_name STRING, salary_from BIGINT").json(path)
+    long = (back.groupBy(F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.count_if(F.col("n") > most)).scalar())
+    return (back.groupBy("area_name")
+            .agg(F.count(F.lit(1)).alias("count"), F.sum("salary_from").alias("salary_sum"))
+            .withColumn("files_too_long", long))
+
+
+def q_snapshot(spark, sf):
+    """A snapshot keeps its rows while the folder grows, until it is refreshed."""
+    from labormart.session import scratch_path
+    from labormart.sources.files import Snapshot, save_jsonl
+
+    raw = AD.raw_vacancies(spark, sf)
+    path, out = scratch_path(spark, "snap-jsonl"), scratch_path(spark, "snap-counts")
+    save_jsonl(raw.filter(F.col("salary").isNotNull()), path)
+    snap = Snapshot(spark, path, glob="*.json")
+
+    def note(step: str, df: DataFrame) -> None:
+        (df.groupBy("area_name").agg(F.count(F.lit(1)).alias("rows"))
+           .withColumn("step", F.lit(step)).write.mode("append").parquet(out))
+
+    note("first", snap.get())
+    save_jsonl(raw.filter(F.col("salary").isNull()), path, mode="append")
+    note("kept", snap.get())
+    note("refreshed", snap.refresh())
+    snap.get().unpersist()
+    return spark.read.parquet(out)
+
+
+def q_stream_append(spark, sf):
+    """W1-W6 as in production: append output with a watermark, then the tail, written twice."""
+    from labormart.session import scratch_path
+    from labormart.streaming.windows import (
+        event_time, flush_tail, read_report, start_tumbling_report,
+    )
+
+    out = scratch_path(spark, "stream-append")
+    start_tumbling_report(event_time(_event_stream(spark, sf), watermark="1 hour"), out,
+                          trigger={"availableNow": True}, size=EV_TUMBLING,
+                          skills="skills").awaitTermination()
+    for _ in range(2):  # the second call changes nothing
+        flush_tail(event_time(q_event_vac(spark, sf), watermark=None), out, size=EV_TUMBLING,
+                   skills="skills")
+    return read_report(spark, out)
+
+
+def q_stream_sliding_append(spark, sf):
+    """W7-W9 as in production: append output over panes, then the tail."""
+    from labormart.session import scratch_path
+    from labormart.streaming.windows import (
+        event_time, flush_sliding_tail, read_report, start_sliding_report,
+    )
+
+    out = scratch_path(spark, "sliding-append")
+    start_sliding_report(event_time(_event_stream(spark, sf), watermark="6 hours"), out,
+                         trigger={"availableNow": True}, size=EV_SLIDING,
+                         slide=EV_SLIDE).awaitTermination()
+    flush_sliding_tail(event_time(q_event_vac(spark, sf), watermark=None), out, size=EV_SLIDING,
+                       slide=EV_SLIDE)
+    return read_report(spark, f"{out}/stats")
+
+
+# Keywords that nearly every text holds, so that counts tie and the limit cuts within a tie.
+COMMON_KEYWORDS = ("the", "a", "e", "i", "o", "t", "n", "s", "r", "l", "qz")
+
+QUERIES.update({
+    "jsonl_bad_input": q_jsonl_bad_input,
+    "schema_inferred": q_schema_inferred,
+    "jsonl_stream_sink": q_jsonl_stream_sink,
+    "snapshot": q_snapshot,
+    "stream_append": q_stream_append,
+    "stream_sliding_append": q_stream_sliding_append,
+    "skills_tied_top5": lambda s, sf: K.top_skills(AD.text_vacancies(s, sf),
+                                                   keywords=COMMON_KEYWORDS, n=5),
+})

@@ -530,3 +530,32 @@ SELECT strftime(ws, {ISO}) AS window_start, strftime(ws + INTERVAL '7 days', {IS
        arg_min(area, (-cnt, area)) AS top_area, CAST(max(cnt) AS BIGINT) AS top_area_count
 FROM ba GROUP BY ws""",
 })
+
+
+_COMMON = ["the", "a", "e", "i", "o", "t", "n", "s", "r", "l", "qz"]
+_FIRST = CLEAN.replace("FROM rv)", "FROM rv WHERE has_salary)").replace("cl AS", "cf AS")
+
+ORACLE.update({
+    "jsonl_bad_input": _with(RV) + """
+, b AS (SELECT *, substr(published_at, 1, 9) AS part,
+               CAST(id AS BIGINT) % 1009 = 0
+                 OR (CAST(id AS BIGINT) % 1013 = 0 AND has_salary) AS bad FROM rv)
+SELECT 'drop_row' AS mode, area_name, count(*) AS rows FROM b WHERE NOT bad GROUP BY area_name
+UNION ALL
+SELECT 'drop_file', area_name, count(*) FROM b
+WHERE part NOT IN (SELECT part FROM b WHERE bad) GROUP BY area_name""",
+    "schema_inferred": ORACLE["union_by_name"],
+    "jsonl_stream_sink": """
+SELECT event_type AS area_name, count(*) AS count,
+       CAST(sum(CAST(floor(value * 1000) AS BIGINT)) AS BIGINT) AS salary_sum,
+       CAST(0 AS BIGINT) AS files_too_long
+FROM events GROUP BY event_type""",
+    "snapshot": _with(RV, CLEAN, _FIRST) + """
+SELECT 'first' AS step, area_name, count(*) AS rows FROM cf GROUP BY area_name
+UNION ALL SELECT 'kept', area_name, count(*) FROM cf GROUP BY area_name
+UNION ALL SELECT 'refreshed', area_name, count(*) FROM cl GROUP BY area_name""",
+    "stream_append": ORACLE["window_report"],
+    "stream_sliding_append": ORACLE["sliding_stats"],
+    "skills_tied_top5": _with(TV) + ", " + _literal_skills_counts(_COMMON) + """
+SELECT skill, count FROM s WHERE count > 0 ORDER BY count DESC, skill LIMIT 5""",
+})

@@ -112,15 +112,17 @@ class Snapshot:
     """Load + clean once and keep it for repeated reports; ``refresh()`` drops the kept
     copy so the next use reads the folder again."""
 
-    def __init__(self, spark: SparkSession, path: str, bad_input: str = "drop_file"):
-        self.spark, self.path, self.bad_input = spark, path, bad_input
+    def __init__(self, spark: SparkSession, path: str, bad_input: str = "drop_file",
+                 glob: str = "*.jsonl"):
+        self.spark, self.path, self.bad_input, self.glob = spark, path, bad_input, glob
         self._df: DataFrame | None = None
 
     def get(self) -> DataFrame:
         if self._df is None:
             from labormart.operators.clean import clean
 
-            self._df = clean(load_jsonl(self.spark, self.path, bad_input=self.bad_input)).persist()
+            self._df = clean(load_jsonl(self.spark, self.path, bad_input=self.bad_input,
+                                        glob=self.glob)).persist()
         return self._df
 
     def refresh(self) -> DataFrame:

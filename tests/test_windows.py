@@ -260,3 +260,16 @@ def test_stream_restart_from_checkpoint_no_duplicates(spark, tmpdir_path):
     got = spark.read.json(files)
     assert got.count() == 12 and got.select("id").distinct().count() == 12
     assert spark.read.text(msgs).count() == 12
+
+
+def test_tail_gives_way_to_a_restarted_stream(spark, tmpdir_path):
+    """Windows of the tail that the stream, started again, emitted itself are read once."""
+    from labormart.streaming.windows import read_report
+
+    out = f"{tmpdir_path}/report"
+    for batch, ends in ((0, ["01"]), ("final", ["02", "03"]), (1, ["02"])):
+        rows = [(f"2024-01-01T{e}:00:00Z", str(batch)) for e in ends]
+        spark.createDataFrame(rows, "window_end STRING, by STRING").write.parquet(
+            f"{out}/batch_id={batch}")
+    got = sorted((r.window_end[11:13], r.by) for r in read_report(spark, out).collect())
+    assert got == [("01", "0"), ("02", "1"), ("03", "final")]
