@@ -37,7 +37,9 @@ ALLOWED = (
     re.compile(r"[0-9.=+/_-]+"),  # numbers, dates, rulers
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUID
     re.compile(r"(?:www\.)?[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,6}(?:/[a-z0-9._=/-]*)?"),  # host and path
-    re.compile(r"(?:[A-Za-z]{2,}[0-9]{0,4}[-_./=+]*)+"),  # words with a short number each
+    # Words between separators, small, capitalised or in capitals, with a short number at the end of
+    # each. Every character can be read in one way only, so the match is linear.
+    re.compile(r"(?:(?:[A-Za-z][a-z]+|[A-Z]{2,})[0-9]{0,4}(?:[-_./=+]+|\Z))+"),
 )
 #: Alphabets written out are sequences, not secrets.
 SEQUENCES = ("abcdefghijklmnopqrstuvwxyz", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")

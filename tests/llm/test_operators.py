@@ -243,6 +243,22 @@ def test_window_entropy():
     assert secret_scan.find_spans("https www.example.org/some/long/path-of-words and-some-hyphenated-words") == []
 
 
+def test_random_keys_are_reported_and_slugs_are_fast():
+    import string
+    import time
+
+    r = random.Random(11)
+    for prefix in ("", "sk_live_", "ghp_", "xoxb-"):
+        keys = [prefix + "".join(r.choices(string.ascii_letters + string.digits, k=n)) for n in range(20, 41) for _ in range(50)]
+        assert sum(bool(secret_scan.find_spans(f"a {k} b")) for k in keys) >= 0.95 * len(keys)
+        assert not any(secret_scan.ALLOWED[-1].fullmatch(k) for k in keys if re.search("[0-9]", k))
+    start = time.perf_counter()
+    for slug in ("a" * 5000 + "1a", "ab1" * 3000 + "!", "word-" * 3000 + "9x", "Word12_" * 3000 + "x1y"):
+        secret_scan.find_spans(slug)
+    assert time.perf_counter() - start < 5
+    assert secret_scan.find_spans("see release-notes2024/chapter12_section3-overview/Part2 and LIST1_OF2_WORDS3_HERE4_AGAIN5") == []
+
+
 def test_rules(docs, none):
     expected = collections.Counter()
     for _, raw, t in LIVE:
