@@ -6,6 +6,11 @@ distance (base 2). The reference of a language is the sum of the histograms of a
 that pass the base rules and have at least ``MIN_WORDS`` words; documents below that length, or
 whose language has no reference, are not judged by divergence.
 
+The words are compared among the common ones only: the many others would hold any distance down.
+A document with few common words strays from the reference by chance alone, so the greatest
+distance falls with the square root of their number. Documents with far fewer common words than
+the reference's share of their length are rejected for that.
+
 A null text has no words; a null language is a language of its own; repeated rows are judged (and
 counted in the reference) each; an empty table gives an empty table.
 """
@@ -20,7 +25,12 @@ from labormart.llm.common import load, materialize
 WINDOW = 8
 MIN_WORDS = 50
 MAX_CHAR_DISTANCE = 0.3
-MAX_WORD_DISTANCE = 0.75
+#: Greatest word distance: a fixed part, and a part over the root of the number of common words.
+MAX_WORD_DISTANCE, WORD_NOISE = 0.45, 1.0
+#: Documents with fewer common words are not judged by their distance.
+MIN_COMMON = 5
+#: Least part of the expected common words, and how many more may be missing by chance.
+LEAST_COMMON, SPARE_COMMON = 0.25, 2
 #: Languages up to which the references are broadcast.
 BROADCAST_LANGUAGES = 1000
 WHITE = r"[\x20\x09-\x0D]"
@@ -83,19 +93,23 @@ def js_distance(p: Column, q: Column) -> Column:
 
 def judge(docs: DataFrame) -> DataFrame:
     """One row per document: base counts, both distances, and the verdicts."""
-    chars, words = [f"c_{k}" for k in CHARS], [f"w_{w}" for w in (*COMMON, "other")]
+    chars, words = [f"c_{k}" for k in CHARS], [f"w_{w}" for w in COMMON]
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     stats = materialize(statistics(docs).withColumn("base_failed", base_failed), "rules")
     good = stats.where(~F.col("base_failed") & (F.col("n_words") >= MIN_WORDS))
-    refs = materialize(good.groupBy("lang").agg(*[F.sum(c).alias(c) for c in chars + words])
-                       .select("lang", _shares(chars).alias("ref_chars"), _shares(words).alias("ref_words")), "rules-ref")
+    hits = F.col("n_words") - F.col("w_other")
+    refs = materialize(good.groupBy("lang").agg(*[F.sum(c).alias(c) for c in chars + words], (F.sum(hits) / F.sum("n_words")).alias("ref_common"))
+                       .select("lang", "ref_common", _shares(chars).alias("ref_chars"), _shares(words).alias("ref_words")), "rules-ref")
     if refs.count() <= BROADCAST_LANGUAGES:
         refs = F.broadcast(refs)
     joined = stats.join(refs, "lang", "left").withColumns({
         "char_distance": js_distance(_shares(chars), F.col("ref_chars")), "word_distance": js_distance(_shares(words), F.col("ref_words")),
     })
     long_enough = (F.col("n_words") >= MIN_WORDS) & F.col("char_distance").isNotNull()
-    diverges = long_enough & ((F.col("char_distance") > MAX_CHAR_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE))
+    few = hits + SPARE_COMMON < LEAST_COMMON * F.col("ref_common") * F.col("n_words")
+    # A reference without common words says nothing of them.
+    other = (hits >= MIN_COMMON) & (F.col("ref_common") > 0) & (F.col("word_distance") > MAX_WORD_DISTANCE + WORD_NOISE / F.sqrt(hits))
+    diverges = long_enough & ((F.col("char_distance") > MAX_CHAR_DISTANCE) | few | other)
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & ~diverges).alias("kept"), "char_distance", "word_distance")
 

@@ -274,6 +274,21 @@ def test_rules(docs, none):
     assert rules.judge(none).count() == 0
 
 
+def test_rules_reject_other_languages_and_word_salad(spark):
+    r = random.Random(3)
+    common = {"en": rules.COMMON[:8], "de": rules.COMMON[8:16], "fr": rules.COMMON[16:25], "es": ("de", "la", "en", "un", *rules.COMMON[24:])}
+
+    def text(lang, n):
+        return " ".join(r.choice(common[lang]) if lang and r.random() < 0.15 else "".join(r.choices("abcdefghijklmnop", k=7)) for _ in range(n))
+
+    clean = [(i, text(lang, r.choice((60, 200, 800))), lang) for lang in common for i in range(100)]
+    wrong = [(1000, text(lang, 400), other) for lang in common for other in common if lang != other]
+    salad = [(2000, text(None, n), lang) for lang in common for n in (100, 400)]
+    got = rules.judge(spark.createDataFrame(clean + wrong + salad, "doc_id long, text string, lang string")).collect()
+    assert not any(x.base_failed for x in got)
+    assert {x.doc_id for x in got if x.kept} == set(range(100)) and sum(x.kept for x in got) >= 0.99 * len(clean)
+
+
 def test_js_distance(spark):
     from pyspark.sql import functions as F
 
