@@ -4,10 +4,10 @@ Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z folded; a document's set are its dis
 ``words`` successive words (all its words as one shingle if it has fewer). Rows with equal sets form
 a class, and classes are linked when their Jaccard similarity reaches ``percent`` hundredths.
 
-A class's signature has ``K`` coordinates; two linked classes agree in at least ``MATCH`` of them
-but for a chance below 1e-6. Coordinate-value pairs are ordered, very frequent ones last, and each
-class is posted under its first ``PREFIX`` pairs only: classes that agree in ``MATCH`` coordinates
-share at least ``SHARED`` of those. The long lists at the end of the order are skipped, and their
+A class's signature has ``K`` coordinates; two linked classes agree in at least ``matches(percent)``
+of them but for a chance below ``MISS``. Coordinate-value pairs are ordered, very frequent ones last,
+and each class is posted under its first ``prefix(percent)`` pairs only: classes that agree in that many
+coordinates share at least ``shared(percent)`` of those. The long lists at the end of the order are skipped, and their
 coordinates are counted on the signatures of the pairs that remain. Pairs with enough matches are
 confirmed on the full sets, but not where both sides are known to be connected.
 
@@ -24,6 +24,7 @@ repeated rows are one class; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,7 @@ from pyspark.sql import functions as F
 from labormart.llm.common import constants, gram_hash, hash_words, load, map_batches, materialize, mix, ship_package, text_bytes
 from labormart.llm.components import components
 
-K, MATCH, SHARED = 64, 40, 6
-PREFIX = K - MATCH + SHARED
+K, SHARED, MISS = 64, 6, 1e-6
 SMALL = 32
 #: Classes compared with each other in one task are two blocks of about this many.
 BLOCK = 2048
@@ -46,6 +46,26 @@ BROADCAST_CLASSES = 500_000
 _A, _B = constants(K, 31), constants(K, 37)
 
 
+def matches(percent: int) -> int:
+    """Coordinates in which linked classes agree at least: the binomial tail below is under MISS."""
+    p, tail = percent / 100, 0.0
+    for m in range(K + 1):
+        tail += math.comb(K, m) * p**m * (1 - p) ** (K - m)
+        if tail >= MISS:
+            break
+    if m == 0:
+        raise ValueError(f"{K} coordinates are too few for a similarity of {percent} hundredths")
+    return m
+
+
+def shared(percent: int) -> int:
+    return min(SHARED, matches(percent))
+
+
+def prefix(percent: int) -> int:
+    return K - matches(percent) + shared(percent)
+
+
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text."""
     h, at = hash_words(texts, lower=True)
@@ -119,22 +139,23 @@ def frequent_keys(classes: DataFrame, total: int) -> np.ndarray:
     return np.sort(found.select("key").toArrow()["key"].to_numpy())
 
 
-def prefix_mask(keys: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Which coordinates a class is posted under: the first PREFIX with very frequent ones last."""
+def prefix_mask(keys: np.ndarray, frequent: np.ndarray, n: int) -> np.ndarray:
+    """Which coordinates a class is posted under: the first n with very frequent ones last."""
     late = np.isin(keys, frequent, assume_unique=False) if len(frequent) else np.zeros(keys.shape, bool)
-    order = np.argsort(late, axis=1, kind="stable")[:, :PREFIX]
+    order = np.argsort(late, axis=1, kind="stable")[:, :n]
     mask = np.zeros(keys.shape, bool)
     np.put_along_axis(mask, order, True, 1)
     return mask
 
 
-def postings(classes: DataFrame, frequent: np.ndarray) -> DataFrame:
-    shared = classes.sparkSession.sparkContext.broadcast(frequent)
+def postings(classes: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+    n = prefix(percent)
+    late = classes.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batch) -> dict:
         keys = coordinate_keys(signature_rows(batch.column("sig")))
-        mask = prefix_mask(keys, shared.value)
-        return {"key": keys[mask], "cls": np.repeat(batch.column("cls").to_numpy(zero_copy_only=False), PREFIX)}
+        mask = prefix_mask(keys, late.value, n)
+        return {"key": keys[mask], "cls": np.repeat(batch.column("cls").to_numpy(zero_copy_only=False), n)}
 
     return map_batches(classes.select("cls", "sig"), run, "key long, cls long")
 
@@ -146,25 +167,26 @@ def lists(posted: DataFrame) -> DataFrame:
     return materialize(posted.join(heads, "key"), "minhash-lists")
 
 
-def early_pairs(rows: DataFrame) -> DataFrame:
+def early_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of short lists that share enough postings, and of long lists' classes with two members."""
     short, long_ = rows.where(F.col("c") <= SMALL).select("key", "cls"), rows.where(F.col("c") > SMALL)
     a, b = short.select("key", F.col("cls").alias("a")), short.select("key", F.col("cls").alias("b"))
-    within = a.join(b, "key").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SHARED).select("a", "b")
+    within = a.join(b, "key").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= shared(percent)).select("a", "b")
     heads = [long_.where(F.col("cls") != F.col(h)).select(F.least("cls", h).alias("a"), F.greatest("cls", h).alias("b")) for h in ("hub", "other")]
     return within.unionByName(heads[0].unionByName(heads[1])).distinct()
 
 
-def matched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose signatures agree in MATCH coordinates at least, with that number."""
+def matched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose signatures agree in ``matches(percent)`` coordinates at least, with that number."""
+    least = matches(percent)
     sig = classes.select("cls", "sig")
     both = (pairs.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sa")), "a")
             .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sb")), "b"))
 
     def run(batch) -> dict:
         m = (signature_rows(batch.column("sa")) == signature_rows(batch.column("sb"))).sum(1)
-        kept = batch.select(["a", "b"]).filter(pa.array(m >= MATCH))
-        return {"a": kept.column(0), "b": kept.column(1), "m": m[m >= MATCH].astype(np.int32)}
+        kept = batch.select(["a", "b"]).filter(pa.array(m >= least))
+        return {"a": kept.column(0), "b": kept.column(1), "m": m[m >= least].astype(np.int32)}
 
     return materialize(map_batches(both.select("a", "b", "sa", "sb"), run, "a long, b long, m int"), "minhash-matched")
 
@@ -234,6 +256,8 @@ def late_links(rows: DataFrame, classes: DataFrame, roots: DataFrame, docs: Data
               .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root", "bits", "sig",
                       F.pmod(F.xxhash64("cls", F.lit(7)), F.lit(groups)).cast("int").alias("g")))
 
+    least = matches(percent)
+
     def compare(table: pa.Table) -> pa.Table:
         c = int(table["key"][0].as_py() >> 32)
         sig, bits = signature_rows(table["sig"]), table["bits"].to_numpy().view(np.uint64)
@@ -247,7 +271,7 @@ def late_links(rows: DataFrame, classes: DataFrame, roots: DataFrame, docs: Data
             # A pair counts in the first of the mixed long lists that it shares, and once within one block.
             first = (agree & (~agree + np.uint64(1))) == np.uint64(1 << c)
             once = (own[right] != own[x]) | (cls[right] > cls[x])
-            y = right[(same.sum(1) >= MATCH) & (root[right] != root[x]) & first & once]
+            y = right[(same.sum(1) >= least) & (root[right] != root[x]) & first & once]
             for other in np.unique(g[y]).tolist():
                 z = cls[y[g[y] == other]]
                 pair = np.stack((np.full(len(z), cls[x]), z))
@@ -296,8 +320,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sets = rows.where(F.col("n") > 0).groupBy("fp").agg(F.min("uid").alias("cls"), F.min("doc_id").alias("least"))
     sets = materialize(sets, "minhash-classes")
     classes = materialize(rows.join(sets.select(F.col("cls").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("cls"), _key_id(), "h1", "h2", "sig"), "minhash-sigs")
-    listed = lists(postings(classes, frequent_keys(classes, classes.count())))
-    early = matched(early_pairs(listed), classes)
+    listed = lists(postings(classes, frequent_keys(classes, classes.count()), percent))
+    early = matched(early_pairs(listed, percent), classes, percent)
     best = early.groupBy("b").agg(F.max(F.struct("m", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
     links = confirmed(best, classes, docs, words, percent)
     roots = components(links)

@@ -161,6 +161,25 @@ def test_near_duplicates_of_a_large_group(spark):
     assert got == dict(enumerate(group))
 
 
+def test_matches_follow_percent():
+    import math
+
+    for percent in (30, 50, 60, 70, 80, 85, 95):
+        m, p = minhash.matches(percent), percent / 100
+        tail = lambda n: sum(math.comb(minhash.K, i) * p**i * (1 - p) ** (minhash.K - i) for i in range(n))  # noqa: B023, E731
+        assert tail(m) < 1e-6 <= tail(m + 1)
+        assert minhash.prefix(percent) == minhash.K - m + minhash.shared(percent) <= minhash.K
+    with pytest.raises(ValueError, match="too few"):
+        minhash.matches(10)
+
+
+def test_near_duplicates_at_half_similarity(spark):
+    # Pairs that share 60 of 120 shingles of one word.
+    texts = [(2 * i + j, " ".join([f"w{i}x{k}" for k in range(60)] + [f"u{i}y{j}z{k}" for k in range(30)])) for i in range(40) for j in range(2)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), 1, 50).collect()}
+    assert got == {d: d - d % 2 for d in got} and len(got) == 80
+
+
 def encoded():
     from tokenizers import Tokenizer
 
