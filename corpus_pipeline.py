@@ -15,6 +15,9 @@ from labormart.llm import decontaminate, minhash, packing, secret_scan, toxicity
 from labormart.llm.common import load, materialize
 from labormart.llm.tokens import vocabulary_path
 
+#: Column of row numbers within the near-duplicate stage; no input column has this name.
+ROW = "_pipeline_row"
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go. The model is fitted on the labelled rows of the full table."""
@@ -23,11 +26,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: shingles of five words, similarity of 0.8 or more.
-    Of rows that repeat the least id of a group, each stays, and so do rows without an id."""
-    found = minhash.near_duplicates(docs, words=5, percent=80)
-    dropped = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group stays, that of the least id (nulls last): shingles of five words,
+    similarity of 0.8 or more. Rows are told apart by a number of their own, so ids may repeat or
+    be null. Rows without words stay, and so does one row without an id of each set of shingles
+    that no row with an id has, though it be a near copy of another."""
+    numbered = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-numbered")
+    dropped = minhash.copies(numbered.select(F.col(ROW).alias("uid"), "doc_id", "text"), words=5, percent=80)
+    return numbered.join(dropped.withColumnRenamed("uid", ROW), ROW, "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

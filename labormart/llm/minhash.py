@@ -18,7 +18,7 @@ confirmed on the full sets, but not where both sides are known to be connected.
 
 Null and empty texts and texts without words have an empty set and are linked with nothing; null
 ids take part, a component's id is its least id that is not null (a row without words: its own id);
-repeated rows are one class; an empty table gives an empty result.
+repeated rows are one class; an empty table gives an empty result. ``copies`` names rows, not ids.
 """
 
 from __future__ import annotations
@@ -100,7 +100,8 @@ def features(docs: DataFrame, words: int) -> DataFrame:
             "sig": [signature(s).tobytes() if len(s) else None for s in sets],
         }
 
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", *_text_keys())
+    uid = F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id()
+    rows = docs.select(uid.alias("uid"), "doc_id", "text", *_text_keys())
     return materialize(map_batches(rows, run, "uid long, doc_id long, h1 long, h2 long, n long, fp binary, sig binary"), "minhash")
 
 
@@ -314,10 +315,11 @@ def _key_id():
     return F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key_id")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept (the row's id is its component's)."""
+def _named(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' features, and each set's component with the row of it that comes first."""
     rows = features(docs, words)
-    sets = rows.where(F.col("n") > 0).groupBy("fp").agg(F.min("uid").alias("cls"), F.min("doc_id").alias("least"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")).alias("first")
+    sets = rows.where(F.col("n") > 0).groupBy("fp").agg(F.min("uid").alias("cls"), first)
     sets = materialize(sets, "minhash-classes")
     classes = materialize(rows.join(sets.select(F.col("cls").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("cls"), _key_id(), "h1", "h2", "sig"), "minhash-sigs")
     listed = lists(postings(classes, frequent_keys(classes, classes.count()), percent))
@@ -331,12 +333,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     if not late.isEmpty():
         roots = components(links.unionByName(late))
     named = sets.join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = materialize(named.join(ids, "root").select("fp", "component"), "minhash-named")
-    out = rows.select("doc_id", "n", "fp").join(named, "fp", "left")
+    firsts = named.groupBy("root").agg(F.min("first").alias("first"))
+    named = named.join(firsts.withColumnRenamed("first", "best"), "root")
+    return rows, materialize(named.select("fp", F.col("best.doc_id").alias("component"), F.col("best.uid").alias("keeper"),
+                                          F.when(F.col("first.no_id"), F.col("first.uid")).alias("spared")), "minhash-named")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept (the row's id is its component's)."""
+    rows, named = _named(docs, words, percent)
+    out = rows.select("doc_id", "n", "fp").join(named.select("fp", "component"), "fp", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``uid`` of every row but the first of its component, by doc_id (nulls last) and uid, and but the
+    first row of a set that has no row with an id. ``docs`` is a written table with a ``uid`` per row.
+    Rows without words are copies of nothing."""
+    rows, named = _named(docs, words, percent)
+    return rows.select("uid", "fp").join(named.select("fp", "keeper", "spared"), "fp").where((F.col("uid") != F.col("keeper")) & ~F.col("uid").eqNullSafe(F.col("spared"))).select("uid")
+
+
 def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), words=3, percent=85)

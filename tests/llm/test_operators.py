@@ -180,6 +180,15 @@ def test_near_duplicates_at_half_similarity(spark):
     assert got == {d: d - d % 2 for d in got} and len(got) == 80
 
 
+def test_one_row_of_each_group_stays(spark):
+    import corpus_pipeline as P
+
+    a, b, c, d = (prose(50) for _ in range(4))
+    table = [(1, a), (1, a), (None, a), (2, a), (2, b), (None, c), (None, c), (3, d), (4, None), (4, " ")]
+    left = P.drop_near_duplicates(spark, spark.createDataFrame(table, "doc_id long, text string").repartition(3), "")
+    assert multiset(left, "doc_id", "text") == collections.Counter([(1, a), (2, b), (None, c), (3, d), (4, None), (4, " ")])
+
+
 def encoded():
     from tokenizers import Tokenizer
 
