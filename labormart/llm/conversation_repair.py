@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labormart.llm.common import load, map_batches, materialize, ship_package
+from labormart.llm.common import _array, _arrow_schema, load, materialize, ship_package
 
 #: What the edits cost; a truncated row that stays costs one more.
 COST = {"Delete": 3, "Insert": 2, "Keep": 0, "Rerole": 2}
@@ -274,8 +274,6 @@ def _repair_whole(table: pa.Table) -> dict:
 
 def _mapped(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` over a whole partition: ``fn`` gets its batches and yields dicts of columns."""
-    from labormart.llm.common import _array, _arrow_schema
-
     ship_package(df.sparkSession)
     kind = _arrow_schema(schema)
 
@@ -358,9 +356,10 @@ def _repair_long(rows: DataFrame, id_type: str, most_rows: int, most_bytes: int)
         n = len(rows)
         cols = {"conv_id": [r["conv_id"] for r in rows], "pid": [r["pid"] for r in rows], "seq": [r["seq"] for r in rows], "piece": range(n), "pieces": [n] * n,
                 "gaps": [_long(gaps)] * n, **{k: [v] * n for k, v in sums.items()}, "cost": [int(behind[0])] * n, "behind": out[::-1]}
-        return pa.Table.from_pydict(cols, schema=_schema(head + ", behind array<long>"))
+        return pa.Table.from_pydict(cols, schema=behind_schema)
 
     head = f"conv_id {id_type}, pid int, seq int, piece long, pieces long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long"
+    behind_schema, entry_schema = _arrow_schema(head + ", behind array<long>"), _arrow_schema(f"eid {id_type}, piece long, entry int, exit int")
     heads = materialize(small.groupBy("conv_id").applyInArrow(totals, head + ", behind array<long>"), "repair-behind")
     names = [x.split()[0] for x in head.split(", ")]
     h = heads.withColumnRenamed("conv_id", "hid")
@@ -383,7 +382,7 @@ def _repair_long(rows: DataFrame, id_type: str, most_rows: int, most_bytes: int)
         for r in sorted(table.to_pylist(), key=lambda r: r["piece"]):
             out.append((r["conv_id"], r["piece"], state, r["exits"][state]))
             state = r["exits"][state]
-        return pa.Table.from_pydict(dict(zip(("eid", "piece", "entry", "exit"), zip(*out, strict=True), strict=True)), schema=_schema(f"eid {id_type}, piece long, entry int, exit int"))
+        return pa.Table.from_pydict(dict(zip(("eid", "piece", "entry", "exit"), zip(*out, strict=True), strict=True)), schema=entry_schema)
 
     entries = walked.select("conv_id", "piece", "exits").groupBy("conv_id").applyInArrow(enter, f"eid {id_type}, piece long, entry int, exit int")
     done = walked.join(entries, "piece").where(F.expr("conv_id <=> eid"))
@@ -395,12 +394,6 @@ def _repair_long(rows: DataFrame, id_type: str, most_rows: int, most_bytes: int)
     return done.select("conv_id", "piece", "pieces", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", F.concat(F.expr("audits[entry]"), more).alias("audit"), said.alias("messages"))
 
 
-def _schema(ddl: str) -> pa.Schema:
-    from labormart.llm.common import _arrow_schema
-
-    return _arrow_schema(ddl)
-
-
 def _chunks(batches, most_rows: int, most_bytes: int):
     """(conv_id, turns, roles, texts, earlier) of at most ``most_rows`` rows and about ``most_bytes``, in order."""
     conv, size, rows = None, 0, []

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from labormart.llm.conversation_repair import repair_query
 from labormart.llm.decontaminate import decontaminate_query
 from labormart.llm.minhash import minhash_query
 from labormart.llm.packing import packing_query
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": substring_query,
     "op9_suffix_array_dedup": suffix_query,
     "op10_decontamination": decontaminate_query,
+    "op11_conversation_repair": repair_query,
 }
 #: DuckDB forms. The operators here are tested against brute force instead (tests/llm).
 ORACLE: dict[str, str] = {}
