@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from labormart.llm.conversation_repair import repair_query
 from labormart.llm.decontaminate import decontaminate_query
+from labormart.llm.hard_negatives import ORACLE as NEGATIVES_SQL
+from labormart.llm.hard_negatives import negatives_query
 from labormart.llm.minhash import minhash_query
 from labormart.llm.packing import packing_query
 from labormart.llm.quality import quality_query
@@ -30,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": suffix_query,
     "op10_decontamination": decontaminate_query,
     "op11_conversation_repair": repair_query,
+    "op12_hard_negatives": negatives_query,
+}
+#: DuckDB forms. The other operators are tested against brute force (tests/llm).
+ORACLE: dict[str, str] = {
+    "op12_hard_negatives": NEGATIVES_SQL,
 }
-#: DuckDB forms. The operators here are tested against brute force instead (tests/llm).
-ORACLE: dict[str, str] = {}
