@@ -15,6 +15,7 @@ from labormart.llm.packing import packing_query
 from labormart.llm.quality import quality_query
 from labormart.llm.rules import rules_query
 from labormart.llm.secret_scan import secrets_query
+from labormart.llm.set_join import set_join_query
 from labormart.llm.substring_dedup import substring_query
 from labormart.llm.suffix_dedup import suffix_query
 from labormart.llm.tokens import token_counts_query
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": decontaminate_query,
     "op11_conversation_repair": repair_query,
     "op12_hard_negatives": negatives_query,
+    "op13_set_join": set_join_query,
 }
 #: DuckDB forms. The other operators are tested against brute force (tests/llm).
 ORACLE: dict[str, str] = {
