@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -163,6 +164,21 @@ def labelled_sample(spark: SparkSession, labels: DataFrame, label: str, train, l
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
 
 
+def fitted_rows(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(label, text) of the sample's documents: one row per id however often the id occurs, with the least
+    of its texts (null is empty), so the sample's bound holds for what a model is fitted on."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("label", "text")
+
+
+def give_back() -> None:
+    """What Arrow and Python have freed goes back to the system: processes live on from one step to the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` where ``fn`` gets one record batch and returns a dict of columns."""
     ship_package(df.sparkSession)

@@ -7,8 +7,9 @@ arrays (feature, threshold, children, value) and applied to whole batches by num
 
 A null text is an empty text, whose statistics are zeros; without labels of both classes every
 score is the share of label 1 (0 without labels). Labels that are null or of no document are not
-used; of several labels of one document the larger counts. Repeated rows are scored each on its
-own. Only doc_id and text of the documents are read.
+used; of several labels of one document the larger counts, and of several rows of one labelled id the
+least text. Repeated rows are scored each on its own; ``held_out`` is null for a null id. Only doc_id and text
+of the documents are read.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from labormart.llm.common import crc_mod, labelled_sample, load, map_batches, text_bytes
+from labormart.llm.common import crc_mod, fitted_rows, give_back, labelled_sample, load, map_batches, text_bytes
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 20_000
@@ -152,15 +152,18 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH,
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Trees:
     sample = labelled_sample(spark, labels, "quality", crc_mod("doc_id", 5) != 0, limit)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
+    rows = fitted_rows(docs, sample)
 
     def run(batch) -> dict:
         x = matrix(text_bytes(batch.column("text")))
         return {"label": batch.column("label"), "x": pa.array(list(x), pa.list_(pa.float64()))}
 
     got = map_batches(rows, run, "label int, x array<double>").toArrow()
-    x = np.array(got["x"].to_pylist(), np.float64).reshape(got.num_rows, N_STATISTICS)
-    return boost(x, got["label"].to_numpy().astype(float))
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(got.num_rows, N_STATISTICS)
+    trees = boost(x, got["label"].to_numpy().astype(float))
+    del got, x
+    give_back()
+    return trees
 
 
 def score(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD) -> DataFrame:

@@ -22,7 +22,6 @@ Blocks and answers are joined by the block's number; nothing is kept by task or
 
 from __future__ import annotations
 
-import ctypes
 import pickle
 from dataclasses import dataclass
 
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labormart.llm.common import hash_words, materialize, mix, prefix_hash, ship_package, text_bytes
+from labormart.llm.common import give_back, hash_words, materialize, mix, prefix_hash, ship_package, text_bytes
 from labormart.llm.common import _BYTE, _POWERS
 from labormart.session import scratch_path
 
@@ -76,14 +75,6 @@ class Symbols:
         return np.frombuffer(b"".join(texts), np.uint8), at
 
 
-def give_back() -> None:
-    """Python workers live on from block to block: what the last one has freed goes back to the system."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def pack(**arrays) -> bytes:
     return _ZIP.compress(pickle.dumps(arrays, protocol=5))
 

@@ -214,14 +214,13 @@ class WordTokens:
 
 
 def worker_tokens(spark: SparkSession, path: str) -> Callable[[], WordTokens]:
-    """A function that gives each Python worker its ``WordTokens``; the shortcut table, no longer
-    than the vocabulary, is worked out once here and broadcast."""
-    shared = spark.sparkContext.broadcast(whole_tokens(path))
+    """A function that gives each Python worker its ``WordTokens``. The shortcut table, no longer than the
+    vocabulary, is proven once per worker; the driver loads no tokenizer."""
 
     def get() -> WordTokens:
         got = _WORKER.get(path)
         if got is None:
-            got = _WORKER[path] = WordTokens(path, shared.value)
+            got = _WORKER[path] = WordTokens(path, whole_tokens(path))
         return got
 
     return get
