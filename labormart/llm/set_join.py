@@ -12,9 +12,10 @@ similarity share a shingle within a prefix of this order, whose place in both al
 2. *Index.* Only leaders are posted. By the triangle inequality of Jaccard distance, two sets link only
    if their leaders reach ``percent`` less the distance (100 - RELATED) of each that has members. Within a posting
    list, ordered by set size, the place of a shingle bounds the sizes that a partner may have; the rest of the list is
-   skipped. Lists of frequent shingles, and lists beyond ``LONG`` leaders, are compared block by block: a
-   leader's counts against a block are taken over from the leader before it, and only the lists of shingles
-   in which the two differ are read, if that is less.
+   skipped. Lists of frequent shingles, and lists beyond ``LONG`` leaders, are compared block by block on the
+   full sets: a leader's overlaps with a block are taken over from the leader before it, and only the lists of
+   shingles in which the two differ are read, if that is less. A block gives links that connect something new,
+   never its pairs.
 3. *Derived answers.* Leaders that reach ``percent`` link with all their members. Where they reach less, the members'
    overlaps follow from the leaders' overlap and the stored differences.
 
@@ -33,14 +34,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labormart.llm.common import _array, _arrow_schema, load, map_batches, materialize, ship_package, signed, text_bytes
+from labormart.llm.common import _array, _arrow_schema, give_back, load, map_batches, materialize, ship_package, signed, text_bytes
 from labormart.llm.components import components
 from labormart.llm.minhash import _key_id, _text_keys, set_table, shingle_sets
 
-RELATED, LONG, BLOCK = 96, 256, 1024
-#: A shingle is frequent if this share of all documents (and LEAST_FREQUENT) have it; of more than MOST_FREQUENT,
-#: the most frequent count. Only the order of shingles rests on this.
-FREQUENT_SHARE, LEAST_FREQUENT, MOST_FREQUENT = 1 / 2000, 64, 500_000
+RELATED, LONG = 96, 32
+#: Leaders of a long list that are compared with each other in one task: two blocks of at most so many rows and
+#: about so many shingles.
+BLOCK, BLOCK_SHINGLES = 256, 400_000
+#: Numbers of up to so many classes are broadcast to find their rows.
+BROADCAST_CLASSES = 500_000
+#: Documents whose shingles are counted at once, and shingles that are kept apart until they are merged.
+COUNT_ROWS, COUNT_SHINGLES = 1000, 2_000_000
+#: A shingle is frequent if so many documents have it (as far as they are counted); of more than MOST_FREQUENT,
+#: the most frequent ones are. Only the order of shingles rests on this, and so the length of posting lists.
+LEAST_FREQUENT, MOST_FREQUENT = 16, 1_000_000
 MEMBER_BLOCK = 512
 
 
@@ -54,17 +62,36 @@ def prefix_length(percent, n):
     return n - -(-percent * n // 100) + 1
 
 
-def frequent_shingles(docs: DataFrame, words: int, share: float, least: int) -> np.ndarray:
-    """Frequent shingles, sorted: counted in each batch of documents, then over all batches."""
+def frequent_shingles(docs: DataFrame, words: int, least: int, lowest: int) -> np.ndarray:
+    """Frequent shingles, sorted: counted in each task, then over all tasks. A prefix holds about the
+    ``100 - lowest`` hundredths of a set that have the least hashes, so shingles far beyond need no count. A
+    task leaves out what it sees once (and, of very many, what it has seen once so far)."""
+    below = np.uint64(min(1.5 * (1 - lowest / 100), 0.999) * 2**64)
 
-    def count(batch) -> dict:
-        sets = [s for s in shingle_sets(text_bytes(batch.column("text")), words) if len(s)]
-        keys, c = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        often = c >= max(min(4, least), len(sets) * share)
-        return {"key": signed(keys[often]), "c": c[often]}
+    def merged(keys, counts):
+        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+        return keys, np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64)
 
-    total = docs.count()
-    found = map_batches(docs.select("text"), count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= max(least, total * share))
+    def run(batches):
+        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            for i in range(0, batch.num_rows, COUNT_ROWS):
+                sets = shingle_sets(text_bytes(batch.column("text").slice(i, COUNT_ROWS)), words)
+                k, c = np.unique(np.concatenate([s[: np.searchsorted(s, below)] for s in sets]), return_counts=True)
+                keys.append(k)
+                counts.append(c)
+                if sum(map(len, keys[1:])) > COUNT_SHINGLES:
+                    k, c = merged(keys, counts)
+                    keys, counts = ([k], [c]) if len(k) <= 2 * COUNT_SHINGLES else ([k[c > 1]], [c[c > 1]])
+        k, c = merged(keys, counts)
+        k, c = k[c > 1], c[c > 1]
+        del keys, counts
+        give_back()
+        for i in range(0, len(k), 1 << 16):
+            yield pa.RecordBatch.from_pydict({"key": signed(k[i : i + (1 << 16)]), "c": c[i : i + (1 << 16)]})
+
+    ship_package(docs.sparkSession)
+    found = docs.select("text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
     return np.sort(found.orderBy(F.desc("c"), "key").limit(MOST_FREQUENT).select("key").toArrow()["key"].to_numpy().view(np.uint64))
 
 
@@ -80,11 +107,16 @@ def features(docs: DataFrame, words: int, least: int, frequent) -> DataFrame:
     """Per row: a number of its own, id, set size, set fingerprint, and the longest prefix ever asked for."""
 
     def run(batch) -> dict:
-        sets = shingle_sets(text_bytes(batch.column("text")), words)
-        first = [in_order(s, frequent.value)[: prefix_length(least, len(s))] if len(s) else s for s in sets]
-        return {**{c: batch.column(c) for c in ("uid", "doc_id", "h1", "h2")}, "n": [len(s) for s in sets],
-                "fp": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
-                "key0": [int(signed(s[:1])[0]) if len(s) else None for s in first], "pre": [s.tobytes() if len(s) else None for s in first]}
+        out: dict = {k: [] for k in ("n", "fp", "key0", "pre")}
+        for i in range(0, batch.num_rows, COUNT_ROWS):
+            for s in shingle_sets(text_bytes(batch.column("text").slice(i, COUNT_ROWS)), words):
+                first = in_order(s, frequent.value)[: prefix_length(least, len(s))] if len(s) else s
+                out["n"].append(len(s))
+                out["fp"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                out["key0"].append(int(signed(first[:1])[0]) if len(s) else None)
+                out["pre"].append(first.tobytes() if len(s) else None)
+        give_back()
+        return {**{c: batch.column(c) for c in ("uid", "doc_id", "h1", "h2")}, **out}
 
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", *_text_keys())
     return materialize(map_batches(rows, run, "uid long, doc_id long, h1 long, h2 long, n long, fp binary, key0 long, pre binary"), "join-rows")
@@ -241,14 +273,16 @@ def probe(posted: DataFrame, percent: int, long_: int) -> DataFrame:
     return posted.repartition("key").sortWithinPartitions("key", "n", "cls").mapInArrow(run, kind)
 
 
-def block_pairs(left: dict, right: dict, same: bool, percent: int) -> tuple[list, int, int]:
-    """Promising pairs of two blocks of leaders whose components differ, counted on their prefixes.
+def block_links(left: dict, right: dict, same: bool, percent: int) -> tuple[list, int, int]:
+    """Links of two blocks of leaders that connect components which this block has not connected yet, and
+    pairs with members that come within their members' reach of a link: (a, b, t, overlap, linked).
 
-    Returns the pairs (a, b, t), and how many of the left sets' counts were derived from the set before, and how
-    many were counted from nothing.
+    The overlaps with all sets on the right are counted through the right's shingle lists, or derived from
+    the overlaps of the leader before, whichever reads less. Also returned: how many sets' overlaps were
+    derived, and how many counted from nothing.
     """
-    size = np.array([len(p) for p in right["pre"]])
-    tokens = np.concatenate(right["pre"])
+    size = right["n"]
+    tokens = np.concatenate(right["s"])
     order = np.argsort(tokens, kind="stable")
     tokens, holder = tokens[order], np.repeat(np.arange(len(size)), size)[order]
 
@@ -259,9 +293,11 @@ def block_pairs(left: dict, right: dict, same: bool, percent: int) -> tuple[list
         at = np.repeat(a - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
         return np.bincount(holder[at], minlength=len(size))
 
-    found, derived, fresh, before, held = [], 0, 0, None, None
+    # Components by number; a link gives both sides' rows one number.
+    own, there = left["root"].copy(), right["root"].copy()
+    found, near, derived, fresh, before, held = [], [], 0, 0, None, None
     for i in np.lexsort((left["cls"], left["n"], left["root"])).tolist():
-        x = np.sort(left["pre"][i])
+        x = left["s"][i]
         if before is not None:
             more, less = np.setdiff1d(x, before, True), np.setdiff1d(before, x, True)
         if before is not None and len(more) + len(less) < len(x):
@@ -269,54 +305,74 @@ def block_pairs(left: dict, right: dict, same: bool, percent: int) -> tuple[list
         else:
             held, fresh = counts(x), fresh + 1
         before = x
-        n, tau = left["n"][i], percent - left["r"][i] - right["r"]
-        least = np.minimum(len(x) - n, size - right["n"]) + needed(tau, n, right["n"])
-        ok = (held >= np.maximum(least, 1)) & (right["root"] != left["root"][i]) & (100 * np.minimum(n, right["n"]) >= tau * np.maximum(n, right["n"]))
-        if same:
-            ok &= right["cls"] > left["cls"][i]
-        found += [(int(left["cls"][i]), int(right["cls"][j]), int(tau[j])) for j in np.flatnonzero(ok)]
+        tau = percent - left["r"][i] - right["r"]
+        # In one block both sides are the same rows: each pair is met from its first.
+        apart = (there != own[i]) & (right["cls"] > left["cls"][i]) if same else there != own[i]
+        within = apart & (held >= needed(tau, len(x), size))
+        link = held >= needed(percent, len(x), size)
+        while (hit := np.flatnonzero(within & link & (there != own[i]))).size:
+            j = int(hit[0])
+            found.append((int(left["cls"][i]), int(right["cls"][j]), int(tau[j]), int(held[j]), True))
+            old, new = there[j], own[i]
+            own[own == old] = new
+            there[there == old] = new
+        near += [(i, int(j), int(tau[j]), int(held[j])) for j in np.flatnonzero(within & ~link)]
+    found += [(int(left["cls"][i]), int(right["cls"][j]), t, o, False) for i, j, t, o in near if own[i] != there[j]]
     return found, derived, fresh
 
 
-def long_pairs(entries: DataFrame, leaders: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, t) of the long lists' leaders whose components differ. Lists within one component are left out;
-    the others are cut by set size, and sizes that cannot link never meet."""
+_FOUND = "a long, b long, t int, o long, linked boolean"
+
+
+def long_links(entries: DataFrame, leaders: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links within the long lists (see :func:`block_links`), and the full sets of their leaders. Lists within one
+    component are left out, lists with the same least member are put together (each leader once); they are cut by
+    set size, and sizes that cannot link never meet."""
+    spark = entries.sparkSession
     lowest = percent - 2 * (100 - RELATED)
     named = entries.join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    lists = named.groupBy("key").agg(F.min("cls").alias("hub"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    # Lists with one least member are compared as one: near sets share many lists, with about the same members.
+    mixed = materialize(lists.where("r0 < r1").select("key", "hub"), "join-mixed")
+    named = materialize(named.join(mixed.hint("merge"), "key").select("hub", "cls", "n", "root").distinct(), "join-active")
+    if named.isEmpty():
+        return spark.createDataFrame([], _FOUND), spark.createDataFrame([], "cls long, s binary")
     bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / lowest))).cast("int")
     named = named.withColumn("bucket", bucket)
-    stats = named.groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    mixed = stats.groupBy("key").agg(F.min("r0").alias("r0"), F.max("r1").alias("r1")).where("r0 < r1").select("key")
-    stats = materialize(stats.join(mixed, "key", "left_semi").select("key", "bucket", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "join-buckets")
-    # Blocks of the bucket itself and of the next one above it meet; a bucket spans the sizes that one size may link with.
-    one, two = stats.alias("s"), stats.alias("u")
-    meets = one.join(two, F.expr("s.key = u.key and u.bucket between s.bucket and s.bucket + 1"))
-    meets = meets.select(F.col("s.key").alias("key"), F.col("s.bucket").alias("b0"), F.col("u.bucket").alias("b1"),
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    stats = materialize(named.groupBy("hub", "bucket").agg(blocks.alias("blocks")), "join-buckets")
+    # A block meets those of its own bucket and of the next one above; a bucket spans the sizes that one size may link with.
+    meets = stats.alias("s").join(stats.alias("u"), F.expr("s.hub = u.hub and u.bucket between s.bucket and s.bucket + 1"))
+    meets = meets.select(F.col("s.hub").alias("hub"), F.col("s.bucket").alias("b0"), F.col("u.bucket").alias("b1"),
                          F.explode(F.expr("sequence(0, s.blocks - 1)")).alias("i"), F.col("u.blocks").alias("m")).withColumn("j", F.explode(F.expr("sequence(0, m - 1)"))).drop("m")
     meets = materialize(meets.where("b0 < b1 or i <= j"), "join-meets")
-    own = named.join(stats.withColumnRenamed("key", "k").withColumnRenamed("bucket", "bk").hint("merge"), F.expr("key = k and bucket = bk"))
-    own = own.select("key", "bucket", F.expr("pmod(xxhash64(cls), blocks)").cast("int").alias("block"), "cls", "root")
-    sides = [(0, "b0", "i"), (1, "b1", "j")]
+    own = named.join(stats.withColumnRenamed("hub", "k").withColumnRenamed("bucket", "bk").hint("merge"), F.expr("hub = k and bucket = bk"))
+    own = own.select("hub", "bucket", F.expr("pmod(xxhash64(cls), blocks)").cast("int").alias("block"), "cls", "root")
     dealt = None
-    for side, b, block in sides:
+    for side, b, block in ((0, "b0", "i"), (1, "b1", "j")):
         at = meets.where("not (b0 = b1 and i = j)") if side else meets
-        here = at.select("key", "b0", "i", "b1", "j", F.col(b).alias("bucket"), F.col(block).alias("block"))
-        here = own.join(here, ["key", "bucket", "block"]).select("key", "b0", "i", "b1", "j", F.lit(side).alias("side"), "cls", "root")
+        here = at.select("hub", "b0", "i", "b1", "j", F.col(b).alias("bucket"), F.col(block).alias("block"))
+        here = own.join(here, ["hub", "bucket", "block"]).select("hub", "b0", "i", "b1", "j", F.lit(side).alias("side"), "cls", "root")
         dealt = here if dealt is None else dealt.unionByName(here)
-    dealt = dealt.join(leaders.select("cls", "n", "r", "pre").hint("merge"), "cls")
+    sets = set_table(named.select("cls").distinct(), classes, docs, words)
+    dealt = dealt.join(leaders.select("cls", "r").join(sets, "cls").hint("merge"), "cls")
 
     def compare(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
-        cols = {k: table[k].to_numpy().astype(np.int64) for k in ("cls", "root", "n", "r")}
-        pre = np.empty(len(side), object)
-        pre[:] = _sets(table["pre"])
-        halves = [{**{k: v[side == s] for k, v in cols.items()}, "pre": pre[side == s]} for s in (0, 1)]
+        cols = {k: table[k].to_numpy().astype(np.int64) for k in ("cls", "root", "r")}
+        own = np.empty(len(side), object)
+        own[:] = _sets(table["s"])
+        cols["n"] = np.array([len(x) for x in own])
+        halves = [{**{k: v[side == k0] for k, v in cols.items()}, "s": own[side == k0]} for k0 in (0, 1)]
         same = not (side == 1).any()
-        pairs = block_pairs(halves[0], halves[0] if same else halves[1], same, percent)[0]
-        a, b, t = zip(*pairs, strict=True) if pairs else ((), (), ())
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64()), "t": pa.array(t, pa.int32())})
+        found = block_links(halves[0], halves[0] if same else halves[1], same, percent)[0]
+        give_back()
+        a, b, t, o, linked = zip(*found, strict=True) if found else ((), (), (), (), ())
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64()), "t": pa.array(t, pa.int32()),
+                         "o": pa.array(o, pa.int64()), "linked": pa.array(linked, pa.bool_())})
 
-    return materialize(dealt.groupBy("key", "b0", "i", "b1", "j").applyInArrow(compare, "a long, b long, t int").distinct(), "join-long")
+    found = dealt.groupBy("hub", "b0", "i", "b1", "j").applyInArrow(compare, _FOUND).distinct()
+    return materialize(found, "join-long"), sets
 
 
 def derived_links(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -366,16 +422,19 @@ def linked_by_members(y, w, left, right, percent: int) -> bool:
     return False
 
 
-def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80, share: float = FREQUENT_SHARE, least: int = LEAST_FREQUENT, long_: int = LONG) -> DataFrame:
+def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80, least: int = LEAST_FREQUENT, long_: int = LONG) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, and leader_set (the fingerprint of the row's set; equal sets are one class)."""
     sc = docs.sparkSession.sparkContext
     if percent <= 2 * (100 - RELATED):
         raise ValueError("too low a similarity")
-    frequent = sc.broadcast(frequent_shingles(docs, words, share, least))
-    rows = features(docs, words, percent - 2 * (100 - RELATED), frequent)
+    lowest = percent - 2 * (100 - RELATED)
+    frequent = sc.broadcast(frequent_shingles(docs, words, least, lowest))
+    rows = features(docs, words, lowest, frequent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("first")
     sets = materialize(rows.where("n > 0").groupBy("fp").agg(F.min("uid").alias("cls"), first), "join-classes")
-    classes = materialize(rows.join(sets.select(F.col("cls").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("cls"), _key_id(), "h1", "h2", "n", "key0", "pre"), "join-sets")
+    first_rows = sets.select(F.col("cls").alias("uid"))
+    first_rows = F.broadcast(first_rows) if sets.count() <= BROADCAST_CLASSES else first_rows
+    classes = materialize(rows.join(first_rows, "uid", "left_semi").select(F.col("uid").alias("cls"), _key_id(), "h1", "h2", "n", "key0", "pre"), "join-sets")
 
     hubs = classes.groupBy("key0").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("a")).where("c > 1").select("key0", "a")
     spokes = classes.select("key0", F.col("cls").alias("b")).join(hubs.hint("merge"), "key0").where("a <> b").select("a", "b", F.lit(percent).alias("t"))
@@ -394,13 +453,13 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80, share: fl
     roots = components(links)
 
     entries = found.where("b is null").select("key", F.col("a").alias("cls"), "n").unionByName(postings(leaders, percent, frequent, True).select("key", "cls", "n"))
-    far, far_sets = verified(_apart(long_pairs(entries, leaders, roots, percent), roots), classes, docs, words)
-    if not far.isEmpty():
-        links = links.unionByName(far.where(F.col("j") >= percent).select("a", "b"))
+    far, far_sets = long_links(entries, leaders, classes, roots, docs, words, percent)
+    if not far.where("linked").isEmpty():
+        links = links.unionByName(far.where("linked").select("a", "b"))
         roots = components(links)
     frequent.destroy()
 
-    close = near.unionByName(far).where(F.col("j") < percent).select("a", "b", "t")
+    close = near.where(F.col("j") < percent).select("a", "b", "t").unionByName(far.where("not linked").select("a", "b", "t"))
     close = materialize(_apart(close, roots), "join-close")
     if not close.isEmpty():
         every = near_sets.unionByName(far_sets).dropDuplicates(["cls"])

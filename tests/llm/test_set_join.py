@@ -66,7 +66,7 @@ def expected(rows, words, percent):
 def test_groups_equal_all_pairs(spark, seed, words, percent, least, long_):
     rows = table(seed)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    got = J.jaccard_groups(docs, words, percent, share=1e-9, least=least, long_=long_)
+    got = J.jaccard_groups(docs, words, percent, least=least, long_=long_)
     links, want = expected(rows, words, percent)
     assert links > 100
     assert sorted((tuple(r)[:3] for r in got.collect()), key=str) == want
@@ -111,16 +111,37 @@ def test_posting_lists_skip_no_partner():
     assert want <= found and len(want) > 20 and len(found) < 80 * 79 / 2
 
 
-def test_counts_are_derived_from_similar_sets():
+def _connected(n, links):
+    root = list(range(n))
+    for a, b in links:
+        ra, rb = root[a], root[b]
+        root = [ra if x == rb else x for x in root]
+    return [min(j for j in range(n) if root[j] == root[i]) for i in range(n)]
+
+
+@pytest.mark.parametrize("cut", [None, 25])
+def test_blocks_connect_what_links(cut):
+    """One block with itself, or two blocks: the links connect what all linked pairs connect, at most one less
+    than the sets there are; overlaps are mostly derived; close pairs with members are named."""
     sets_ = _leaders(2, 60, 200)
-    n = np.array([len(s) for s in sets_])
-    pre = np.empty(60, object)
-    pre[:] = [s[: J.prefix_length(77, len(s))] for s in sets_]
-    side = {"cls": np.arange(60), "root": np.arange(60), "n": n, "r": np.zeros(60, np.int64), "pre": pre}
-    pairs, derived, fresh = J.block_pairs(side, side, True, 85)
-    want = {(i, j) for j in range(60) for i in range(j) if _similar(sets_[i], sets_[j]) >= 85}
-    assert want <= {(i, j) for i, j, _ in pairs} and len(want) > 20
-    assert derived + fresh == 60 and derived > 20
+    r = np.array([4 * (i % 3 == 0) for i in range(60)])
+
+    def side(i):
+        own = np.empty(len(i), object)
+        own[:] = [sets_[k] for k in i]
+        return {"cls": np.array(i), "root": np.array(i), "n": np.array([len(sets_[k]) for k in i]), "r": r[i], "s": own}
+
+    left, right = (range(60), range(60)) if cut is None else (range(cut), range(cut, 60))
+    found, derived, fresh = J.block_links(side(list(left)), side(list(right)), cut is None, 85)
+    pairs = [(i, j) for i in left for j in right if (i < j if cut is None else True)]
+    linked = [(i, j) for i, j in pairs if _similar(sets_[i], sets_[j]) >= 85]
+    groups = _connected(60, linked)
+    got = [x[:2] for x in found if x[4]]
+    assert _connected(60, got) == groups and len(got) < 60 and set(got) <= set(linked) and len(linked) > 2 * len(got)
+    close = {(i, j) for i, j in pairs if 85 - r[i] - r[j] <= _similar(sets_[i], sets_[j]) < 85 and groups[i] != groups[j]}
+    assert {x[:2] for x in found if not x[4]} == close
+    assert all(o == len(np.intersect1d(sets_[a], sets_[b])) for a, b, _, o, _ in found)
+    assert derived + fresh == len(left) and derived > len(left) / 3
 
 
 def test_links_by_members():
