@@ -130,9 +130,8 @@ def main() -> None:
     # Volume figures: JSONL folder, Parquet folder, ratio, 100 bytes per raw row.
     from labormart.operators.profile import file_volume
 
-    vj = file_volume(spark.read.text(jsonl_dir).filter(
-        F.col("_metadata.file_name").endswith(".json")), "jsonl", rows=raw).first()
-    vp = file_volume(spark.read.parquet(parquet_dir), "parquet").first()
+    vj = file_volume(spark, jsonl_dir, "jsonl", raw, glob="*.json").first()
+    vp = file_volume(spark, parquet_dir, "parquet", pq, glob="*.parquet").first()
     volume = {"jsonl_mb": round(vj.mb, 3), "parquet_mb": round(vp.mb, 3),
               "jsonl_to_parquet": round(vj.bytes / vp.bytes, 1),
               "transport_estimate_mb": round(vj.transport_mb_estimate, 3)}

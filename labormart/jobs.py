@@ -1,54 +1,73 @@
-"""Job entry points: the batch analyzer and the stream consumer as Spark jobs.
+"""Job entry points: the batch analyzer, the stream consumer and the collector as Spark jobs.
 
-    python -m labormart.jobs analyze --data-dir DIR --out OUT
+    python -m labormart.jobs analyze --data-dir DIR --out OUT [--glob '*.jsonl']
     python -m labormart.jobs consume --topic-dir DIR --out OUT [--window 300 --every 10]
     python -m labormart.jobs collect --pages-dir DIR --files-out F --topic-dir T --report-out R
     python -m labormart.jobs dashboard --data-dir DIR --out OUT [--every 30]
 
-``analyze`` loads the JSONL folder, cleans it, writes the clean table as Parquet and every report
-table (profile, aggregates, SQL reports, distributions, skills, timeline) as Parquet folders
-under ``OUT``; report tables are small, the clean table is written partitioned by day.
+``analyze`` reads the JSONL folder once, cleans it, writes the clean table as Parquet (clustered by
+day) and every report table (profile, stages, bad files, aggregates, SQL reports, distributions,
+skills, timeline) as Parquet folders under ``OUT``.
 ``consume`` runs the sliding-window report over a message folder (or Kafka) until stopped.
-``collect`` turns stored result pages into validated records fanned out to JSONL files, the
-topic and the tumbling window report, until stopped.
+``collect`` turns stored result pages into validated records in JSONL files; the topic and the tumbling
+window report are made from the committed files, so all three hold the same records.
+Both streams end on SIGINT, SIGTERM or a failed query: what has arrived is worked off, the windows
+still open are written, then they stop. Their progress is written to ``<out>_progress``.
 """
 
 from __future__ import annotations
 
 import argparse
+import signal
 import sys
+import threading
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from labormart.functions import iso_text
 from labormart.operators import aggregates as A
 from labormart.operators import distribution as D
 from labormart.operators import profile as PR
 from labormart.operators import skills as K
-from labormart.functions import iso_text
-from labormart.operators.clean import clean
-from labormart.sources.files import load_jsonl, parquet_view, save_parquet
+from labormart.operators.clean import cast_salaries, dedup_first, filter_names, flatten
+from labormart.schema import RAW_SCHEMA
+from labormart.session import written
+from labormart.sources.files import StagedLines, parquet_view, save_parquet
+
+#: Rows per file of the clean table: a day of more rows gets more files.
+ROWS_PER_FILE = 2_000_000
 
 
 def analysis_tables(spark: SparkSession, data_dir: str, parquet_dir: str,
-                    view: str = "vacancies") -> dict[str, DataFrame]:
+                    view: str = "vacancies", glob: str = "*.jsonl",
+                    rows_per_file: int = ROWS_PER_FILE) -> dict[str, DataFrame]:
     """Load + clean the folder, write the clean table to ``parquet_dir`` (partitioned by
-    publication day) and return the report tables, lazily, by name."""
-    raw = load_jsonl(spark, data_dir)
-    vac = clean(raw).withColumn("published_date", F.substring("published_at", 1, 10))
-    save_parquet(vac, parquet_dir, partition_by=["published_date"])
+    publication day) and return the report tables, lazily, by name.
+
+    The text is scanned once (:class:`StagedLines`): rows, bad files, profile and counts come from
+    the staged table. The stages' rows are counted by the job that cleans."""
+    staged = StagedLines(spark, data_dir, glob=glob)
+    raw = staged.rows()
+    loaded, o_loaded = PR.observe_rows(raw, "loaded")
+    unique, o_unique = PR.observe_rows(dedup_first(cast_salaries(flatten(loaded))), "unique")
+    cleaned, o_clean = PR.observe_rows(filter_names(unique), "clean")
+    vac = written(cleaned.withColumn("published_date", F.substring("published_at", 1, 10)), "clean")
+    save_parquet(vac, parquet_dir, partition_by=["published_date"], rows_per_file=rows_per_file)
     pq = parquet_view(spark, parquet_dir, view)
+    lines = staged.counts().first()
     return {
+        "bad_files": staged.bad_files(),
+        "stages": PR.stage_table(spark, [("lines", lines["lines"]), ("load", o_loaded.get["rows"]),
+                                         ("dedup", o_unique.get["rows"]), ("clean", o_clean.get["rows"])]),
         "profile_nulls": PR.null_profile(raw),
         "profile_shape": PR.shape(raw),
         "head": PR.head(pq.orderBy("id"), 5),
         "by_area": A.aggregate_by_area(pq),
         "by_employer": A.aggregate_by_employer(pq),
-        "top_areas": spark.sql(f"""
-            SELECT area_name, COUNT(*) AS count, AVG(salary_from) AS avg_from,
-                   AVG(salary_to) AS avg_to
-            FROM {view} WHERE area_name IS NOT NULL
-            GROUP BY area_name ORDER BY count DESC, area_name LIMIT 10"""),
+        "top_areas": A.top_areas(pq),
         "salary_distribution": D.salary_distribution(pq),
         "percentile_salary": D.median_by_area(pq, min_count=5),
         "compare_areas": A.area_avg_with_zeros(pq),
@@ -60,16 +79,16 @@ def analysis_tables(spark: SparkSession, data_dir: str, parquet_dir: str,
     }
 
 
-def analyze(spark: SparkSession, data_dir: str, out: str) -> dict[str, str]:
+def analyze(spark: SparkSession, data_dir: str, out: str, glob: str = "*.jsonl") -> dict[str, str]:
     """Run the batch analyzer; returns report name → written folder."""
     out = out.rstrip("/")
-    tables = analysis_tables(spark, data_dir, f"{out}/vacancies.parquet")
-    written = {}
+    tables = analysis_tables(spark, data_dir, f"{out}/vacancies.parquet", glob=glob)
+    written_to = {}
     for name, df in tables.items():
         path = f"{out}/{name}"
         df.write.mode("overwrite").parquet(path)
-        written[name] = path
-    return written
+        written_to[name] = path
+    return written_to
 
 
 def dashboard_tables(vac: DataFrame) -> dict[str, DataFrame]:
@@ -88,7 +107,7 @@ def dashboard_tables(vac: DataFrame) -> dict[str, DataFrame]:
 
 
 def dashboard(spark: SparkSession, data_dir: str, out: str, every_sec: int | None = None,
-              rounds: int | None = None) -> dict[str, str]:
+              rounds: int | None = None, glob: str = "*.jsonl") -> dict[str, str]:
     """Write the dashboard tables from a cached snapshot of the folder; with ``every_sec``,
     drop the snapshot and rewrite them every ``every_sec`` seconds (``rounds`` times, or
     until stopped)."""
@@ -96,42 +115,54 @@ def dashboard(spark: SparkSession, data_dir: str, out: str, every_sec: int | Non
 
     from labormart.sources.files import Snapshot
 
-    snap, written, n = Snapshot(spark, data_dir), {}, 0
+    snap, written_to, n = Snapshot(spark, data_dir, glob=glob), {}, 0
     while True:
         vac = snap.refresh() if n else snap.get()
         for name, df in dashboard_tables(vac).items():
             path = f"{out.rstrip('/')}/{name}"
             df.write.mode("overwrite").parquet(path)
-            written[name] = path
+            written_to[name] = path
         n += 1
         if not every_sec or (rounds is not None and n >= rounds):
-            return written
+            return written_to
         time.sleep(every_sec)
 
 
-def beside(out: str) -> str:
-    """The checkpoint folder of an output that is given none."""
-    return f"{out.rstrip('/')}_checkpoint"
+def _messages(spark: SparkSession, raw: DataFrame, kafka: bool) -> DataFrame:
+    from labormart.streaming.windows import consume_messages
+
+    return consume_messages(raw, arrival="timestamp" if kafka else None)
 
 
 def consume(spark: SparkSession, topic_dir: str | None, out: str, window_sec: int = 300,
             every_sec: int = 10, kafka: dict[str, str] | None = None, watermark: str = "1 minute",
-            checkpoint: str | None = None):
-    """Start the sliding-window consumer (decode → fallbacks → windows); returns the query. The
+            checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Start the sliding-window consumer (decode → fallbacks → windows), a report each ``every_sec``,
+    empty ones too; returns the query. Messages that are no JSON objects are skipped and counted. The
     checkpoint stands beside the output unless given, so a restart goes on where it stopped."""
-    from labormart.streaming.windows import (
-        consume_messages, event_time, message_stream, start_sliding_report,
-    )
+    from labormart.sources.messages import observe_rejects
+    from labormart.streaming.windows import event_time, message_stream, start_sliding_report
 
-    msgs = message_stream(spark, path=topic_dir, kafka=kafka)
-    stream = consume_messages(msgs, arrival="timestamp" if kafka else None)
+    msgs = observe_rejects(message_stream(spark, path=topic_dir, kafka=kafka), "messages")
+    stream = _messages(spark, msgs, bool(kafka))
     return start_sliding_report(event_time(stream, watermark=watermark), out,
                                 size=f"{window_sec} seconds", slide=f"{every_sec} seconds",
-                                trigger={"processingTime": f"{every_sec} seconds"},
-                                checkpoint=checkpoint or beside(out),
+                                trigger=trigger or {"processingTime": f"{every_sec} seconds"},
+                                checkpoint=checkpoint, spine=True, name="consume",
                                 area="area", s_from="salary")
 
 
+def finish_consume(spark: SparkSession, topic_dir: str | None, out: str, window_sec: int = 300,
+                   every_sec: int = 10, kafka: dict[str, str] | None = None) -> None:
+    """The sliding windows that the stopped consumer still held open, from the stored messages."""
+    from labormart.streaming.windows import flush_sliding_tail
+
+    raw = (spark.read.format("kafka").options(**kafka).load().select(F.col("value").cast("string").alias("value"), "timestamp")
+           if kafka else spark.read.text(topic_dir))
+    flush_sliding_tail(_messages(spark, raw, bool(kafka)), out, size=f"{window_sec} seconds",
+                       slide=f"{every_sec} seconds", spine=True, area="area", s_from="salary")
+
+
 def valid_items(pages: DataFrame) -> DataFrame:
     """Items of stored pages that pass the rules. An item's collection time is the time its page
     was stored: the same in the files, the topic and the windows, and again after a replay."""
@@ -140,7 +171,7 @@ def valid_items(pages: DataFrame) -> DataFrame:
 
     stored = pages.select("value", F.col("_metadata.file_modification_time").alias("_stored"))
     items = unwrap_pages(stored, collected_at=iso_text("_stored"))
-    return split_valid(validate_raw(items))[0]
+    return split_valid(validate_raw(items))[0].select(*RAW_SCHEMA.names)
 
 
 def timed(items: DataFrame) -> DataFrame:
@@ -150,34 +181,83 @@ def timed(items: DataFrame) -> DataFrame:
     return given_salaries(items).withColumn("ts", F.to_timestamp("collected_at"))
 
 
-def finish_collect(spark: SparkSession, pages_dir: str, report_out: str,
+def finish_collect(spark: SparkSession, files_out: str, report_out: str,
                    window: str = "60 seconds") -> DataFrame:
-    """The windows that the stopped collector still held open, from the stored pages."""
+    """The windows that the stopped collector still held open, from the committed files: the
+    records that the report stream has read, no others."""
     from labormart.streaming.windows import flush_tail
 
-    pages = spark.read.text(pages_dir)
-    return flush_tail(timed(valid_items(pages)), report_out, size=window, has_salary="has_salary")
+    records = spark.read.schema(RAW_SCHEMA).json(files_out)
+    return flush_tail(timed(records), report_out, size=window, has_salary="has_salary")
 
 
 def collect(spark: SparkSession, pages_dir: str, files_out: str, topic_dir: str | None,
             report_out: str, window: str = "60 seconds", watermark: str = "1 minute",
             trigger: dict | None = None, kafka: dict[str, str] | None = None,
-            checkpoint_root: str | None = None) -> list:
-    """The collector as two streaming queries over a folder of stored result pages (one JSON
-    page envelope per line): pages → items stamped with the collection time → validation
-    (invalid items dropped) → (1) JSONL files + topic messages, (2) the tumbling window
-    report. Returns the started queries; :func:`finish_collect` after they stopped."""
-    from labormart.streaming.windows import event_time, start_fan_out, start_tumbling_report
-
-    pages = spark.readStream.schema("value STRING").text(pages_dir)
-    valid = valid_items(pages)
+            checkpoint_root: str | None = None) -> list[StreamingQuery]:
+    """The collector over a folder of stored result pages (one JSON page envelope per line).
+
+    One query parses, stamps and validates the pages and appends the valid items to JSONL files; each
+    batch is committed in the folder's log. The topic and the tumbling window report are two more queries
+    that read the committed files only, in the order of the commits. So a record is parsed once, all three
+    outputs hold the same records, and a stop at any point leaves outputs that the next start completes.
+    Returns the started queries, the files' first; :func:`finish_collect` after they stopped. With an
+    ``availableNow`` trigger the files are complete before the others start."""
+    from labormart.session import make_folder
+    from labormart.sources.messages import observe_rejects
+    from labormart.streaming.windows import (
+        committed_records, event_time, start_jsonl_sink, start_topic, start_tumbling_report,
+    )
+
     ck = (checkpoint_root.rstrip("/") + "/") if checkpoint_root else None  # else beside each output
-    q_files = start_fan_out(valid, files_out, topic_dir, trigger=trigger, kafka=kafka,
-                            checkpoint=(ck + "fanout") if ck else beside(files_out))
-    q_report = start_tumbling_report(event_time(timed(valid), watermark=watermark), report_out,
-                                     trigger=trigger, size=window, has_salary="has_salary",
-                                     checkpoint=(ck + "report") if ck else beside(report_out))
-    return [q_files, q_report]
+    place = lambda n: (ck + n) if ck else None
+    pages = spark.readStream.schema("value STRING").text(pages_dir).select("value", "_metadata")
+    valid = valid_items(observe_rejects(pages, "pages"))
+    queries = [start_jsonl_sink(valid, files_out, checkpoint=place("files"), trigger=trigger, name="collect_files")]
+    if (trigger or {}).get("availableNow"):
+        queries[0].awaitTermination()
+    make_folder(spark, files_out)
+    records = committed_records(spark, files_out, RAW_SCHEMA)
+    if topic_dir or kafka:
+        queries.append(start_topic(records, topic_dir, checkpoint=place("topic"), trigger=trigger, kafka=kafka, name="collect_topic"))
+    queries.append(start_tumbling_report(event_time(timed(records), watermark=watermark), report_out,
+                                         trigger=trigger, size=window, has_salary="has_salary",
+                                         checkpoint=place("report"), name="collect_report"))
+    return queries
+
+
+class StopSignal:
+    """SIGINT and SIGTERM set a flag, instead of ending the process, while this is open."""
+
+    def __init__(self) -> None:
+        self.asked = threading.Event()
+
+    def __enter__(self) -> threading.Event:
+        ask = lambda *_: self.asked.set()
+        self.before = {s: signal.signal(s, ask) for s in (signal.SIGINT, signal.SIGTERM)}
+        return self.asked
+
+    def __exit__(self, *_) -> None:
+        for s, handler in self.before.items():
+            signal.signal(s, handler)
+
+
+def run_until_stopped(queries: Sequence[StreamingQuery], finish: Callable[[], object],
+                      poll: float = 0.5) -> int:
+    """Wait for a stop signal, or for the first query that ends by itself. Then, in the order given, each
+    query works off what has arrived and stops; ``finish`` writes what they held open, also after a
+    failure. 0 if no query failed. Signals that come meanwhile do not cut this short."""
+    with StopSignal() as asked:
+        while not asked.is_set() and all(q.isActive for q in queries):
+            asked.wait(poll)
+        for q in queries:
+            if q.isActive:
+                try:
+                    q.processAllAvailable()
+                finally:
+                    q.stop()
+        finish()
+    return 0 if all(q.exception() is None for q in queries) else 1
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -207,33 +287,36 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--data-dir", required=True)
     d.add_argument("--out", required=True)
     d.add_argument("--every", type=int, default=None)
+    for x in (a, d):
+        x.add_argument("--glob", default="*.jsonl")
     args = p.parse_args(argv)
     spark = get_session()
     if args.cmd == "dashboard":
-        for name, path in dashboard(spark, args.data_dir, args.out, args.every).items():
+        for name, path in dashboard(spark, args.data_dir, args.out, args.every, glob=args.glob).items():
             print(f"{name}\t{path}")
         return 0
-    if args.cmd == "collect":
-        qs = collect(spark, args.pages_dir, args.files_out, args.topic_dir, args.report_out,
-                     window=f"{args.window} seconds", checkpoint_root=args.checkpoint)
-        try:
-            spark.streams.awaitAnyTermination()
-        except KeyboardInterrupt:  # the way to stop it
-            pass
-        for q in qs:
-            q.stop()
-        finish_collect(spark, args.pages_dir, args.report_out, f"{args.window} seconds")
-        return 0 if all(q.exception() is None for q in qs) else 1
     if args.cmd == "analyze":
-        for name, path in analyze(spark, args.data_dir, args.out).items():
+        for name, path in analyze(spark, args.data_dir, args.out, args.glob).items():
             print(f"{name}\t{path}")
         return 0
-    kafka = ({"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.kafka_topic}
-             if args.kafka_servers else None)
-    q = consume(spark, args.topic_dir, args.out, args.window, args.every, kafka,
-                checkpoint=args.checkpoint)
-    q.awaitTermination()
-    return 0
+    from labormart.streaming.windows import ProgressLog
+
+    if args.cmd == "collect":
+        log = ProgressLog(spark, f"{args.report_out.rstrip('/')}_progress")
+        queries = collect(spark, args.pages_dir, args.files_out, args.topic_dir, args.report_out,
+                          window=f"{args.window} seconds", checkpoint_root=args.checkpoint)
+        end = lambda: finish_collect(spark, args.files_out, args.report_out, f"{args.window} seconds")
+    else:
+        kafka = ({"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.kafka_topic}
+                 if args.kafka_servers else None)
+        log = ProgressLog(spark, f"{args.out.rstrip('/')}_progress")
+        queries = [consume(spark, args.topic_dir, args.out, args.window, args.every, kafka, checkpoint=args.checkpoint)]
+        end = lambda: finish_consume(spark, args.topic_dir, args.out, args.window, args.every, kafka)
+    print("started", flush=True)
+    status = run_until_stopped(queries, end)
+    log.close(queries)
+    print("stopped", flush=True)
+    return status
 
 
 if __name__ == "__main__":

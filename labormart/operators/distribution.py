@@ -1,11 +1,11 @@
 """Salary distributions: bands, medians, histogram, box summary, top-area rows
 (A4, A5, A13, A14, A16-A18, J1).
 
-Exact medians and quartiles are computed by :func:`rank_values`: counts per (group, value),
-sums per (group, bucket of values), exact ranking inside the one bucket that holds each
-target rank. A group holding a third of all rows is therefore spread over the cluster by
-value instead of being merged in one task, which is what Spark's ``percentile`` aggregate
-would do (kept as ``method="builtin"``; ``"approx"`` is ``percentile_approx``).
+Exact medians and quartiles are computed by :func:`rank_values`: counts per (group, value) are dealt
+by ranges of (group, value), sums per (group, range) tell which range holds each target rank, and only
+that range is ranked. A group holding a third of all rows is therefore spread over the cluster by
+value, however close its values lie, instead of being merged in one task, which is what Spark's
+``percentile`` aggregate would do (kept as ``method="builtin"``; ``"approx"`` is ``percentile_approx``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from labormart.functions import band
 from labormart.schema import SALARY_BANDS_4, SALARY_BANDS_5
+from labormart.session import written
 
 
 def salary_distribution(df: DataFrame, s_from: str = "salary_from",
@@ -81,16 +82,8 @@ def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
 
 
-def _bucket(value: Column, per_octave: float) -> Column:
-    """A bucket number that never falls as the value grows: a logarithmic scale on either side
-    of zero, from the value alone. 64-bit integers give at most 126 * ``per_octave`` buckets."""
-    v = value.cast("double")
-    return F.floor(F.signum(v) * F.log2(F.abs(v) + 1.0) * per_octave).cast("bigint")
-
-
 def rank_values(df: DataFrame, group: Sequence[str], value: str,
-                targets: Callable[[Column], list[tuple[str, Column]]],
-                per_octave: int = 256, levels: int = 1) -> DataFrame:
+                targets: Callable[[Column], list[tuple[str, Column]]]) -> DataFrame:
     """Exact values at given ranks inside each group, without sending a group to one task.
 
     ``targets(n)`` maps the group size to named 1-based ranks. Output: group columns, ``_name``,
@@ -98,66 +91,53 @@ def rank_values(df: DataFrame, group: Sequence[str], value: str,
     leading underscores keep them apart from any group column. Null values are no values.
 
     1. rows are counted per (group, value);
-    2. counts are summed per (group, bucket), the bucket being computed from the value;
-    3. running sums over the (bounded number of) buckets of a group find the bucket of each rank;
-    4. only the values of those buckets are read, by a join on group and bucket, and ranked.
-
-    ``levels`` repeats steps 2 and 3 inside the buckets found, on a scale 4096 times as fine, for
-    columns with millions of distinct values within a 256th of an octave.
+    2. the counts are sorted by ranges of (group, value), as an ``orderBy`` would deal them, and written
+       with the number of their range: a range holds a bounded number of distinct values, and a group
+       goes to as many ranges as its values fill;
+    3. running sums over the ranges of a group find the range of each rank;
+    4. the ranges that hold a rank are ranked, each by itself.
     """
-    return rank_counted(value_counts(df, group, value), group, value, targets, per_octave, levels)
+    return rank_counted(value_counts(df, group, value), group, value, targets)
 
 
 def rank_counted(pairs: DataFrame, group: Sequence[str], value: str,
                  targets: Callable[[Column], list[tuple[str, Column]]],
-                 per_octave: int = 256, levels: int = 1) -> DataFrame:
-    """:func:`rank_values` from the counts of :func:`value_counts`."""
+                 ranges: int | None = None) -> DataFrame:
+    """:func:`rank_values` from the counts of :func:`value_counts`. ``ranges``: their number (default: the
+    shuffle's width, coalesced by AQE where the counts are few). Runs a job: the ranges are written."""
     g = list(group)
-    pairs = pairs.filter(F.col(value).isNotNull())
-    within, where = list(g), None
-    for level in range(levels):
-        bk = f"_b{level}"
-        pairs = pairs.withColumn(bk, _bucket(F.col(value), float(per_octave) * 4096 ** level))
-        part = pairs if where is None else _join_ns(pairs, where.select(*within).distinct(), within,
-                                                    "left_semi")
-        sums = part.groupBy(*within, bk).agg(F.sum("_c").alias("_bc"))
-        w = Window.partitionBy(*within)
-        sums = sums.select(*within, bk, "_bc", F.sum("_bc").over(w).alias("_n"), F.sum("_bc").over(
-            w.orderBy(bk).rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"))
-        if where is None:
-            sums = sums.select("*", F.explode(F.array(*[
-                F.struct(F.lit(name).alias("_name"), k.cast("bigint").alias("_k"))
-                for name, k in targets(F.col("_n"))])).alias("_t"))
-            sums = sums.select(*within, bk, "_bc", "_cum", "_n", "_t.*",
-                               F.col("_t._k").alias("_in"))
-        else:
-            sums = _join_ns(sums.drop("_n"), where, within)
-        before = F.col("_cum") - F.col("_bc")
-        within = [*within, bk]
-        where = sums.filter((F.col("_cum") >= F.col("_in")) & (before < F.col("_in"))).select(
-            *within, "_name", "_k", "_n", (F.col("_in") - before).alias("_in"))
-    # The values of the buckets found: few per group, so all of a group's may go to one task, and
-    # the ranking below and an aggregate per group after it need no further shuffle.
-    cand = _join_ns(pairs, where.groupBy(*within).agg(
-        F.collect_list(F.struct("_name", "_k", "_n", "_in")).alias("_want")), within)
-    if g:
-        cand = cand.repartition(*g)
-    wv = Window.partitionBy(*within).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    hit = cand.withColumn("_cum", F.sum("_c").over(wv)).select("*", F.inline("_want")).filter(
-        (F.col("_cum") >= F.col("_in")) & (F.col("_cum") - F.col("_c") < F.col("_in")))
+    pairs = pairs.filter(F.col(value).isNotNull()).select(*g, value, "_c")
+    dealt = pairs.repartitionByRange(ranges, *g, value) if ranges else pairs.repartitionByRange(*g, value)
+    dealt = written(dealt.withColumn("_p", F.spark_partition_id()), "ranks")
+    within = [*g, "_p"]
+    whole = Window.partitionBy(*g)  # of the sums: one row per range of a group
+    sums = dealt.groupBy(*within).agg(F.sum("_c").alias("_pc")).select(
+        *within, "_pc", F.sum("_pc").over(whole).alias("_n"), F.sum("_pc").over(
+            whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"))
+    wanted = sums.select("*", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("_name"), k.cast("bigint").alias("_k"))
+        for name, k in targets(F.col("_n"))])))
+    before = F.col("_upto") - F.col("_pc")
+    wanted = wanted.filter((F.col("_upto") >= F.col("_k")) & (before < F.col("_k")))
+    # A row per range that holds a rank, with a list of at most all targets.
+    wanted = wanted.groupBy(*within).agg(F.collect_list(F.struct(
+        "_name", "_k", "_n", (F.col("_k") - before).alias("_in"))).alias("_want"))
+    inside = Window.partitionBy(*within).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    hit = (_join_ns(dealt, wanted, within).withColumn("_cum", F.sum("_c").over(inside))
+           .select("*", F.inline("_want"))
+           .filter((F.col("_cum") >= F.col("_in")) & (F.col("_cum") - F.col("_c") < F.col("_in"))))
     return hit.select(*g, "_name", "_k", F.col(value).alias("_value"), "_n")
 
 
-def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
-                    levels: int = 1) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles (as ``percentile`` / ``percentile_cont``) per group,
     computed from exact ranks: position p·(n-1), interpolated between its floor and ceiling.
     Output: group columns, ``n`` and one DOUBLE column ``q<i>`` per probability."""
-    return quantiles_counted(value_counts(df, group, value), group, value, probs, levels)
+    return quantiles_counted(value_counts(df, group, value), group, value, probs)
 
 
 def quantiles_counted(pairs: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
-                      levels: int = 1) -> DataFrame:
+                      ranges: int | None = None) -> DataFrame:
     """:func:`exact_quantiles` from the counts of :func:`value_counts`."""
     def targets(n):
         out = []
@@ -166,7 +146,7 @@ def quantiles_counted(pairs: DataFrame, group: Sequence[str], value: str, probs:
             out += [(f"lo{i}", F.floor(pos) + 1), (f"hi{i}", F.ceil(pos) + 1)]
         return out
 
-    vals = rank_counted(pairs, group, value, targets, levels=levels)
+    vals = rank_counted(pairs, group, value, targets, ranges)
     aggs = [F.max(F.when(F.col("_name") == nm, F.col("_value"))).alias(f"_{nm}")
             for i in range(len(probs)) for nm in (f"lo{i}", f"hi{i}")]
     wide = vals.groupBy(*group).agg(F.max("_n").alias("_n"), *aggs)
@@ -179,14 +159,22 @@ def quantiles_counted(pairs: DataFrame, group: Sequence[str], value: str, probs:
     return wide.select(*group, F.col("_n").alias("n"), *cols)
 
 
-def median_nearest(df: DataFrame, area: str = "area_name", s_from: str = "salary_from"
-                   ) -> DataFrame:
+def median_nearest(df: DataFrame, area: str = "area_name", s_from: str = "salary_from",
+                   method: str = "ranks") -> DataFrame:
     """Nearest-rank median of salary > 0 per area (null area kept), no minimum count.
 
     The picked rank is ``floor((n - 1) * 0.5 + 0.5) + 1``: the middle value, the upper middle
-    one for even ``n``. Exact, via :func:`rank_values` (no group is ranked in one task).
+    one for even ``n``. Exact, via :func:`rank_values` (no group is ranked in one task), or with
+    ``method="builtin"`` by Spark's ``percentile_disc`` from above, where one task merges a group.
     """
     pos = df.filter(F.col(s_from) > 0)
+    if method == "builtin":
+        # Of the values in descending order, the first whose share of the rows reaches one half.
+        upper = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{s_from}` DESC)")
+        return (pos.groupBy(area).agg(upper.cast("double").alias("median"))
+                .orderBy(F.col("median").desc(), F.col(area).asc_nulls_last()))
+    if method != "ranks":
+        raise ValueError(f"unknown method {method!r}")
     picked = rank_values(pos, [area], s_from,
                          lambda n: [("median", F.floor((n - 1) * 0.5 + 0.5) + 1)])
     return (picked.select(area, F.col("_value").cast("double").alias("median"))

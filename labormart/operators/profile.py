@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from labormart.schema import BYTES_PER_ROW_ESTIMATE
+
 
 def head(df: DataFrame, n: int = 5) -> DataFrame:
     """The first rows for display."""
@@ -66,34 +68,38 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def observed_stages(spark, stages: Sequence[tuple[str, Observation]]) -> DataFrame:
-    """A21 without extra passes: the stage table (rows in, rows out, removed) from row
-    counters attached with :func:`observe_rows`, read after the action that ran them. The
-    table has one small row per stage, built from the collected metrics."""
+def stage_table(spark: SparkSession, rows_out: Sequence[tuple[str, int]]) -> DataFrame:
+    """A21 as a table (a small row per stage: rows in, rows out, removed) from the stages' row counts."""
     rows, prev = [], None
-    for i, (name, obs) in enumerate(stages):
-        out = int(obs.get["rows"])
-        rows.append((i, name, prev, out, None if prev is None else prev - out))
-        prev = out
+    for i, (name, out) in enumerate(rows_out):
+        rows.append((i, name, prev, int(out), None if prev is None else prev - int(out)))
+        prev = int(out)
     return spark.createDataFrame(
         rows, "step INT, stage STRING, rows_in BIGINT, rows_out BIGINT, removed BIGINT")
 
 
-def file_volume(df: DataFrame, label: str, rows: DataFrame | None = None,
-                bytes_per_row: int = 100) -> DataFrame:
-    """Bytes on disk of the files behind a file-based DataFrame, from the hidden
-    ``_metadata`` column (one row per file after a distinct), plus a transport estimate of
-    ``rows × bytes_per_row``."""
-    files = df.select(F.col("_metadata.file_path").alias("p"),
-                      F.col("_metadata.file_size").alias("s")).distinct()
-    vol = files.agg(F.count(F.lit(1)).alias("files"), F.sum("s").alias("bytes"))
-    src = rows if rows is not None else df
-    cnt = src.agg(F.count(F.lit(1)).alias("rows"))
-    out = vol.select(F.lit(label).alias("format"), "files", "bytes",
-                     (F.col("bytes") / 1048576.0).alias("mb"))
-    n = cnt.select("rows").scalar()
-    return out.withColumn("rows", n).withColumn(
-        "transport_mb_estimate", n * bytes_per_row / 1048576.0)
+def observed_stages(spark: SparkSession, stages: Sequence[tuple[str, Observation]]) -> DataFrame:
+    """A21 without extra passes: the stage table from row counters attached with
+    :func:`observe_rows`, read after the action that ran them."""
+    return stage_table(spark, [(name, obs.get["rows"]) for name, obs in stages])
+
+
+def file_sizes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(path, length) of the files under a folder, sub-folders too. Only the two columns of the file
+    listing are read of the binary source, never the contents; names that begin with _ or . are no data."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+
+
+def file_volume(spark: SparkSession, path: str, label: str, rows: DataFrame, glob: str = "*",
+                bytes_per_row: int = BYTES_PER_ROW_ESTIMATE) -> DataFrame:
+    """Bytes on disk of the files under ``path``, from the file listing, plus a transport estimate of
+    ``rows × bytes_per_row``. Of a Parquet table ``rows`` is counted from the files' footers (no column is
+    read); for JSON lines give the staged table (:class:`StagedLines`), which is Parquet too."""
+    vol = file_sizes(spark, path, glob).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    n = rows.agg(F.count(F.lit(1)).alias("rows")).select("rows").scalar()
+    return (vol.select(F.lit(label).alias("format"), "files", "bytes", (F.col("bytes") / 1048576.0).alias("mb"))
+            .withColumn("rows", n).withColumn("transport_mb_estimate", n * bytes_per_row / 1048576.0))
 
 
 def volume_report(volumes: Sequence[DataFrame]) -> DataFrame:

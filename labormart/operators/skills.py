@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from labormart.functions import (
     ascii_lower, drop_nulls, literal_regex_prefix, regex_ci, unicode_fold,
 )
-from labormart.schema import LITERAL_SKILLS, REGEX_SKILLS
+from labormart.schema import LITERAL_SKILLS, REGEX_SKILLS, TOP_SKILLS_N
 
 
 def literal_match(text: Column, keyword: str) -> Column:
@@ -51,7 +51,7 @@ def skill_counts(df: DataFrame, text: str = "snippet_requirement",
         tests = [F.array_contains("_txt", k) for k in keywords]
     elif mode == "regex":
         # Keywords that are plain literals (the usual case) are tested as substrings of the
-        # case-folded text, which is exactly the (?iu) regex result and much cheaper; the
+        # case-folded text, which is exactly the regex result and much cheaper; the
         # rest go through the regex engine on the original text.
         lits = [literal_regex_prefix(k) for k in keywords]
         src = df.select(*by, F.col(text).alias("_raw"), unicode_fold(text).alias("_txt"))
@@ -68,7 +68,7 @@ def skill_counts(df: DataFrame, text: str = "snippet_requirement",
 
 
 def top_skills(df: DataFrame, text: str = "snippet_requirement",
-               keywords: Sequence[str] = LITERAL_SKILLS, n: int = 10, mode: str = "literal"
+               keywords: Sequence[str] = LITERAL_SKILLS, n: int = TOP_SKILLS_N, mode: str = "literal"
                ) -> DataFrame:
     """K2 / K4: the ``n`` keywords matched by most rows; ties by keyword."""
     return (skill_counts(df, text, keywords, mode)

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from labormart.functions import iso_text
 from labormart.operators.aggregates import salary_accumulator_exprs
 from labormart.operators.skills import skill_counts, top_n_per_group
-from labormart.schema import LITERAL_SKILLS, SLIDING_REPORT_EVERY, SLIDING_WINDOW, TUMBLING_WINDOW
+from labormart.schema import (
+    LITERAL_SKILLS, SLIDING_REPORT_EVERY, SLIDING_WINDOW, TOP_SKILLS_N, TUMBLING_WINDOW,
+)
 
 
 def _seconds(duration: str) -> int:
@@ -69,7 +71,7 @@ def tumbling_total(df: DataFrame, ts: str = "ts", s_from: str = "salary_from",
 
 
 def tumbling_top_skills(df: DataFrame, ts: str = "ts", text: str = "snippet_requirement",
-                        keywords: Sequence[str] = LITERAL_SKILLS, n: int = 10,
+                        keywords: Sequence[str] = LITERAL_SKILLS, n: int = TOP_SKILLS_N,
                         size: str = TUMBLING_WINDOW, skills: str | None = None) -> DataFrame:
     """Per window the ``n`` keywords matched by most rows (ties by keyword), with rank.
 
@@ -143,10 +145,40 @@ def sliding_by_area(df: DataFrame, ts: str = "ts", area: str = "area_name",
 
 def sliding_stats(df: DataFrame, ts: str = "ts", area: str = "area_name",
                   s_from: str = "salary_from", size: str = SLIDING_WINDOW,
-                  slide: str = SLIDING_REPORT_EVERY) -> DataFrame:
+                  slide: str = SLIDING_REPORT_EVERY, spine: bool = False) -> DataFrame:
     """W7 + W9: per hopping window: total, average salary > 0 (0.0 if none), the top area and
-    its count (ties: smallest name). Windows without events give no row."""
-    return stats_from_by_area(sliding_by_area(df, ts, area, s_from, size, slide), _seconds(size))
+    its count (ties: smallest name). Windows without events give no row, or with ``spine=True``
+    an empty report each, from the first window to the last."""
+    stats = stats_from_by_area(sliding_by_area(df, ts, area, s_from, size, slide), _seconds(size))
+    return with_empty_reports(stats, _seconds(size), _seconds(slide)) if spine else stats
+
+
+#: Report instants per row of the coarse spine: what one row unfolds to.
+SPINE_ROWS = 10_000
+
+
+def with_empty_reports(stats: DataFrame, window_sec: int, step_sec: int,
+                       after: str | None = None) -> DataFrame:
+    """Sliding statistics with a row for every report instant between the first window (or the
+    window end ``after``, exclusive) and the last one: total 0, average 0.0 and no top area where no event
+    was. The instants are generated in two steps, stretches of ``SPINE_ROWS`` of them first, so they are dealt
+    over tasks and no row unfolds to more than that; they meet the statistics in an equi-join."""
+    step = F.make_dt_interval(secs=F.lit(step_sec))
+    stretch = F.make_dt_interval(secs=F.lit(step_sec * SPINE_ROWS))
+    bounds = stats.agg(F.min("window_end").alias("lo"), F.max("window_end").alias("hi"))
+    first = F.least("lo", F.lit(after)) if after is not None else F.col("lo")
+    bounds = bounds.select((F.to_timestamp(first) + (step if after is not None else F.expr("INTERVAL '0' SECOND"))).alias("lo"), F.to_timestamp("hi").alias("hi"))
+    coarse = bounds.filter("lo <= hi").select("hi", F.explode(F.sequence("lo", "hi", stretch)).alias("at"))
+    instants = coarse.repartition("at").select(
+        F.explode(F.sequence(F.col("at"), F.least(F.col("at") + stretch - step, "hi"), step)).alias("_end"))
+    size = F.make_dt_interval(secs=F.lit(window_sec))
+    instants = instants.select(iso_text(F.col("_end") - size).alias("window_start"), iso_text("_end").alias("window_end"))
+    all_ = instants.join(stats, ["window_start", "window_end"], "left")
+    return all_.select("window_start", "window_end", F.lit(window_sec).alias("window_sec"),
+                       F.coalesce("total", F.lit(0)).cast("bigint").alias("total"),
+                       F.coalesce("avg_salary_from", F.lit(0.0)).alias("avg_salary_from"),
+                       F.when(F.col("total").isNull(), "").otherwise(F.col("top_area")).alias("top_area"),
+                       F.coalesce("top_area_count", F.lit(0)).cast("bigint").alias("top_area_count"))
 
 
 def stats_from_by_area(by_area: DataFrame, window_sec: int) -> DataFrame:

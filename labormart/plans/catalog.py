@@ -30,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 EV_TUMBLING = "1 hour"
 EV_SLIDING = "6 hours"
 EV_SLIDE = "1 hour"
+# Windows so short that many of them are empty.
+SPARSE_SIZE, SPARSE_SLIDE = "10 minutes", "5 minutes"
 
 
 def _ov(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,9 +106,8 @@ def q_volume_report(spark, sf):
     save_jsonl(AD.raw_vacancies(spark, sf), jdir, max_records_per_file=20000)
     raw = load_jsonl(spark, jdir, glob="*.json")
     save_parquet(C.clean(raw), pdir)
-    vols = [PR.file_volume(spark.read.text(jdir).filter(F.col("_metadata.file_name")
-                                                        .endswith(".json")), "jsonl", rows=raw),
-            PR.file_volume(spark.read.parquet(pdir), "parquet")]
+    vols = [PR.file_volume(spark, jdir, "jsonl", raw, glob="*.json"),
+            PR.file_volume(spark, pdir, "parquet", spark.read.parquet(pdir), glob="*.parquet")]
     # The bytes depend on the writer; they are tested on a fixture.
     return PR.volume_report(vols).select("format", "rows", "transport_mb_estimate")
 
@@ -213,6 +214,8 @@ QUERIES: dict[str, Query] = {
                                                       slide=EV_SLIDE).select(
         "window_start", "window_end", "top_area", "top_area_count"),
     "trailing_count": lambda s, sf: W.trailing_count(q_event_vac(s, sf), size="300 seconds"),
+    "sliding_spine": lambda s, sf: W.sliding_stats(q_event_vac(s, sf), size=SPARSE_SIZE,
+                                                   slide=SPARSE_SLIDE, spine=True),
 }
 
 
@@ -415,14 +418,8 @@ def q_jsonl_bad_input(spark, sf):
     from labormart.session import scratch_path
     from labormart.sources.files import load_jsonl
 
-    raw = AD.raw_vacancies(spark, sf)
-    line, key = F.to_json(F.struct(*raw.columns)), F.col("id").cast("bigint")
-    line = (F.when(key % 1009 == 0, F.substring(line, F.lit(1), F.length(line) - 1))
-            .when(key % 1013 == 0, F.replace(line, F.lit('"gross":false'), F.lit('"gross":"maybe"')))
-            .otherwise(line))
     path = scratch_path(spark, "bad-jsonl")
-    (raw.select(line.alias("value"), F.substring("published_at", 1, 9).alias("part"))
-        .repartition("part").write.partitionBy("part").text(path))
+    _broken_lines(spark, sf).repartition("part").write.partitionBy("part").text(path)
     kept = [load_jsonl(spark, path, bad_input=mode, glob="part=*/*.txt")
             .groupBy(F.col("area.name").alias("area_name")).agg(F.count(F.lit(1)).alias("rows"))
             .select(F.lit(mode).alias("mode"), "area_name", "rows")
@@ -530,3 +527,218 @@ QUERIES.update({
     "skills_tied_top5": lambda s, sf: K.top_skills(AD.text_vacancies(s, sf),
                                                    keywords=COMMON_KEYWORDS, n=5),
 })
+
+
+def _broken_lines(spark, sf):
+    """Raw records as JSON lines with the first nine characters of their date (``part``); some lines
+    are cut, some have a mistyped field."""
+    raw = AD.raw_vacancies(spark, sf)
+    line, key = F.to_json(F.struct(*raw.columns)), F.col("id").cast("bigint")
+    line = (F.when(key % 1009 == 0, F.substring(line, F.lit(1), F.length(line) - 1))
+            .when(key % 1013 == 0, F.replace(line, F.lit('"gross":false'), F.lit('"gross":"maybe"')))
+            .otherwise(line))
+    return raw.select(line.alias("value"), F.substring("published_at", 1, 9).alias("part"))
+
+
+def q_jsonl_staged(spark, sf):
+    """S1/S3 in one read: lines, bad lines, bad files and the kept rows per region from one staged table."""
+    from labormart.session import scratch_path
+    from labormart.sources.files import StagedLines
+
+    path = scratch_path(spark, "staged-jsonl")
+    _broken_lines(spark, sf).repartition("part").write.partitionBy("part").text(path)
+    staged = StagedLines(spark, path, glob="part=*/*.txt")
+    kept = (staged.rows().groupBy(F.col("area.name").alias("area_name"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+    counts = staged.counts()
+    return kept.withColumns({c: counts.select(c).scalar() for c in ("lines", "bad_lines", "kept_lines")}).withColumn(
+        "bad_files", staged.bad_files().agg(F.count(F.lit(1))).scalar())
+
+
+def q_schema_inferred_bad(spark, sf):
+    """S2 with S3: folders of line items, orders and documents as JSON lines with differing columns and types; a
+    file with a broken line adds neither rows nor columns. A part's rows with a column of its own
+    (``only_<part>``) show which parts' schemas were merged."""
+    from labormart.session import scratch_path
+    from labormart.sources.files import load_jsonl_inferred
+
+    orders = AD.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"),
+                                                   F.col("o_orderstatus").alias("kind"))
+    items = AD.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("amount"),
+                                                    F.col("l_linestatus").alias("only_items"))
+    docs = AD.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("only_docs"))
+    path = scratch_path(spark, "inferred-bad")
+    for name, df in (("orders", orders), ("items", items), ("docs", docs)):
+        line = F.to_json(F.struct(*df.columns))
+        if name == "docs":  # one line of every part of documents is cut
+            line = F.when(F.col("id") % 10 == 0, F.substring(line, F.lit(1), F.length(line) - 2)).otherwise(line)
+        # A file per last digit of the id: bad where ids end in 0, but for the documents, all in one part.
+        part = F.lit(f"{name}-") if name == "docs" else F.concat(F.lit(f"{name}-"), F.col("id") % 10)
+        if name == "items":
+            line = F.when((F.col("id") % 10 == 3) & (F.col("amount") == 1), F.lit("{not json")).otherwise(line)
+        rows = df.select(line.alias("value"), part.alias("part"))
+        rows.repartition("part").write.mode("append").partitionBy("part").text(path)
+    got = load_jsonl_inferred(spark, path, glob="part=*/*.txt")
+    has = lambda c: F.count(c) if c in got.columns else F.lit(-1).cast("bigint")
+    return got.groupBy((F.col("id") % 10).alias("digit")).agg(
+        F.count(F.lit(1)).alias("rows"), has("kind").alias("with_kind"), has("only_items").alias("with_items"),
+        has("only_docs").alias("with_docs"), F.sum(F.floor("amount")).cast("bigint").alias("amounts"),
+        F.lit(dict(got.dtypes)["amount"]).alias("amount_type"))
+
+
+def q_parquet_clustered(spark, sf):
+    """The clean table by area, at most 2000 rows a file; per area the rows, and whether it has more files
+    than its rows fill."""
+    from labormart.session import scratch_path, written
+    from labormart.sources.files import save_parquet
+
+    path = scratch_path(spark, "clustered")
+    save_parquet(written(_clean(spark, sf), "clustered-in"), path, partition_by=["area_name"], rows_per_file=2000)
+    back = spark.read.parquet(path)
+    files = back.groupBy("area_name", F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy("area_name").agg(
+        F.sum("n").alias("rows"), (F.count(F.lit(1)) > F.ceil(F.sum("n") / 2000)).cast("int").alias("too_many_files"))
+
+
+def q_message_rejects(spark, sf):
+    """Messages and pages that are no JSON objects are counted, not lost: records, documents (texts that
+    are no JSON) and records cut short, as one topic."""
+    from labormart.sources.messages import decode_messages, rejected, vacancy_messages
+
+    good = vacancy_messages(AD.raw_vacancies(spark, sf))
+    cut = good.select(F.substring("value", F.lit(1), F.length("value") - 1).alias("value"))
+    twice = good.select(F.concat("value", "value").alias("value"))
+    texts = AD.table(spark, sf, "documents").select(F.col("text").alias("value"))
+    parts = []
+    for name, df in (("records", good), ("cut", cut), ("twice", twice), ("documents", texts)):
+        parts.append(decode_messages(df).agg(F.count(F.lit(1)).alias("decoded")).withColumns({
+            "rejected": rejected(df).agg(F.count(F.lit(1))).scalar(), "source": F.lit(name)}))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def _late_parts(spark, sf):
+    """The events as a folder that grows: nine tenths first, then every tenth event, most of them late."""
+    ev = AD.table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("id"), "ts", F.col("event_type").alias("area_name"),
+        F.floor(F.col("value") * 1000).cast("bigint").alias("salary_from"),
+        F.lit(0).cast("bigint").alias("salary_to"))
+    return [ev.filter(F.col("id").cast("bigint") % 10 != 0), ev.filter(F.col("id").cast("bigint") % 10 == 0)]
+
+
+def q_stream_late_counts(spark, sf):
+    """A stream that is stopped and started again while late rows come; its totals, over both runs, from
+    the progress table, and the rows its windows hold (the tail written)."""
+    from labormart.session import scratch_path
+    from labormart.streaming.windows import (
+        ProgressLog, event_time, flush_tail, progress_totals, read_report, reported_rows,
+        start_tumbling_report,
+    )
+
+    source, out, log_path = (scratch_path(spark, f"late-{n}") for n in ("events", "report", "progress"))
+    name = "late-" + out.rsplit("-", 1)[1]
+    log, queries = ProgressLog(spark, log_path, names=[name]), []
+    for part in _late_parts(spark, sf):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(part.schema).parquet(source)
+        q = start_tumbling_report(event_time(stream, watermark="1 hour"), out, size=EV_TUMBLING,
+                                  trigger={"availableNow": True}, text=None, name=name)
+        q.awaitTermination()
+        queries.append(q)
+    log.close(queries)
+    stored = event_time(spark.read.parquet(source), watermark=None)
+    flush_tail(stored.withColumn("snippet_requirement", F.lit(None).cast("string")), out, size=EV_TUMBLING)
+    held = reported_rows(read_report(spark, out)).scalar()
+    return progress_totals(spark, log_path).withColumn("reported", held).select("received", "reported", (F.col("received") - F.col("reported")).alias("late"),
+                         (F.col("late") > 0).cast("int").alias("late_noted"))
+
+
+def q_stream_sliding_spine(spark, sf):
+    """W7/Q12 as in production: sliding statistics of a stream with empty reports, then the tail."""
+    from labormart.session import scratch_path
+    from labormart.streaming.windows import (
+        event_time, flush_sliding_tail, read_report, start_sliding_report,
+    )
+
+    out = scratch_path(spark, "sliding-spine")
+    start_sliding_report(event_time(_event_stream(spark, sf), watermark="1 hour"), out, spine=True,
+                         trigger={"availableNow": True}, size=SPARSE_SIZE, slide=SPARSE_SLIDE).awaitTermination()
+    flush_sliding_tail(event_time(q_event_vac(spark, sf), watermark=None), out, size=SPARSE_SIZE,
+                       slide=SPARSE_SLIDE, spine=True)
+    return read_report(spark, f"{out}/stats")
+
+
+def q_stream_trailing_count(spark, sf):
+    """W10 on a stream: counts of the events that the watermark has passed, and how many wait for it."""
+    from labormart.session import scratch_path
+    from labormart.streaming.windows import (
+        checkpoint_for, event_time, trailing_count_stream, write_per_batch,
+    )
+
+    out = scratch_path(spark, "trailing")
+    stream = event_time(_event_stream(spark, sf).select("id", "ts"), watermark="1 hour")
+    (trailing_count_stream(stream, size="300 seconds").writeStream.outputMode("append")
+     .foreachBatch(write_per_batch(out)).option("checkpointLocation", checkpoint_for(spark, out))
+     .trigger(availableNow=True).start().awaitTermination())
+    last = AD.table(spark, sf, "events").agg(F.max("ts")).scalar()
+    done = spark.read.schema("id STRING, ts TIMESTAMP, rows BIGINT, trailing_count BIGINT").parquet(out)
+    # What lies more than an hour and the window behind the last event has left the stream for good.
+    sure = F.col("ts").cast("timestamp_ntz") < last - F.expr("INTERVAL '2' HOUR")
+    return done.filter(sure).select("id", F.col("ts").cast("timestamp_ntz").alias("ts"), "rows", "trailing_count")
+
+
+def q_stream_collect(spark, sf):
+    """The collector over stored pages, stopped after its files' first batch, started again when more pages
+    are there: per area the records in the files, the topic and the windows (the tail written)."""
+    from labormart.jobs import collect, finish_collect, valid_items
+    from labormart.schema import RAW_SCHEMA
+    from labormart.session import scratch_path
+    from labormart.sources.messages import observe_rejects
+    from labormart.streaming.windows import beside, read_report, start_jsonl_sink
+
+    pages, files, topic, report = (scratch_path(spark, f"collect-{n}") for n in ("pages", "files", "topic", "report"))
+    raw = AD.raw_vacancies(spark, sf)
+    envelope = F.to_json(F.struct(F.array(F.struct(*raw.columns)).alias("items"), F.lit(1).alias("found"),
+                                  F.lit(1).alias("pages"), F.lit(0).alias("page"))).alias("value")
+    rows = raw.select(envelope, (F.col("id").cast("bigint") % 3 == 0).alias("later"))
+    now = {"availableNow": True}
+    for later in (False, True):
+        rows.filter(F.col("later") == later).select("value").write.mode("append").text(pages)
+        if later:
+            for q in collect(spark, pages, files, topic, report, window="60 seconds", trigger=now):
+                q.awaitTermination()
+        else:  # a stop before the topic and the windows have seen anything
+            stored = spark.readStream.schema("value STRING").text(pages).select("value", "_metadata")
+            start_jsonl_sink(valid_items(observe_rejects(stored, "pages")), files, checkpoint=beside(files),
+                             rows_per_file=5000, trigger=now).awaitTermination()
+    finish_collect(spark, files, report, window="60 seconds")
+    by = lambda df, name, n=F.count(F.lit(1)): df.groupBy("area_name").agg(n.cast("bigint").alias(name))
+    in_files = by(spark.read.schema(RAW_SCHEMA).json(files).select(F.col("area.name").alias("area_name")), "files")
+    sent = spark.read.text(topic).select(F.from_json("value", RAW_SCHEMA).alias("m"))
+    in_topic = by(sent.select(F.col("m.area.name").alias("area_name")), "messages")
+    windows = read_report(spark, report).select(F.col("area").alias("area_name"), "area_count")
+    in_windows = by(windows, "windowed", F.sum("area_count"))
+    return in_files.join(in_topic, "area_name", "full").join(in_windows, "area_name", "full")
+
+
+def q_analyze_stages(spark, sf):
+    """A21 in the analyzer job: stage log and clean rows of one read of a folder with bad files."""
+    from labormart.jobs import analysis_tables
+    from labormart.session import scratch_path
+
+    path, out = scratch_path(spark, "analyze-in"), scratch_path(spark, "analyze-out")
+    _broken_lines(spark, sf).repartition("part").write.partitionBy("part").text(path)
+    view = f"analyze_{abs(hash(out)) % 10**8}"
+    return analysis_tables(spark, path, out, view=view, glob="part=*/*.txt")["stages"]
+
+
+QUERIES.update({
+    "jsonl_staged": q_jsonl_staged,
+    "schema_inferred_bad": q_schema_inferred_bad,
+    "parquet_clustered": q_parquet_clustered,
+    "message_rejects": q_message_rejects,
+    "stream_late_counts": q_stream_late_counts,
+    "stream_sliding_spine": q_stream_sliding_spine,
+    "stream_trailing_count": q_stream_trailing_count,
+    "stream_collect": q_stream_collect,
+    "analyze_stages": q_analyze_stages,
+})

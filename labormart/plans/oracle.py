@@ -559,3 +559,70 @@ UNION ALL SELECT 'refreshed', area_name, count(*) FROM cl GROUP BY area_name""",
     "skills_tied_top5": _with(TV) + ", " + _literal_skills_counts(_COMMON) + """
 SELECT skill, count FROM s WHERE count > 0 ORDER BY count DESC, skill LIMIT 5""",
 })
+
+
+_BROKEN = _with(RV, DEDUP, CLEAN) + """
+, b AS (SELECT *, substr(published_at, 1, 9) AS part,
+               CAST(id AS BIGINT) % 1009 = 0
+                 OR (CAST(id AS BIGINT) % 1013 = 0 AND has_salary) AS bad FROM rv),
+  k AS (SELECT * FROM b WHERE part NOT IN (SELECT part FROM b WHERE bad))
+"""
+
+_SPARSE = _sliding_by_area("10 minutes", "5 minutes", 2) + f""", st AS (
+  SELECT ws, CAST(sum(cnt) AS BIGINT) AS total,
+         COALESCE(CAST(sum(salary_sum) AS DOUBLE) / sum(salary_n), 0.0) AS avg_salary_from,
+         arg_min(area, (-cnt, area)) AS top_area, CAST(max(cnt) AS BIGINT) AS top_area_count
+  FROM ba GROUP BY ws),
+  spine AS (SELECT unnest(generate_series((SELECT min(ws) FROM st), (SELECT max(ws) FROM st), INTERVAL '5 minutes')) AS ws)
+SELECT strftime(spine.ws, {ISO}) AS window_start, strftime(spine.ws + INTERVAL '10 minutes', {ISO}) AS window_end,
+       600 AS window_sec, COALESCE(total, 0) AS total, COALESCE(avg_salary_from, 0.0) AS avg_salary_from,
+       CASE WHEN total IS NULL THEN '' ELSE top_area END AS top_area, COALESCE(top_area_count, 0) AS top_area_count
+FROM spine LEFT JOIN st ON st.ws = spine.ws"""
+
+ORACLE.update({
+    "jsonl_staged": _BROKEN + """
+SELECT area_name, count(*) AS rows, (SELECT count(*) FROM b) AS lines, (SELECT count(*) FROM b WHERE bad) AS bad_lines,
+       (SELECT count(*) FROM k) AS kept_lines, (SELECT count(DISTINCT part) FROM b WHERE bad) AS bad_files
+FROM k GROUP BY area_name""",
+    "schema_inferred_bad": """
+WITH u AS (
+  SELECT o_orderkey AS id, floor(o_totalprice) AS amount, o_orderstatus AS kind, NULL AS item FROM orders
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, NULL, l_linestatus FROM lineitem
+  WHERE l_orderkey % 10 <> 3 OR NOT EXISTS (SELECT 1 FROM lineitem x WHERE x.l_orderkey % 10 = 3 AND x.l_linenumber = 1))
+SELECT id % 10 AS digit, count(*) AS rows, count(kind) AS with_kind, count(item) AS with_items,
+       CAST(-1 AS BIGINT) AS with_docs, CAST(sum(amount) AS BIGINT) AS amounts, 'double' AS amount_type
+FROM u GROUP BY id % 10""",
+    "parquet_clustered": _with(RV, DEDUP, CLEAN) + """
+SELECT area_name, count(*) AS rows, 0 AS too_many_files FROM cl GROUP BY area_name""",
+    "message_rejects": """
+SELECT 'records' AS source, (SELECT count(*) FROM lineitem) AS decoded, CAST(0 AS BIGINT) AS rejected
+UNION ALL SELECT 'cut', CAST(0 AS BIGINT), (SELECT count(*) FROM lineitem)
+UNION ALL SELECT 'twice', CAST(0 AS BIGINT), (SELECT count(*) FROM lineitem)
+UNION ALL SELECT 'documents', CAST(0 AS BIGINT), (SELECT count(*) FROM documents)""",
+    "stream_late_counts": """
+WITH w AS (SELECT max(ts) - INTERVAL '1 hour' AS wm FROM events WHERE event_id % 10 <> 0),
+  l AS (SELECT count(*) AS late FROM events, w
+        WHERE event_id % 10 = 0 AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= wm)
+SELECT (SELECT count(*) FROM events) AS received, (SELECT count(*) FROM events) - late AS reported, late,
+       CAST(late > 0 AS INTEGER) AS late_noted FROM l""",
+    "sliding_spine": _SPARSE,
+    "stream_sliding_spine": _SPARSE,
+    "stream_trailing_count": """
+SELECT CAST(event_id AS VARCHAR) AS id, ts, CAST(1 AS BIGINT) AS rows, trailing_count
+FROM (SELECT event_id, ts, count(*) OVER (ORDER BY ts RANGE BETWEEN INTERVAL 300 SECONDS PRECEDING AND CURRENT ROW)
+             AS trailing_count FROM events)
+WHERE ts < (SELECT max(ts) FROM events) - INTERVAL '2 hours'""",
+    "stream_collect": _validated("base") + """
+SELECT area_name, count(*) AS files, count(*) AS messages, count(*) AS windowed
+FROM va WHERE len(errs) = 0 GROUP BY area_name""",
+    "analyze_stages": _BROKEN + """
+, n AS (SELECT name FROM k QUALIFY row_number() OVER (PARTITION BY id ORDER BY collected_at NULLS FIRST, name NULLS FIRST) = 1),
+  s AS (SELECT CAST(0 AS INTEGER) AS step, 'lines' AS stage, count(*) AS rows_out FROM b
+        UNION ALL SELECT 1, 'load', count(*) FROM k
+        UNION ALL SELECT 2, 'dedup', count(*) FROM n
+        UNION ALL SELECT 3, 'clean', count(*) FROM n WHERE name IS NOT NULL AND length(name) >= 3)
+SELECT step, stage, lag(rows_out) OVER (ORDER BY step) AS rows_in, rows_out,
+       lag(rows_out) OVER (ORDER BY step) - rows_out AS removed
+FROM s""",
+})

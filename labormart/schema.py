@@ -11,49 +11,25 @@ from pyspark.sql import types as T
 # Schemas
 # --------------------------------------------------------------------------------------------
 
-# Raw vacancy as collected. Salary bounds are read as text so that a float or a quoted number
-# in one file does not turn the whole record into a corrupt row; they are cast leniently later.
-RAW_DDL = (
-    "id STRING, name STRING, "
-    "salary STRUCT<`from`: STRING, `to`: STRING, currency: STRING, gross: BOOLEAN>, "
-    "area STRUCT<id: STRING, name: STRING>, "
-    "employer STRUCT<id: STRING, name: STRING>, "
-    "snippet STRUCT<requirement: STRING, responsibility: STRING>, "
-    "published_at STRING, collected_at STRING"
-)
 CORRUPT_COLUMN = "_corrupt_record"
 _S = T.StringType()
 
 
-def _struct(*names: str, types: dict | None = None) -> T.StructType:
-    types = types or {}
-    return T.StructType([T.StructField(n, types.get(n, _S), True) for n in names])
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n.rstrip("_"), k) for n, k in kinds.items()])
 
 
-RAW_SCHEMA = T.StructType([
-    T.StructField("id", _S), T.StructField("name", _S),
-    T.StructField("salary", _struct("from", "to", "currency", "gross",
-                                    types={"gross": T.BooleanType()})),
-    T.StructField("area", _struct("id", "name")),
-    T.StructField("employer", _struct("id", "name")),
-    T.StructField("snippet", _struct("requirement", "responsibility")),
-    T.StructField("published_at", _S), T.StructField("collected_at", _S),
-])
-RAW_SCHEMA_WITH_CORRUPT = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, _S)])
-
-CLEAN_COLUMNS = [
-    "id", "name", "published_at", "collected_at", "salary_from", "salary_to",
-    "area_name", "employer_name", "snippet_requirement",
-]
+# Raw vacancy as collected. Salary bounds are read as text so that a float or a quoted number
+# in one file does not turn the whole record into a corrupt row; they are cast leniently later.
+RAW_SCHEMA = _struct(
+    id=_S, name=_S, salary=_struct(from_=_S, to=_S, currency=_S, gross=T.BooleanType()),
+    area=_struct(id=_S, name=_S), employer=_struct(id=_S, name=_S),
+    snippet=_struct(requirement=_S, responsibility=_S), published_at=_S, collected_at=_S)
+RAW_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_SCHEMA.fields)
 
 # Envelope of one page of search results.
 PAGE_DDL = f"items ARRAY<STRUCT<{RAW_DDL}>>, found INT, pages INT, page INT"
 
-WINDOW_REPORT_COLUMNS = [
-    "window_start", "window_end", "total_count", "area", "area_count",
-    "avg_salary_from", "avg_salary_to", "top_skill", "skill_count",
-]
-
 # Text pattern of window bounds in reports (a literal Z, session time zone UTC).
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, app_name: str = "labormart",
@@ -67,3 +67,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str, **options) -> DataFrame:
+    """The table written to the checkpoint folder and read again: what follows and every retried
+    task reads these rows, and nothing before them is worked out twice."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of a path (any store that Spark can write to)."""
+    jvm = spark._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _file_system(spark, path)
+    return fs.exists(hadoop)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _file_system(spark, path)
+    fs.mkdirs(hadoop)
+
+
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder (none if it does not exist)."""
+    fs, hadoop = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table of this library's own (a scratch folder), if it is there."""
+    fs, hadoop = _file_system(spark, path)
+    fs.delete(hadoop, True)

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FIVE, raw_record, write_jsonl
+from conftest import as_lines, vacancies, write_lines
 from labormart.operators import aggregates as A
 from labormart.operators import distribution as D
 from labormart.operators.clean import available_columns, clean, dedup_first
@@ -63,21 +63,21 @@ def test_parquet_roundtrip_and_sql(spark, five_dir, tmpdir_path):
     assert A.top_areas(df).filter("area_name = 'Екатеринбург'").first().avg_from == 0.0
 
 
-def test_bad_file_is_dropped_whole(spark, tmpdir_path):
-    write_jsonl(tmpdir_path, "good.jsonl", FIVE[:2])
-    write_jsonl(tmpdir_path, "bad.jsonl", FIVE[2:4], raw_lines=["{not json"])
-    write_jsonl(tmpdir_path, "other.txt", FIVE[:1])  # not a .jsonl file
+def test_bad_file_is_dropped_whole(spark, five, tmpdir_path):
+    write_lines(tmpdir_path, "good.jsonl", five[:2])
+    write_lines(tmpdir_path, "bad.jsonl", [*five[2:4], "{not json"])
+    write_lines(tmpdir_path, "other.txt", five[:1])  # not a .jsonl file
     assert load_jsonl(spark, tmpdir_path).count() == 2
     assert load_jsonl(spark, tmpdir_path, bad_input="drop_row").count() == 4
     bf = bad_files(spark, tmpdir_path).collect()
     assert len(bf) == 1 and bf[0].file.endswith("bad.jsonl") and bf[0].bad_lines == 1
 
 
-def test_only_top_level_jsonl_files(spark, tmpdir_path):
-    write_jsonl(tmpdir_path, "top.jsonl", FIVE[:2])
+def test_only_top_level_jsonl_files(spark, five, tmpdir_path):
+    write_lines(tmpdir_path, "top.jsonl", five[:2])
     sub = os.path.join(tmpdir_path, "sub")
     os.makedirs(sub)
-    write_jsonl(sub, "deeper.jsonl", FIVE[2:])
+    write_lines(sub, "deeper.jsonl", five[2:])
     assert load_jsonl(spark, tmpdir_path).count() == 2
 
 
@@ -88,11 +88,12 @@ def test_aggregates_without_columns(spark):
 
 
 def test_lenient_salary_cast(spark, tmpdir_path):
-    recs = [raw_record(str(i), "Developer", "A", "1", None, None, "E") for i in range(5)]
-    recs[0]["salary"] = {"from": 1.5e5, "to": "200000"}     # float and text
-    recs[1]["salary"] = {"from": "abc", "to": 100}           # bad text → 0
-    recs[2]["salary"] = {"from": "12.9", "to": None}         # decimal text truncates
-    write_jsonl(tmpdir_path, "s.jsonl", recs)
+    lines = [f'{{"id": "{i}", "name": "Developer", "salary": {salary}}}' for i, salary in enumerate((
+        '{"from": 1.5e5, "to": "200000"}',  # float and text
+        '{"from": "abc", "to": 100}',       # bad text → 0
+        '{"from": "12.9", "to": null}',     # decimal text truncates
+        "null"))]
+    write_lines(tmpdir_path, "s.jsonl", lines)
     got = {r.id: (r.salary_from, r.salary_to)
            for r in clean(load_jsonl(spark, tmpdir_path)).collect()}
     assert got["0"] == (150000, 200000)
@@ -102,19 +103,17 @@ def test_lenient_salary_cast(spark, tmpdir_path):
 
 
 def test_dedup_before_name_filter(spark, tmpdir_path):
-    first = raw_record("9", "Go", "A", "1", 1, 2, "E")               # kept copy, bad name
-    later = raw_record("9", "Good Name", "A", "1", 1, 2, "E")
-    later["collected_at"] = "2025-05-02T00:00:00Z"
-    write_jsonl(tmpdir_path, "d.jsonl", [later, first])
+    row = lambda name: [("9", name, "1", "A", "1", "2", "E")]
+    later = vacancies(spark, row("Good Name"), collected_at="2025-05-02T00:00:00Z")
+    write_lines(tmpdir_path, "d.jsonl", as_lines(later) + as_lines(vacancies(spark, row("Go"))))  # the kept copy has a bad name
     assert clean(load_jsonl(spark, tmpdir_path)).count() == 0
     kept = dedup_first(load_jsonl(spark, tmpdir_path)).first()
     assert kept.name == "Go"
 
 
 def test_name_filter_counts_characters(spark, tmpdir_path):
-    write_jsonl(tmpdir_path, "n.jsonl", [raw_record("1", "Го", "A", "1", 1, 2, "E"),
-                                          raw_record("2", "Гоу", "A", "1", 1, 2, "E"),
-                                          raw_record("3", None, "A", "1", 1, 2, "E")])
+    names = vacancies(spark, [(str(i), name, "1", "A", "1", "2", "E") for i, name in enumerate(("Го", "Гоу", None), 1)])
+    write_lines(tmpdir_path, "n.jsonl", as_lines(names))
     assert [r.id for r in clean(load_jsonl(spark, tmpdir_path)).collect()] == ["2"]
 
 
@@ -125,8 +124,8 @@ def test_null_ids_form_one_group(spark):
 
 
 def test_schema_merge_and_union(spark, tmpdir_path):
-    write_jsonl(tmpdir_path, "a.jsonl", [{"id": "1", "x": 1}])
-    write_jsonl(tmpdir_path, "b.jsonl", [{"id": "2", "y": "t", "x": 2.5}])
+    write_lines(tmpdir_path, "a.jsonl", ['{"id": "1", "x": 1}'])
+    write_lines(tmpdir_path, "b.jsonl", ['{"id": "2", "y": "t", "x": 2.5}'])
     df = load_jsonl_inferred(spark, tmpdir_path)
     assert set(df.columns) == {"id", "x", "y"}
     assert dict(df.dtypes)["x"] == "double"
@@ -208,11 +207,11 @@ def test_available_columns(spark, five_dir):
                           "salary_to", "published_at"]
 
 
-def test_snapshot_refresh(spark, tmpdir_path):
-    write_jsonl(tmpdir_path, "a.jsonl", FIVE[:2])
+def test_snapshot_refresh(spark, five, tmpdir_path):
+    write_lines(tmpdir_path, "a.jsonl", five[:2])
     snap = Snapshot(spark, tmpdir_path)
     assert snap.get().count() == 2
-    write_jsonl(tmpdir_path, "b.jsonl", FIVE[2:3])
+    write_lines(tmpdir_path, "b.jsonl", five[2:3])
     assert snap.get().count() == 2
     assert snap.refresh().count() == 3
 
@@ -232,8 +231,8 @@ def test_volume_report(spark, five_dir, tmpdir_path):
     pq = os.path.join(tmpdir_path, "p")
     save_parquet(clean(raw), pq)
     rep = {r.format: r for r in volume_report([
-        file_volume(spark.read.text(five_dir), "jsonl", rows=raw),
-        file_volume(spark.read.parquet(pq), "parquet")]).collect()}
+        file_volume(spark, five_dir, "jsonl", glob="*.jsonl", rows=raw),
+        file_volume(spark, pq, "parquet", rows=spark.read.parquet(pq))]).collect()}
     assert rep["jsonl"].files == 1 and rep["jsonl"].rows == 5
     assert rep["jsonl"].bytes == os.path.getsize(os.path.join(five_dir, "test.jsonl"))
     assert abs(rep["jsonl"].transport_mb_estimate - 5 * 100 / 1048576) < 1e-12
@@ -292,18 +291,83 @@ def test_dataframe_and_sql_forms_agree_without_null_areas(spark):
 
 
 def test_all_salaries_null_keeps_columns(spark, tmpdir_path):
-    write_jsonl(tmpdir_path, "n.jsonl", [raw_record(str(i), "Developer", "A", "1", None, None, "E")
-                                         for i in range(3)])
+    none = vacancies(spark, [(str(i), "Developer", "1", "A", None, None, "E") for i in range(3)])
+    write_lines(tmpdir_path, "n.jsonl", as_lines(none))
     df = clean(load_jsonl(spark, tmpdir_path))
     assert {"salary_from", "salary_to"} <= set(df.columns)
     r = A.aggregate_by_area(df).first()
     assert (r["count"], r.avg_salary_from, r.max_salary) == (3, None, None)
 
 
-def test_keep_mode_returns_bad_lines_with_text(spark, tmpdir_path):
-    write_jsonl(tmpdir_path, "k.jsonl", FIVE[:2], raw_lines=["{broken"])
+def test_keep_mode_returns_bad_lines_with_text(spark, five, tmpdir_path):
+    write_lines(tmpdir_path, "k.jsonl", [*five[:2], "{broken"])
     df = load_jsonl(spark, tmpdir_path, bad_input="keep")
     rows = df.collect()
     assert len(rows) == 3
     bad = [r for r in rows if r["_corrupt_record"] is not None]
     assert len(bad) == 1 and bad[0]["_corrupt_record"] == "{broken" and bad[0].id is None
+
+
+def test_inferred_schema_leaves_bad_files_out(spark, tmpdir_path):
+    """A broken file adds no rows, no columns and no wider types; ``drop_row`` keeps its good lines."""
+    write_lines(tmpdir_path, "a.jsonl", ['{"id": 1, "x": 1}', "", '{"id": 2, "x": 2, "n": {"u": 1}}'])
+    write_lines(tmpdir_path, "b.jsonl", ['{"id": 3, "x": 2.5, "n": {"v": "t"}}'])
+    write_lines(tmpdir_path, "bad.jsonl", ['{"id": "text", "only_bad": 1}', '{"id": 4'])
+    write_lines(tmpdir_path, "twice.jsonl", ['{"id": 5, "also_bad": 1}{"id": 6}'])
+    df = load_jsonl_inferred(spark, tmpdir_path)
+    assert dict(df.dtypes) == {"id": "bigint", "x": "double", "n": "struct<u:bigint,v:string>"}
+    assert sorted((r.id, r.x) for r in df.collect()) == [(1, 1.0), (2, 2.0), (3, 2.5)]
+    rows = load_jsonl_inferred(spark, tmpdir_path, bad_input="drop_row")
+    assert dict(rows.dtypes)["id"] == "string" and "only_bad" in rows.columns and rows.count() == 4
+    empty = os.path.join(tmpdir_path, "none")
+    os.makedirs(empty)
+    assert load_jsonl_inferred(spark, empty).count() == 0
+    write_lines(empty, "bad.jsonl", ["[1]"])
+    assert load_jsonl_inferred(spark, empty).count() == 0
+
+
+def test_clustered_write_bounds_the_files_of_a_day(spark, tmpdir_path):
+    """A third of the rows on one day, many small days, rows dealt over many tasks: a day has as many files as its
+    rows fill at most, and every row is written once."""
+    n = 6000
+    df = spark.range(n).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") % 3 == 0, "2025-05-01").when(
+        F.col("id") % 3 == 1, F.concat(F.lit("2025-06-"), F.col("id") % 20)).alias("day")).repartition(16).cache()
+    path = os.path.join(tmpdir_path, "days")
+    # So few rows would be put together again after the shuffle; with many they are not.
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    save_parquet(df, path, partition_by=["day"], rows_per_file=500)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = {d: len([f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet")]) for d in os.listdir(path) if d.startswith("day=")}
+    rows = {r.day: r["count"] for r in df.groupBy("day").count().collect()}
+    assert len(files) == len(rows) == 22
+    for day, c in rows.items():
+        assert files[f"day={day or '__HIVE_DEFAULT_PARTITION__'}"] <= -(-c // 500)
+    assert files["day=2025-05-01"] >= 2
+    back = spark.read.parquet(path)
+    assert back.count() == n and back.select("id").distinct().count() == n
+
+
+def test_sizes_come_from_the_file_listing(spark, five_dir):
+    from labormart.operators.profile import file_sizes
+
+    sizes = file_sizes(spark, five_dir, "*.jsonl")
+    assert [os.path.basename(r.path) for r in sizes.collect()] == ["test.jsonl"]
+    plan = sizes._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string,length:bigint>" in plan
+
+
+def test_staged_lines_are_parsed_once(spark, five, tmpdir_path):
+    from labormart.sources.files import StagedLines
+
+    write_lines(tmpdir_path, "good.jsonl", five)
+    write_lines(tmpdir_path, "bad.jsonl", [*five[:2], "{broken"])
+    staged = StagedLines(spark, tmpdir_path)
+    assert staged.counts().first().asDict() == {"lines": 8, "bad_lines": 1, "kept_lines": 5}
+    for mode, n in (("drop_file", 5), ("drop_row", 7), ("keep", 8)):
+        df = staged.rows(mode)
+        assert df.count() == n and "Scan text" not in df._jdf.queryExecution().executedPlan().toString()
+    none = os.path.join(tmpdir_path, "none")
+    os.makedirs(none)
+    empty = StagedLines(spark, none)
+    assert empty.rows().count() == 0 and empty.counts().first().lines == 0 and empty.bad_files().count() == 0

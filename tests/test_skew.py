@@ -55,7 +55,7 @@ def test_quantiles_with_few_buckets_and_ties(spark):
     rows = [("g", v) for v in [5] * 500 + list(range(1, 300)) + [7] * 200] + [(None, 3), (None, 9)]
     df = spark.createDataFrame(rows, "k STRING, v BIGINT")
     q = {r.k: (r.n, r.q0, r.q1, r.q2) for r in
-         D.exact_quantiles(df, ["k"], "v", [0.1, 0.5, 0.99], levels=2).collect()}
+         D.exact_quantiles(df, ["k"], "v", [0.1, 0.5, 0.99]).collect()}
     vals = [v for k, v in rows if k == "g"]
     assert q["g"] == (len(vals), _linear(vals, 0.1), _linear(vals, 0.5), _linear(vals, 0.99))
     assert q[None] == (2, 3.6, 6.0, 8.94)
@@ -93,6 +93,33 @@ def test_partial_aggregation_before_shuffle(spark):
     for q in (A.aggregate_by_area(df), A.top_areas(df), dedup_first(df)):
         p = _plan(q)
         assert "partial_" in p and "Exchange" in p
+    assert "partial_count" in _plan(D.value_counts(df, ["area_name"], "salary_from"))  # what the medians begin with
     p = _plan(D.median_nearest(df))
-    assert "partial_count" in p and "CartesianProduct" not in p
-    assert "BroadcastNestedLoopJoin" not in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_a_hot_group_of_near_values_is_ranked_in_many_tasks(spark):
+    """Nine tenths of the rows in one group, all values within one part in a thousand (and below one):
+    its values go to many ranges, none of which is large, and the ranks are exact."""
+    n = 40_000
+    df = spark.range(n).select(F.when(F.col("id") % 10 < 9, "HOT").otherwise(F.concat(F.lit("A"), F.col("id") % 7)).alias("k"),
+                               (0.5 + F.pmod(F.col("id") * 7919, F.lit(n)) / 1e8).alias("v"))
+    pairs = D.value_counts(df, ["k"], "v")
+    targets = lambda n: [("lo", F.lit(1)), ("mid", F.floor((n + 1) / 2)), ("hi", n)]
+    ranked = D.rank_counted(pairs, ["k"], "v", targets, ranges=16)
+    by = {}
+    for r in df.collect():
+        by.setdefault(r.k, []).append(r.v)
+    want = {(k, name, sorted(v)[i - 1]) for k, v in by.items() for name, i in (("lo", 1), ("mid", (len(v) + 1) // 2), ("hi", len(v)))}
+    assert {(r.k, r._name, r._value) for r in ranked.collect()} == want
+    dealt = pairs.repartitionByRange(16, "k", "v").groupBy("k", F.spark_partition_id().alias("p")).count().collect()
+    hot = [r["count"] for r in dealt if r.k == "HOT"]
+    assert len(hot) >= 12 and max(hot) < 3 * n / 16
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" not in plan.split("Window")[0]  # the last ranking is by group and range
+
+
+def test_nearest_median_by_builtin(spark):
+    rows, df = _skewed(spark, n=700)
+    a, b = ({r.area_name: r.median for r in D.median_nearest(df, method=m).collect()} for m in ("ranks", "builtin"))
+    assert a == b and len(a) > 5

@@ -46,30 +46,40 @@ def test_row_skills_and_array_mode(spark):
     assert got == {"Docker": 1, "Kubernetes": 1}
 
 
-def test_folded_literal_equals_java_regex_for_every_bmp_char(spark):
+def test_letters_match_their_simple_foldings_only(spark):
+    """Of all characters of the basic plane, an ASCII letter matches itself in both cases, s the long s
+    and k the Kelvin sign: no dotless or dotted i. The literal form and the regex form agree."""
     from pyspark.sql import functions as F
 
-    from labormart.functions import unicode_fold
+    from labormart.functions import regex_ci, unicode_fold
 
     cps = [c for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF]
     df = spark.createDataFrame([(chr(c),) for c in cps], "t STRING").repartition(4).cache()
-    folded = unicode_fold("t")
-    conds = [F.col("t").rlike("(?iu)" + ch) != folded.contains(ch)
-             for ch in "abcdefghijklmnopqrstuvwxyz0123456789"]
-    any_diff = conds[0]
-    for c in conds[1:]:
-        any_diff = any_diff | c
-    assert df.filter(any_diff).count() == 0
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789"
+    extra = {"s": "\u017f", "k": "\u212a"}
+    for test in (lambda ch: unicode_fold("t").contains(ch), lambda ch: regex_ci("t", ch)):
+        got = df.agg(*[F.array_sort(F.collect_set(F.when(test(ch), F.col("t")))).alias(f"c{i}") for i, ch in enumerate(signs)]).first()
+        assert [set(x) for x in got] == [{ch, ch.upper(), *extra.get(ch, "")} for ch in signs]
     df.unpersist()
 
 
 def test_regex_fast_path_matches_regex_engine(spark):
     from pyspark.sql import functions as F
 
-    texts = ["ſql and PoſtgreSQL", "KUBERNETES on Kafka", "gıt and GİT", "plain c", "ß", "",
+    from labormart.functions import regex_ci
+
+    texts = ["\u017fql and Po\u017ftgreSQL", "\u212aUBERNETES on Kafka", "g\u0131t and G\u0130T", "plain c", "ß", "",
              "Go/Rust/REST"]
     df = _df(spark, texts)
     fast = {r.skill: r["count"] for r in regex_skill_counts(df).collect()}
-    slow = df.agg(*[F.count_if(F.col("snippet_requirement").rlike("(?iu)" + k)).alias(k)
-                    for k in REGEX_SKILLS]).first().asDict()
+    slow = df.agg(*[F.count_if(regex_ci("snippet_requirement", k)).alias(k) for k in REGEX_SKILLS]).first().asDict()
     assert fast == {k: v for k, v in slow.items() if v > 0}
+    assert "Git" not in fast and fast["SQL"] == 1 and fast["Kubernetes"] == 1
+
+
+def test_regex_with_an_operator_and_odd_letters(spark):
+    from labormart.functions import regex_ci
+
+    df = _df(spark, ["DO\u0130T", "doit", "do\u0131t", "d\u0131t", "ДОМ", "дом"])
+    found = lambda p: [r.snippet_requirement for r in df.where(regex_ci("snippet_requirement", p)).collect()]
+    assert found("do+it") == ["doit"] and found("d(o)?\u0131t") == ["do\u0131t", "d\u0131t"] and found("до(м|х)") == ["ДОМ", "дом"]
