@@ -36,11 +36,13 @@ ALLOWED = (
     re.compile(r"[A-Za-z]+(?:[-_./=+]+[A-Za-z]+)*[-_./=+]*"),  # words and paths of words
     re.compile(r"[0-9.=+/_-]+"),  # numbers, dates, rulers
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUID
-    re.compile(r"(?:www\.)?[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,6}(?:/[a-z0-9._=/-]*)?"),  # host and path
+    re.compile(r"[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,6}"),  # host, or file with its extension
     # Words between separators, small, capitalised or in capitals, with a short number at the end of
     # each. Every character can be read in one way only, so the match is linear.
     re.compile(r"(?:(?:[A-Za-z][a-z]+|[A-Z]{2,})[0-9]{0,4}(?:[-_./=+]+|\Z))+"),
 )
+#: A host with a path behind it: what stands between the slashes is judged piece by piece.
+HOST_PATH = re.compile(r"[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,6}/")
 #: Alphabets written out are sequences, not secrets.
 SEQUENCES = ("abcdefghijklmnopqrstuvwxyz", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
@@ -77,6 +79,18 @@ def _suppressed(run: str) -> bool:
     return any(p.fullmatch(run) for p in ALLOWED) or any(q in run for q in SEQUENCES)
 
 
+def _pieces(at: int, run: str) -> list[tuple[int, str]]:
+    """The candidates of a run: the run itself, or the parts of the path behind a host."""
+    host = HOST_PATH.match(run)
+    if not host:
+        return [(at, run)]
+    out, start = [], host.end()
+    for part in run[start:].split("/"):
+        out.append((at + start, part))
+        start += len(part) + 1
+    return out
+
+
 def find_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, end exclusive, by start and then kind as in ``KINDS``.
 
@@ -90,7 +104,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         for kind, pattern in (("access", ACCESS), ("hex", HEX)):
             base += [(kind, at + m.start(), at + m.end()) for m in pattern.finditer(run) if m.end() - m.start() >= LEAST[kind]]
     found: list[tuple[int, int]] = []
-    for at, run in runs:
+    for at, run in (piece for at, run in runs for piece in _pieces(at, run)):
         if _suppressed(run):
             continue
         for chars, window, least in CLASSES:
