@@ -13,8 +13,9 @@ confirmed on the full sets, but not where both sides are known to be connected.
 
 * Lists of up to ``SMALL`` classes are joined with themselves.
 * In longer lists all classes are first paired with two of the list's members. Only lists whose
-  classes are still in several components after that are compared in full, block by block, and
-  give pairs between components, once each.
+  classes are still in several components after that are compared in full: lists with one least member
+  together, block by block (``blocks.dealt``). Pairs with enough matches are confirmed on the full sets there
+  and then, unless the block has connected their components already, so a block gives links, never its pairs.
 
 Null and empty texts and texts without words have an empty set and are linked with nothing; null
 ids take part, a component's id is its least id that is not null (a row without words: its own id);
@@ -31,13 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labormart.llm.common import constants, gram_hash, hash_words, load, map_batches, materialize, mix, ship_package, text_bytes
+from labormart.llm.blocks import PAIR, dealt
+from labormart.llm.common import constants, give_back, gram_hash, hash_words, load, map_batches, materialize, mix, ship_package, text_bytes
 from labormart.llm.components import components
 
 K, SHARED, MISS = 64, 6, 1e-6
 SMALL = 32
-#: Classes compared with each other in one task are two blocks of about this many.
-BLOCK = 2048
 #: A coordinate-value pair is very frequent above this share of all classes (and LEAST_FREQUENT):
 #: there are at most K / share such pairs, which bounds what is broadcast.
 FREQUENT_SHARE, LEAST_FREQUENT = 1 / 20_000, 16
@@ -162,10 +162,11 @@ def postings(classes: DataFrame, frequent: np.ndarray, percent: int) -> DataFram
 
 
 def lists(posted: DataFrame) -> DataFrame:
-    """Postings of lists with two classes or more, with the list's length and two of its members."""
+    """Postings of lists with two classes or more, with the list's length and two of its members. A list may hold a
+    third of all classes: its postings are joined by sort and merge, which splits them over tasks."""
     heads = posted.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("hub"), F.min(F.struct(F.xxhash64("cls", "key"), "cls")).alias("other"))
-    heads = heads.where(F.col("c") > 1).select("key", "c", "hub", F.col("other.cls").alias("other"))
-    return materialize(posted.join(heads, "key"), "minhash-lists")
+    heads = materialize(heads.where(F.col("c") > 1).select("key", "c", "hub", F.col("other.cls").alias("other")), "minhash-heads")
+    return materialize(posted.join(heads.hint("merge"), "key"), "minhash-lists")
 
 
 def early_pairs(rows: DataFrame, percent: int) -> DataFrame:
@@ -237,78 +238,46 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def late_links(rows: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between components within the long lists that hold several.
-
-    Blocks of a list are compared by signature; the pairs with enough matches stay in arrays, one row
-    per two of ``n`` fixed groups of classes. The sets of both groups then meet once, and pairs are
-    confirmed there as long as their sides are not connected by the links found so far.
-    """
-    long_ = rows.where(F.col("c") > SMALL).select("key", "cls", "c").join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    mixed = long_.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    active = materialize(long_.join(mixed, "key", "left_semi"), "minhash-mixed")
-    # Bit i: the class is in the mixed long list of its coordinate i.
-    bits = active.groupBy("cls", "root").agg(F.expr("bit_or(shiftleft(1L, cast(shiftright(key, 32) as int)))").alias("bits"))
-    members = materialize(bits.join(classes.select("cls", "sig"), "cls"), "minhash-members")
-    groups = max(1, -(-members.count() // BLOCK))
-    n = F.ceil(F.col("c") / BLOCK).cast("int")
-    spread = (active.select("key", "cls", "c").join(members, "cls")
-              .withColumn("own", F.pmod(F.xxhash64("cls"), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
-              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root", "bits", "sig",
-                      F.pmod(F.xxhash64("cls", F.lit(7)), F.lit(groups)).cast("int").alias("g")))
+def block_links(left: dict, right: dict, same: bool, percent: int) -> list[tuple[int, int]]:
+    """Links of two blocks of classes: pairs of enough matches that reach ``percent`` on the full sets, each of which
+    connects two components that the block has not connected yet."""
+    own, there, out, least = left["root"].copy(), right["root"].copy(), [], matches(percent)
+    for i in range(len(own)):
+        near = ((right["sig"] == left["sig"][i]).sum(1) >= least) & (there != own[i])
+        if same:
+            near &= right["cls"] > left["cls"][i]
+        for j in np.flatnonzero(near).tolist():
+            if there[j] != own[i] and similar(left["s"][i], right["s"][j], percent):
+                out.append((int(left["cls"][i]), int(right["cls"][j])))
+                old, new = there[j], own[i]
+                own[own == old] = new
+                there[there == old] = new
+    return out
 
-    least = matches(percent)
+
+def late_links(rows: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components within the long lists that hold several."""
+    named = rows.where(F.col("c") > SMALL).select("key", "hub", "cls").join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    mixed = materialize(named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key"), "minhash-mixed")
+    active = named.join(mixed.hint("merge"), "key").select("hub", "cls", "root").distinct()
+    active = materialize(active.join(classes.select("cls", "n"), "cls"), "minhash-active")
+    if active.isEmpty():
+        return rows.sparkSession.createDataFrame([], "a long, b long")
+    sets = set_table(active.select("cls").distinct(), classes, docs, words).join(classes.select("cls", "sig"), "cls")
 
     def compare(table: pa.Table) -> pa.Table:
-        c = int(table["key"][0].as_py() >> 32)
-        sig, bits = signature_rows(table["sig"]), table["bits"].to_numpy().view(np.uint64)
-        cls, root, own, g = (table[x].to_numpy() for x in ("cls", "root", "own", "g"))
-        left, right = np.flatnonzero(own == table["i"][0].as_py()), np.flatnonzero(own == table["j"][0].as_py())
-        weight = np.left_shift(np.uint64(1), np.arange(K, dtype=np.uint64))
-        found: dict[tuple[int, int], list[np.ndarray]] = {}
-        for x in left.tolist():
-            same = sig[right] == sig[x]
-            agree = (same * weight).sum(1, dtype=np.uint64) & bits[right] & bits[x]
-            # A pair counts in the first of the mixed long lists that it shares, and once within one block.
-            first = (agree & (~agree + np.uint64(1))) == np.uint64(1 << c)
-            once = (own[right] != own[x]) | (cls[right] > cls[x])
-            y = right[(same.sum(1) >= least) & (root[right] != root[x]) & first & once]
-            for other in np.unique(g[y]).tolist():
-                z = cls[y[g[y] == other]]
-                pair = np.stack((np.full(len(z), cls[x]), z))
-                lo, hi = sorted((int(g[x]), other))
-                found.setdefault((lo, hi), []).append(pair)
-        both = {k: np.concatenate(v, 1) for k, v in found.items()}
-        return pa.table({"lo": pa.array([k[0] for k in both], pa.int32()), "hi": pa.array([k[1] for k in both], pa.int32()),
-                         "a": pa.array([v[0] for v in both.values()], pa.list_(pa.int64())), "b": pa.array([v[1] for v in both.values()], pa.list_(pa.int64()))})
-
-    pairs = materialize(spread.groupBy("key", "i", "j").applyInArrow(compare, "lo int, hi int, a array<long>, b array<long>"), "minhash-late")
-    sets = set_table(members.select("cls"), classes, docs, words).join(members.select("cls", "root"), "cls")
-    sets = sets.withColumn("g", F.pmod(F.xxhash64("cls", F.lit(7)), F.lit(groups)).cast("int"))
-    met = pairs.select("lo", "hi").distinct()
-    here = met.select("lo", "hi", F.col("lo").alias("g")).unionByName(met.where("lo < hi").select("lo", "hi", F.col("hi").alias("g")))
-    sets = sets.join(here, "g").select(F.col("lo").alias("first"), F.col("hi").alias("second"), "cls", "root", "s")
-
-    def confirm(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        own = dict(zip(sets["cls"].to_pylist(), (np.frombuffer(s, np.uint64) for s in sets["s"].to_pylist()), strict=True))
-        root = dict(zip(sets["cls"].to_pylist(), sets["root"].to_pylist(), strict=True))
-        up: dict[int, int] = {}
-
-        def top(v: int) -> int:
-            while v in up:
-                v = up[v]
-            return v
-
-        links = []
-        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist(), strict=True):
-            for x, y in zip(a, b, strict=True):
-                rx, ry = top(root[x]), top(root[y])
-                if rx != ry and similar(own[x], own[y], percent):
-                    up[max(rx, ry)] = min(rx, ry)
-                    links.append((x, y))
+        side = table["side"].to_numpy()
+        s = np.empty(len(side), object)
+        s[:] = [np.frombuffer(x, np.uint64) for x in table["s"].to_pylist()]
+        cols = {"cls": table["cls"].to_numpy(), "root": table["root"].to_numpy(), "sig": signature_rows(table["sig"]), "s": s}
+        halves = [{k: v[side == x] for k, v in cols.items()} for x in (0, 1)]
+        same = not (side == 1).any()
+        links = block_links(halves[0], halves[0] if same else halves[1], same, percent)
+        give_back()
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
-    return materialize(pairs.groupBy("lo", "hi").cogroup(sets.groupBy("first", "second")).applyInArrow(confirm, "a long, b long"), "minhash-links")
+    rows = dealt(active, percent).join(sets.hint("merge"), "cls")
+    return materialize(rows.groupBy(*PAIR).applyInArrow(compare, "a long, b long").distinct(), "minhash-links")
 
 
 def _key_id():
@@ -321,7 +290,7 @@ def _named(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFr
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")).alias("first")
     sets = rows.where(F.col("n") > 0).groupBy("fp").agg(F.min("uid").alias("cls"), first)
     sets = materialize(sets, "minhash-classes")
-    classes = materialize(rows.join(sets.select(F.col("cls").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("cls"), _key_id(), "h1", "h2", "sig"), "minhash-sigs")
+    classes = materialize(rows.join(sets.select(F.col("cls").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("cls"), _key_id(), "h1", "h2", "n", "sig"), "minhash-sigs")
     listed = lists(postings(classes, frequent_keys(classes, classes.count()), percent))
     early = matched(early_pairs(listed, percent), classes, percent)
     best = early.groupBy("b").agg(F.max(F.struct("m", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
@@ -335,8 +304,7 @@ def _named(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFr
     named = sets.join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     firsts = named.groupBy("root").agg(F.min("first").alias("first"))
     named = named.join(firsts.withColumnRenamed("first", "best"), "root")
-    return rows, materialize(named.select("fp", F.col("best.doc_id").alias("component"), F.col("best.uid").alias("keeper"),
-                                          F.when(F.col("first.no_id"), F.col("first.uid")).alias("spared")), "minhash-named")
+    return rows, materialize(named.select("fp", F.col("best.doc_id").alias("component"), F.col("best.uid").alias("keeper")), "minhash-named")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -348,11 +316,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``uid`` of every row but the first of its component, by doc_id (nulls last) and uid, and but the
-    first row of a set that has no row with an id. ``docs`` is a written table with a ``uid`` per row.
-    Rows without words are copies of nothing."""
+    """``uid`` of every row but the first of its component, by doc_id (nulls last) and uid. ``docs`` is a written
+    table with a ``uid`` per row. Rows without words are copies of nothing."""
     rows, named = _named(docs, words, percent)
-    return rows.select("uid", "fp").join(named.select("fp", "keeper", "spared"), "fp").where((F.col("uid") != F.col("keeper")) & ~F.col("uid").eqNullSafe(F.col("spared"))).select("uid")
+    return rows.select("uid", "fp").join(named.select("fp", "keeper"), "fp").where(F.col("uid") != F.col("keeper")).select("uid")
 
 
 def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:

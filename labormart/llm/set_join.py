@@ -34,14 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labormart.llm.blocks import PAIR, dealt
 from labormart.llm.common import _array, _arrow_schema, give_back, load, map_batches, materialize, ship_package, signed, text_bytes
 from labormart.llm.components import components
 from labormart.llm.minhash import _key_id, _text_keys, set_table, shingle_sets
 
 RELATED, LONG = 96, 32
-#: Leaders of a long list that are compared with each other in one task: two blocks of at most so many rows and
-#: about so many shingles.
-BLOCK, BLOCK_SHINGLES = 256, 400_000
 #: Numbers of up to so many classes are broadcast to find their rows.
 BROADCAST_CLASSES = 500_000
 #: Documents whose shingles are counted at once, and shingles that are kept apart until they are merged.
@@ -337,25 +335,8 @@ def long_links(entries: DataFrame, leaders: DataFrame, classes: DataFrame, roots
     named = materialize(named.join(mixed.hint("merge"), "key").select("hub", "cls", "n", "root").distinct(), "join-active")
     if named.isEmpty():
         return spark.createDataFrame([], _FOUND), spark.createDataFrame([], "cls long, s binary")
-    bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / lowest))).cast("int")
-    named = named.withColumn("bucket", bucket)
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    stats = materialize(named.groupBy("hub", "bucket").agg(blocks.alias("blocks")), "join-buckets")
-    # A block meets those of its own bucket and of the next one above; a bucket spans the sizes that one size may link with.
-    meets = stats.alias("s").join(stats.alias("u"), F.expr("s.hub = u.hub and u.bucket between s.bucket and s.bucket + 1"))
-    meets = meets.select(F.col("s.hub").alias("hub"), F.col("s.bucket").alias("b0"), F.col("u.bucket").alias("b1"),
-                         F.explode(F.expr("sequence(0, s.blocks - 1)")).alias("i"), F.col("u.blocks").alias("m")).withColumn("j", F.explode(F.expr("sequence(0, m - 1)"))).drop("m")
-    meets = materialize(meets.where("b0 < b1 or i <= j"), "join-meets")
-    own = named.join(stats.withColumnRenamed("hub", "k").withColumnRenamed("bucket", "bk").hint("merge"), F.expr("hub = k and bucket = bk"))
-    own = own.select("hub", "bucket", F.expr("pmod(xxhash64(cls), blocks)").cast("int").alias("block"), "cls", "root")
-    dealt = None
-    for side, b, block in ((0, "b0", "i"), (1, "b1", "j")):
-        at = meets.where("not (b0 = b1 and i = j)") if side else meets
-        here = at.select("hub", "b0", "i", "b1", "j", F.col(b).alias("bucket"), F.col(block).alias("block"))
-        here = own.join(here, ["hub", "bucket", "block"]).select("hub", "b0", "i", "b1", "j", F.lit(side).alias("side"), "cls", "root")
-        dealt = here if dealt is None else dealt.unionByName(here)
     sets = set_table(named.select("cls").distinct(), classes, docs, words)
-    dealt = dealt.join(leaders.select("cls", "r").join(sets, "cls").hint("merge"), "cls")
+    rows = dealt(named, lowest).join(leaders.select("cls", "r").join(sets, "cls").hint("merge"), "cls")
 
     def compare(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
@@ -371,7 +352,7 @@ def long_links(entries: DataFrame, leaders: DataFrame, classes: DataFrame, roots
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64()), "t": pa.array(t, pa.int32()),
                          "o": pa.array(o, pa.int64()), "linked": pa.array(linked, pa.bool_())})
 
-    found = dealt.groupBy("hub", "b0", "i", "b1", "j").applyInArrow(compare, _FOUND).distinct()
+    found = rows.groupBy(*PAIR).applyInArrow(compare, _FOUND).distinct()
     return materialize(found, "join-long"), sets
 
 

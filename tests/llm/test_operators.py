@@ -367,7 +367,11 @@ def test_pipeline_stages(spark, docs):
 
     folder = tempfile.mkdtemp(prefix="labormart-llm-")
     more = spark.createDataFrame([(200 + i, prose(60), "en", "s", 1, 0.0, "c") for i in range(20)], SCHEMA)
-    docs.unionByName(more).write.parquet(os.path.join(folder, "documents.parquet"))
+    # Near copies without an id go too: of the base and of each other.
+    alone = prose(80)
+    lost = spark.createDataFrame([(None, ROWS[5][1] + f" more{i}", "en", "s", 1, 0.0, "c") for i in range(3)]
+                                 + [(None, alone + f" end{i}", "en", "s", 1, 0.0, "c") for i in range(4)], SCHEMA)
+    docs.unionByName(more).unionByName(lost).write.parquet(os.path.join(folder, "documents.parquet"))
     spark.createDataFrame([(200 + i, 0, 1) for i in range(20)], "doc_id long, toxic int, quality int").write.parquet(os.path.join(folder, "labels.parquet"))
     spark.createDataFrame([(1, more.first().text)], "item_id long, text string").write.parquet(os.path.join(folder, "benchmark.parquet"))
     assert [n for n, _ in P.STAGES] == ["toxicity", "minhash_dedup", "decontamination", "secret_scan", "packing"]
@@ -377,5 +381,182 @@ def test_pipeline_stages(spark, docs):
         table = P.materialize(stage(spark, table, folder), f"test-{name}")
         assert set(table.columns) == set(docs.columns)
     left = {r.doc_id for r in table.select("doc_id").collect()}
-    assert table.count() < before and 200 not in left and 201 in left and 6 not in left and 5 in left and None in left
+    assert table.count() < before and 200 not in left and 201 in left and 6 not in left and 5 in left
+    no_id = [r.text for r in table.where("doc_id is null").collect()]
+    assert len(no_id) == 1 and no_id[0].startswith(alone)
     assert {r.doc_id for r in P.run(spark, folder).select("doc_id").collect()} == left
+
+
+def test_pipeline_of_an_empty_table(spark, none):
+    """Every stage, and the whole, on no documents; columns of the stages' own names in the input."""
+    import os
+    import tempfile
+
+    import corpus_pipeline as P
+
+    folder = tempfile.mkdtemp(prefix="labormart-llm-")
+    clash = none.withColumns({c: none["text"] for c in ("uid", "fp", "label", "span", "predicted", "sequence_id")})
+    clash.write.parquet(os.path.join(folder, "documents.parquet"))
+    spark.createDataFrame([(1, 0, 1)], "doc_id long, toxic int, quality int").write.parquet(os.path.join(folder, "labels.parquet"))
+    spark.createDataFrame([(1, "some test item of words")], "item_id long, text string").write.parquet(os.path.join(folder, "benchmark.parquet"))
+    table = spark.read.parquet(os.path.join(folder, "documents.parquet"))
+    for name, stage in P.STAGES:
+        table = P.materialize(stage(spark, table, folder), f"empty-{name}")
+        assert table.count() == 0 and (name == "packing" or table.columns == clash.columns)
+    assert P.run(spark, folder).count() == 0
+
+
+def test_keep_clean_and_redact_with_clashing_columns(spark):
+    names = ("uid", "fp", "label", "span", "predicted", "score", "matched_tokens")
+    rows = [(1, "token = abcdEFGH1234567890zz", *["x"] * len(names)), (2, None, *["y"] * len(names)), (None, "plain words here", *["z"] * len(names))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = secret_scan.redact(df)
+    assert got.columns == df.columns and [r.text for r in got.orderBy("uid").collect()] == ["[SECRET]", None, "plain words here"]
+    bench = spark.createDataFrame([(1, "plain words here", "u")], "item_id long, text string, uid string")
+    left = decontaminate.keep_clean(df, bench)
+    assert left.columns == df.columns and {r.doc_id for r in left.collect()} == {1, 2}
+
+
+def test_keys_in_paths_are_reported_and_plain_paths_are_not():
+    r = random.Random(9)
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789"
+    for before in ("api.example.com/v1/", "hooks.example.org/services/", "www.example.com/a/b/"):
+        keys = ["".join(r.choices(signs, k=32)) for _ in range(1000)]
+        spans = [secret_scan.find_spans(f"see {before}{k} now") for k in keys]
+        assert sum(any(kind == "entropy" for kind, *_ in s) for s in spans) >= 950
+        assert all(a >= len("see " + before) for s in spans for _, a, _ in s)
+    plain = ["www.example.com/some/long-article-title/about-many-things/index.html", "docs.example.org/guide/getting-started/installation.html",
+             "example.com/2021/05/17/a-longer-headline-with-words/page/2", "cdn.example.net/static/images/background-large.png",
+             "example.com/products/category/item12345678/reviews", "therha.example.com/en/676", "archive.example.org/2020-01-01/some-name-of-a-file.tar.gz"]
+    assert all(secret_scan.find_spans(f"at {p} there") == [] for p in plain)
+
+
+def windows_tiled(p, t, least):
+    """Greedy tiling without hashes: the same rounds of lengths, every pair of places compared."""
+    free_p, free_t, tiles, s = [True] * len(p), [True] * len(t), [], min(len(p), len(t))
+    while s >= least:
+        while True:
+            found = []
+            for i in range(len(p) - s + 1):
+                for j in range(len(t) - s + 1):
+                    if i and j and free_p[i - 1] and free_t[j - 1] and p[i - 1] == t[j - 1]:
+                        continue
+                    k = 0
+                    while i + k < len(p) and j + k < len(t) and free_p[i + k] and free_t[j + k] and p[i + k] == t[j + k]:
+                        k += 1
+                    if k >= s:
+                        found.append((-k, i, j))
+            marked = False
+            for k, i, j in sorted(found):
+                if all(free_p[i : i - k]) and all(free_t[j : j - k]):
+                    free_p[i : i - k], free_t[j : j - k] = [False] * -k, [False] * -k
+                    tiles.append(-k)
+                    marked = True
+            if not marked:
+                break
+        s = max(least, s // 2) if s > least else 0
+    return tiles
+
+
+@pytest.mark.parametrize("block_bytes", [16 << 20, 900])
+def test_decontamination_equals_tiling_every_pair(spark, none, block_bytes):
+    """Against tiling each document with each item, over items that share much (a common phrase, equal items, short
+    items); in one block and in several."""
+    r = random.Random(21)
+    words = [f"w{i}" for i in range(60)]
+    phrase = [r.choice(words) for _ in range(14)]
+    items = [[r.choice(words) for _ in range(r.choice([1, 2, 3, 12, 30]))] for _ in range(25)]
+    items += [phrase + [r.choice(words) for _ in range(r.choice([0, 4, 12, 20]))] for _ in range(15)] + [list(phrase), items[4]]
+    texts = []
+    for _ in range(60):
+        parts = [[r.choice(words) for _ in range(r.randint(0, 12))]]
+        for _ in range(r.choice([0, 1, 1, 3])):
+            item = list(r.choice(items))
+            cut = r.randint(0, len(item))
+            parts += [item[cut:], [r.choice(words)], item[:cut]] if r.random() < 0.5 else [item[: r.randint(1, len(item))]]
+        texts.append(sum(parts, []))
+    texts += [phrase * 3, [], ["w1"]]
+    docs = spark.createDataFrame([(i, " ".join(t).upper()) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    want = {}
+    for d, t in enumerate(texts):
+        for k, p in enumerate(items):
+            n = min(decontaminate.LEAST, len(p))
+            tiles = windows_tiled(p, t, n) if len(t) >= n else []
+            if sum(tiles) >= decontaminate.THRESHOLD * len(p):
+                want[d, k] = sum(tiles)
+    got = {(x.doc_id, x.item_id): x.matched_tokens for x in decontaminate.contaminated(docs, bench, block_bytes=block_bytes).collect()}
+    assert got.keys() == want.keys() and len(want) > 40
+    assert sum(got[k] != want[k] for k in want) == 0
+    left = decontaminate.keep_clean(docs, bench, block_bytes=block_bytes)
+    assert {x.doc_id for x in left.collect()} == set(range(len(texts))) - {d for d, _ in want}
+
+
+def test_common_seeds_make_no_candidates():
+    """A phrase of a third of every item is in no index, and pairs that share it alone are not looked at."""
+    phrase = prose(10)
+    own = decontaminate.Items(list(range(300)), [(phrase + " " + prose(25)).encode() for _ in range(300)])
+    _, seed, _ = own.seeds[4]
+    assert np.unique(seed, return_counts=True)[1].max() < 10
+    assert own.matches([(phrase + " " + prose(5)).encode()], 0.5) == []
+
+
+def test_large_mixed_group_in_blocks(spark, monkeypatch):
+    """Two families of near copies with common parts, over several blocks: equal to all pairs."""
+    from labormart.llm import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK", 16)
+    r = random.Random(4)
+    common = [f"c{i}" for i in range(150)]
+    texts = []
+    for i in range(160):
+        own = [f"f{i % 3}w{k}" for k in range(30)]
+        w = common + own
+        for _ in range(r.randint(0, 9)):
+            w[r.randrange(len(w))] = f"edit{r.random()}"
+        texts.append((i, " ".join(w)))
+    sets = [frozenset(tuple(t.split()[i : i + 3]) for i in range(178)) for _, t in texts]
+    group = list(range(160))
+    for i in range(160):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                x, y = max(group[i], group[j]), min(group[i], group[j])
+                group = [y if g == x else g for g in group]
+    got = {x.doc_id: x.component_id for x in minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), 3, 85).collect()}
+    assert got == dict(enumerate(group)) and len(set(group)) > 3
+
+
+@pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
+def test_texts_longer_than_a_piece(spark, module):
+    """Texts of more symbols than are hashed at once, with repeats across the cut."""
+    r = random.Random(6)
+    n = 140_000
+    words = [r.choice(VOCABULARY[:200]) for _ in range(n)]
+    copy = words[n - 9_100 : n - 8_700] + [f"x{i}" for i in range(30)] + words[131_050:131_100]
+    rows = [(1, " ".join(words)), (2, " ".join(copy)), (3, " ".join(words[:300]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    if module is substring_dedup:
+        got = {x.doc_id: x.n_removed for x in module.substring_dedup(df).collect()}
+        seen, want = {}, {}
+        for d, t in rows:
+            w, gone = t.split(), set()
+            for i in range(len(w) - 19):
+                k = tuple(w[i : i + 20])
+                if k in seen:
+                    gone.update(range(i, i + 20))
+                else:
+                    seen[k] = (d, i)
+            want[d] = len(gone)
+    else:
+        got = {x.doc_id: x.n_removed for x in module.suffix_dedup(df).collect()}
+        seen, want = set(), {}
+        for d, t in rows:
+            b, gone, mine = t.encode(), bytearray(len(t.encode())), set()
+            for i in range(len(b) - 49):
+                k = b[i : i + 50]
+                if k in seen:
+                    gone[i : i + 50] = b"\x01" * 50
+                mine.add(k)
+            seen |= mine
+            want[d] = sum(gone)
+    assert got == want and want[2] > 0 and want[3] > 0
