@@ -28,8 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays, that of the least id (nulls last): shingles of five words,
     similarity of 0.8 or more. Rows are told apart by a number of their own, so ids may repeat or
-    be null. Rows without words stay, and so does one row without an id of each set of shingles
-    that no row with an id has, though it be a near copy of another."""
+    be null. Rows without words stay."""
     numbered = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-numbered")
     dropped = minhash.copies(numbered.select(F.col(ROW).alias("uid"), "doc_id", "text"), words=5, percent=80)
     return numbered.join(dropped.withColumnRenamed("uid", ROW), ROW, "left_anti").select(docs.columns)
