@@ -2,13 +2,15 @@
 
 Each document is its tokens and an end id. Whole stretches of ``SIZE`` tokens fill sequences of their
 own; the remainders (1 to SIZE - 1 tokens) are packed. Their length histogram, of at most SIZE - 1
-numbers whatever the table's size, goes to the driver: remainders are grouped into classes of
-``UNIT`` tokens, a linear program over patterns (how many of each class share a sequence) is solved
-by column generation, a knapsack dynamic program pricing the next pattern, and its solution is
-rounded down. Documents get ranks within their length, and the patterns' slots are ranges of ranks,
-so every place follows from (length, rank) by arithmetic.
-
-What rounding leaves over, and what patterns filled below ``LEAST_FILL`` would hold, is laid end to
+numbers whatever the table's size, goes to the driver: remainders are grouped into classes whose width grows
+with their length (``WIDTHS``; a remainder takes the place of its class's longest), a linear program over
+patterns (how many of each class share a sequence) is solved by column generation, a knapsack dynamic
+program pricing the next pattern, and its solution is rounded down. What rounding leaves over gets patterns
+of its own: the longest remainder left and the knapsack's fullest filling of the rest of the sequence with what is
+left. Documents get ranks within their length, and the patterns' slots are ranges of ranks, so every place
+follows from (length, rank) by arithmetic.
+
+Only what no pattern of a fill of ``LEAST_FILL`` can hold any more, a few sequences' worth, is laid end to
 end and cut wherever a sequence is full; the last, shorter stretch is cut at powers of two, which
 need no padding. Null texts are empty (only the end id); repeated rows are packed each; an empty
 table gives an empty result.
@@ -28,14 +30,18 @@ from labormart.llm.tokens import vocabulary_path, worker_tokens
 
 SIZE = 4096
 END_ID = 2
-UNIT = 8
+#: Tokens that sizes are counted in, and (up to this length, width of the classes): a class wastes about half a
+#: hundredth of its length.
+UNIT = 2
+WIDTHS = ((256, 2), (512, 4), (1024, 8), (2048, 16), (4096, 32))
+#: Share of a sequence that the classes of a pattern fill at least.
 LEAST_FILL = 0.99
 #: Rows of a bucket within which ranks are counted in one task.
 BUCKET_ROWS = 50_000
 #: Up to so many cut texts, their fingerprints are broadcast to find them among the documents.
 BROADCAST_TEXTS = 500_000
 #: The linear program stops when its value is proven to be within this share of the optimum.
-GAP = 5e-4
+GAP = 1e-2
 
 
 def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -62,7 +68,7 @@ def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), counts
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, most: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, most: int = 1000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (classes x patterns) and how often to use each, in fractions: the least number of
     sequences that hold the demand of each class. Revised simplex with generated columns."""
     m = len(sizes)
@@ -88,6 +94,38 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, most: int = 4000
     return basis.astype(np.int64), np.maximum(x, 0)
 
 
+def fullest(sizes: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
+    """How many of each class fill ``capacity`` the most, with ``left`` of each: a bounded knapsack, a class's number
+    being made up of 1, 2, 4 ... at once."""
+    most = np.minimum(left, capacity // sizes)
+    items = []
+    for c in np.flatnonzero(most)[::-1].tolist():  # long ones first: short ones are kept for gaps
+        n, k = int(most[c]), 1
+        while n > 0:
+            items.append((c, min(k, n)))
+            n, k = n - k, 2 * k
+    filled = np.zeros(capacity + 1, np.int64)
+    taken = np.zeros((len(items), capacity + 1), bool)
+    last = 0
+    for i, (c, k) in enumerate(items):
+        weight = int(sizes[c]) * k
+        if weight <= capacity:
+            more = filled[: capacity + 1 - weight] + weight
+            better = more > filled[weight:]
+            taken[i, weight:] = better
+            filled[weight:] = np.where(better, more, filled[weight:])
+        last = i + 1
+        if filled[capacity] == capacity:
+            break
+    counts, at = np.zeros(len(sizes), np.int64), capacity
+    for i in reversed(range(last)):
+        if taken[i, at]:
+            c, k = items[i]
+            counts[c] += k
+            at -= int(sizes[c]) * k
+    return counts
+
+
 @dataclass
 class Plan:
     """Places of all remainders, from their exact length and their rank among those of that length."""
@@ -120,36 +158,57 @@ class Plan:
         return self.lengths[c][np.searchsorted(self.ends[c], rank, side="right")]
 
 
-def plan(histogram: dict[int, int], unit: int = UNIT) -> Plan:
+def class_sizes() -> np.ndarray:
+    """Per length (0 to SIZE - 1) the size of its class in units."""
+    length = np.arange(SIZE)
+    width = np.select([length <= most for most, _ in WIDTHS], [w for _, w in WIDTHS])
+    return -(-length // width) * width // UNIT
+
+
+def plan(histogram: dict[int, int]) -> Plan:
     """``histogram``: remainders by length, 1 to SIZE - 1."""
     n = np.zeros(SIZE, np.int64)
     for length, count in histogram.items():
         n[length] = count
-    units = -(-np.arange(SIZE) // unit)
+    units = class_sizes()
     present = np.unique(units[n > 0])
     class_of = np.searchsorted(present, units).clip(0, max(0, len(present) - 1))
-    rank_base, ends, lengths, mean = np.zeros(SIZE, np.int64), [], [], []
+    rank_base, ends, lengths = np.zeros(SIZE, np.int64), [], []
     for u in present:
         own = np.flatnonzero((units == u) & (n > 0))
         total = np.cumsum(n[own])
         rank_base[own] = total - n[own]
         ends.append(total)
         lengths.append(own)
-        mean.append(float((own * n[own]).sum() / total[-1]))
-    capacity = SIZE // unit
+    capacity = SIZE // UNIT
     used = np.zeros(len(present), np.int64)
+    demand = np.array([e[-1] for e in ends], np.int64)
     patterns, times = [], []
+
+    def use(counts: np.ndarray, copies: int) -> None:
+        patterns.append([(int(c), int(counts[c]), int(used[c])) for c in np.flatnonzero(counts)])
+        times.append(copies)
+        used[:] += copies * counts
+
     if len(present):
-        columns, x = solve(present, np.array([e[-1] for e in ends], float), capacity)
+        columns, x = solve(present, demand.astype(float), capacity)
         for j in np.argsort(-x, kind="stable"):
-            slots = [(c, int(columns[c, j])) for c in np.flatnonzero(columns[:, j])]
-            copies = int(x[j] + 1e-6)
-            copies = min([copies, *(int((ends[c][-1] - used[c]) // a) for c, a in slots)])
-            if copies > 0 and sum(mean[c] * a for c, a in slots) >= LEAST_FILL * SIZE:
-                patterns.append([(int(c), a, int(used[c])) for c, a in slots])
-                times.append(copies)
-                for c, a in slots:
-                    used[c] += copies * a
+            column = columns[:, j]
+            some = column > 0
+            copies = min(int(x[j] + 1e-6), int(((demand - used)[some] // column[some]).min(initial=0)))
+            if copies > 0 and int((present * column).sum()) >= LEAST_FILL * capacity:
+                use(column, copies)
+        hopeless = np.zeros(len(present), bool)
+        while int((present * (left := np.where(hopeless, 0, demand - used))).sum()) >= LEAST_FILL * capacity:
+            longest = int(np.flatnonzero(left)[-1])
+            left[longest] -= 1
+            counts = fullest(present, left, capacity - int(present[longest]))
+            counts[longest] += 1
+            if int((present * counts).sum()) < LEAST_FILL * capacity:
+                hopeless[longest] = True  # nothing left fills a sequence with one of these
+                continue
+            some = counts > 0
+            use(counts, int(((demand - used)[some] // counts[some]).min()))
     ranges = []
     for c in range(len(present)):
         own = [(first, j, a) for j, slots in enumerate(patterns) for k, a, first in slots if k == c]
@@ -217,15 +276,21 @@ def lengths_table(docs: DataFrame, path: str) -> DataFrame:
     def run(batch) -> dict:
         ids = [x + tail for x in get().encode_all([t or "" for t in batch.column("text").to_pylist()])]
         crc = [[zlib.crc32(x[i : i + 4 * SIZE]) for i in range(0, len(x), 4 * SIZE)] for x in ids]
-        return {"uid": batch.column("uid"), "doc_id": batch.column("doc_id"), "fp": batch.column("fp"), "n": [len(x) // 4 for x in ids], "crcs": crc}
+        return {"uid": batch.column("uid"), "doc_id": batch.column("doc_id"), "fp": batch.column("fp"), "fp2": batch.column("fp2"), "n": [len(x) // 4 for x in ids], "crcs": crc}
+
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", *_fingerprints(), "text")
+    return materialize(map_batches(rows, run, "uid long, doc_id long, fp long, fp2 long, n long, crcs array<long>"), "pack-lengths")
+
 
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.xxhash64("doc_id", "text").alias("fp"), "text")
-    return materialize(map_batches(rows, run, "uid long, doc_id long, fp long, n long, crcs array<long>"), "pack-lengths")
+def _fingerprints() -> list:
+    """Two hashes of id and text, by which a row's text is found again."""
+    return [F.xxhash64("doc_id", "text").alias("fp"), F.xxhash64(F.lit(1), "doc_id", "text").alias("fp2")]
 
 
 def ranked(lengths: DataFrame, buckets: int) -> DataFrame:
     """Adds each row's rank among the remainders of its length, and how many whole stretches stand
-    before its own: counted within buckets, then the buckets before are added."""
+    before its own: counted within buckets, then the buckets before are added. The sums over the buckets
+    are taken in one task, over a row per ``BUCKET_ROWS`` documents."""
     rows = lengths.withColumns({"bucket": F.pmod(F.xxhash64("uid"), F.lit(buckets)).cast("int"), "rem": (F.col("n") % SIZE).cast("int"), "whole": F.floor(F.col("n") / SIZE)})
     by_length = rows.groupBy("rem", "bucket").agg(F.count(F.lit(1)).alias("c"))
     before = Window.partitionBy("rem").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -238,10 +303,10 @@ def ranked(lengths: DataFrame, buckets: int) -> DataFrame:
         "whole_in": F.coalesce(F.sum("whole").over(own), F.lit(0)),
     })
     return rows.join(by_length, ["rem", "bucket"]).join(by_bucket, "bucket").select(
-        "uid", "doc_id", "fp", "n", "crcs", (F.col("rank_in") + F.col("rank_before")).alias("rank"), (F.col("whole_in") + F.col("whole_before")).alias("whole_before"))
+        "uid", "doc_id", "fp", "fp2", "n", "crcs", (F.col("rank_in") + F.col("rank_before")).alias("rank"), (F.col("whole_in") + F.col("whole_before")).alias("whole_before"))
 
 
-PIECE = "uid long, fp long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECE = "uid long, fp long, fp2 long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def placed(rows: DataFrame, p: Plan) -> DataFrame:
@@ -252,7 +317,7 @@ def placed(rows: DataFrame, p: Plan) -> DataFrame:
         p = shared.value
         n, rank, before = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "rank", "whole_before"))
         bounds, total = p.bounds, p.sequences
-        uid, fp, doc, crcs = (batch.column(c).to_pylist() for c in ("uid", "fp", "doc_id", "crcs"))
+        uid, fp, fp2, doc, crcs = (batch.column(c).to_pylist() for c in ("uid", "fp", "fp2", "doc_id", "crcs"))
         rem = n % SIZE
         has = np.flatnonzero(rem)
         sequence, offset, inside = (np.zeros(len(n), kind) for kind in (np.int64, np.int64, bool))
@@ -260,7 +325,7 @@ def placed(rows: DataFrame, p: Plan) -> DataFrame:
         out = []
         for i in range(len(n)):
             full = int(n[i]) // SIZE
-            head = (uid[i], fp[i], doc[i])
+            head = (uid[i], fp[i], fp2[i], doc[i])
             out += [(*head, k * SIZE, SIZE, crcs[i][k], int(n[i]), total + int(before[i]) + k, 0) for k in range(full)]
             if rem[i] and inside[i]:
                 out.append((*head, full * SIZE, int(rem[i]), crcs[i][full], int(n[i]), int(sequence[i]), int(offset[i])))
@@ -275,24 +340,24 @@ def placed(rows: DataFrame, p: Plan) -> DataFrame:
 
 
 def cut_crcs(docs: DataFrame, cut: DataFrame, path: str) -> DataFrame:
-    """crc of each cut piece (fp, start, length): the texts concerned are encoded once more."""
+    """crc of each cut piece (fp, fp2, start, length): the texts concerned are encoded once more."""
     get = worker_tokens(docs.sparkSession, path)
     tail = END_ID.to_bytes(4, "little")
-    wanted = materialize(cut.groupBy("fp").agg(F.collect_set(F.struct("start", "length")).alias("pieces")), "pack-cut")
-    keys = wanted.select("fp")
+    wanted = materialize(cut.groupBy("fp", "fp2").agg(F.collect_set(F.struct("start", "length")).alias("pieces")), "pack-cut")
+    keys = wanted.select("fp", "fp2")
     few = wanted.count() <= BROADCAST_TEXTS
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("fp"), "text").join(F.broadcast(keys) if few else keys, "fp", "left_semi")
-    # Rows of one fingerprint have one text: a null text is an empty one.
-    one = texts.groupBy("fp").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
+    texts = docs.select(*_fingerprints(), "text").join(F.broadcast(keys) if few else keys, ["fp", "fp2"], "left_semi")
+    # Rows of one pair of fingerprints have one text: a null text is an empty one.
+    one = texts.groupBy("fp", "fp2").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
 
     def run(batch) -> dict:
         out = []
-        for fp, x, pieces in zip(batch.column("fp").to_pylist(), get().encode_all(batch.column("text").to_pylist()), batch.column("pieces").to_pylist(), strict=True):
+        for fp, fp2, x, pieces in zip(batch.column("fp").to_pylist(), batch.column("fp2").to_pylist(), get().encode_all(batch.column("text").to_pylist()), batch.column("pieces").to_pylist(), strict=True):
             x += tail
-            out += [(fp, q["start"], q["length"], zlib.crc32(x[4 * q["start"] : 4 * (q["start"] + q["length"])])) for q in pieces]
-        return dict(zip(("fp", "start", "length", "crc"), map(list, zip(*out, strict=True)), strict=True))
+            out += [(fp, fp2, q["start"], q["length"], zlib.crc32(x[4 * q["start"] : 4 * (q["start"] + q["length"])])) for q in pieces]
+        return dict(zip(("fp", "fp2", "start", "length", "crc"), map(list, zip(*out, strict=True)), strict=True))
 
-    return map_batches(one.join(wanted, "fp"), run, "fp long, start long, length long, crc long")
+    return map_batches(one.join(wanted, ["fp", "fp2"]), run, "fp long, fp2 long, start long, length long, crc long")
 
 
 def pack(docs: DataFrame, path: str) -> DataFrame:
@@ -303,7 +368,7 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
     histogram.pop(0, None)
     pieces = placed(ranked(lengths, buckets), plan(histogram))
     crcs = cut_crcs(docs, pieces.where(F.col("ids_crc32").isNull()), path)
-    cut = pieces.where(F.col("ids_crc32").isNull()).drop("ids_crc32").join(crcs.withColumnRenamed("crc", "ids_crc32"), ["fp", "start", "length"])
+    cut = pieces.where(F.col("ids_crc32").isNull()).drop("ids_crc32").join(crcs.withColumnRenamed("crc", "ids_crc32"), ["fp", "fp2", "start", "length"])
     return pieces.where(F.col("ids_crc32").isNotNull()).unionByName(cut).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

@@ -560,3 +560,33 @@ def test_texts_longer_than_a_piece(spark, module):
             seen |= mine
             want[d] = sum(gone)
     assert got == want and want[2] > 0 and want[3] > 0
+
+
+@pytest.mark.parametrize("mean", [100, 300, 400, 1000])
+def test_remainders_stand_in_patterns(mean):
+    """Of 10 000 documents, nearly all tokens are in patterns, also where texts are short, and padding is small."""
+    r = np.random.default_rng(mean)
+    lengths = (r.gamma(2.0, mean / 2, 10_000).astype(int) + 1) % packing.SIZE
+    lengths = lengths[lengths > 0]
+    p = packing.plan(dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True)))
+    total = int(lengths.sum())
+    assert p.rest_tokens <= 0.05 * total
+    held = (p.rest_sequence + p.rest_tokens // packing.SIZE) * packing.SIZE + p.rest_tokens % packing.SIZE
+    assert total <= held <= 1.01 * total
+    size = packing.class_sizes()
+    classes = np.unique(size[lengths])
+    for slots in p.patterns:
+        assert packing.LEAST_FILL * packing.SIZE <= packing.UNIT * sum(int(classes[c]) * a for c, a, _ in slots) <= packing.SIZE
+
+
+def test_fullest_by_all_fillings():
+    r = random.Random(2)
+    for _ in range(60):
+        sizes = np.array(sorted(r.sample(range(1, 20), 5)))
+        left = np.array([r.randint(0, 4) for _ in sizes])
+        capacity = r.randint(1, 40)
+        sums = {0}
+        for w, n in zip(sizes.tolist(), left.tolist(), strict=True):
+            sums = {s + k * w for s in sums for k in range(n + 1) if s + k * w <= capacity}
+        got = packing.fullest(sizes, left, capacity)
+        assert (got <= left).all() and int((got * sizes).sum()) == max(sums)
