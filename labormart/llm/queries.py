@@ -11,6 +11,7 @@ from labormart.llm.decontaminate import decontaminate_query
 from labormart.llm.hard_negatives import ORACLE as NEGATIVES_SQL
 from labormart.llm.hard_negatives import negatives_query
 from labormart.llm.minhash import minhash_query
+from labormart.llm.oracle import SUBSTRING, jaccard_groups
 from labormart.llm.packing import packing_query
 from labormart.llm.quality import quality_query
 from labormart.llm.rules import rules_query
@@ -38,5 +39,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 #: DuckDB forms. The other operators are tested against brute force (tests/llm).
 ORACLE: dict[str, str] = {
+    "op4_minhash_dedup": jaccard_groups(3, 85, kept=True),
+    "op8_substring_dedup": SUBSTRING,
     "op12_hard_negatives": NEGATIVES_SQL,
+    "op13_set_join": jaccard_groups(4, 85, kept=False),
 }
