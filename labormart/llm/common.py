@@ -179,16 +179,21 @@ def give_back() -> None:
         trim(0)
 
 
-def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` where ``fn`` gets one record batch and returns a dict of columns."""
+#: Rows that ``map_batches`` hands on at once: bounds what a task holds of its texts.
+SLICE = 2000
+
+
+def map_batches(df: DataFrame, fn, schema: str, rows: int = SLICE) -> DataFrame:
+    """``mapInArrow`` where ``fn`` gets a record batch of at most ``rows`` rows and returns a dict of columns."""
     ship_package(df.sparkSession)
     out_type = _arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                cols = fn(batch)
+            for i in range(0, batch.num_rows, rows):
+                cols = fn(batch.slice(i, rows))
                 yield pa.RecordBatch.from_arrays([_array(cols[f.name], f.type) for f in out_type], schema=out_type)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

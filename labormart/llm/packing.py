@@ -336,7 +336,7 @@ def placed(rows: DataFrame, p: Plan) -> DataFrame:
         names = [x.split()[0] for x in PIECE.split(", ")]
         return dict(zip(names, map(list, zip(*out, strict=True)), strict=True)) if out else {k: [] for k in names}
 
-    return materialize(map_batches(rows, run, PIECE), "pack-placed")
+    return materialize(map_batches(rows, run, PIECE, rows=1 << 20), "pack-placed")
 
 
 def cut_crcs(docs: DataFrame, cut: DataFrame, path: str) -> DataFrame:

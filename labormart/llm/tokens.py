@@ -21,7 +21,7 @@ from pathlib import Path
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from labormart.llm.common import load, map_batches
+from labormart.llm.common import give_back, load, map_batches
 
 VOCABULARY = "word_bpe_49k.json"
 #: Characters that the shortcut takes: ASCII, Latin-1 letters and signs, typographic marks.
@@ -37,7 +37,7 @@ PIECES = re.compile("\n|" + PRE_TOKEN.pattern)
 #: Stands after a word's ids; no run of ids contains it, as their upper halves are zero.
 WORD_END = b"\xff\xff\xff\xff"
 #: Words whose tokens a Python worker keeps at most; then it starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 #: Characters of text whose new words are merged together.
 GROUP = 1 << 20
 OVER = 2048
@@ -58,9 +58,8 @@ def _tokenizer(path: str):
     return tok
 
 
-def whole_tokens(path: str) -> dict[str, int]:
+def whole_tokens(tok) -> dict[str, int]:
     """Pre-tokens that encode alone as one token, with its id. At most one per vocabulary entry."""
-    tok = _tokenizer(path)
     byte_of = _byte_of_symbol()
     words = []
     for entry in tok.get_vocab():
@@ -71,7 +70,11 @@ def whole_tokens(path: str) -> dict[str, int]:
                 continue
             if not _ODD.search(word) and PRE_TOKEN.fullmatch(word) and word == word.lower():
                 words.append(word)
-    return {w: e.ids[0] for w, e in zip(words, tok.encode_batch(words, add_special_tokens=False), strict=True) if len(e.ids) == 1}
+    found = {}
+    for i in range(0, len(words), 1000):
+        part = words[i : i + 1000]
+        found |= {w: e.ids[0] for w, e in zip(part, tok.encode_batch(part, add_special_tokens=False), strict=True) if len(e.ids) == 1}
+    return found
 
 
 def _byte_of_symbol() -> dict[str, int]:
@@ -175,9 +178,10 @@ class Merges:
 class WordTokens:
     """Ids (little-endian unsigned 32 bit) of texts, by kept words."""
 
-    def __init__(self, path: str, whole: dict[str, int]) -> None:
-        self.whole = {w: i.to_bytes(4, "little") for w, i in whole.items()} | {"\n": WORD_END}
+    def __init__(self, path: str) -> None:
         self.tok, self.merge, self.words = _tokenizer(path), Merges(path), {}
+        self.whole = {w: i.to_bytes(4, "little") for w, i in whole_tokens(self.tok).items()} | {"\n": WORD_END}
+        give_back()
         self.special = [a.content for a in self.tok.get_added_tokens_decoder().values()]
 
     def _learn(self, words: list[str]) -> None:
@@ -220,7 +224,7 @@ def worker_tokens(spark: SparkSession, path: str) -> Callable[[], WordTokens]:
     def get() -> WordTokens:
         got = _WORKER.get(path)
         if got is None:
-            got = _WORKER[path] = WordTokens(path, whole_tokens(path))
+            got = _WORKER[path] = WordTokens(path)
         return got
 
     return get

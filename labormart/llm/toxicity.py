@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labormart.llm.common import constants, crc_mod, fitted_rows, give_back, labelled_sample, load, map_batches, ship_package
+from labormart.llm.common import SLICE, constants, crc_mod, fitted_rows, give_back, labelled_sample, load, map_batches, ship_package
 
 # Orders, features per row and ridge were chosen on a fold of the training rows.
 ORDERS = (4, 5, 6)
@@ -95,12 +95,15 @@ def class_counts(rows: DataFrame) -> DataFrame:
     def run(batches):
         n = np.zeros((2, 1 << BITS), np.int32)
         for batch in batches:
-            for t, y in zip(texts_of(batch.column("text")), batch.column("label").to_pylist(), strict=True):
-                n[y, present(t)] += 1
+            for i in range(0, batch.num_rows, SLICE):
+                part = batch.slice(i, SLICE)
+                for t, y in zip(texts_of(part.column("text")), part.column("label").to_pylist(), strict=True):
+                    n[y, present(t)] += 1
         at = np.flatnonzero(n.any(0))
         for i in range(0, len(at), 1 << 16):
             a = at[i : i + (1 << 16)]
             yield pa.RecordBatch.from_pydict({"slot": a.astype(np.int32), "n0": n[0, a].astype(np.int64), "n1": n[1, a].astype(np.int64)})
+        give_back()
 
     ship_package(rows.sparkSession)
     return rows.mapInArrow(run, "slot int, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
@@ -150,13 +153,12 @@ def fit(docs: DataFrame, sample: DataFrame) -> Model:
     best = best.orderBy(F.desc("g"), "slot").limit(most).select("slot", "r").toArrow().sort_by("slot")
     slots, ratio = best["slot"].to_numpy().astype(np.int64), best["r"].to_numpy()
 
-    def run(batches):
+    def run(batch) -> dict:
         used = chosen(slots)
-        for batch in batches:
-            own = [np.searchsorted(slots, present(t, used)).astype(np.int16) for t in texts_of(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(own, pa.list_(pa.int16()))], names=["label", "x"])
+        own = [np.searchsorted(slots, present(t, used)).astype(np.int16) for t in texts_of(batch.column("text"))]
+        return {"label": batch.column("label"), "x": pa.array(own, pa.list_(pa.int16()))}
 
-    got = rows.select("label", "text").mapInArrow(run, "label int, x array<short>").toArrow()
+    got = map_batches(rows.select("label", "text"), run, "label int, x array<short>").toArrow()
     x = got["x"].combine_chunks()
     w, b = logistic(x.flatten().to_numpy(), x.offsets.to_numpy() - x.offsets[0].as_py(), got["label"].to_numpy().astype(float), ratio)
     del got, x
