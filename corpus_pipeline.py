@@ -1,9 +1,10 @@
 """Corpus pipeline: five stages over ``documents``, each on what its predecessor kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a table that ``run`` writes into the shared
-scratch folder and reads again. The first four return the columns of ``documents``; the last
-returns the packed pieces. The rows cannot be expressed in SQL, so there is no ``ORACLE_SQL``; the
-stages are tested one by one against brute force (tests/llm).
+scratch folder and reads again; a stage's own tables are deleted when its output is written. The
+first four return the columns of ``documents``; the last returns the packed pieces. The rows cannot
+be expressed in SQL, so there is no ``ORACLE_SQL``; the stages are tested one by one against brute
+force (tests/llm).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labormart.llm import decontaminate, minhash, packing, secret_scan, toxicity
-from labormart.llm.common import load, materialize
+from labormart.llm.common import drop_scratch, load, materialize, scratch_list
 from labormart.llm.tokens import vocabulary_path
 
 #: Column of row numbers within the near-duplicate stage; no input column has this name.
@@ -61,6 +62,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
+    since = len(scratch_list(spark))
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_scratch(spark, since)  # what the stage wrote on its way, and its input
     return docs
