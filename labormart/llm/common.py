@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import labormart
-from labormart.session import scratch_path
+from labormart.session import drop_path, scratch_path
 
 U64 = np.uint64
 #: Bytes hashed at once: the working arrays then stay in the processor's cache.
@@ -45,9 +45,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     tasks find these very rows, and the lineage ends here."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    scratch_list(df.sparkSession).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_list(spark: SparkSession) -> list[str]:
+    """The tables that ``materialize`` has written in this session, in order."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_labormart_scratch"):
+        sc._labormart_scratch = []
+    return sc._labormart_scratch
+
+
+def drop_scratch(spark: SparkSession, since: int) -> None:
+    """Delete the tables written since the list had ``since`` entries, but for the last one, which no other is
+    needed for any more."""
+    paths = scratch_list(spark)
+    for path in paths[since:-1]:
+        drop_path(spark, path)
+    del paths[since:-1]
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     if isinstance(column, pa.ChunkedArray):

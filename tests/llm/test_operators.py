@@ -403,7 +403,14 @@ def test_pipeline_of_an_empty_table(spark, none):
     for name, stage in P.STAGES:
         table = P.materialize(stage(spark, table, folder), f"empty-{name}")
         assert table.count() == 0 and (name == "packing" or table.columns == clash.columns)
+    from labormart.llm.common import scratch_list
+    from labormart.session import path_exists
+
+    before = list(scratch_list(spark))
     assert P.run(spark, folder).count() == 0
+    # Of all that the run wrote, its result stays.
+    assert scratch_list(spark)[: len(before)] == before and len(scratch_list(spark)) == len(before) + 1
+    assert all(path_exists(spark, p) for p in scratch_list(spark)[len(before) :])
 
 
 def test_keep_clean_and_redact_with_clashing_columns(spark):
