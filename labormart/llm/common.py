@@ -199,6 +199,8 @@ def give_back() -> None:
 
 #: Rows that ``map_batches`` hands on at once: bounds what a task holds of its texts.
 SLICE = 2000
+#: Called in a Python worker at the end of each partition: what it keeps from task to task is cut down there.
+AT_END: list = []
 
 
 def map_batches(df: DataFrame, fn, schema: str, rows: int = SLICE) -> DataFrame:
@@ -211,6 +213,8 @@ def map_batches(df: DataFrame, fn, schema: str, rows: int = SLICE) -> DataFrame:
             for i in range(0, batch.num_rows, rows):
                 cols = fn(batch.slice(i, rows))
                 yield pa.RecordBatch.from_arrays([_array(cols[f.name], f.type) for f in out_type], schema=out_type)
+        for trim in AT_END:
+            trim()
         give_back()
 
     return df.mapInArrow(run, schema)

@@ -21,7 +21,7 @@ from pathlib import Path
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from labormart.llm.common import give_back, load, map_batches
+from labormart.llm.common import AT_END, give_back, load, map_batches
 
 VOCABULARY = "word_bpe_49k.json"
 #: Characters that the shortcut takes: ASCII, Latin-1 letters and signs, typographic marks.
@@ -38,6 +38,8 @@ PIECES = re.compile("\n|" + PRE_TOKEN.pattern)
 WORD_END = b"\xff\xff\xff\xff"
 #: Words whose tokens a Python worker keeps at most; then it starts anew.
 KEPT_WORDS = 300_000
+#: Words kept from one partition to the next at most.
+KEPT_BETWEEN = 100_000
 #: Characters of text whose new words are merged together.
 GROUP = 1 << 20
 OVER = 2048
@@ -179,10 +181,18 @@ class WordTokens:
     """Ids (little-endian unsigned 32 bit) of texts, by kept words."""
 
     def __init__(self, path: str) -> None:
-        self.tok, self.merge, self.words = _tokenizer(path), Merges(path), {}
-        self.whole = {w: i.to_bytes(4, "little") for w, i in whole_tokens(self.tok).items()} | {"\n": WORD_END}
+        tok = _tokenizer(path)
+        self.whole = {w: i.to_bytes(4, "little") for w, i in whole_tokens(tok).items()} | {"\n": WORD_END}
+        self.special = [a.content for a in tok.get_added_tokens_decoder().values()]
+        # Few texts need the library; it is large, and loaded again for the first of them.
+        del tok
+        self.path, self.tok, self.words = path, None, {}
+        self.merge = Merges(path)
         give_back()
-        self.special = [a.content for a in self.tok.get_added_tokens_decoder().values()]
+
+    def trim(self) -> None:
+        if len(self.words) > KEPT_BETWEEN:
+            self.words.clear()
 
     def _learn(self, words: list[str]) -> None:
         flat = PIECES.findall("\n".join(words).lower() + "\n")
@@ -214,6 +224,8 @@ class WordTokens:
         return [self._by_library(t) if w is None else b"".join(map(get, w)) for t, w in zip(texts, plain, strict=True)]
 
     def _by_library(self, text: str) -> bytes:
+        if self.tok is None:
+            self.tok = _tokenizer(self.path)
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
@@ -225,6 +237,7 @@ def worker_tokens(spark: SparkSession, path: str) -> Callable[[], WordTokens]:
         got = _WORKER.get(path)
         if got is None:
             got = _WORKER[path] = WordTokens(path)
+            AT_END.append(got.trim)
         return got
 
     return get
