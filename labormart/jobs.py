@@ -56,7 +56,9 @@ def analysis_tables(spark: SparkSession, data_dir: str, parquet_dir: str,
     cleaned, o_clean = PR.observe_rows(filter_names(unique), "clean")
     vac = written(cleaned.withColumn("published_date", F.substring("published_at", 1, 10)), "clean")
     save_parquet(vac, parquet_dir, partition_by=["published_date"], rows_per_file=rows_per_file)
-    pq = parquet_view(spark, parquet_dir, view)
+    # Where every file is bad nothing is left: an empty table whose dates are dates, as read back otherwise.
+    schema = vac.withColumn("published_date", F.col("published_date").cast("date")).schema
+    pq = parquet_view(spark, parquet_dir, view, empty=schema)
     lines = staged.counts().first()
     return {
         "bad_files": staged.bad_files(),

@@ -177,9 +177,16 @@ def clustered(df: DataFrame, by: Sequence[str], rows_per_file: int) -> DataFrame
     return salted.repartition(*by, "_share").select(*df.columns)
 
 
-def parquet_view(spark: SparkSession, path: str, name: str = "vacancies") -> DataFrame:
-    """A Parquet file or folder as a SQL relation (temp view) for ``spark.sql``."""
-    df = spark.read.parquet(path)
+def parquet_view(spark: SparkSession, path: str, name: str = "vacancies",
+                 empty: T.StructType | None = None) -> DataFrame:
+    """A Parquet file or folder as a SQL relation (temp view) for ``spark.sql``. A partitioned table
+    without rows has no file to tell its schema: it is read with ``empty``, if given."""
+    try:
+        df = spark.read.parquet(path)
+    except Exception as e:
+        if empty is None or "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        df = spark.createDataFrame([], empty)
     df.createOrReplaceTempView(name)
     return df
 

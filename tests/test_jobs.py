@@ -191,3 +191,13 @@ def test_dashboard_tables(spark, five_dir, tmpdir_path):
     assert skills["Python"] == 4
     assert skills["C++"] == 4  # unescaped C++ means "contains c": "Docker" has one
     assert spark.read.parquet(written["raw_data"]).columns[:2] == ["id", "name"]
+
+
+def test_analyze_with_bad_files_only(spark, tmpdir_path):
+    """Where every file has a bad line nothing is left: the reports are empty, not an error."""
+    from labormart.jobs import analysis_tables
+
+    write_lines(tmpdir_path, "a.jsonl", ['{"id": "1", "name": "abc"}', '{"id":'])
+    tables = analysis_tables(spark, tmpdir_path, os.path.join(tmpdir_path, "out"))
+    assert [(r.stage, r.rows_out) for r in tables["stages"].collect()] == [("lines", 2), ("load", 0), ("dedup", 0), ("clean", 0)]
+    assert tables["bad_files"].count() == 1 and tables["by_area"].count() == 0 and tables["timeline"].count() == 0
