@@ -371,3 +371,17 @@ def test_staged_lines_are_parsed_once(spark, five, tmpdir_path):
     os.makedirs(none)
     empty = StagedLines(spark, none)
     assert empty.rows().count() == 0 and empty.counts().first().lines == 0 and empty.bad_files().count() == 0
+
+
+def test_gzipped_lines_are_read_as_plain_ones(spark, five_dir, tmpdir_path):
+    """A gzipped sink takes less disk; loading, the snapshot and the sizes find its files."""
+    from labormart.operators.profile import file_sizes
+    from labormart.sources.files import save_jsonl
+
+    raw = load_jsonl(spark, five_dir)
+    path = os.path.join(tmpdir_path, "gz")
+    save_jsonl(raw, path, compression="gzip")
+    assert sorted(map(str, load_jsonl(spark, path, glob="*.json.gz").collect())) == sorted(map(str, raw.collect()))
+    snap = Snapshot(spark, path, glob="*.json.gz")
+    assert snap.get().count() == clean(raw).count() and file_sizes(spark, path, "*.json.gz").count() >= 1
+    snap.get().unpersist()
