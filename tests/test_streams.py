@@ -207,3 +207,15 @@ def test_repeated_rows_on_a_stream_are_counted(spark, tmpdir_path):
     add(spark, folder, rows_at([0])[:1] * 3 + rows_at([9000], start=5))
     streamed_counts(spark, folder, out, os.path.join(tmpdir_path, "ck"), "0 seconds")
     assert [(r.id, r.rows, r.trailing_count) for r in spark.read.parquet(out).collect()] == [("0", 3, 3)]
+
+
+def test_dense_events_are_counted_without_pairs(spark, tmpdir_path):
+    """Many events in few spans: equal to the batch form, and no event meets the others of its window in a join."""
+    folder, out = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "out")
+    add(spark, folder, rows_at([i * 0.7 for i in range(1500)] + [9000]))
+    plan = SW.trailing_count_stream(SW.event_time(source(spark, folder), watermark="1 second"))._jdf.queryExecution().analyzed().toString()
+    assert "Join" not in plan
+    streamed_counts(spark, folder, out, os.path.join(tmpdir_path, "ck"), "1 second")
+    got = {r.id: (r.rows, r.trailing_count) for r in spark.read.parquet(out).collect()}
+    want = {r.id: (1, r.trailing_count) for r in W.trailing_count(spark.read.parquet(folder)).collect() if r.id != "1500"}
+    assert got == want and len(got) == 1500
