@@ -422,7 +422,7 @@ def q_jsonl_bad_input(spark, sf):
 
     path = scratch_path(spark, "bad-jsonl")
     _write_by_part(_broken_lines(spark, sf), path)
-    kept = [load_jsonl(spark, path, bad_input=mode, glob="part=*/*.txt.gz")
+    kept = [load_jsonl(spark, path, bad_input=mode, glob="*.txt.gz")
             .groupBy(F.col("area.name").alias("area_name")).agg(F.count(F.lit(1)).alias("rows"))
             .select(F.lit(mode).alias("mode"), "area_name", "rows")
             for mode in ("drop_file", "drop_row")]
@@ -544,7 +544,11 @@ def _broken_lines(spark, sf):
 
 def _write_by_part(lines, path):
     """A gzipped text file per ``part``: the lines repeat much, and whole parts are read anyway."""
-    lines.repartition("part").write.partitionBy("part").option("compression", "gzip").mode("append").text(path)
+    from labormart.sources.files import part_per_task
+
+    dealt = part_per_task(lines, "part")
+    if dealt is not None:
+        dealt.select("value").write.option("compression", "gzip").mode("append").text(path)
 
 
 def q_jsonl_staged(spark, sf):
@@ -554,7 +558,7 @@ def q_jsonl_staged(spark, sf):
 
     path = scratch_path(spark, "staged-jsonl")
     _write_by_part(_broken_lines(spark, sf), path)
-    staged = StagedLines(spark, path, glob="part=*/*.txt.gz")
+    staged = StagedLines(spark, path, glob="*.txt.gz")
     kept = (staged.rows().groupBy(F.col("area.name").alias("area_name"))
             .agg(F.count(F.lit(1)).alias("rows")))
     counts = staged.counts()
@@ -585,7 +589,7 @@ def q_schema_inferred_bad(spark, sf):
             line = F.when((F.col("id") % 10 == 3) & (F.col("amount") == 1), F.lit("{not json")).otherwise(line)
         rows = df.select(line.alias("value"), part.alias("part"))
         _write_by_part(rows, path)
-    got = load_jsonl_inferred(spark, path, glob="part=*/*.txt.gz")
+    got = load_jsonl_inferred(spark, path, glob="*.txt.gz")
     has = lambda c: F.count(c) if c in got.columns else F.lit(-1).cast("bigint")
     return got.groupBy((F.col("id") % 10).alias("digit")).agg(
         F.count(F.lit(1)).alias("rows"), has("kind").alias("with_kind"), has("only_items").alias("with_items"),
@@ -742,7 +746,7 @@ def q_analyze_stages(spark, sf):
     path, out = scratch_path(spark, "analyze-in"), scratch_path(spark, "analyze-out")
     _write_by_part(_broken_lines(spark, sf), path)
     view = f"analyze_{abs(hash(out)) % 10**8}"
-    return analysis_tables(spark, path, out, view=view, glob="part=*/*.txt.gz")["stages"]
+    return analysis_tables(spark, path, out, view=view, glob="*.txt.gz")["stages"]
 
 
 QUERIES.update({

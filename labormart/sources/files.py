@@ -177,6 +177,23 @@ def clustered(df: DataFrame, by: Sequence[str], rows_per_file: int) -> DataFrame
     return salted.repartition(*by, "_share").select(*df.columns)
 
 
+def part_per_task(df: DataFrame, part: str) -> DataFrame | None:
+    """The rows dealt so that each task holds one value of ``part`` (null and "" are one value), as a partitioned
+    folder keeps them: written as plain files, a value is one file, and no task sorts its rows. A partitioned
+    write sorts them, and a task then holds all values that hash to it in memory. The values are listed
+    first, so they must be few. None without rows."""
+    name = F.nullif(F.col(part), F.lit(""))
+    names = sorted((r[0] for r in df.select(name).distinct().collect()), key=lambda v: (v is not None, v or ""))
+    if not names:
+        return None
+    spark = df.sparkSession
+    listed = F.array(*[F.lit(n).cast("string") for n in names])
+    numbered = spark.range(len(names)).select(F.col("id").cast("int").alias("_number"), F.get(listed, F.col("id")).alias("_name"))
+    # One small row per file to be: a broadcast as small as that list.
+    placed = df.join(F.broadcast(numbered), name.eqNullSafe(F.col("_name")))
+    return placed.repartitionById(len(names), F.col("_number")).select(*df.columns)
+
+
 def parquet_view(spark: SparkSession, path: str, name: str = "vacancies",
                  empty: T.StructType | None = None) -> DataFrame:
     """A Parquet file or folder as a SQL relation (temp view) for ``spark.sql``. A partitioned table

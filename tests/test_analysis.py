@@ -385,3 +385,22 @@ def test_gzipped_lines_are_read_as_plain_ones(spark, five_dir, tmpdir_path):
     snap = Snapshot(spark, path, glob="*.json.gz")
     assert snap.get().count() == clean(raw).count() and file_sizes(spark, path, "*.json.gz").count() >= 1
     snap.get().unpersist()
+
+
+def test_a_task_holds_one_part_and_sorts_nothing(spark, tmpdir_path):
+    """More parts than shuffle partitions: each is one file all the same, null and empty ones together."""
+    from labormart.plans.catalog import _write_by_part
+    from labormart.sources.files import part_per_task
+
+    lines = spark.range(400).select(F.col("id").cast("string").alias("value"), F.when(F.col("id") % 20 == 0, F.lit(""))
+                                    .when(F.col("id") % 20 == 1, F.lit(None)).otherwise(F.concat(F.lit("p"), F.col("id") % 20)).alias("part"))
+    dealt = part_per_task(lines, "part")
+    per_task = dealt.groupBy(F.spark_partition_id().alias("t")).agg(F.count_distinct(F.coalesce("part", F.lit(""))).alias("n")).collect()
+    assert len(per_task) == 19 and {r.n for r in per_task} == {1}
+    assert not any(x in dealt._jdf.queryExecution().executedPlan().toString() for x in ("Sort", "Window"))
+    out = os.path.join(tmpdir_path, "parts")
+    _write_by_part(lines, out)
+    files = spark.read.text(f"{out}/*.txt.gz").groupBy(F.col("_metadata.file_path")).agg(F.collect_list(F.col("value").cast("int") % 20).alias("v")).collect()
+    assert sorted(tuple(sorted(set(r.v))) for r in files) == [(0, 1), *[(k,) for k in range(2, 20)]]
+    assert sum(len(r.v) for r in files) == 400
+    assert part_per_task(lines.filter("false"), "part") is None
