@@ -207,6 +207,24 @@ def test_flush_tail_without_emitted_windows(spark, tmpdir_path):
     assert SW.read_report(spark, out).count() == 2
 
 
+def test_flush_tail_reads_its_source_once(spark, tmpdir_path):
+    """Areas and skills of the tail come from one pass over the source."""
+    rows = [(str(i), T0, "A", 1, 1, "Go Docker") for i in range(40)]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(area):
+        read.add(1)
+        return area
+
+    noted = F.udf(seen, "string").asNondeterministic()
+    out = os.path.join(tmpdir_path, "once")
+    source = _rows(spark, rows).withColumn("area_name", noted("area_name")).withColumn("snippet_requirement", noted("snippet_requirement"))
+    SW.flush_tail(source, out)
+    assert read.value == 2 * len(rows)
+    got = SW.read_report(spark, out).first()
+    assert (got.area, got.total_count, got.top_skill, got.skill_count) == ("A", 40, "Docker", 40)
+
+
 def test_jsonl_stream_sink(spark, tmpdir_path):
     base = dt.datetime(2025, 5, 1, 10, 0, 0)
     rows = [(str(i), base, "A", 1, 1, None) for i in range(120)]
