@@ -13,16 +13,17 @@ BLOCK, BLOCK_SHINGLES = 256, 400_000
 PAIR = ("hub", "b0", "i", "b1", "j")
 
 
-def dealt(named: DataFrame, lowest: int) -> DataFrame:
+def dealt(named: DataFrame, lowest: int, wide: int = 1) -> DataFrame:
     """Members of groups dealt to pairs of blocks: ``named`` (hub, cls, n, root), a written table of group, class, set
     size and component, becomes (``PAIR``, side, cls, root).
 
     A group is cut by set size, so that only neighbouring sizes can reach ``lowest`` hundredths of similarity and
     others never meet, and each size into blocks by the classes' hashes; a block bounds rows and shingles. A class
-    is copied to the blocks it meets: a group of b blocks costs b copies of each member, never its pairs.
+    is copied to the blocks it meets: a group of b blocks costs b copies of each member, never its pairs. Blocks
+    ``wide`` times as large need as many times fewer copies.
     """
     named = named.withColumn("bucket", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / lowest))).cast("int"))
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / (wide * BLOCK), F.sum("n") / (wide * BLOCK_SHINGLES))).cast("int")
     stats = materialize(named.groupBy("hub", "bucket").agg(blocks.alias("blocks")), "blocks-buckets")
     # A bucket spans the sizes that one size may link with, so a block meets those of its own and of the next one above.
     meets = stats.alias("s").join(stats.alias("u"), F.expr("s.hub = u.hub and u.bucket between s.bucket and s.bucket + 1"))

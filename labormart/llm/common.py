@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import labormart
-from labormart.session import drop_path, scratch_path
+from labormart.session import drop_path, scratch_path, shuffles_freed
 
 U64 = np.uint64
 #: Bytes hashed at once: the working arrays then stay in the processor's cache.
@@ -44,9 +44,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared scratch folder and read it again: later jobs and retried
     tasks find these very rows, and the lineage ends here."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     scratch_list(df.sparkSession).append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables as ``materialize`` gave them, which nothing reads any more."""
+    for table in tables:
+        drop_path(table.sparkSession, table._scratch)
+        scratch_list(table.sparkSession).remove(table._scratch)
+
+
+def drop_others(spark: SparkSession, since: int, *kept: DataFrame) -> None:
+    """Delete the tables written since the list had ``since`` entries, but for those named, as ``materialize`` gave them."""
+    stay, paths = {table._scratch for table in kept}, scratch_list(spark)
+    for path in paths[since:]:
+        if path not in stay:
+            drop_path(spark, path)
+    paths[since:] = [path for path in paths[since:] if path in stay]
 
 
 def scratch_list(spark: SparkSession) -> list[str]:

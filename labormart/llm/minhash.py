@@ -11,6 +11,10 @@ coordinates share at least ``shared(percent)`` of those. The long lists at the e
 coordinates are counted on the signatures of the pairs that remain. Pairs with enough matches are
 confirmed on the full sets, but not where both sides are known to be connected.
 
+What grows with pairs or copies (signatures and texts of pairs, sets of blocks) is dealt with in passes over a bounded
+share of it, and each table is deleted when nothing reads it any more: the disk taken stays in proportion to the
+classes, however many pairs they form.
+
 * Lists of up to ``SMALL`` classes are joined with themselves.
 * In longer lists all classes are first paired with two of the list's members. Only lists whose
   classes are still in several components after that are compared in full: lists with one least member
@@ -32,8 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labormart.llm.blocks import PAIR, dealt
-from labormart.llm.common import constants, give_back, gram_hash, hash_words, load, map_batches, materialize, mix, ship_package, text_bytes
+from labormart.llm.blocks import BLOCK, BLOCK_SHINGLES, PAIR, dealt
+from labormart.llm.common import (
+    constants, drop_others, drop_tables, give_back, gram_hash, hash_words, load, map_batches, materialize, mix, scratch_list,
+    ship_package, text_bytes,
+)
 from labormart.llm.components import components
 
 K, SHARED, MISS = 64, 6, 1e-6
@@ -43,6 +50,16 @@ SMALL = 32
 FREQUENT_SHARE, LEAST_FREQUENT = 1 / 20_000, 16
 #: Sets of up to this many classes are looked up in the documents by a broadcast of their ids.
 BROADCAST_CLASSES = 500_000
+#: A long list's second member is the first by one of so many orders, chosen by the list's key: a class that shares
+#: many lists with the same others is paired with few of them.
+ORDERS = 4
+#: Pairs whose signatures are compared in one pass: so many for each class, and at least.
+MATCHED_SHARE, LEAST_MATCHED = 2, 500_000
+#: Pairs that are confirmed in one pass: this share of the classes, but at least and at most so many (their ends are broadcast).
+CONFIRMED_SHARE, LEAST_CONFIRMED, MOST_CONFIRMED = 1 / 8, 25_000, 200_000
+#: Bytes of sets and signatures that are dealt to blocks in one pass: so many for each class, and at least; and how many
+#: times as large as usual those blocks are.
+DEALT_BYTES, LEAST_DEALT, WIDE = 512, 1 << 26, 2
 _A, _B = constants(K, 31), constants(K, 37)
 
 
@@ -164,9 +181,11 @@ def postings(classes: DataFrame, frequent: np.ndarray, percent: int) -> DataFram
 def lists(posted: DataFrame) -> DataFrame:
     """Postings of lists with two classes or more, with the list's length and two of its members. A list may hold a
     third of all classes: its postings are joined by sort and merge, which splits them over tasks."""
-    heads = posted.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("hub"), F.min(F.struct(F.xxhash64("cls", "key"), "cls")).alias("other"))
+    heads = posted.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("hub"), F.min(F.struct(F.xxhash64("cls", F.pmod("key", F.lit(ORDERS))), "cls")).alias("other"))
     heads = materialize(heads.where(F.col("c") > 1).select("key", "c", "hub", F.col("other.cls").alias("other")), "minhash-heads")
-    return materialize(posted.join(heads.hint("merge"), "key"), "minhash-lists")
+    out = materialize(posted.join(heads.hint("merge"), "key"), "minhash-lists")
+    drop_tables(heads)
+    return out
 
 
 def early_pairs(rows: DataFrame, percent: int) -> DataFrame:
@@ -178,19 +197,36 @@ def early_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return within.unionByName(heads[0].unionByName(heads[1])).distinct()
 
 
-def matched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def passes(rows: DataFrame, n: int, most: int, *keys: str) -> list[DataFrame]:
+    """A written table of ``n`` rows in parts of about ``most`` rows, dealt by ``keys``."""
+    parts = max(1, -(-n // most))
+    return [rows] if parts == 1 else [rows.where(F.pmod(F.xxhash64(F.lit(parts), *keys), F.lit(parts)) == k) for k in range(parts)]
+
+
+def union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def matched(pairs: DataFrame, classes: DataFrame, percent: int, total: int) -> DataFrame:
     """Pairs whose signatures agree in ``matches(percent)`` coordinates at least, with that number."""
     least = matches(percent)
     sig = classes.select("cls", "sig")
-    both = (pairs.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sa")), "a")
-            .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sb")), "b"))
 
     def run(batch) -> dict:
         m = (signature_rows(batch.column("sa")) == signature_rows(batch.column("sb"))).sum(1)
         kept = batch.select(["a", "b"]).filter(pa.array(m >= least))
         return {"a": kept.column(0), "b": kept.column(1), "m": m[m >= least].astype(np.int32)}
 
-    return materialize(map_batches(both.select("a", "b", "sa", "sb"), run, "a long, b long, m int"), "minhash-matched")
+    pairs, out = materialize(pairs, "minhash-pairs"), []
+    for part in passes(pairs, pairs.count(), max(LEAST_MATCHED, MATCHED_SHARE * total), "a", "b"):
+        both = (part.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sa")), "a")
+                .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sb")), "b"))
+        out.append(materialize(map_batches(both.select("a", "b", "sa", "sb"), run, "a long, b long, m int"), "minhash-matched"))
+    drop_tables(pairs)
+    return union(out)
 
 
 def set_table(ends: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
@@ -203,7 +239,9 @@ def set_table(ends: DataFrame, classes: DataFrame, docs: DataFrame, words: int)
         return {"cls": batch.column("cls"), "s": [s.tobytes() for s in shingle_sets(text_bytes(batch.column("text")), words)]}
 
     # Repeated rows of one id and text have one set: any will do.
-    return materialize(map_batches(texts, sets, "cls long, s binary").dropDuplicates(["cls"]), "minhash-sets")
+    out = materialize(map_batches(texts, sets, "cls long, s binary").dropDuplicates(["cls"]), "minhash-sets")
+    drop_tables(wanted)
+    return out
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -214,21 +252,55 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs that are linked, by their full sets."""
-    ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    table = set_table(ends, classes, docs, words)
-    both = (pairs.select("a", "b").join(table.select(F.col("cls").alias("a"), F.col("s").alias("sa")), "a")
-            .join(table.select(F.col("cls").alias("b"), F.col("s").alias("sb")), "b"))
-
-    def check(batch) -> dict:
-        keep = []
-        for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-            keep.append(similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
-        kept = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-        return {"a": kept.column(0), "b": kept.column(1)}
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, total: int) -> DataFrame:
+    """The pairs of a written table that are linked, by their full sets."""
+    most = min(MOST_CONFIRMED, max(LEAST_CONFIRMED, int(CONFIRMED_SHARE * total)))
+    return union([confirmed_part(part, classes, docs, words, percent) for part in passes(pairs.select("a", "b"), pairs.count(), most, "a", "b")])
+
+
+def confirmed_part(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """A pair's texts meet in a cell: each b is sent to a's cell, or to one of several if a has many. So a text goes
+    out once for each pair, as a text, and no set is ever written."""
+    spark = pairs.sparkSession
+    since = len(scratch_list(spark))
+    keys = classes.select("cls", "key_id", "h1", "h2", "n")
+    far = materialize(pairs.join(keys.withColumnRenamed("cls", "b"), "b"), "minhash-far")
+    cells = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    each = materialize(far.groupBy("a").agg(cells.alias("m")), "minhash-each")
+    many = far.agg(F.coalesce(cells, F.lit(1))).first()[0]
+    cell = lambda part: F.pmod(F.xxhash64("a", part), F.lit(many)).cast("int").alias("cell")
+    own = (each.withColumn("part", F.explode(F.expr("sequence(0, m - 1)"))).join(keys, F.col("a") == F.col("cls"))
+           .select("a", F.col("a").alias("cls"), cell("part"), "key_id", "h1", "h2").distinct())
+    sent = far.join(each, "a").select("a", F.col("b").alias("cls"), cell(F.expr("cast(pmod(xxhash64(b), m) as int)")), "key_id", "h1", "h2")
+    sent = materialize(own.unionByName(sent).withColumn("w", F.monotonically_increasing_id()), "minhash-sent")
+    texts = docs.select(_key_id(), "text", *_text_keys()).join(F.broadcast(sent), ["key_id", "h1", "h2"]).select("w", "cell", "a", "cls", "text")
+
+    def once(batches):
+        # Rows that repeat an id and text are one class: of each task one goes on.
+        seen: set[int] = set()
+        for batch in batches:
+            w = batch.column("w").to_pylist()
+            fresh = []
+            for x in w:
+                fresh.append(x not in seen)
+                seen.add(x)
+            yield batch.filter(pa.array(fresh, pa.bool_()))
+
+    def check(table: pa.Table) -> pa.Table:
+        at = np.unique(table["w"].to_numpy(), return_index=True)[1]
+        table = table.take(at)
+        a, cls = table["a"].to_pylist(), table["cls"].to_pylist()
+        sets = shingle_sets(text_bytes(table["text"]), words)
+        heads = {x: s for x, y, s in zip(a, cls, sets, strict=True) if x == y}
+        links = [(x, y) for x, y, s in zip(a, cls, sets, strict=True) if x != y and similar(heads[x], s, percent)]
+        give_back()
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
-    return materialize(map_batches(both, check, "a long, b long"), "minhash-links")
+    ship_package(spark)
+    texts = texts.mapInArrow(once, "w long, cell int, a long, cls long, text string")
+    out = materialize(texts.groupBy("cell").applyInArrow(check, "a long, b long"), "minhash-links")
+    drop_others(spark, since, out)
+    return out
 
 
 def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -255,15 +327,23 @@ def block_links(left: dict, right: dict, same: bool, percent: int) -> list[tuple
     return out
 
 
-def late_links(rows: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def late_links(rows: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, words: int, percent: int, total: int) -> DataFrame:
     """Links between components within the long lists that hold several."""
+    spark = rows.sparkSession
+    since = len(scratch_list(spark))
     named = rows.where(F.col("c") > SMALL).select("key", "hub", "cls").join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     mixed = materialize(named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key"), "minhash-mixed")
     active = named.join(mixed.hint("merge"), "key").select("hub", "cls", "root").distinct()
     active = materialize(active.join(classes.select("cls", "n"), "cls"), "minhash-active")
     if active.isEmpty():
-        return rows.sparkSession.createDataFrame([], "a long, b long")
-    sets = set_table(active.select("cls").distinct(), classes, docs, words).join(classes.select("cls", "sig"), "cls")
+        drop_others(spark, since)
+        return spark.createDataFrame([], "a long, b long")
+    wanted = materialize(active.select("cls", "n").distinct(), "minhash-wanted")
+    # A document's set is about as large as its text: also the sets of many classes are made in passes over the documents.
+    sets = union([set_table(part.select("cls"), classes, docs, words) for part in passes(wanted, wanted.count(), BROADCAST_CLASSES, "cls")])
+    copies = materialize(dealt(active, percent, WIDE), "minhash-dealt")
+    size = copies.join(wanted, "cls").agg(F.coalesce(F.sum(8 * F.col("n") + 4 * K), F.lit(0))).first()[0]
+    sets = sets.join(classes.select("cls", "sig"), "cls")
 
     def compare(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
@@ -276,8 +356,10 @@ def late_links(rows: DataFrame, classes: DataFrame, roots: DataFrame, docs: Data
         give_back()
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
-    rows = dealt(active, percent).join(sets.hint("merge"), "cls")
-    return materialize(rows.groupBy(*PAIR).applyInArrow(compare, "a long, b long").distinct(), "minhash-links")
+    parts = [materialize(part.join(sets.hint("merge"), "cls").groupBy(*PAIR).applyInArrow(compare, "a long, b long").distinct(), "minhash-links")
+             for part in passes(copies, size, max(LEAST_DEALT, DEALT_BYTES * total), *PAIR)]
+    drop_others(spark, since, *parts)
+    return union(parts)
 
 
 def _key_id():
@@ -286,25 +368,35 @@ def _key_id():
 
 def _named(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The rows' features, and each set's component with the row of it that comes first."""
-    rows = features(docs, words)
+    spark = docs.sparkSession
+    since = len(scratch_list(spark))
+    wide = features(docs, words)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")).alias("first")
-    sets = rows.where(F.col("n") > 0).groupBy("fp").agg(F.min("uid").alias("cls"), first)
+    sets = wide.where(F.col("n") > 0).groupBy("fp").agg(F.min("uid").alias("cls"), first)
     sets = materialize(sets, "minhash-classes")
-    classes = materialize(rows.join(sets.select(F.col("cls").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("cls"), _key_id(), "h1", "h2", "n", "sig"), "minhash-sigs")
-    listed = lists(postings(classes, frequent_keys(classes, classes.count()), percent))
-    early = matched(early_pairs(listed, percent), classes, percent)
+    classes = materialize(wide.join(sets.select(F.col("cls").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("cls"), _key_id(), "h1", "h2", "n", "sig"), "minhash-sigs")
+    rows = materialize(wide.select("uid", "doc_id", "n", "fp"), "minhash-rows")  # the signatures go on by class
+    drop_tables(wide)
+    total = classes.count()
+    listed = lists(postings(classes, frequent_keys(classes, total), percent))
+    early = matched(early_pairs(listed, percent), classes, percent, total)
     best = early.groupBy("b").agg(F.max(F.struct("m", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
-    links = confirmed(best, classes, docs, words, percent)
+    best = materialize(best, "minhash-best")
+    links = confirmed(best, classes, docs, words, percent, total)
     roots = components(links)
-    links = links.unionByName(confirmed(materialize(apart(early, roots), "minhash-apart"), classes, docs, words, percent))
+    left = materialize(apart(early, roots), "minhash-apart")
+    links = links.unionByName(confirmed(left, classes, docs, words, percent, total))
+    drop_tables(best, left)
     roots = components(links)
-    late = late_links(listed, classes, roots, docs, words, percent)
+    late = late_links(listed, classes, roots, docs, words, percent, total)
     if not late.isEmpty():
         roots = components(links.unionByName(late))
     named = sets.join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     firsts = named.groupBy("root").agg(F.min("first").alias("first"))
     named = named.join(firsts.withColumnRenamed("first", "best"), "root")
-    return rows, materialize(named.select("fp", F.col("best.doc_id").alias("component"), F.col("best.uid").alias("keeper")), "minhash-named")
+    named = materialize(named.select("fp", F.col("best.doc_id").alias("component"), F.col("best.uid").alias("keeper")), "minhash-named")
+    drop_others(spark, since, rows, named)
+    return rows, named
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

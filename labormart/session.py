@@ -1,16 +1,22 @@
 """Session helpers.
 
 The library never changes settings of a session it is handed, except that it fills in
-``spark.checkpoint.dir`` when the cluster left it unset (tests, local runs).
+``spark.checkpoint.dir`` when the cluster left it unset (tests, local runs), and that one setting
+is changed while a scratch table is written (:func:`shuffles_freed`).
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting by which a query's shuffle files go when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def get_session(master: str | None = None, app_name: str = "labormart",
                 shuffle_partitions: int | None = None) -> SparkSession:
@@ -69,11 +75,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """A table written while this is open leaves no shuffle files: they go when it is written, not when the
+    driver happens to collect its garbage. The setting is put back afterwards."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def written(df: DataFrame, name: str, **options) -> DataFrame:
     """The table written to the checkpoint folder and read again: what follows and every retried
     task reads these rows, and nothing before them is worked out twice."""
     path = scratch_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -533,6 +533,44 @@ def test_large_mixed_group_in_blocks(spark, monkeypatch):
     assert got == dict(enumerate(group)) and len(set(group)) > 3
 
 
+def test_near_duplicates_in_passes_leave_no_tables(spark, monkeypatch):
+    """Signatures, texts and blocks dealt with in several passes, rows repeated: equal to all pairs. Every table
+    on the way is deleted, shuffle files go with the writes, and the session's settings are as before."""
+    from labormart.llm.common import scratch_list
+    from labormart.session import FREE_SHUFFLES, shuffles_freed
+
+    for name, value in {"LEAST_MATCHED": 40, "MATCHED_SHARE": 0, "LEAST_CONFIRMED": 30, "CONFIRMED_SHARE": 0, "LEAST_DEALT": 200_000, "DEALT_BYTES": 0}.items():
+        monkeypatch.setattr(minhash, name, value)
+    r = random.Random(5)
+    common, texts = [f"c{i}" for i in range(150)], []
+    for i in range(90):
+        w = common + [f"f{i % 3}w{k}" for k in range(30)]
+        for _ in range(r.randint(0, 9)):
+            w[r.randrange(len(w))] = f"edit{r.random()}"
+        texts += [(None if i == 7 else i, " ".join(w))] * (1 + i % 2)
+    sets = [frozenset(tuple(t.split()[i : i + 3]) for i in range(178)) for _, t in texts]
+    group = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                x, y = group[i], group[j]
+                group = [y if g == x else g for g in group]
+    least = {}
+    for g, (i, _) in zip(group, texts, strict=True):
+        if i is not None:
+            least[g] = min(i, least.get(g, i))
+    expected = collections.Counter((i, least[g]) for g, (i, _) in zip(group, texts, strict=True))
+    before = len(scratch_list(spark))
+    got = minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), 3, 85)
+    assert multiset(got, "doc_id", "component_id") == expected and len(set(group)) > 3
+    assert len(scratch_list(spark)) - before <= 2
+    setting = spark.conf.get(FREE_SHUFFLES, None)
+    with pytest.raises(ZeroDivisionError), shuffles_freed(spark):
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+        raise ZeroDivisionError
+    assert spark.conf.get(FREE_SHUFFLES, None) == setting
+
+
 @pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
 def test_texts_longer_than_a_piece(spark, module):
     """Texts of more symbols than are hashed at once, with repeats across the cut."""
