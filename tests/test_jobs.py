@@ -138,6 +138,29 @@ def test_collect_stopped_between_two_batches(spark, tmpdir_path, reached):
     assert held(spark, out) == (ids, ids, 4)
 
 
+def test_collect_into_packed_files(spark, tmpdir_path, monkeypatch):
+    """Files and messages of a given compression hold the records, and no batch of the topic is kept in the meantime."""
+    from pyspark.sql import DataFrame
+
+    from labormart.jobs import collect, finish_collect
+
+    pages, out = os.path.join(tmpdir_path, "pages"), outputs(tmpdir_path)
+    os.makedirs(pages)
+    write_lines(pages, "a.txt", [*page(spark, ITEMS), "no page"])
+    levels, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: (levels.append(self.columns), persist(self, *a))[1])
+    for q in collect(spark, pages, out["files"], out["topic"], out["report"], trigger={"availableNow": True}, compression="gzip"):
+        q.awaitTermination()
+    assert not any("collected_at" in columns for columns in levels)
+    finish_collect(spark, out["files"], out["report"])
+    assert held(spark, out) == (["1", "2"], ["1", "2"], 2)
+    for name, kind in (("files", ".json.gz"), ("topic", ".txt.gz")):
+        data = [f for _, _, fs in os.walk(out[name]) for f in fs if f.startswith("part-")]
+        assert data and all(f.endswith(kind) for f in data)
+    assert [(r.messages, r.files) for r in spark.read.json(out["topic"] + "_commits").collect()] == [(2, 1)]
+    assert os.listdir(out["topic"] + "_commits_staged") == []
+
+
 def run_job(args, wait_for, timeout=120):
     """Start a job as a process, wait for a file or folder, stop it with SIGTERM; its exit code and output."""
     env = {**os.environ, "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "SPARK_LOCAL_IP": "127.0.0.1",
